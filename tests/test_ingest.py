@@ -1,0 +1,180 @@
+import datetime as dt
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from tierline.sources.topics import to_topic_records
+from tierline.streaming import ingest
+
+BROKER_TS = dt.datetime(2024, 1, 5, 12, 0, 0)
+
+
+def msg(topic, offset, value, partition=0):
+    if value is not None and not isinstance(value, str):
+        value = json.dumps(value)
+    return (topic, partition, offset, BROKER_TS, value)
+
+
+def event(**over):
+    base = {"event_id": "e1", "event_type": "page_view", "user_id": "user_0001", "session_id": "sess_1",
+            "page": "/home", "referrer": "https://example.org", "metadata": {"browser": "Chrome", "n": 2},
+            "timestamp": "2024-01-01T10:00:00"}
+    base.update(over)
+    return {k: v for k, v in base.items() if v is not ...}
+
+
+def order(**over):
+    base = {"order_id": "o1", "user_id": "user_0001",
+            "items": [{"product_id": "p1", "product_name": "Widget", "quantity": 2, "unit_price": 29.99},
+                      {"product_id": "p2", "product_name": "Gadget", "quantity": 1, "unit_price": 89.99}],
+            "total_amount": 149.97, "currency": "EUR", "status": "confirmed", "shipping_address": "1 Main St",
+            "created_at": "2024-01-01T10:00:00Z"}
+    base.update(over)
+    return {k: v for k, v in base.items() if v is not ...}
+
+
+def one_item(**over):
+    it = {"product_id": "p1", "product_name": "Widget", "quantity": 1, "unit_price": 10.0}
+    it.update(over)
+    return order(items=[it], total_amount=10.0)
+
+
+EVENT_CASES = {
+    0: (event(), []),
+    1: ("{not json", ["value: not JSON"]),
+    2: (None, ["value: null"]),
+    3: (event(event_type="hover"), ["event_type: not an accepted value"]),
+    4: (event(user_id=42), ["user_id: string required"]),
+    5: (event(event_id=...), []),
+    6: (event(timestamp=...), []),
+    7: (event(metadata=None), ["metadata: object expected"]),
+    8: (event(timestamp="2024-01-01T10:00:00+02:00"), []),
+    9: (event(timestamp=1704103200), []),
+    10: (event(timestamp=1704103200000), []),
+    11: (event(extra_field="x"), []),
+    12: ([1, 2], ["value: not an object"]),
+    13: (event(metadata=...), []),
+    14: (event(page=None), ["page: string required"]),
+    15: (event(referrer=None), []),
+    16: (event(timestamp="yesterday"), ["timestamp: datetime expected"]),
+    17: (event(metadata="text"), ["metadata: object expected"]),
+    18: (event(event_id=7), ["event_id: string expected"]),
+}
+
+ORDER_CASES = {
+    0: (order(), []),
+    1: (one_item(quantity=0), ["items.quantity: integer > 0 required"]),
+    2: (one_item(quantity=2.5), ["items.quantity: integer > 0 required"]),
+    3: (one_item(quantity="2"), []),
+    4: (order(total_amount=0), ["total_amount: number > 0 required"]),
+    5: (order(items=[], total_amount=5.0), []),
+    6: (order(items={"product_id": "p1"}), ["items: array required"]),
+    7: (order(currency=..., status=...), []),
+    8: (one_item(unit_price="NaN"), ["items.unit_price: number > 0 required"]),
+    9: (one_item(quantity=2.0), []),
+    10: (one_item(unit_price=-1), ["items.unit_price: number > 0 required"]),
+    11: (order(items=...), ["items: array required"]),
+    12: (order(user_id=...), ["user_id: string required"]),
+    13: (one_item(product_id=5), ["items.product_id: string required"]),
+    14: (order(items=[1]), ["items: object expected"]),
+    15: (order(total_amount="12.5", items=[]), []),
+}
+
+
+def messages(spark):
+    rows = [msg("raw.events", o, v) for o, (v, _) in EVENT_CASES.items()]
+    rows += [msg("raw.orders", o, v) for o, (v, _) in ORDER_CASES.items()]
+    rows.append(msg("raw.other", 0, {"x": 1}))
+    return spark.createDataFrame(rows, ingest.TOPIC_SCHEMA)
+
+
+def test_event_rules(spark):
+    got = {r.offset: r for r in ingest.validate_events(ingest.decode(messages(spark))).collect()}
+    for off, (_, expected) in EVENT_CASES.items():
+        assert list(got[off].errors) == expected, (off, got[off].errors)
+    assert got[5].event_id and got[5].event_id != "e1" and got[5].defaults == ["event_id"]
+    assert got[6].timestamp == BROKER_TS
+    assert got[8].timestamp == dt.datetime(2024, 1, 1, 8, 0, 0)
+    assert got[9].timestamp == got[10].timestamp == dt.datetime(2024, 1, 1, 10, 0, 0)
+    assert got[13].metadata == "{}" and got[0].metadata == '{"browser":"Chrome","n":2}'
+    assert got[15].referrer is None
+
+
+def test_missing_id_is_stable_across_redelivery(spark):
+    a = ingest.validate_events(ingest.decode(messages(spark))).filter("offset = 5").collect()[0].event_id
+    b = ingest.validate_events(ingest.decode(messages(spark))).filter("offset = 5").collect()[0].event_id
+    assert a == b and len(a) == 36
+
+
+def test_order_rules(spark):
+    got = {r.offset: r for r in ingest.validate_orders_raw(ingest.decode(messages(spark))).collect()}
+    for off, (_, expected) in ORDER_CASES.items():
+        assert list(got[off].errors) == expected, (off, got[off].errors)
+    assert got[7].currency == "USD" and got[7].status == "pending"
+    assert got[0].created_at == dt.datetime(2024, 1, 1, 10, 0, 0)
+    assert json.loads(got[0].items) == ORDER_CASES[0][0]["items"]
+    assert json.loads(got[3].items)[0]["quantity"] == 2
+    assert got[15].total_amount == 12.5
+
+
+def test_ingest_batch_routes_everything(spark):
+    events, orders, dead = ingest.ingest_batch(messages(spark))
+    n_bad_ev = sum(1 for _, e in EVENT_CASES.values() if e)
+    n_bad_od = sum(1 for _, e in ORDER_CASES.values() if e)
+    assert events.count() == len(EVENT_CASES) - n_bad_ev
+    assert orders.count() == len(ORDER_CASES) - n_bad_od
+    assert dead.count() == n_bad_ev + n_bad_od + 1
+    assert dead.filter(F.col("topic") == "raw.other").collect()[0].errors == ["topic: not subscribed"]
+
+
+def test_topic_records_round_trip(spark):
+    events, _, _ = ingest.ingest_batch(messages(spark))
+    recs = to_topic_records(events, "raw.events", key="event_id", json_columns=("metadata",))
+    again = recs.select("topic", F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset"),
+                        F.lit(BROKER_TS).cast("timestamp").alias("timestamp"), "value")
+    back, _, dead = ingest.ingest_batch(again)
+    assert dead.count() == 0
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, events.collect()), key=repr)
+
+
+def _write_json_lines(folder, name, rows):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as fh:
+        for topic, partition, offset, ts, value in rows:
+            fh.write(json.dumps({"topic": topic, "partition": partition, "offset": offset,
+                                 "timestamp": ts.isoformat() + "Z", "value": value}) + "\n")
+
+
+def test_streaming_ingest_is_idempotent(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "topics")
+    rows = [msg("raw.events", o, v) for o, (v, _) in EVENT_CASES.items()]
+    rows += [msg("raw.orders", o, v) for o, (v, _) in ORDER_CASES.items()]
+    _write_json_lines(src, "part-0.json", rows)
+    paths = {k: os.path.join(tmp_dir, k) for k in ("bronze_events", "bronze_orders", "dead_letter")}
+    ckpt = os.path.join(tmp_dir, "ckpt")
+
+    def run():
+        q = ingest.start_ingest(ingest.read_topics(spark, "files", src), paths, ckpt, available_now=True)
+        q.awaitTermination()
+
+    def counts():
+        return tuple(spark.read.parquet(paths[k]).count() for k in ("bronze_events", "bronze_orders", "dead_letter"))
+
+    run()
+    first = counts()
+    n_bad_ev = sum(1 for _, e in EVENT_CASES.values() if e)
+    n_bad_od = sum(1 for _, e in ORDER_CASES.values() if e)
+    assert first == (len(EVENT_CASES) - n_bad_ev, len(ORDER_CASES) - n_bad_od, n_bad_ev + n_bad_od)
+    run()  # restart on the same checkpoint: nothing new
+    assert counts() == first
+    _write_json_lines(src, "part-1.json", [msg("raw.events", 100, event(event_id="e2"))])
+    run()
+    assert counts() == (first[0] + 1, first[1], first[2])
+    # replaying a batch id rewrites its partition instead of appending
+    ingest.write_batch(spark.createDataFrame([msg("raw.events", 101, event(event_id="e3"))], ingest.TOPIC_SCHEMA),
+                       0, paths)
+    ingest.write_batch(spark.createDataFrame([msg("raw.events", 101, event(event_id="e3"))], ingest.TOPIC_SCHEMA),
+                       0, paths)
+    ev = spark.read.parquet(paths["bronze_events"])
+    assert ev.filter("batch_id = 0").count() == 1

@@ -1,0 +1,137 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from helpers import bronze_events, bronze_orders, ev, item, items, od
+from pyspark.sql import types as T
+
+from conftest import AS_OF
+from tierline import schemas
+from tierline.operators import envelopes, gold, reports, silver
+
+
+def kpis(spark, rows):
+    return spark.createDataFrame(rows, schemas.DAILY_KPIS)
+
+
+def c360(spark, rows):
+    """rows: (user_id, days, valid_orders, spend)."""
+    full = [(u, None, None, d, v, v, Decimal(str(s)) if s is not None else None, 0.0, None, None)
+            for u, d, v, s in rows]
+    return spark.createDataFrame(full, schemas.CUSTOMER_360)
+
+
+def test_segment_boundaries(spark):
+    df = c360(spark, [
+        ("champ", 7, 1, 500.01), ("not_champ", 7, 1, 500.0), ("loyal", 7, 3, 10), ("recent", 14, 0, 0),
+        ("good", 30, 0, 200.01), ("risk_30", 30, 0, 200.0), ("risk", 60, 0, 0), ("dormant", 61, 0, 0),
+        ("no_events", None, 5, 9999),
+    ])
+    got = {r.user_id: r.segment_name for r in reports.user_segments(df).collect()}
+    assert got == {"champ": "Champions", "not_champ": "Recent", "loyal": "Loyal", "recent": "Recent",
+                   "good": "Good", "risk_30": "At Risk", "risk": "At Risk", "dormant": "Dormant",
+                   "no_events": "Dormant"}
+
+
+def test_segment_report_averages(spark):
+    df = c360(spark, [("a", None, 0, None), ("b", 100, 0, 1.01), ("c", 7, 1, 600)])
+    out = {r.segment_name: r for r in reports.report_user_segments(df).collect()}
+    d = out["Dormant"]
+    assert d.user_count == 2
+    assert d.avg_recency_days == 550  # (999 + 100) / 2 = 549.5 → half up
+    assert d.avg_spend == 0.51  # (0 + 1.01) / 2 = 0.505 → half up
+    assert out["Champions"].avg_spend == 600.0
+
+
+def test_dau_report_range_and_aggregation(spark):
+    df = kpis(spark, [
+        (dt.date(2024, 1, 1), "click", 3, 10, 0.5), (dt.date(2024, 1, 1), "page_view", 4, 20, 0.5),
+        (dt.date(2024, 1, 2), "click", 1, 1, None), (dt.date(2024, 1, 5), "click", 9, 9, 0.1),
+    ])
+    out = reports.report_dau(df, "2024-01-01", "2024-01-02").collect()
+    assert [(r.event_date, r.active_users, r.total_events, r.avg_conversion_rate) for r in out] == [
+        (dt.date(2024, 1, 1), 7, 30, 0.5), (dt.date(2024, 1, 2), 1, 1, None)]
+    env = envelopes.envelope_dau(reports.report_dau(df, "2024-01-01", "2024-01-02"), "2024-01-01",
+                                 dt.date(2024, 1, 2)).collect()[0]
+    assert env.total_active_users == 8 and [r.event_date for r in env.data] == [dt.date(2024, 1, 1),
+                                                                              dt.date(2024, 1, 2)]
+
+
+def test_funnel_independent_steps_and_absent_step(spark):
+    ce = silver.clean_events(bronze_events(spark, [
+        ev("1", "page_view", "u1", "2024-01-10 00:00:00"),
+        ev("2", "page_view", "u1", "2024-01-12 23:59:59"),
+        ev("3", "purchase", "u2", "2024-01-11 10:00:00"),
+        ev("4", "purchase", "u2", "2024-01-13 00:00:00"),  # outside: the range ends before day + 1
+        ev("5", "signup", "u3", "2024-01-11 00:00:00"),
+    ]), AS_OF)
+    out = reports.report_funnel(ce, "2024-01-10", "2024-01-12").collect()
+    assert [(r.step_name, r.users, r["count"]) for r in out] == [("page_view", 1, 2), ("purchase", 1, 1)]
+    env = envelopes.envelope_funnel(reports.report_funnel(ce, "2024-01-10", "2024-01-12"),
+                                    "2024-01-10", "2024-01-12").collect()[0]
+    assert [s.step_name for s in env.funnel] == ["page_view", "purchase"]
+
+
+def test_anomaly_zero_stddev_and_flags(spark):
+    flat = kpis(spark, [(dt.date(2024, 1, d), "click", 5, 5, 0.1) for d in range(10, 20)])
+    out = reports.report_anomaly(flat, "dau", 30, AS_OF).collect()
+    assert all(r.z_score == 0.0 and r.is_anomaly is False for r in out) and len(out) == 10
+    spiky = kpis(spark, [(dt.date(2024, 1, d), "click", 5 if d != 15 else 100, 5, 0.1) for d in range(5, 26)])
+    out = {r.date.day: r for r in reports.report_anomaly(spiky, "dau", 30, AS_OF).collect()}
+    assert out[15].is_anomaly and out[15].z_score > 2 and not out[14].is_anomaly
+    # look-back is a lower bound only: 2024-01-31 - 10 days = 2024-01-21
+    recent = reports.report_anomaly(spiky, "dau", 10, AS_OF).collect()
+    assert [r.date.day for r in recent] == [21, 22, 23, 24, 25]
+
+
+def test_anomaly_single_day_and_null_value(spark):
+    one = kpis(spark, [(dt.date(2024, 1, 20), "click", 5, 5, None)])
+    r = reports.report_anomaly(one, "conversion", 30, AS_OF).collect()[0]
+    assert r.value is None and r.z_score == 0.0 and r.is_anomaly is False
+    with pytest.raises(ValueError):
+        reports.report_anomaly(one, "x; drop table", 30, AS_OF)
+
+
+def test_top_products_counts_redelivered_copies(spark):
+    raw = bronze_orders(spark, [
+        od("o1", items(item("p1", qty=2, price=10.0), item("p2", qty=1, price=5.0)), 25.0, when="2024-01-01 00:00:00"),
+        od("o1", items(item("p1", qty=2, price=10.0), item("p2", qty=1, price=5.0)), 25.0, when="2024-01-01 00:00:01"),
+        od("o2", items(item("p2", qty=1, price=5.0)), 5.0),
+        od("o3", items(item("p9", qty=1, price=99.0)), 1.0),  # fails validation
+    ])
+    vo = silver.validate_orders(raw, AS_OF)
+    out = [(r.product_id, r.total_revenue, r.order_count) for r in reports.report_top_products(vo, raw, 10).collect()]
+    assert out == [("p1", 40.0, 1), ("p2", 15.0, 2)]
+    dd = [(r.product_id, r.total_revenue) for r in reports.report_top_products(vo, raw, 10, dedupe_items=True).collect()]
+    assert dd == [("p1", 20.0), ("p2", 10.0)]
+    assert [r.product_id for r in reports.report_top_products(vo, raw, 1).collect()] == ["p1"]
+    env = envelopes.envelope_top_products(reports.report_top_products(vo, raw, 10)).collect()[0]
+    assert env.total == 2 and [p.product_id for p in env.products] == ["p1", "p2"]
+
+
+def test_envelopes_segments_and_anomaly(spark):
+    seg = envelopes.envelope_segments(reports.report_user_segments(
+        c360(spark, [("a", 1, 0, 0), ("b", 100, 0, 0)]))).collect()[0]
+    assert seg.total_users == 2 and [s.segment_name for s in seg.segments] == ["Dormant", "Recent"]
+    df = kpis(spark, [(dt.date(2024, 1, d), "click", 5 if d != 15 else 100, 5, 0.1) for d in range(5, 26)])
+    env = envelopes.envelope_anomaly(reports.report_anomaly(df, "dau", 30, AS_OF), "dau", 30).collect()[0]
+    assert env.total_anomalies == 1 and env.metric == "dau" and env.lookback_days == 30
+    assert [a.date.day for a in env.anomalies] == list(range(5, 26))
+
+
+def test_parameter_rules():
+    assert envelopes.check_top_n(None) == 10 and envelopes.check_lookback(None) == 30
+    assert envelopes.check_metric(None) == "dau"
+    for bad in (0, 101, True, "5"):
+        with pytest.raises(ValueError):
+            envelopes.check_top_n(bad)
+    for bad in (0, 366):
+        with pytest.raises(ValueError):
+            envelopes.check_lookback(bad)
+    with pytest.raises(ValueError):
+        envelopes.check_metric("total_events; drop")
+    with pytest.raises(ValueError):
+        envelopes.check_date("2024-13-01", "date_from")
+    with pytest.raises(ValueError):
+        envelopes.check_date(None, "date_from")
+    assert envelopes.check_date("2024-01-02", "d") == dt.date(2024, 1, 2)

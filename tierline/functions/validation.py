@@ -1,9 +1,16 @@
 """Record validation as column expressions over a once-parsed Variant message.
 
-A message value is parsed a single time with ``try_parse_json``; every rule then inspects
-the Variant: ``schema_of_variant`` tells a JSON string from a number, object, array or an
-explicit ``null`` (``VOID``), and a missing key is SQL NULL.  The result per message is an
-``errors array<string>`` (empty = valid) plus the typed, defaulted record fields.
+A message value is parsed a single time with ``try_parse_json``.  The validator then works
+in three projections so that nothing is computed twice per row:
+
+1. ``fields``  — each top-level field pulled out of the Variant once (``_f_<name>``);
+2. ``kinds``   — the JSON kind of each field (``_t_<name>``: STRING, BIGINT, DECIMAL(p,s),
+   DOUBLE, BOOLEAN, OBJECT<..>, ARRAY<..>, VOID for an explicit ``null``, NULL if missing);
+3. rules and typed record columns, reading only those columns.
+
+Projections whose outputs are used more than once are not merged by the optimizer, so the
+Variant lookups stay single.  The result per message is an ``errors array<string>`` (empty =
+valid) plus the typed, defaulted record fields.
 
 Rules (the per-record model of the reference, restated):
 
@@ -24,7 +31,9 @@ Rules (the per-record model of the reference, restated):
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import EVENT_TYPES
@@ -35,165 +44,232 @@ DEFAULT_STATUS = "pending"
 # Epoch numbers above this magnitude are milliseconds, below it seconds.
 EPOCH_MS_THRESHOLD = 20_000_000_000
 
+EVENT_FIELDS = ("event_id", "event_type", "user_id", "session_id", "page", "referrer", "metadata", "timestamp")
+ORDER_FIELDS = ("order_id", "user_id", "items", "total_amount", "currency", "status", "shipping_address",
+                "created_at")
+ITEM_FIELDS = ("product_id", "product_name", "quantity", "unit_price")
+_NUMBER_KINDS = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
+
 
 def parse_value(value: Column) -> Column:
     """Message text → Variant; NULL when the value is NULL or not JSON."""
     return F.try_parse_json(value)
 
 
-def field(v: Column, name: str) -> Column:
-    return F.variant_get(v, f"$.{name}", "variant")
+def looks_like_object(value: Column) -> Column:
+    """Text starts with ``{`` after JSON whitespace (with a successful parse: a JSON object).
+    Cheaper than typing the whole Variant, which walks every nested field."""
+    return F.regexp_like(value, F.lit(r"^[ \t\r\n]*\{"))
+
+
+# ---------------------------------------------------------------- staged extraction
+
+def f(name: str) -> Column:
+    return F.col(f"_f_{name}")
 
 
-def kind(x: Column) -> Column:
-    """JSON kind of a Variant: STRING, BIGINT, DECIMAL(p,s), DOUBLE, BOOLEAN, OBJECT<..>,
-    ARRAY<..>, VOID (explicit null); NULL when missing."""
-    return F.schema_of_variant(x)
+def t(name: str) -> Column:
+    return F.col(f"_t_{name}")
 
 
-def is_string(x: Column) -> Column:
-    return kind(x) == F.lit("STRING")
+def with_fields(df: DataFrame, v: str, names: Sequence[str]) -> DataFrame:
+    """Stage 1: pull each named field out of Variant column ``v`` once."""
+    return df.select("*", *[F.variant_get(F.col(v), f"$.{n}", "variant").alias(f"_f_{n}") for n in names])
 
 
-def is_object(x: Column) -> Column:
-    return kind(x).startswith("OBJECT")
+def with_kinds(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Stage 2: the JSON kind of each extracted field."""
+    return df.select("*", *[F.schema_of_variant(f(n)).alias(f"_t_{n}") for n in names])
 
 
-def is_array(x: Column) -> Column:
-    return kind(x).startswith("ARRAY")
+# ---------------------------------------------------------------- kinds and lax values
 
+def k_string(k: Column) -> Column:
+    return k == F.lit("STRING")
 
-def is_null_json(x: Column) -> Column:
-    return kind(x) == F.lit("VOID")
 
+def k_object(k: Column) -> Column:
+    return k.startswith("OBJECT")
 
-def is_number(x: Column) -> Column:
-    k = kind(x)
-    return (k == F.lit("BIGINT")) | (k == F.lit("DOUBLE")) | (k == F.lit("FLOAT")) | k.startswith("DECIMAL") \
-        | (k == F.lit("INT")) | (k == F.lit("SMALLINT")) | (k == F.lit("TINYINT"))
 
+def k_null(k: Column) -> Column:
+    return k == F.lit("VOID")
 
-def as_string(x: Column) -> Column:
-    return F.when(is_string(x), F.try_variant_get(x, "$", "string"))
 
+def k_number(k: Column) -> Column:
+    return k.isin(*_NUMBER_KINDS) | k.startswith("DECIMAL")
 
-def as_number(x: Column) -> Column:
+
+def as_string(x: Column, k: Column) -> Column:
+    return F.when(k_string(k), F.try_variant_get(x, "$", "string"))
+
+
+def as_number(x: Column, k: Column) -> Column:
     """Lax number: JSON number or numeric string → DECIMAL(38,10) (NULL otherwise)."""
-    return (F.when(is_number(x), F.try_variant_get(x, "$", "decimal(38,10)"))
-            .when(is_string(x), F.trim(F.try_variant_get(x, "$", "string")).try_cast("decimal(38,10)")))
+    return (F.when(k_number(k), F.try_variant_get(x, "$", "decimal(38,10)"))
+            .when(k_string(k), F.trim(F.try_variant_get(x, "$", "string")).try_cast("decimal(38,10)")))
 
 
-def as_double(x: Column) -> Column:
-    return (F.when(is_number(x), F.try_variant_get(x, "$", "double"))
-            .when(is_string(x), F.trim(F.try_variant_get(x, "$", "string")).try_cast("double")))
+def as_double(x: Column, k: Column) -> Column:
+    return (F.when(k_number(k), F.try_variant_get(x, "$", "double"))
+            .when(k_string(k), F.trim(F.try_variant_get(x, "$", "string")).try_cast("double")))
 
 
-def as_int(x: Column) -> Column:
+def as_int(x: Column, k: Column) -> Column:
     """Lax integer: integral number or integral numeric string (``2.0`` ok, ``2.5`` NULL)."""
-    n = as_number(x)
+    n = as_number(x, k)
     return F.when(n == F.floor(n), n.try_cast("int"))
 
 
-def as_timestamp(x: Column) -> Column:
+def as_timestamp(x: Column, k: Column) -> Column:
     """ISO date / datetime text (zoned text shifted to UTC) or epoch s/ms → naive UTC."""
     text = F.try_variant_get(x, "$", "string")
-    num = as_number(x)
-    epoch = F.when(F.abs(num) > EPOCH_MS_THRESHOLD, num / 1000).otherwise(num)
-    from_epoch = F.timestamp_micros((epoch * 1_000_000).try_cast("long"))
-    parsed = F.when(is_string(x), F.coalesce(F.try_to_timestamp(text), from_epoch)).when(is_number(x), from_epoch)
+    num = as_number(x, k)
+    scale = F.when(F.abs(num) > EPOCH_MS_THRESHOLD, F.lit(1000)).otherwise(F.lit(1_000_000))
+    from_epoch = F.timestamp_micros((num * scale).try_cast("long"))
+    parsed = (F.when(k_string(k), F.coalesce(F.try_to_timestamp(text), from_epoch))
+              .when(k_number(k), from_epoch))
     return parsed.cast("timestamp_ntz")
 
 
+def computed_once(df: DataFrame, keep: Sequence[str], outputs: Sequence[Column]) -> DataFrame:
+    """Final stage: ``keep`` columns plus ``outputs`` produced by a one-row generator.
+
+    A filter on a plain projection is pushed below it with every referenced alias inlined,
+    so ``filter(size(errors) == 0)`` would re-run the Variant parse and lookups dozens of
+    times per row.  Columns produced by a generator are opaque to that rewrite: the rules
+    run once per message and the validity filter stays above them.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*outputs))))
+
+
+def with_times(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Stage 3: each time field parsed once (``_ts_<name>``), shared by rule and record."""
+    return df.select("*", *[as_timestamp(f(n), t(n)).alias(f"_ts_{n}") for n in names])
+
+
 def positive(d: Column) -> Column:
     """``d > 0`` where NaN is not positive (Spark orders NaN above every number)."""
     return (d > 0) & ~F.isnan(d)
 
 
+# ---------------------------------------------------------------- rules
+
 def rule(cond: Column, label: str) -> Column:
     """``label`` when ``cond`` holds (a NULL condition counts as a violation)."""
     return F.when(F.coalesce(cond, F.lit(True)), F.lit(label))
 
 
-def errors(*rules: Column) -> Column:
-    return F.array_compact(F.array(*rules))
+SEP = "; "
+
+
+def label_list(*labels: Column) -> Column:
+    """Non-NULL labels as ``array<string>``.
+
+    Built with ``concat_ws`` (which skips NULLs) and ``split`` rather than filtering an
+    array with a lambda: higher-order functions are not code-generated and would take the
+    whole projection out of whole-stage codegen."""
+    text = F.concat_ws(SEP, *labels)
+    return F.when(text == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(text, SEP))
 
 
-def required_string(v: Column, name: str) -> Column:
-    return rule(~is_string(field(v, name)), f"{name}: string required")
+def required_string(name: str) -> Column:
+    return rule(~k_string(t(name)), f"{name}: string required")
 
 
-def optional_string(v: Column, name: str) -> Column:
-    x = field(v, name)
-    return rule(x.isNotNull() & ~is_null_json(x) & ~is_string(x), f"{name}: string or null expected")
+def optional_string(name: str) -> Column:
+    k = t(name)
+    return rule(k.isNotNull() & ~k_null(k) & ~k_string(k), f"{name}: string or null expected")
 
 
-def defaulted_string(v: Column, name: str) -> Column:
-    x = field(v, name)
-    return rule(x.isNotNull() & ~is_string(x), f"{name}: string expected")
+def defaulted_string(name: str) -> Column:
+    k = t(name)
+    return rule(k.isNotNull() & ~k_string(k), f"{name}: string expected")
 
 
-def time_rule(v: Column, name: str) -> Column:
-    x = field(v, name)
-    return rule(x.isNotNull() & as_timestamp(x).isNull(), f"{name}: datetime expected")
+def time_rule(name: str) -> Column:
+    """Needs the ``with_times`` stage."""
+    return rule(t(name).isNotNull() & F.col(f"_ts_{name}").isNull(), f"{name}: datetime expected")
 
 
-def message_rules(value: Column, v: Column) -> list[Column]:
+def message_rules(value: Column, v: Column, is_obj: Column) -> list[Column]:
     return [
         F.when(value.isNull(), F.lit("value: null")),
         F.when(value.isNotNull() & v.isNull(), F.lit("value: not JSON")),
-        F.when(v.isNotNull() & ~is_object(v), F.lit("value: not an object")),
+        F.when(v.isNotNull() & ~is_obj, F.lit("value: not an object")),
     ]
 
 
-def event_errors(value: Column, v: Column) -> Column:
-    et = field(v, "event_type")
-    md = field(v, "metadata")
-    per_field = [
-        defaulted_string(v, "event_id"),
-        rule(~(is_string(et) & as_string(et).isin(*EVENT_TYPES)), "event_type: not an accepted value"),
-        required_string(v, "user_id"),
-        required_string(v, "session_id"),
-        required_string(v, "page"),
-        optional_string(v, "referrer"),
-        rule(md.isNotNull() & ~is_object(md), "metadata: object expected"),
-        time_rule(v, "timestamp"),
-    ]
-    obj = v.isNotNull() & is_object(v)
-    return errors(*message_rules(value, v), *[F.when(obj, r) for r in per_field])
-
+def _checked(value: Column, v: Column, per_field: list[Column]) -> Column:
+    is_obj = looks_like_object(value)
+    ok_obj = v.isNotNull() & is_obj
+    return label_list(*message_rules(value, v, is_obj), *[F.when(ok_obj, r) for r in per_field])
 
-def order_item_errors(v: Column) -> Column:
-    """Errors from the ``items`` array: missing / not an array, or any element failing."""
-    x = field(v, "items")
-    elems = F.try_variant_get(x, "$", "array<variant>")
 
-    def element_errors(e: Column) -> Column:
-        obj = F.coalesce(is_object(e), F.lit(False))
-        q, p = field(e, "quantity"), field(e, "unit_price")
-        return F.array_compact(F.array(
-            F.when(~obj, F.lit("items: object expected")),
-            F.when(obj, rule(~is_string(field(e, "product_id")), "items.product_id: string required")),
-            F.when(obj, rule(~is_string(field(e, "product_name")), "items.product_name: string required")),
-            F.when(obj, rule(~(as_int(q) > 0), "items.quantity: integer > 0 required")),
-            F.when(obj, rule(~positive(as_double(p)), "items.unit_price: number > 0 required")),
-        ))
-
-    per_item = F.array_distinct(F.flatten(F.transform(elems, element_errors)))
-    return F.when(~F.coalesce(is_array(x), F.lit(False)), F.array(F.lit("items: array required"))) \
-        .otherwise(per_item)
+def event_errors(value: Column, v: Column) -> Column:
+    """Errors of an event message; needs the staged ``_f_`` / ``_t_`` columns of EVENT_FIELDS."""
+    return _checked(value, v, [
+        defaulted_string("event_id"),
+        rule(~(k_string(t("event_type")) & as_string(f("event_type"), t("event_type")).isin(*EVENT_TYPES)),
+             "event_type: not an accepted value"),
+        required_string("user_id"),
+        required_string("session_id"),
+        required_string("page"),
+        optional_string("referrer"),
+        rule(t("metadata").isNotNull() & ~k_object(t("metadata")), "metadata: object expected"),
+        time_rule("timestamp"),
+    ])
+
+
+def item_kinds(e: Column) -> Column:
+    """Per item element: struct of its fields and their kinds (each looked up once)."""
+    parts = [F.schema_of_variant(e).alias("k")]
+    for n in ITEM_FIELDS:
+        x = F.variant_get(e, f"$.{n}", "variant")
+        parts += [x.alias(n), F.schema_of_variant(x).alias(f"k_{n}")]
+    return F.struct(*parts)
+
+
+def item_errors(it: Column) -> Column:
+    """Errors of one element produced by ``item_kinds``."""
+    obj = F.coalesce(k_object(it["k"]), F.lit(False))
+    return F.array_compact(F.array(
+        F.when(~obj, F.lit("items: object expected")),
+        F.when(obj, rule(~k_string(it["k_product_id"]), "items.product_id: string required")),
+        F.when(obj, rule(~k_string(it["k_product_name"]), "items.product_name: string required")),
+        F.when(obj, rule(~(as_int(it["quantity"], it["k_quantity"]) > 0), "items.quantity: integer > 0 required")),
+        F.when(obj, rule(~positive(as_double(it["unit_price"], it["k_unit_price"])),
+                         "items.unit_price: number > 0 required")),
+    ))
+
+
+def typed_item(it: Column) -> Column:
+    return F.struct(
+        as_string(it["product_id"], it["k_product_id"]).alias("product_id"),
+        as_string(it["product_name"], it["k_product_name"]).alias("product_name"),
+        as_int(it["quantity"], it["k_quantity"]).alias("quantity"),
+        as_double(it["unit_price"], it["k_unit_price"]).alias("unit_price"),
+    )
+
+
+def with_items(df: DataFrame) -> DataFrame:
+    """Stage for orders: ``_items`` = array of ``item_kinds`` (NULL when not an array)."""
+    elems = F.try_variant_get(f("items"), "$", "array<variant>")
+    return df.select("*", F.transform(elems, item_kinds).alias("_items"))
 
 
 def order_errors(value: Column, v: Column) -> Column:
-    ta = field(v, "total_amount")
-    obj = v.isNotNull() & is_object(v)
-    per_field = [
-        defaulted_string(v, "order_id"),
-        required_string(v, "user_id"),
-        rule(~positive(as_double(ta)), "total_amount: number > 0 required"),
-        defaulted_string(v, "currency"),
-        defaulted_string(v, "status"),
-        optional_string(v, "shipping_address"),
-        time_rule(v, "created_at"),
-    ]
-    base = errors(*message_rules(value, v), *[F.when(obj, r) for r in per_field])
-    return F.when(obj, F.concat(base, order_item_errors(v))).otherwise(base)
+    """Errors of an order message; needs the staged columns of ORDER_FIELDS and ``_items``."""
+    items = F.col("_items")
+    item_errs = F.when(items.isNull(), F.array(F.lit("items: array required"))) \
+        .otherwise(F.array_distinct(F.flatten(F.transform(items, item_errors))))
+    base = _checked(value, v, [
+        defaulted_string("order_id"),
+        required_string("user_id"),
+        rule(~positive(as_double(f("total_amount"), t("total_amount"))), "total_amount: number > 0 required"),
+        defaulted_string("currency"),
+        defaulted_string("status"),
+        optional_string("shipping_address"),
+        time_rule("created_at"),
+    ])
+    return F.when(v.isNotNull() & looks_like_object(value), F.concat(base, item_errs)).otherwise(base)

@@ -78,7 +78,8 @@ QUERIES: dict[str, Query] = {
                                      .filter((F.size("errors") == 0) & (F.size("defaults") > 0))
                                      .select("topic", "partition", "offset", "event_id",
                                              F.array_join("defaults", ",").alias("defaults"))),
-    "to_topic_records": lambda s, d: to_topic_records(_bronze_events(s, d), fx.EVENTS_TOPIC, key="event_id"),
+    "to_topic_records": lambda s, d: to_topic_records(_bronze_events(s, d), fx.EVENTS_TOPIC, key="event_id",
+                                                        json_columns=("metadata",)),
     # refined events
     "dedup_latest_events": lambda s, d: silver.dedup_latest_events(_bronze_events(s, d)),
     "events_metadata_valid": lambda s, d: silver.events_metadata_valid(_bronze_events(s, d)),

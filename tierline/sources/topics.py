@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def to_topic_records(df: DataFrame, topic: str, key: str | None = None) -> DataFrame:
+def to_topic_records(df: DataFrame, topic: str, key: str | None = None,
+                     json_columns: tuple[str, ...] = ()) -> DataFrame:
     """``topic, key, value`` rows: each record serialised as one JSON object.
 
-    The frame is what a Kafka sink takes (``df.write.format("kafka")``, see
-    ``write_topic``); the broker assigns partition and offset."""
-    value = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    ``json_columns`` hold JSON text (a raw table's ``metadata`` or ``items``) and are embedded
+    as JSON values, not as quoted strings.  The frame is what a Kafka sink takes
+    (``df.write.format("kafka")``, see ``write_topic``); the broker assigns partition and
+    offset."""
+    fields = [F.try_parse_json(F.col(c)).alias(c) if c in json_columns else F.col(c) for c in df.columns]
+    value = F.to_json(F.struct(*fields))
     k = F.col(key).cast("string") if key else F.lit(None).cast("string")
     return df.select(F.lit(topic).alias("topic"), k.alias("key"), value.alias("value"))
 
