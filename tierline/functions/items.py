@@ -30,7 +30,10 @@ def to_int_lax(text: Column) -> Column:
 
 def parse_item(elem: Column) -> Column:
     """One element's text → struct(product_id, product_name, quantity INT, unit_price DECIMAL)."""
-    raw = F.from_json(elem, ITEM_TEXT_SCHEMA)
+    return _typed(F.from_json(elem, ITEM_TEXT_SCHEMA))
+
+
+def _typed(raw: Column) -> Column:
     return F.struct(
         raw["product_id"].alias("product_id"),
         raw["product_name"].alias("product_name"),
@@ -40,8 +43,27 @@ def parse_item(elem: Column) -> Column:
 
 
 def parsed_items(items: str | Column) -> Column:
-    """``array<struct<product_id, product_name, quantity, unit_price>>`` (NULL if not an array)."""
-    return F.transform(item_elements(items), parse_item)
+    """``array<struct<product_id, product_name, quantity, unit_price>>`` (NULL if not an array).
+
+    Fast path: one parse of the whole array into structs.  That parse wraps a bare object
+    into a one-element array and gives NULL for an array holding a non-object element, so it
+    is only taken for text that opens with ``[``; when it fails on such text, the elements
+    are parsed one by one (the slow path keeps every object element of a mixed array).
+    """
+    text = as_col(items)
+    is_array_text = F.regexp_like(text, F.lit(r"^[ \t\r\n]*\["))
+    fast = F.transform(F.from_json(text, f"array<{ITEM_TEXT_SCHEMA}>"), _typed)
+    slow = F.transform(item_elements(text), parse_item)
+    return F.when(is_array_text, F.coalesce(fast, slow))
+
+
+def raw_items(items: str | Column) -> Column:
+    """Like ``parsed_items`` but with the fields still as text (no per-element casts)."""
+    text = as_col(items)
+    is_array_text = F.regexp_like(text, F.lit(r"^[ \t\r\n]*\["))
+    fast = F.from_json(text, f"array<{ITEM_TEXT_SCHEMA}>")
+    slow = F.transform(item_elements(text), lambda e: F.from_json(e, ITEM_TEXT_SCHEMA))
+    return F.when(is_array_text, F.coalesce(fast, slow))
 
 
 def item_total(items: str | Column) -> Column:
@@ -49,15 +71,15 @@ def item_total(items: str | Column) -> Column:
 
     Equivalent to exploding the items and grouping by order id, without the explode or the
     shuffle: products with a NULL factor are skipped (as SUM skips NULLs) and an order with no
-    non-NULL product gets NULL (as a missing group would after a LEFT JOIN).
+    non-NULL product gets NULL (as a missing group would after a LEFT JOIN).  One fold over
+    the once-parsed array: the accumulator starts NULL and ``coalesce(acc + p, acc, p)``
+    skips NULL products.
     """
-    products = F.filter(
-        F.transform(parsed_items(items), lambda it: it["quantity"] * it["unit_price"]),
-        lambda p: p.isNotNull(),
-    )
-    total = F.aggregate(
-        products,
-        F.lit(0).cast(SUM_MONEY),
-        lambda acc, p: (acc + p).cast(SUM_MONEY),
+    def product(r: Column) -> Column:
+        return to_int_lax(r["quantity"]) * r["unit_price"].try_cast(MONEY)
+
+    return F.aggregate(
+        raw_items(items),
+        F.lit(None).cast(SUM_MONEY),
+        lambda acc, r: F.coalesce(acc + product(r), acc, product(r)).cast(SUM_MONEY),
     )
-    return F.when(F.size(products) > 0, total)

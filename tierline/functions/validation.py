@@ -222,7 +222,7 @@ def event_errors(value: Column, v: Column) -> Column:
 
 
 def item_kinds(e: Column) -> Column:
-    """Per item element: struct of its fields and their kinds (each looked up once)."""
+    """Per item element: its fields and their kinds (each looked up once)."""
     parts = [F.schema_of_variant(e).alias("k")]
     for n in ITEM_FIELDS:
         x = F.variant_get(e, f"$.{n}", "variant")
@@ -230,40 +230,55 @@ def item_kinds(e: Column) -> Column:
     return F.struct(*parts)
 
 
-def item_errors(it: Column) -> Column:
-    """Errors of one element produced by ``item_kinds``."""
+def typed_item_checked(it: Column) -> Column:
+    """From ``item_kinds``: the typed item and one flag per rule, each computed once."""
     obj = F.coalesce(k_object(it["k"]), F.lit(False))
-    return F.array_compact(F.array(
-        F.when(~obj, F.lit("items: object expected")),
-        F.when(obj, rule(~k_string(it["k_product_id"]), "items.product_id: string required")),
-        F.when(obj, rule(~k_string(it["k_product_name"]), "items.product_name: string required")),
-        F.when(obj, rule(~(as_int(it["quantity"], it["k_quantity"]) > 0), "items.quantity: integer > 0 required")),
-        F.when(obj, rule(~positive(as_double(it["unit_price"], it["k_unit_price"])),
-                         "items.unit_price: number > 0 required")),
-    ))
+    qty = as_int(it["quantity"], it["k_quantity"])
+    price = as_double(it["unit_price"], it["k_unit_price"])
+    return F.struct(
+        F.struct(as_string(it["product_id"], it["k_product_id"]).alias("product_id"),
+                 as_string(it["product_name"], it["k_product_name"]).alias("product_name"),
+                 qty.alias("quantity"),
+                 price.alias("unit_price")).alias("typed"),
+        obj.alias("obj"),
+        F.coalesce(k_string(it["k_product_id"]), F.lit(False)).alias("pid_ok"),
+        F.coalesce(k_string(it["k_product_name"]), F.lit(False)).alias("name_ok"),
+        F.coalesce(qty > 0, F.lit(False)).alias("qty_ok"),
+        F.coalesce(positive(price), F.lit(False)).alias("price_ok"),
+    )
+
+
+ITEM_RULES = (
+    ("items: object expected", lambda it: ~it["obj"]),
+    ("items.product_id: string required", lambda it: it["obj"] & ~it["pid_ok"]),
+    ("items.product_name: string required", lambda it: it["obj"] & ~it["name_ok"]),
+    ("items.quantity: integer > 0 required", lambda it: it["obj"] & ~it["qty_ok"]),
+    ("items.unit_price: number > 0 required", lambda it: it["obj"] & ~it["price_ok"]),
+)
+
+
+def item_errors(items: Column) -> list[Column]:
+    """One label per item rule that any element of ``items`` breaks (a boolean ``exists``
+    per rule over the precomputed flags)."""
+    return [F.when(F.exists(items, pred), F.lit(label)) for label, pred in ITEM_RULES]
 
 
 def typed_item(it: Column) -> Column:
-    return F.struct(
-        as_string(it["product_id"], it["k_product_id"]).alias("product_id"),
-        as_string(it["product_name"], it["k_product_name"]).alias("product_name"),
-        as_int(it["quantity"], it["k_quantity"]).alias("quantity"),
-        as_double(it["unit_price"], it["k_unit_price"]).alias("unit_price"),
-    )
+    return it["typed"]
 
 
 def with_items(df: DataFrame) -> DataFrame:
-    """Stage for orders: ``_items`` = array of ``item_kinds`` (NULL when not an array)."""
+    """Stage for orders: ``_items`` = per element the typed item and its rule flags (NULL
+    when ``items`` is not an array).  Two passes: look fields up, then type and check them."""
     elems = F.try_variant_get(f("items"), "$", "array<variant>")
-    return df.select("*", F.transform(elems, item_kinds).alias("_items"))
+    return df.select("*", F.transform(F.transform(elems, item_kinds), typed_item_checked).alias("_items"))
 
 
 def order_errors(value: Column, v: Column) -> Column:
     """Errors of an order message; needs the staged columns of ORDER_FIELDS and ``_items``."""
     items = F.col("_items")
-    item_errs = F.when(items.isNull(), F.array(F.lit("items: array required"))) \
-        .otherwise(F.array_distinct(F.flatten(F.transform(items, item_errors))))
-    base = _checked(value, v, [
+    item_rules = [F.when(items.isNull(), F.lit("items: array required"))] + item_errors(items)
+    return _checked(value, v, [
         defaulted_string("order_id"),
         required_string("user_id"),
         rule(~positive(as_double(f("total_amount"), t("total_amount"))), "total_amount: number > 0 required"),
@@ -271,5 +286,5 @@ def order_errors(value: Column, v: Column) -> Column:
         defaulted_string("status"),
         optional_string("shipping_address"),
         time_rule("created_at"),
+        *item_rules,
     ])
-    return F.when(v.isNotNull() & looks_like_object(value), F.concat(base, item_errs)).otherwise(base)

@@ -171,6 +171,13 @@ def _iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
+def _as_served(spark: SparkSession, records: DataFrame) -> DataFrame:
+    """Lay topic records out the way a multi-partition topic is read: spread over the
+    cluster's tasks by (partition, offset), not held in the one task that built them from a
+    single-file table."""
+    return records.repartition(spark.sparkContext.defaultParallelism, "partition", "offset")
+
+
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events as topic records (``topic, partition, offset, timestamp, value``).
 
@@ -184,13 +191,13 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
     value = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), F.lit(',"metadata":'),
                      F.col("metadata"), F.lit("}"))
-    return ev.withColumn("_head", head).select(
+    return _as_served(spark, ev.withColumn("_head", head).select(
         F.lit(EVENTS_TOPIC).alias("topic"),
         (F.col("_k") % TOPIC_PARTITIONS).cast("int").alias("partition"),
         (F.col("_k") * 8 + F.col("_copy")).alias("offset"),
         F.col("timestamp").cast("timestamp").alias("timestamp"),
         value.alias("value"),
-    )
+    ))
 
 
 def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,13 +209,13 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_id", "user_id", F.col("_items").alias("items"), total.alias("total_amount"), "currency", "status",
         "shipping_address", _iso(F.col("created_at")).alias("created_at"),
     ))
-    return od.select(
+    return _as_served(spark, od.select(
         F.lit(ORDERS_TOPIC).alias("topic"),
         (F.col("_k") % TOPIC_PARTITIONS).cast("int").alias("partition"),
         (F.col("_k") * 2 + F.col("_copy")).alias("offset"),
         F.col("created_at").cast("timestamp").alias("timestamp"),
         value.alias("value"),
-    )
+    ))
 
 
 def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
