@@ -153,13 +153,14 @@ def report_anomaly(daily_kpis: DataFrame, metric: str = "dau", lookback_days: in
     """Per date since ``as_of - lookback_days``: the metric, its z-score against the mean and
     sample standard deviation of the whole window (3 places) and ``|z| > 2`` as anomaly.
 
-    The two statistics are scalar subqueries over the (one row per date) daily series, so
-    no join is planned at all.
+    Both statistics come from one scalar subquery over the (one row per date) daily series,
+    so no join is planned at all; the series' exchange is reused by the subquery.
     """
     as_of = as_of or datetime.utcnow()
     daily = daily_metric(daily_kpis, metric, lookback_days, as_of)
-    mean = daily.select(F.avg("value")).scalar()
-    std = daily.select(F.coalesce(F.stddev_samp("value"), F.lit(0.0))).scalar()
+    stats = daily.select(F.struct(F.avg("value").alias("mean"),
+                                  F.coalesce(F.stddev_samp("value"), F.lit(0.0)).alias("std"))).scalar()
+    mean, std = stats["mean"], stats["std"]
     z = (F.col("value") - mean) / std
     return daily.select(
         F.lit(metric).alias("metric"),
