@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.operators import envelopes, gold, quality, reports, silver
+from tierline.operators import envelopes, gold, quality, reports, silver, sql_reports
 from tierline.sources import fixtures as fx
 from tierline.sources.topics import to_topic_records
 from tierline.streaming import ingest
@@ -61,6 +61,14 @@ def _errors_text(df: DataFrame) -> DataFrame:
     return df.select("topic", "partition", "offset", F.array_join("errors", "; ").alias("errors"))
 
 
+def _views(s, d):
+    """Register the report views over frames derived from the driver tables."""
+    clean, orders = _clean(s, d), _orders(s, d)
+    sql_reports.register_views(s, clean_events=clean, validate_orders=orders, bronze_orders=_bronze_orders(s, d),
+                               daily_kpis=gold.daily_kpis(clean), customer_360=gold.customer_360(clean, orders, AS_OF))
+    return s
+
+
 def _anomaly(metric):
     return lambda s, d: reports.report_anomaly(_kpis(s, d), metric, LOOKBACK_DAYS, AS_OF)
 
@@ -114,6 +122,14 @@ QUERIES: dict[str, Query] = {
     "report_anomaly_conversion": _anomaly("conversion"),
     "report_anomaly_events": _anomaly("events"),
     "report_anomaly_column": _anomaly(COLUMN_METRIC),
+    # the same reports as SQL text over registered views, parameters bound by markers
+    "report_dau_sql": lambda s, d: sql_reports.report(_views(s, d), "dau", date_from=RANGE_FROM, date_to=RANGE_TO),
+    "report_top_products_sql": lambda s, d: sql_reports.report(_views(s, d), "top_products", n=TOP_N),
+    "report_user_segments_sql": lambda s, d: sql_reports.report(_views(s, d), "segments"),
+    "report_funnel_sql": lambda s, d: sql_reports.report(_views(s, d), "funnel", date_from=RANGE_FROM,
+                                                         date_to=RANGE_TO),
+    "report_anomaly_events_sql": lambda s, d: sql_reports.report(_views(s, d), "anomaly", metric="events",
+                                                                 lookback_days=LOOKBACK_DAYS, as_of=AS_OF),
     # envelopes
     "envelope_dau": lambda s, d: envelopes.envelope_dau(
         reports.report_dau(_kpis(s, d), RANGE_FROM, RANGE_TO), RANGE_FROM, RANGE_TO),
