@@ -29,22 +29,25 @@ class RefreshResult:
 
 def run_refresh(spark: SparkSession, store: TierStore, as_of: datetime | str,
                 topic_path: str | None = None, checkpoint: str | None = None,
-                steps=STEPS, gate: bool = True) -> RefreshResult:
+                steps=STEPS, gate: bool = True, bootstrap_servers: str | None = None) -> RefreshResult:
     """Run the selected steps in dependency order and return the check results.
 
-    ``ingest`` drains the topic source once (``availableNow``) into the raw tables;
+    ``ingest`` drains the topic source once (``availableNow``) into the raw tables: Kafka when
+    ``bootstrap_servers`` is given, else JSON-lines topic files under ``topic_path``;
     ``checkpoint`` must be a shared folder on a cluster (by default under
     ``spark.checkpoint.dir``).
     """
     result = RefreshResult()
     store.bootstrap(spark)
 
-    if "ingest" in steps and topic_path:
+    if "ingest" in steps and (topic_path or bootstrap_servers):
         ckpt = checkpoint or _default_checkpoint(spark, "ingest")
         paths = {"bronze_events": store.path("bronze", "events"),
                  "bronze_orders": store.path("bronze", "orders"),
                  "dead_letter": store.path("bronze", "dead_letter")}
-        q = ingest.start_ingest(ingest.read_topics(spark, "files", topic_path), paths, ckpt, available_now=True)
+        source = ingest.read_topics(spark, "kafka", bootstrap_servers=bootstrap_servers) if bootstrap_servers \
+            else ingest.read_topics(spark, "files", topic_path)
+        q = ingest.start_ingest(source, paths, ckpt, available_now=True)
         q.awaitTermination()
         result.written += ["bronze.events", "bronze.orders", "bronze.dead_letter"]
 

@@ -64,6 +64,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    master = spark.sparkContext.master or ""
+    if not master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster; "
+                         "a machine-local folder does not survive a lost executor")
     local = tempfile.mkdtemp(prefix="tierline-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
