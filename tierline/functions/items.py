@@ -42,8 +42,9 @@ def _typed(raw: Column) -> Column:
     )
 
 
-def parsed_items(items: str | Column) -> Column:
-    """``array<struct<product_id, product_name, quantity, unit_price>>`` (NULL if not an array).
+def raw_items(items: str | Column) -> Column:
+    """``array<struct<product_id, product_name, quantity, unit_price>>`` with text fields;
+    NULL when ``items`` is not a JSON array.
 
     Fast path: one parse of the whole array into structs.  That parse wraps a bare object
     into a one-element array and gives NULL for an array holding a non-object element, so it
@@ -52,15 +53,6 @@ def parsed_items(items: str | Column) -> Column:
     """
     text = as_col(items)
     is_array_text = F.regexp_like(text, F.lit(r"^[ \t\r\n]*\["))
-    fast = F.transform(F.from_json(text, f"array<{ITEM_TEXT_SCHEMA}>"), _typed)
-    slow = F.transform(item_elements(text), parse_item)
-    return F.when(is_array_text, F.coalesce(fast, slow))
-
-
-def raw_items(items: str | Column) -> Column:
-    """Like ``parsed_items`` but with the fields still as text (no per-element casts)."""
-    text = as_col(items)
-    is_array_text = F.regexp_like(text, F.lit(r"^[ \t\r\n]*\["))
     fast = F.from_json(text, f"array<{ITEM_TEXT_SCHEMA}>")
     slow = F.transform(item_elements(text), lambda e: F.from_json(e, ITEM_TEXT_SCHEMA))
     return F.when(is_array_text, F.coalesce(fast, slow))

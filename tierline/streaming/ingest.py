@@ -140,13 +140,20 @@ def ingest_batch(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 # ---------------------------------------------------------------- streaming
 
+# Upper bound on messages per micro-batch: each batch is persisted once while it is split
+# into good rows and dead letters, so its size must not grow with the backlog.
+MAX_OFFSETS_PER_TRIGGER = 20_000_000
+
+
 def read_topics(spark: SparkSession, source: str = "files", path: str | None = None,
                 bootstrap_servers: str | None = None, topics=(EVENTS_TOPIC, ORDERS_TOPIC),
-                max_files_per_trigger: int | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = None,
+                max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
     """Streaming topic records.
 
     ``source="kafka"`` subscribes to the topics from the earliest offset (needs the Kafka
-    connector on the classpath); ``source="files"`` reads JSON-lines files with the same
+    connector on the classpath) with at most ``max_offsets_per_trigger`` messages per batch;
+    ``source="files"`` reads JSON-lines files with the same
     ``topic, partition, offset, timestamp, value`` columns, for offline runs and tests.
     """
     if source == "kafka":
@@ -154,6 +161,8 @@ def read_topics(spark: SparkSession, source: str = "files", path: str | None = N
                 .option("kafka.bootstrap.servers", bootstrap_servers)
                 .option("subscribe", ",".join(topics))
                 .option("startingOffsets", "earliest")
+                .option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+                .option("failOnDataLoss", "true")
                 .load()
                 .select("topic", "partition", "offset", "timestamp", F.col("value").cast("string").alias("value")))
     reader = spark.readStream.schema(TOPIC_SCHEMA)
