@@ -116,9 +116,11 @@ def _user_rollup(clean_events: DataFrame, validated_orders: DataFrame) -> DataFr
 
 
 def _most_common(types=EVENT_TYPES) -> Column:
-    ranked = F.array(*[F.struct((-F.col(f"_c_{t}")).alias("neg"), F.lit(t).alias("t")) for t in types])
-    best = F.element_at(F.array_sort(F.filter(ranked, lambda s: s["neg"] < 0)), 1)
-    return best["t"]
+    """Type with the highest count; ties go to the alphabetically first type.  ``greatest``
+    over (count, reverse-alphabetical rank, type) structs: native and code-generated."""
+    alpha = sorted(types)
+    return F.greatest(*[F.struct(F.col(f"_c_{t}").alias("n"), F.lit(len(alpha) - alpha.index(t)).alias("r"),
+                                 F.lit(t).alias("t")) for t in types])["t"]
 
 
 def customer_360(clean_events: DataFrame, validated_orders: DataFrame, as_of: AsOf) -> DataFrame:

@@ -117,7 +117,7 @@ def order_item_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return lines.groupBy("l_orderkey").agg(
         F.transform(
-            F.array_sort(F.collect_list("line")),
+            F.sort_array(F.collect_list("line")),
             lambda s: F.struct(s["product_id"].alias("product_id"), s["product_name"].alias("product_name"),
                                s["quantity"].alias("quantity"), s["unit_price"].alias("unit_price")),
         ).alias("_items"),
