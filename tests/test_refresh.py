@@ -39,6 +39,13 @@ def test_refresh_end_to_end_is_repeatable(spark, tmp_dir):
     assert raw + dead == n and dead > 0
     assert {r.source_name: r.status for r in res.freshness.collect()} == {"bronze.events": "warn",
                                                                          "bronze.orders": "warn"}
+    # freshness from the per-batch statistics equals a scan of the raw tables
+    from tierline.operators import quality
+    scanned = quality.source_freshness(store.read(spark, "bronze", "events"), store.read(spark, "bronze", "orders"),
+                                       fx.FIXTURE_AS_OF)
+    assert sorted(map(tuple, res.freshness.collect())) == sorted(map(tuple, scanned.collect()))
+    stats = store.read(spark, "bronze", "ingest_stats").groupBy().sum("rows", "dead_letters").collect()[0]
+    assert stats[0] == raw and stats[1] == dead
     assert all(r.violations == 0 for r in res.quality.collect())
     first = _snapshot(spark, store)
     assert first["gold.customer_360"] and first["gold.daily_kpis"]

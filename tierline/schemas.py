@@ -36,7 +36,11 @@ CUSTOMER_360 = _struct(("user_id", S), ("first_seen", TS), ("last_seen", TS),
                        ("valid_orders", T.LongType()), ("total_spend", T.DecimalType(38, 2)),
                        ("avg_order_value", D), ("most_common_event_type", S), ("total_events", T.LongType()))
 
+INGEST_STATS = _struct(("source_name", S), ("rows", T.LongType()), ("dead_letters", T.LongType()),
+                      ("latest_at", TS))
+
 TABLES = {
+    ("bronze", "ingest_stats"): INGEST_STATS,
     ("bronze", "events"): BRONZE_EVENTS,
     ("bronze", "orders"): BRONZE_ORDERS,
     ("bronze", "dead_letter"): DEAD_LETTER,

@@ -21,6 +21,7 @@ PARTITIONING = {
     ("bronze", "events"): ("batch_id",),
     ("bronze", "orders"): ("batch_id",),
     ("bronze", "dead_letter"): ("batch_id",),
+    ("bronze", "ingest_stats"): ("batch_id",),
     ("gold", "daily_kpis"): ("event_date",),
 }
 

@@ -171,6 +171,19 @@ def read_topics(spark: SparkSession, source: str = "files", path: str | None = N
     return reader.json(path)
 
 
+def batch_stats(validated_events: DataFrame, validated_orders: DataFrame) -> DataFrame:
+    """Per raw table, for one micro-batch: rows landed, rows dead-lettered and the newest
+    record time.  Read by the freshness check instead of scanning the whole raw table."""
+    def one(df: DataFrame, source: str, ts: str) -> DataFrame:
+        good = F.size("errors") == 0
+        return df.agg(F.lit(source).alias("source_name"),
+                      F.count_if(good).alias("rows"),
+                      F.count_if(~good).alias("dead_letters"),
+                      F.max(F.when(good, F.col(ts))).alias("latest_at"))
+    return one(validated_events, "bronze.events", "timestamp").unionByName(
+        one(validated_orders, "bronze.orders", "created_at"))
+
+
 def write_batch(messages: DataFrame, batch_id: int, paths: dict[str, str]) -> None:
     """Write one micro-batch idempotently: each output replaces its ``batch_id`` partition.
 
@@ -186,8 +199,10 @@ def write_batch(messages: DataFrame, batch_id: int, paths: dict[str, str]) -> No
         dead = (ev.filter(F.size("errors") > 0).select(*cols)
                 .unionByName(od.filter(F.size("errors") > 0).select(*cols))
                 .unionByName(unrouted(decoded)))
-        for df, key in ((good_events(ev), "bronze_events"), (good_orders(od), "bronze_orders"),
-                        (dead, "dead_letter")):
+        outputs = [(good_events(ev), "bronze_events"), (good_orders(od), "bronze_orders"), (dead, "dead_letter")]
+        if "ingest_stats" in paths:
+            outputs.append((batch_stats(ev, od), "ingest_stats"))
+        for df, key in outputs:
             (df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
              .write.mode("overwrite").partitionBy("batch_id").option("partitionOverwriteMode", "dynamic")
              .parquet(paths[key]))
@@ -198,8 +213,9 @@ def write_batch(messages: DataFrame, batch_id: int, paths: dict[str, str]) -> No
 
 def start_ingest(stream: DataFrame, paths: dict[str, str], checkpoint: str,
                  available_now: bool = False, interval: str = "1 second"):
-    """Start the ingest query.  ``paths`` has ``bronze_events``, ``bronze_orders`` and
-    ``dead_letter``; ``checkpoint`` must be a shared, durable folder on a cluster."""
+    """Start the ingest query.  ``paths`` has ``bronze_events``, ``bronze_orders``,
+    ``dead_letter`` and optionally ``ingest_stats``; ``checkpoint`` must be a shared, durable
+    folder on a cluster."""
     writer = (stream.writeStream
               .foreachBatch(lambda df, bid: write_batch(df, bid, paths))
               .option("checkpointLocation", checkpoint))
