@@ -16,14 +16,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierline.sources.topics import EVENTS_TOPIC, ORDERS_TOPIC
+
 # Fixed values chosen for the fixtures (not taken from anywhere): pages by event id mod 5,
 # the referrer used on every third event, and the reference instant of a fixture run.
 PAGES = ("/home", "/products", "/product/detail", "/cart", "/checkout")
 REFERRER = "https://search.example/"
 FIXTURE_AS_OF = "2024-01-31"
 BURST_DATE = "2024-01-15"
-EVENTS_TOPIC = "raw.events"
-ORDERS_TOPIC = "raw.orders"
 TOPIC_PARTITIONS = 4
 ZERO_TOTAL_REMAINDER = 17  # order messages with key % 101 == 17 carry total_amount 0
 

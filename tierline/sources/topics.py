@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Topic names of the two record streams.
+EVENTS_TOPIC = "raw.events"
+ORDERS_TOPIC = "raw.orders"
+
 
 def to_topic_records(df: DataFrame, topic: str, key: str | None = None,
                      json_columns: tuple[str, ...] = ()) -> DataFrame:

@@ -9,8 +9,8 @@ Variant parse per message), split by topic, validated by column rules, and writt
 Writes are keyed by the micro-batch id (``batch_id`` partition, dynamic overwrite), so a
 batch replayed after a failure replaces its own output instead of appending twice; with the
 checkpoint this makes the raw tables effectively exactly-once although delivery is
-at-least-once.  The batch functions (``decode_events`` …) are the same ones the stream uses,
-so they are tested and registered as ordinary batch queries too.
+at-least-once.  The batch functions (``decode``, ``validate_events``, ``dead_letters`` …) are
+the same ones the stream uses, so they are tested and registered as ordinary batch queries too.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions import validation as V
-from tierline.sources.fixtures import EVENTS_TOPIC, ORDERS_TOPIC
+from tierline.sources.topics import EVENTS_TOPIC, ORDERS_TOPIC
 
 # The columns a topic source delivers (a Kafka source has them; a file source is given them).
 TOPIC_SCHEMA = T.StructType([
@@ -187,10 +187,12 @@ def batch_stats(validated_events: DataFrame, validated_orders: DataFrame) -> Dat
 def write_batch(messages: DataFrame, batch_id: int, paths: dict[str, str]) -> None:
     """Write one micro-batch idempotently: each output replaces its ``batch_id`` partition.
 
-    The batch is validated once and the two validated frames are persisted (a micro-batch is
-    bounded by the trigger), so splitting good rows from dead letters reads the cached result
-    instead of re-running the rules, which a filter pushed through the projections would do.
+    The batch is read from the source once and validated once: the incoming records and the
+    two validated frames are persisted (a micro-batch is bounded by the trigger), so the good
+    rows, the dead letters and the statistics all read cached results instead of fetching the
+    batch again or re-running the rules.
     """
+    messages = messages.persist()
     decoded = decode(messages)
     ev = validate_events(decoded).persist()
     od = validate_orders_raw(decoded).persist()
@@ -209,6 +211,7 @@ def write_batch(messages: DataFrame, batch_id: int, paths: dict[str, str]) -> No
     finally:
         ev.unpersist()
         od.unpersist()
+        messages.unpersist()
 
 
 def start_ingest(stream: DataFrame, paths: dict[str, str], checkpoint: str,
