@@ -117,7 +117,7 @@ def order_item_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return lines.groupBy("l_orderkey").agg(
         F.transform(
-            F.sort_array(F.collect_list("line")),
+            F.array_sort(F.collect_list("line")),
             lambda s: F.struct(s["product_id"].alias("product_id"), s["product_name"].alias("product_name"),
                                s["quantity"].alias("quantity"), s["unit_price"].alias("unit_price")),
         ).alias("_items"),
@@ -174,8 +174,13 @@ def _iso(ts: Column) -> Column:
 def _as_served(spark: SparkSession, records: DataFrame) -> DataFrame:
     """Lay topic records out the way a multi-partition topic is read: spread over the
     cluster's tasks by (partition, offset), not held in the one task that built them from a
-    single-file table."""
-    return records.repartition(spark.sparkContext.defaultParallelism, "partition", "offset")
+    single-file table.  One partition per task slot: the validation that follows is CPU-bound,
+    so size-based coalescing would leave cores idle."""
+    try:
+        slots = spark.sparkContext.defaultParallelism
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return records.repartition(slots, "partition", "offset")
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
