@@ -3,11 +3,10 @@ from decimal import Decimal
 
 import pytest
 from helpers import bronze_events, bronze_orders, ev, item, items, od
-from pyspark.sql import types as T
 
 from conftest import AS_OF
 from tierline import schemas
-from tierline.operators import envelopes, gold, reports, silver
+from tierline.operators import envelopes, reports, silver
 
 
 def kpis(spark, rows):
