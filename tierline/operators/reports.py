@@ -58,7 +58,7 @@ def report_dau(daily_kpis: DataFrame, date_from, date_to) -> DataFrame:
             .agg(F.sum("daily_active_users").cast("long").alias("active_users"),
                  F.sum("total_events").cast("long").alias("total_events"),
                  exact_mean("conversion_rate").alias("avg_conversion_rate"))
-            .orderBy("event_date"))
+            .orderBy(F.col("event_date").asc_nulls_last()))
 
 
 # ---------------------------------------------------------------- R2
@@ -106,7 +106,7 @@ def report_user_segments(customer_360: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("user_count"),
                  round_half_up(exact_mean("_spend", MONEY_SUM), 2).alias("avg_spend"),
                  round_half_up(exact_mean("_days", "long"), 0).cast("int").alias("avg_recency_days"))
-            .orderBy("segment_name"))
+            .orderBy(F.col("segment_name").asc_nulls_last()))
 
 
 # ---------------------------------------------------------------- R4
@@ -122,7 +122,7 @@ def report_funnel(clean_events: DataFrame, date_from, date_to) -> DataFrame:
                     & F.col("event_type").isin(*FUNNEL_STEPS))
             .groupBy(F.col("event_type").alias("step_name"))
             .agg(F.count_distinct("user_id").alias("users"), F.count(F.lit(1)).alias("count"))
-            .orderBy(step_order))
+            .orderBy(step_order.asc_nulls_last()))
 
 
 # ---------------------------------------------------------------- R5
@@ -167,5 +167,5 @@ def report_anomaly(daily_kpis: DataFrame, metric: str = "dau", lookback_days: in
         "value",
         F.when(std > 0, round_half_up(z, 3)).otherwise(F.lit(0.0)).alias("z_score"),
         F.when((std > 0) & (F.abs(z) > ANOMALY_Z), F.lit(True)).otherwise(F.lit(False)).alias("is_anomaly"),
-    ).orderBy("date")
+    ).orderBy(F.col("date").asc_nulls_last())
 

@@ -55,7 +55,7 @@ SQL = {
         FROM daily_kpis
         WHERE event_date BETWEEN :date_from AND :date_to
         GROUP BY event_date
-        ORDER BY event_date""",
+        ORDER BY event_date NULLS LAST""",
     "top_products": """
         SELECT it.product_id, it.product_name,
                CAST(SUM(CAST(ROUND(TRY_CAST(it.quantity AS DECIMAL(38,6)), 0) AS INT)
@@ -80,7 +80,7 @@ SQL = {
                      COALESCE(days_since_last_activity, {MISSING_RECENCY_DAYS}) AS days
               FROM customer_360)
         GROUP BY segment_name
-        ORDER BY segment_name""",
+        ORDER BY segment_name NULLS LAST""",
     "funnel": f"""
         SELECT event_type AS step_name, COUNT(DISTINCT user_id) AS users, COUNT(*) AS count
         FROM clean_events
@@ -109,7 +109,7 @@ def anomaly_sql(metric: str) -> str:
                      (SELECT AVG(value) FROM daily) AS mean,
                      (SELECT COALESCE(STDDEV_SAMP(value), 0.0) FROM daily) AS std
               FROM daily)
-        ORDER BY date"""
+        ORDER BY date NULLS LAST"""
 
 
 def register_views(spark: SparkSession, **frames: DataFrame) -> None:
