@@ -230,54 +230,67 @@ def item_kinds(e: Column) -> Column:
     return F.struct(*parts)
 
 
-def typed_item_checked(it: Column) -> Column:
-    """From ``item_kinds``: the typed item and one flag per rule, each computed once."""
+ITEM_RULES = (
+    ("bad_object", "items: object expected"),
+    ("bad_product_id", "items.product_id: string required"),
+    ("bad_product_name", "items.product_name: string required"),
+    ("bad_quantity", "items.quantity: integer > 0 required"),
+    ("bad_unit_price", "items.unit_price: number > 0 required"),
+)
+
+
+def _item_breaks(it: Column) -> dict[str, Column]:
+    """Which item rules one element (from ``item_kinds``) breaks."""
     obj = F.coalesce(k_object(it["k"]), F.lit(False))
-    qty = as_int(it["quantity"], it["k_quantity"])
-    price = as_double(it["unit_price"], it["k_unit_price"])
-    return F.struct(
-        F.struct(as_string(it["product_id"], it["k_product_id"]).alias("product_id"),
-                 as_string(it["product_name"], it["k_product_name"]).alias("product_name"),
-                 qty.alias("quantity"),
-                 price.alias("unit_price")).alias("typed"),
-        obj.alias("obj"),
-        F.coalesce(k_string(it["k_product_id"]), F.lit(False)).alias("pid_ok"),
-        F.coalesce(k_string(it["k_product_name"]), F.lit(False)).alias("name_ok"),
-        F.coalesce(qty > 0, F.lit(False)).alias("qty_ok"),
-        F.coalesce(positive(price), F.lit(False)).alias("price_ok"),
-    )
+    return {
+        "bad_object": ~obj,
+        "bad_product_id": obj & ~F.coalesce(k_string(it["k_product_id"]), F.lit(False)),
+        "bad_product_name": obj & ~F.coalesce(k_string(it["k_product_name"]), F.lit(False)),
+        "bad_quantity": obj & ~F.coalesce(as_int(it["quantity"], it["k_quantity"]) > 0, F.lit(False)),
+        "bad_unit_price": obj & ~F.coalesce(positive(as_double(it["unit_price"], it["k_unit_price"])),
+                                            F.lit(False)),
+    }
 
 
-ITEM_RULES = (
-    ("items: object expected", lambda it: ~it["obj"]),
-    ("items.product_id: string required", lambda it: it["obj"] & ~it["pid_ok"]),
-    ("items.product_name: string required", lambda it: it["obj"] & ~it["name_ok"]),
-    ("items.quantity: integer > 0 required", lambda it: it["obj"] & ~it["qty_ok"]),
-    ("items.unit_price: number > 0 required", lambda it: it["obj"] & ~it["price_ok"]),
-)
+def item_flags(items: Column) -> Column:
+    """One fold over the items: a struct with one flag per item rule (any element breaks it)."""
+    zero = F.struct(*[F.lit(False).alias(name) for name, _ in ITEM_RULES])
+
+    def merge(acc: Column, it: Column) -> Column:
+        breaks = _item_breaks(it)
+        return F.struct(*[(acc[name] | breaks[name]).alias(name) for name, _ in ITEM_RULES])
 
+    return F.aggregate(items, zero, merge)
 
-def item_errors(items: Column) -> list[Column]:
-    """One label per item rule that any element of ``items`` breaks (a boolean ``exists``
-    per rule over the precomputed flags)."""
-    return [F.when(F.exists(items, pred), F.lit(label)) for label, pred in ITEM_RULES]
+
+def item_errors(flags: Column) -> list[Column]:
+    """Labels of the item rules flagged by ``item_flags``."""
+    return [F.when(flags[name], F.lit(label)) for name, label in ITEM_RULES]
 
 
 def typed_item(it: Column) -> Column:
-    return it["typed"]
+    """The element as the four typed item fields, in field order."""
+    return F.struct(
+        as_string(it["product_id"], it["k_product_id"]).alias("product_id"),
+        as_string(it["product_name"], it["k_product_name"]).alias("product_name"),
+        as_int(it["quantity"], it["k_quantity"]).alias("quantity"),
+        as_double(it["unit_price"], it["k_unit_price"]).alias("unit_price"),
+    )
 
 
 def with_items(df: DataFrame) -> DataFrame:
-    """Stage for orders: ``_items`` = per element the typed item and its rule flags (NULL
-    when ``items`` is not an array).  Two passes: look fields up, then type and check them."""
+    """Stages for orders: ``_items`` = each element's fields and kinds, looked up once (NULL
+    when ``items`` is not an array); then ``_item_flags`` = the rule flags in one fold.  Three
+    passes over an order's items in all (look up, check, type), each in its own column."""
     elems = F.try_variant_get(f("items"), "$", "array<variant>")
-    return df.select("*", F.transform(F.transform(elems, item_kinds), typed_item_checked).alias("_items"))
+    looked_up = df.select("*", F.transform(elems, item_kinds).alias("_items"))
+    return looked_up.select("*", item_flags(F.col("_items")).alias("_item_flags"))
 
 
 def order_errors(value: Column, v: Column) -> Column:
-    """Errors of an order message; needs the staged columns of ORDER_FIELDS and ``_items``."""
+    """Errors of an order message; needs the staged columns of ORDER_FIELDS and ``with_items``."""
     items = F.col("_items")
-    item_rules = [F.when(items.isNull(), F.lit("items: array required"))] + item_errors(items)
+    item_rules = [F.when(items.isNull(), F.lit("items: array required"))] + item_errors(F.col("_item_flags"))
     return _checked(value, v, [
         defaulted_string("order_id"),
         required_string("user_id"),
