@@ -28,12 +28,8 @@ def to_int_lax(text: Column) -> Column:
     return F.round(text.try_cast("decimal(38,6)"), 0).try_cast("int")
 
 
-def parse_item(elem: Column) -> Column:
-    """One element's text → struct(product_id, product_name, quantity INT, unit_price DECIMAL)."""
-    return _typed(F.from_json(elem, ITEM_TEXT_SCHEMA))
-
-
-def _typed(raw: Column) -> Column:
+def typed_item_fields(raw: Column) -> Column:
+    """Text-field item struct → struct(product_id, product_name, quantity INT, unit_price DECIMAL)."""
     return F.struct(
         raw["product_id"].alias("product_id"),
         raw["product_name"].alias("product_name"),
@@ -63,15 +59,19 @@ def item_total(items: str | Column) -> Column:
 
     Equivalent to exploding the items and grouping by order id, without the explode or the
     shuffle: products with a NULL factor are skipped (as SUM skips NULLs) and an order with no
-    non-NULL product gets NULL (as a missing group would after a LEFT JOIN).  One fold over
-    the once-parsed array: the accumulator starts NULL and ``coalesce(acc + p, acc, p)``
-    skips NULL products.
+    non-NULL product gets NULL (as a missing group would after a LEFT JOIN).
     """
+    return total_of_raw(raw_items(items))
+
+
+def total_of_raw(raw: Column) -> Column:
+    """``item_total`` over an already parsed ``raw_items`` array: one fold, the accumulator
+    starts NULL and ``coalesce(acc + p, acc, p)`` skips NULL products."""
     def product(r: Column) -> Column:
         return to_int_lax(r["quantity"]) * r["unit_price"].try_cast(MONEY)
 
     return F.aggregate(
-        raw_items(items),
+        raw,
         F.lit(None).cast(SUM_MONEY),
         lambda acc, r: F.coalesce(acc + product(r), acc, product(r)).cast(SUM_MONEY),
     )

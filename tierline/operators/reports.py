@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import FAILED_STATUS, as_col, as_of_date, round_half_up
-from tierline.functions.items import item_elements, to_int_lax
+from tierline.functions.items import raw_items, to_int_lax
 from tierline.functions.segments import MISSING_RECENCY_DAYS, segment_label
 from tierline.operators.silver import dedup_latest_orders
 
@@ -75,9 +75,7 @@ def report_top_products(validated_orders: DataFrame, bronze_orders: DataFrame, n
     raw = dedup_latest_orders(bronze_orders) if dedupe_items else bronze_orders
     raw = raw.select("order_id", "items")
     items = (good.join(raw, "order_id", "inner")
-             .select("order_id", F.explode(item_elements("items")).alias("_it"))
-             .select("order_id", F.from_json("_it", "struct<product_id:string,product_name:string,"
-                                                   "quantity:string,unit_price:string>").alias("it")))
+             .select("order_id", F.explode(raw_items("items")).alias("it")))
     revenue = to_int_lax(F.col("it.quantity")) * F.col("it.unit_price").try_cast(PRICE)
     return (items
             .groupBy(F.col("it.product_id").alias("product_id"), F.col("it.product_name").alias("product_name"))

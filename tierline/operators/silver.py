@@ -14,7 +14,7 @@ from tierline.functions.columns import (
     as_of_ts,
     surrogate_key,
 )
-from tierline.functions.items import MONEY, item_elements, item_total, parse_item
+from tierline.functions.items import MONEY, item_total, raw_items, total_of_raw, typed_item_fields
 from tierline.operators.dedup import latest_per_key
 
 # Ties on the ordering time are broken by the remaining columns, ascending.
@@ -73,10 +73,11 @@ def dedup_latest_orders(bronze_orders: DataFrame) -> DataFrame:
 
 
 def explode_items(orders: DataFrame, *keep: str) -> DataFrame:
-    """One row per order item (inner: orders without a JSON array of items give no rows)."""
+    """One row per order item (inner: orders without a JSON array of items give no rows).
+    The items array is parsed once per order, then exploded."""
     return orders.select(
-        *keep, F.posexplode(item_elements("items")).alias("item_pos", "item_text")
-    ).select(*keep, "item_pos", parse_item(F.col("item_text")).alias("it")).select(
+        *keep, F.posexplode(raw_items("items")).alias("item_pos", "raw")
+    ).select(*keep, "item_pos", typed_item_fields(F.col("raw")).alias("it")).select(
         *keep,
         "item_pos",
         "it.product_id",
@@ -98,9 +99,10 @@ def order_item_totals(bronze_orders: DataFrame) -> DataFrame:
     explode-and-group form it is tested against.
     """
     return (dedup_latest_orders(bronze_orders)
-            .select("order_id", item_elements("items").alias("_el"), item_total("items").alias("calculated_total"))
-            .filter(F.size("_el") > 0)
-            .drop("_el"))
+            .select("order_id", raw_items("items").alias("_raw"))
+            .select("order_id", F.size("_raw").alias("_n"), total_of_raw(F.col("_raw")).alias("calculated_total"))
+            .filter(F.col("_n") > 0)
+            .drop("_n"))
 
 
 def item_totals_grouped(bronze_orders: DataFrame) -> DataFrame:
