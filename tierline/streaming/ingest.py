@@ -75,7 +75,7 @@ def _order_record() -> list[Column]:
         F.coalesce(V.as_string(f("order_id"), t("order_id")), message_id()).alias("order_id"),
         V.as_string(f("user_id"), t("user_id")).alias("user_id"),
         # items re-serialised with exactly the four typed item fields, in field order
-        F.to_json(F.transform(F.col("_items"), V.typed_item)).alias("items"),
+        F.col("_items_json").alias("items"),
         V.as_double(f("total_amount"), t("total_amount")).alias("total_amount"),
         F.coalesce(V.as_string(f("currency"), t("currency")), F.lit(V.DEFAULT_CURRENCY)).alias("currency"),
         F.coalesce(V.as_string(f("status"), t("status")), F.lit(V.DEFAULT_STATUS)).alias("status"),
