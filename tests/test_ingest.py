@@ -79,6 +79,16 @@ ORDER_CASES = {
     13: (one_item(product_id=5), ["items.product_id: string required"]),
     14: (order(items=[1]), ["items: object expected"]),
     15: (order(total_amount="12.5", items=[]), []),
+    # the boundary between the native fast path and the element-by-element path
+    16: (one_item(quantity=True), ["items.quantity: integer > 0 required"]),
+    17: (one_item(extra={"nested": 1}), []),
+    18: (order(items=[None]), ["items: object expected"]),
+    19: (one_item(quantity=3_000_000_000), ["items.quantity: integer > 0 required"]),
+    20: (one_item(quantity=" 2 "), []),
+    21: (order(items=[{"product_id": "a", "product_name": "A", "quantity": 1, "unit_price": 1},
+                      {"product_id": 5, "product_name": "B", "quantity": 1, "unit_price": 1}]),
+         ["items.product_id: string required"]),
+    22: (one_item(unit_price="inf"), []),
 }
 
 
@@ -116,6 +126,9 @@ def test_order_rules(spark):
     assert json.loads(got[0].items) == ORDER_CASES[0][0]["items"]
     assert json.loads(got[3].items)[0]["quantity"] == 2
     assert got[15].total_amount == 12.5
+    assert json.loads(got[17].items) == [{"product_id": "p1", "product_name": "Widget", "quantity": 1,
+                                          "unit_price": 10.0}]
+    assert json.loads(got[20].items)[0]["quantity"] == 2
 
 
 def test_ingest_batch_routes_everything(spark):
