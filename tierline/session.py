@@ -35,6 +35,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.master(master)
         builder = builder.config("spark.ui.enabled", "false")
         builder = builder.config("spark.driver.memory", os.environ.get("TIERLINE_DRIVER_MEMORY", "8g"))
+        if master.startswith("local"):
+            # Small local inputs: let AQE keep CPU-heavy post-shuffle stages (JSON parsing,
+            # item folds) spread over the cores instead of coalescing them into 1 MB chunks.
+            # On a cluster, partitions are far above either minimum and this has no effect.
+            builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128KB")
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
