@@ -94,11 +94,14 @@ def order_item_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order key: its items (ordered by line) and their exact decimal sum ``_sum``.
 
     Items of one order are few (bounded by the order, not by the data size), so collecting
-    them per order is safe; the lineitem × part join and the group by order are plain
-    shuffles that AQE may turn into a broadcast only when ``part`` is measured small.
+    them per order is safe.  ``part`` joins by broadcast only when Spark measures it under
+    the broadcast threshold, else by a sort-merge join.
     """
+    # Distribute line items by order before joining and collecting: a partial collect_list
+    # does not shrink the data, so this is the shuffle the grouping needs anyway, and the
+    # join and array building then run on every core even when the scan is one task.
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice").repartition("l_orderkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
     price = ((F.col("p_size") % 10).cast("decimal(18,2)") + F.lit("0.99").cast("decimal(3,2)")).cast("decimal(18,2)")
     lines = li.join(part, li.l_partkey == part.p_partkey, "inner").select(
