@@ -174,16 +174,17 @@ def _iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
-def _as_served(spark: SparkSession, records: DataFrame) -> DataFrame:
-    """Lay topic records out the way a multi-partition topic is read: spread over the
-    cluster's tasks by (partition, offset), not held in the one task that built them from a
-    single-file table.  One partition per task slot: the validation that follows is CPU-bound,
-    so size-based coalescing would leave cores idle."""
+def _as_served(spark: SparkSession, copies: DataFrame) -> DataFrame:
+    """Lay records out the way a multi-partition topic is read: spread over the cluster's
+    tasks by source key and copy, not held in the one task that scanned a single-file table.
+    Done before the message text is built, so that work is spread too.  One partition per
+    task slot: the validation that follows is CPU-bound, so size-based coalescing would
+    leave cores idle."""
     try:
         slots = spark.sparkContext.defaultParallelism
     except Exception:  # sessions without a local SparkContext (Spark Connect)
         slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return records.repartition(slots, "partition", "offset")
+    return copies.repartition(slots, "_k", "_copy")
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,38 +193,38 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     The message carries ``metadata`` verbatim, so an event whose metadata is not JSON
     becomes an undecodable message; a NULL id is simply absent from the message.
     """
-    ev = event_copies(spark, sf_dir)
+    ev = _as_served(spark, event_copies(spark, sf_dir))
     head = F.to_json(F.struct(
         "event_id", "event_type", "user_id", "session_id", "page", "referrer",
         _iso(F.col("timestamp")).alias("timestamp"),
     ))
     value = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), F.lit(',"metadata":'),
                      F.col("metadata"), F.lit("}"))
-    return _as_served(spark, ev.withColumn("_head", head).select(
+    return ev.withColumn("_head", head).select(
         F.lit(EVENTS_TOPIC).alias("topic"),
         (F.col("_k") % TOPIC_PARTITIONS).cast("int").alias("partition"),
         (F.col("_k") * 8 + F.col("_copy")).alias("offset"),
         F.col("timestamp").cast("timestamp").alias("timestamp"),
         value.alias("value"),
-    ))
+    )
 
 
 def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw orders as topic records; ``items`` is a real JSON array in the message."""
-    od = order_copies(spark, sf_dir)
+    od = _as_served(spark, order_copies(spark, sf_dir))
     # A producer bug on a few orders: a zero total, which ingest must dead-letter.
     total = F.when(F.col("_k") % 101 == ZERO_TOTAL_REMAINDER, F.lit(0.0)).otherwise(F.col("total_amount"))
     value = F.to_json(F.struct(
         "order_id", "user_id", F.col("_items").alias("items"), total.alias("total_amount"), "currency", "status",
         "shipping_address", _iso(F.col("created_at")).alias("created_at"),
     ))
-    return _as_served(spark, od.select(
+    return od.select(
         F.lit(ORDERS_TOPIC).alias("topic"),
         (F.col("_k") % TOPIC_PARTITIONS).cast("int").alias("partition"),
         (F.col("_k") * 2 + F.col("_copy")).alias("offset"),
         F.col("created_at").cast("timestamp").alias("timestamp"),
         value.alias("value"),
-    ))
+    )
 
 
 def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
