@@ -1,12 +1,16 @@
 """Record validation as column expressions over a once-parsed Variant message.
 
 A message value is parsed a single time with ``try_parse_json``.  The validator then works
-in three projections so that nothing is computed twice per row:
+in staged projections so that nothing is computed twice per row:
 
-1. ``fields``  — each top-level field pulled out of the Variant once (``_f_<name>``);
-2. ``kinds``   — the JSON kind of each field (``_t_<name>``: STRING, BIGINT, DECIMAL(p,s),
+1. ``with_fields`` — each top-level field pulled out of the Variant once (``_f_<name>``);
+2. ``with_kinds``  — the JSON kind of each field (``_t_<name>``: STRING, BIGINT, DECIMAL(p,s),
    DOUBLE, BOOLEAN, OBJECT<..>, ARRAY<..>, VOID for an explicit ``null``, NULL if missing);
-3. rules and typed record columns, reading only those columns.
+3. ``with_times``  — time fields parsed once (``_ts_<name>``);
+4. ``with_items``  — for orders: a native fast path (merged schema + one typed cast of the
+   items array) and, only for orders that miss it, the element-by-element path;
+5. ``computed_once`` — rules and typed record columns, produced by a one-row generator so
+   that a validity filter above cannot be pushed down and re-inline the stages.
 
 Projections whose outputs are used more than once are not merged by the optimizer, so the
 Variant lookups stay single.  The result per message is an ``errors array<string>`` (empty =
