@@ -29,7 +29,7 @@ def _snapshot(spark, store):
     return out
 
 
-def test_refresh_end_to_end_is_repeatable(spark, tmp_dir):
+def test_refresh_end_to_end_is_repeatable(spark, tmp_dir, capsys):
     n = _write_topic_files(spark, os.path.join(tmp_dir, "topics"))
     store = TierStore(os.path.join(tmp_dir, "lake"))
     res = run_refresh(spark, store, fx.FIXTURE_AS_OF, topic_path=os.path.join(tmp_dir, "topics"),
@@ -56,6 +56,25 @@ def test_refresh_end_to_end_is_repeatable(spark, tmp_dir):
     # a single tier can be rebuilt on its own
     run_refresh(spark, store, fx.FIXTURE_AS_OF, steps=("gold",))
     assert _snapshot(spark, store) == first
+    # the command line prints the report envelopes the reference's API returned
+    from tierline.__main__ import main
+    lake = os.path.join(tmp_dir, "lake")
+    capsys.readouterr()
+    main(["report", "--store", lake, "dau", "--date-from", "2023-10-01", "--date-to", "2024-01-31"])
+    dau = json.loads(capsys.readouterr().out)
+    kpis = store.read(spark, "gold", "daily_kpis")
+    assert dau["total_active_users"] == kpis.groupBy().sum("daily_active_users").collect()[0][0]
+    assert dau["date_from"] == "2023-10-01" and len(dau["data"]) == kpis.select("event_date").distinct().count()
+    main(["report", "--store", lake, "segments"])
+    seg = json.loads(capsys.readouterr().out)
+    assert seg["total_users"] == store.read(spark, "gold", "customer_360").count()
+    main(["report", "--store", lake, "top-products", "--n", "3"])
+    assert json.loads(capsys.readouterr().out)["total"] == 3
+    main(["report", "--store", lake, "anomalies", "--metric", "events", "--as-of", fx.FIXTURE_AS_OF])
+    an = json.loads(capsys.readouterr().out)
+    assert an["metric"] == "events" and an["lookback_days"] == 30 and an["total_anomalies"] >= 1
+    with pytest.raises(ValueError):
+        main(["report", "--store", lake, "top-products", "--n", "500"])
 
 
 def test_quality_gate_blocks_bad_silver(spark, tmp_dir):
