@@ -191,3 +191,22 @@ def test_streaming_ingest_is_idempotent(spark, tmp_dir):
                        0, paths)
     ev = spark.read.parquet(paths["bronze_events"])
     assert ev.filter("batch_id = 0").count() == 1
+
+
+def test_continuous_ingest_picks_up_new_files(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "topics")
+    _write_json_lines(src, "a.json", [msg("raw.events", 1, event(event_id="c1"))])
+    paths = {k: os.path.join(tmp_dir, k) for k in ("bronze_events", "bronze_orders", "dead_letter", "ingest_stats")}
+    q = ingest.start_ingest(ingest.read_topics(spark, "files", src), paths, os.path.join(tmp_dir, "ckpt"),
+                            interval="1 second")
+    try:
+        q.processAllAvailable()
+        _write_json_lines(src, "b.json", [msg("raw.events", 2, event(event_id="c2")), msg("raw.events", 3, "{bad")])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    ids = sorted(r.event_id for r in spark.read.parquet(paths["bronze_events"]).collect())
+    assert ids == ["c1", "c2"]
+    assert spark.read.parquet(paths["dead_letter"]).count() == 1
+    stats = spark.read.parquet(paths["ingest_stats"]).groupBy("source_name").sum("rows", "dead_letters").collect()
+    assert {(r.source_name, r[1], r[2]) for r in stats} >= {("bronze.events", 2, 1)}
