@@ -7,7 +7,7 @@ partitioned data (or two engines) give the same bits.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -153,7 +153,7 @@ def report_anomaly(daily_kpis: DataFrame, metric: str = "dau", lookback_days: in
     Both statistics come from one scalar subquery over the (one row per date) daily series,
     so no join is planned at all; the series' exchange is reused by the subquery.
     """
-    as_of = as_of or datetime.utcnow()
+    as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
     daily = daily_metric(daily_kpis, metric, lookback_days, as_of)
     stats = daily.select(F.struct(F.avg("value").alias("mean"),
                                   F.coalesce(F.stddev_samp("value"), F.lit(0.0)).alias("std"))).scalar()
