@@ -41,6 +41,7 @@ def test_daily_kpis_scans_events_once(spark):
 
 def test_customer_360_one_user_shuffle(spark):
     plan = physical(spark, "customer_360")
+    assert plan.count("events.parquet") == 1  # events scanned once, not once per sub-aggregate
     assert len(re.findall(r"Exchange hashpartitioning\(user_id", plan)) == 1
     assert "SortMergeJoin [user_id" not in plan
 
