@@ -56,6 +56,11 @@ def test_refresh_end_to_end_is_repeatable(spark, tmp_dir, capsys):
     # a single tier can be rebuilt on its own
     run_refresh(spark, store, fx.FIXTURE_AS_OF, steps=("gold",))
     assert _snapshot(spark, store) == first
+    # a time-ranged report pushes its range into the scan of the refined table
+    from tierline.operators import reports
+    plan = reports.report_funnel(store.read(spark, "silver", "clean_events"), "2024-01-10", "2024-01-12") \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(event_timestamp), GreaterThanOrEqual(event_timestamp" in plan
     # the command line prints the report envelopes the reference's API returned
     from tierline.__main__ import main
     lake = os.path.join(tmp_dir, "lake")
