@@ -61,6 +61,10 @@ def test_refresh_end_to_end_is_repeatable(spark, tmp_dir, capsys):
     plan = reports.report_funnel(store.read(spark, "silver", "clean_events"), "2024-01-10", "2024-01-12") \
         ._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(event_timestamp), GreaterThanOrEqual(event_timestamp" in plan
+    # a date-ranged report prunes the date partitions of the aggregate table
+    plan = reports.report_dau(store.read(spark, "gold", "daily_kpis"), "2024-01-10", "2024-01-12") \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "2024-01-10" in plan.split("PartitionFilters")[1]
     # the command line prints the report envelopes the reference's API returned
     from tierline.__main__ import main
     lake = os.path.join(tmp_dir, "lake")
