@@ -98,3 +98,11 @@ def test_quality_gate_blocks_bad_silver(spark, tmp_dir):
     assert got["event_id_unique"] == 1 and got["event_type_accepted"] == 1
     with pytest.raises(ValueError):
         quality.assert_quality(report)
+
+
+def test_refresh_of_a_fresh_store_without_ingest(spark, tmp_dir):
+    store = TierStore(os.path.join(tmp_dir, "fresh"))
+    res = run_refresh(spark, store, fx.FIXTURE_AS_OF, steps=("freshness", "silver", "quality", "gold"))
+    assert {r.status for r in res.freshness.collect()} == {"warn"}  # no rows yet: stale, never failing
+    assert store.read(spark, "gold", "daily_kpis").count() == 0
+    assert store.read(spark, "gold", "customer_360").count() == 0

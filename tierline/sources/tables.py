@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.schemas import TABLES
 
@@ -51,12 +52,17 @@ class TierStore:
                 self.write(empty, tier, table)
 
     def read(self, spark: SparkSession, tier: str, table: str) -> DataFrame:
-        """A tier table with its declared columns (partition columns of raw tables dropped)."""
-        df = spark.read.format(self.fmt).load(self.path(tier, table))
+        """A tier table with its declared columns (partition columns of raw tables dropped).
+
+        Read with the declared schema, so a table that has no files yet (a partitioned table
+        right after ``bootstrap``) reads as empty instead of failing schema inference."""
         schema = TABLES.get((tier, table))
         if schema is None:
-            return df
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+            return spark.read.format(self.fmt).load(self.path(tier, table))
+        full = T.StructType(list(schema.fields) + [
+            T.StructField(c, T.LongType()) for c in PARTITIONING.get((tier, table), ()) if c not in schema.names])
+        df = spark.read.format(self.fmt).schema(full).load(self.path(tier, table))
+        return df.select(*[F.col(f.name) for f in schema.fields])
 
     def write(self, df: DataFrame, tier: str, table: str, mode: str = "overwrite", dynamic: bool = False) -> None:
         """Materialise a model.  A full refresh replaces the whole table; ``dynamic=True``
