@@ -7,8 +7,10 @@ dressed (a NULL id, an unknown type, a redelivered copy, a burst copy), never wh
 is dropped.  The oracle SQL in ``tierline.plans.oracle`` restates the same rules without any
 JSON, so it is an independent check of the Spark path.
 
-Each adapter is one scan of its source plus a ``generate`` (explode of the copy tags): no
-self-union, no cross join.
+Copies (redeliveries, burst rows) come from a ``generate`` (explode of copy tags) in the
+same pass as the scan: no self-union and no cross join.  The events adapter is one scan; the
+orders adapter also joins each order to its line items (``lineitem ⋈ part``, grouped by
+order), since a raw order carries its items.
 """
 
 from __future__ import annotations
