@@ -69,3 +69,43 @@ def test_half_up_decimal_rounding_matches_python(spark):
     got = [r.y for r in df.select(round_half_up(F.col("x"), 2).alias("y")).collect()]
     want = [float(Decimal(repr(v)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)) for v in vals]
     assert got == want
+
+
+_MISSING = object()
+_scalar = st.one_of(st.none(), st.booleans(), st.integers(-3, 5), st.sampled_from([2.0, 2.5, 1e20, 3_000_000_000]),
+                    st.sampled_from(["2", " 3 ", "2.5", "x", "NaN", "inf", ""]), st.just({"nested": 1}))
+_field = st.one_of(st.just(_MISSING), _scalar)
+_item_obj = st.fixed_dictionaries({
+    "product_id": st.one_of(st.just(_MISSING), st.sampled_from(["p1", "p2"]), _scalar),
+    "product_name": st.one_of(st.just(_MISSING), st.sampled_from(["A", "B"]), _scalar),
+    "quantity": _field,
+    "unit_price": _field,
+}).map(lambda d: {k: v for k, v in d.items() if v is not _MISSING})
+_item_any = st.one_of(_item_obj, _item_obj, _item_obj, st.integers(0, 3), st.none(), st.just([1]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.lists(_item_any, max_size=4), st.just({"quantity": 1}), st.just("x")),
+                min_size=1, max_size=15))
+def test_item_fast_path_equals_exact_path(spark, all_items):
+    from pyspark.sql import functions as F
+
+    from tierline.functions import validation as V
+    from tierline.streaming import ingest
+    ts = dt.datetime(2024, 1, 1)
+    msgs = [("raw.orders", 0, i, ts, json.dumps({"order_id": f"o{i}", "user_id": "u", "items": items,
+                                                 "total_amount": 1.0})) for i, items in enumerate(all_items)]
+    df = spark.createDataFrame(msgs, ingest.TOPIC_SCHEMA)
+
+    def run():
+        out = ingest.validate_orders_raw(ingest.decode(df)).select("offset", "errors", "items").collect()
+        return {r.offset: (tuple(r.errors), r["items"] if not r.errors else None) for r in out}
+
+    fast = run()
+    original = V._fast_items_ok
+    V._fast_items_ok = lambda schema, typed: F.lit(False)
+    try:
+        exact = run()
+    finally:
+        V._fast_items_ok = original
+    assert fast == exact
