@@ -74,7 +74,8 @@ def report_top_products(validated_orders: DataFrame, bronze_orders: DataFrame, n
     good = validated_orders.filter(F.col("status") != F.lit(FAILED_STATUS)).select("order_id")
     raw = dedup_latest_orders(bronze_orders) if dedupe_items else bronze_orders
     raw = raw.select("order_id", "items")
-    items = (good.join(raw, "order_id", "inner")
+    # Refined order ids are unique, so keeping the raw rows of valid orders is a semi join.
+    items = (raw.join(good, "order_id", "left_semi")
              .select("order_id", F.explode(raw_items("items")).alias("it")))
     revenue = to_int_lax(F.col("it.quantity")) * F.col("it.unit_price").try_cast(PRICE)
     return (items
