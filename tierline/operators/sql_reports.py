@@ -1,9 +1,10 @@
-"""The reports as SQL text over tier tables registered as views (the SQL-API form).
+"""The reports as SQL text over the tier tables (the SQL-API form).
 
-Parameters are bound with named markers (``spark.sql(text, args={...})``), never pasted
-into the text, and the anomaly metric expression comes from a fixed allow-list.  Catalyst
-plans these exactly like the DataFrame versions in ``tierline.operators.reports``; the two
-forms are tested against each other.
+Tables are bound per query (``spark.sql(text, args, clean_events=df, ...)`` fills the
+``{clean_events}`` placeholders), so nothing is registered in the session catalog.  Values
+are bound with named markers (``:date_from``), never pasted into the text, and the anomaly
+metric expression comes from a fixed allow-list.  Catalyst plans these like the DataFrame
+versions in ``tierline.operators.reports``; the two forms are tested against each other.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ SQL = {
                CAST(SUM(daily_active_users) AS BIGINT) AS active_users,
                CAST(SUM(total_events) AS BIGINT) AS total_events,
                {_EXACT_MEAN.format(c="conversion_rate")} AS avg_conversion_rate
-        FROM daily_kpis
+        FROM {{daily_kpis}}
         WHERE event_date BETWEEN :date_from AND :date_to
         GROUP BY event_date
         ORDER BY event_date NULLS LAST""",
@@ -61,8 +62,8 @@ SQL = {
                CAST(SUM(CAST(ROUND(TRY_CAST(it.quantity AS DECIMAL(38,6)), 0) AS INT)
                         * TRY_CAST(it.unit_price AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
                COUNT(DISTINCT o.order_id) AS order_count
-        FROM validate_orders o
-        JOIN bronze_orders b ON o.order_id = b.order_id
+        FROM {validate_orders} o
+        JOIN {bronze_orders} b ON o.order_id = b.order_id
         LATERAL VIEW explode(from_json(b.items, 'array<string>')) e AS item
         LATERAL VIEW inline(array(from_json(e.item,
             'struct<product_id:string,product_name:string,quantity:string,unit_price:string>'))) it
@@ -78,12 +79,12 @@ SQL = {
         FROM (SELECT {_segment_case()} AS segment_name,
                      CAST(COALESCE(total_spend, 0) AS DECIMAL(38,2)) AS spend,
                      COALESCE(days_since_last_activity, {MISSING_RECENCY_DAYS}) AS days
-              FROM customer_360)
+              FROM {{customer_360}})
         GROUP BY segment_name
         ORDER BY segment_name NULLS LAST""",
     "funnel": f"""
         SELECT event_type AS step_name, COUNT(DISTINCT user_id) AS users, COUNT(*) AS count
-        FROM clean_events
+        FROM {{clean_events}}
         WHERE event_timestamp >= CAST(:date_from AS TIMESTAMP_NTZ)
           AND event_timestamp < CAST(date_add(:date_to, 1) AS TIMESTAMP_NTZ)
           AND event_type IN ({", ".join(f"'{s}'" for s in FUNNEL_STEPS)})
@@ -98,7 +99,7 @@ def anomaly_sql(metric: str) -> str:
     return f"""
         WITH daily AS (
             SELECT event_date AS date, {_METRICS[metric]} AS value
-            FROM daily_kpis
+            FROM {{daily_kpis}}
             WHERE event_date >= date_sub(:as_of, :lookback)
             GROUP BY event_date
         )
@@ -112,12 +113,14 @@ def anomaly_sql(metric: str) -> str:
         ORDER BY date NULLS LAST"""
 
 
-def register_views(spark: SparkSession, **frames: DataFrame) -> None:
-    """Expose tier frames (or tables read by ``TierStore``) under the report view names."""
-    for name, df in frames.items():
-        if name not in VIEWS:
-            raise ValueError(f"unknown view {name!r}")
-        df.createOrReplaceTempView(name)
+# Tables each report reads.
+NEEDS = {
+    "dau": ("daily_kpis",),
+    "top_products": ("validate_orders", "bronze_orders"),
+    "segments": ("customer_360",),
+    "funnel": ("clean_events",),
+    "anomaly": ("daily_kpis",),
+}
 
 
 def _d(value) -> date:
@@ -126,19 +129,24 @@ def _d(value) -> date:
     return value if isinstance(value, date) else date.fromisoformat(str(value))
 
 
-def report(spark: SparkSession, name: str, **params) -> DataFrame:
-    """Run one report over the registered views with bound parameters."""
+def report(spark: SparkSession, name: str, tables: dict[str, DataFrame], **params) -> DataFrame:
+    """Run one report over ``tables`` (tier name → DataFrame) with bound parameters."""
+    if name not in NEEDS:
+        raise ValueError(f"unknown report {name!r}")
+    unknown = set(tables) - set(VIEWS)
+    if unknown:
+        raise ValueError(f"unknown tables {sorted(unknown)}")
+    frames = {t: tables[t] for t in NEEDS[name]}
     if name == "dau":
-        return spark.sql(SQL["dau"], args={"date_from": _d(params["date_from"]), "date_to": _d(params["date_to"])})
+        args = {"date_from": _d(params["date_from"]), "date_to": _d(params["date_to"])}
+        return spark.sql(SQL["dau"], args, **frames)
     if name == "top_products":
-        return spark.sql(SQL["top_products"], args={"n": int(params.get("n", 10))})
+        return spark.sql(SQL["top_products"], {"n": int(params.get("n", 10))}, **frames)
     if name == "segments":
-        return spark.sql(SQL["segments"])
+        return spark.sql(SQL["segments"], None, **frames)
     if name == "funnel":
-        return spark.sql(SQL["funnel"], args={"date_from": _d(params["date_from"]), "date_to": _d(params["date_to"])})
-    if name == "anomaly":
-        metric = params.get("metric", "dau")
-        return spark.sql(anomaly_sql(metric), args={"as_of": _d(params["as_of"]),
-                                                    "lookback": int(params.get("lookback_days", 30)),
-                                                    "metric": metric})
-    raise ValueError(f"unknown report {name!r}")
+        args = {"date_from": _d(params["date_from"]), "date_to": _d(params["date_to"])}
+        return spark.sql(SQL["funnel"], args, **frames)
+    metric = params.get("metric", "dau")
+    args = {"as_of": _d(params["as_of"]), "lookback": int(params.get("lookback_days", 30)), "metric": metric}
+    return spark.sql(anomaly_sql(metric), args, **frames)

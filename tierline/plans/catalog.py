@@ -61,12 +61,11 @@ def _errors_text(df: DataFrame) -> DataFrame:
     return df.select("topic", "partition", "offset", F.array_join("errors", "; ").alias("errors"))
 
 
-def _views(s, d):
-    """Register the report views over frames derived from the driver tables."""
+def _tables(s, d):
+    """The tier frames, derived from the driver tables, that the SQL-text reports read."""
     clean, orders = _clean(s, d), _orders(s, d)
-    sql_reports.register_views(s, clean_events=clean, validate_orders=orders, bronze_orders=_bronze_orders(s, d),
-                               daily_kpis=gold.daily_kpis(clean), customer_360=gold.customer_360(clean, orders, AS_OF))
-    return s
+    return {"clean_events": clean, "validate_orders": orders, "bronze_orders": _bronze_orders(s, d),
+            "daily_kpis": gold.daily_kpis(clean), "customer_360": gold.customer_360(clean, orders, AS_OF)}
 
 
 def _anomaly(metric):
@@ -123,12 +122,13 @@ QUERIES: dict[str, Query] = {
     "report_anomaly_events": _anomaly("events"),
     "report_anomaly_column": _anomaly(COLUMN_METRIC),
     # the same reports as SQL text over registered views, parameters bound by markers
-    "report_dau_sql": lambda s, d: sql_reports.report(_views(s, d), "dau", date_from=RANGE_FROM, date_to=RANGE_TO),
-    "report_top_products_sql": lambda s, d: sql_reports.report(_views(s, d), "top_products", n=TOP_N),
-    "report_user_segments_sql": lambda s, d: sql_reports.report(_views(s, d), "segments"),
-    "report_funnel_sql": lambda s, d: sql_reports.report(_views(s, d), "funnel", date_from=RANGE_FROM,
+    "report_dau_sql": lambda s, d: sql_reports.report(s, "dau", _tables(s, d), date_from=RANGE_FROM,
+                                                      date_to=RANGE_TO),
+    "report_top_products_sql": lambda s, d: sql_reports.report(s, "top_products", _tables(s, d), n=TOP_N),
+    "report_user_segments_sql": lambda s, d: sql_reports.report(s, "segments", _tables(s, d)),
+    "report_funnel_sql": lambda s, d: sql_reports.report(s, "funnel", _tables(s, d), date_from=RANGE_FROM,
                                                          date_to=RANGE_TO),
-    "report_anomaly_events_sql": lambda s, d: sql_reports.report(_views(s, d), "anomaly", metric="events",
+    "report_anomaly_events_sql": lambda s, d: sql_reports.report(s, "anomaly", _tables(s, d), metric="events",
                                                                  lookback_days=LOOKBACK_DAYS, as_of=AS_OF),
     # envelopes
     "envelope_dau": lambda s, d: envelopes.envelope_dau(
