@@ -23,3 +23,22 @@ def test_entry_smoke(spark):
     assert df.columns == ["event_date", "active_users", "total_events", "avg_conversion_rate"]
     assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
+def test_column_types_equal_the_oracle_types(spark):
+    import __spark_entry__ as e
+    from oracle_compare import duck_conn
+    con = duck_conn(SF)
+    q = e.queries()
+    for name, sql in e.oracle_sql().items():
+        spark_types = {f.name: f.dataType.simpleString() for f in q[name](spark, SF).schema.fields}
+        rel = con.sql(sql)
+        duck_types = dict(zip(rel.columns, [str(t).replace(" ", "") for t in rel.types]))
+        want = {c: (t.upper().replace(" ", "") if t.startswith("decimal") else SPARK_TO_DUCK[t])
+                for c, t in spark_types.items()}
+        assert want == duck_types, name
