@@ -1,8 +1,8 @@
 """Run registered queries in Spark and their oracle SQL in DuckDB, and compare results.
 
-Usage: ``python tests/oracle_compare.py [sf_dir] [name ...]`` — prints one line per query.
-Values are normalised (decimals and floats to 9 significant digits, times to ISO text),
-columns sorted by name, rows sorted, then compared.
+Usage: ``python tests/oracle_compare.py [--exact] [sf_dir] [name ...]`` — one line per query.
+Values are normalised (decimals and floats to 9 significant digits, or exactly with
+``--exact``; times to ISO text), columns sorted by name, rows sorted, then compared.
 """
 
 from __future__ import annotations
@@ -21,15 +21,18 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "benchmark labels conversations").split()
 
 
+EXACT = False  # --exact: compare doubles bit for bit (repr) instead of to 9 significant digits
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return float(f"{v:.9g}")
+        return repr(v) if EXACT else float(f"{v:.9g}")
     if isinstance(v, decimal.Decimal):
-        return float(f"{float(v):.9g}")
+        return str(v) if EXACT else float(f"{float(v):.9g}")
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()
     if hasattr(v, "isoformat"):
@@ -97,8 +100,10 @@ def compare(spark, sf_dir, names=None, verbose=True):
 
 if __name__ == "__main__":
     from tierline.session import get_spark
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or None
+    args = [a for a in sys.argv[1:] if a != "--exact"]
+    EXACT = "--exact" in sys.argv[1:]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:] or None
     spark = get_spark("local[8]", 8)
     res = compare(spark, sf, names)
     bad = [k for k, v in res.items() if v[0] == "MISMATCH"]
