@@ -11,7 +11,12 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
 def test_all_queries_match_oracle(spark):
-    res = compare(spark, SF, verbose=False)
+    import oracle_compare
+    oracle_compare.EXACT = True  # bit-identical doubles, equal decimals
+    try:
+        res = compare(spark, SF, verbose=False)
+    finally:
+        oracle_compare.EXACT = False
     bad = {k: v for k, v in res.items() if v[0] == "MISMATCH"}
     assert not bad, bad
     assert all(v[1] >= 0 for v in res.values())
