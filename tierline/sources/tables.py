@@ -36,10 +36,18 @@ class TierStore:
         return f"{self.root.rstrip('/')}/{tier}/{table}"
 
     def exists(self, spark: SparkSession, tier: str, table: str) -> bool:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(tier, table))
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(p)
+        """Whether the table folder exists (Hadoop file system; by a read probe where the
+        session has no local JVM, as with Spark Connect)."""
+        try:
+            jvm = spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(self.path(tier, table))
+            return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+        except Exception:  # no SparkContext in this session
+            try:
+                spark.read.format(self.fmt).load(self.path(tier, table)).schema  # noqa: B018
+                return True
+            except Exception:
+                return False
 
     def bootstrap(self, spark: SparkSession) -> None:
         """Create every missing table empty, with its fixed schema (idempotent)."""
