@@ -61,13 +61,13 @@ SQL = {
         SELECT it.product_id, it.product_name,
                CAST(SUM(CAST(ROUND(TRY_CAST(it.quantity AS DECIMAL(38,6)), 0) AS INT)
                         * TRY_CAST(it.unit_price AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
-               COUNT(DISTINCT o.order_id) AS order_count
-        FROM {validate_orders} o
-        JOIN {bronze_orders} b ON o.order_id = b.order_id
+               COUNT(DISTINCT b.order_id) AS order_count
+        FROM {bronze_orders} b
+        LEFT SEMI JOIN (SELECT order_id FROM {validate_orders} WHERE status != 'validation_failed') o
+          ON b.order_id = o.order_id
         LATERAL VIEW explode(from_json(b.items, 'array<string>')) e AS item
         LATERAL VIEW inline(array(from_json(e.item,
             'struct<product_id:string,product_name:string,quantity:string,unit_price:string>'))) it
-        WHERE o.status != 'validation_failed'
         GROUP BY it.product_id, it.product_name
         ORDER BY total_revenue DESC NULLS LAST, product_id ASC NULLS LAST, product_name ASC NULLS LAST
         LIMIT :n""",
