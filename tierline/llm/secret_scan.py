@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,8 +96,6 @@ def fit(docs: DataFrame) -> np.ndarray | None:
     """Log-likelihood ratio per character pair (a fixed 68 x 68 table), from counts over all
     documents with add-one smoothing; None when the corpus holds no labelled secret."""
     def count(batches):
-        import pandas as pd
-
         total = np.zeros((2, _WIDTH * _WIDTH), np.int64)
         for _, data, off in common.blocks(batches):
             for text, runs in _documents(data, off):
@@ -106,10 +105,7 @@ def fit(docs: DataFrame) -> np.ndarray | None:
                     for v in values:
                         np.add.at(total[label], _pairs(v), 1)
         label, pair = np.nonzero(total)
-        import pyarrow as pa
-
-        yield pa.RecordBatch.from_pandas(
-            pd.DataFrame({"label": label, "pair": pair, "n": total[label, pair]}), preserve_index=False)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (label, pair, total[label, pair])], ["label", "pair", "n"])
 
     rows = (common.texts_of(docs).mapInArrow(count, "label long, pair long, n long")
             .groupBy("label", "pair").agg(F.sum("n").alias("n")).collect())  # 2 x 68 x 68 rows at most
