@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tierline.llm import language_id, secret_scan, simhash_bktree
+from tierline.llm import bpe_tree, language_id, secret_scan, simhash_bktree
 
 QUERIES = {
     "op5_language_id": language_id.op5_language_id,
     "op8_simhash_bktree": simhash_bktree.op8_simhash_bktree,
+    "op9_bpe_tree": bpe_tree.op9_bpe_tree,
     "op10_secret_scan": secret_scan.op10_secret_scan,
 }
 
