@@ -183,7 +183,8 @@ def encode(docs: DataFrame, content: str | None = None, long_chars: int = LONG_C
 
     long = texts_of(docs.filter(is_long)).withColumn("row", F.monotonically_increasing_id())
     leaves = written(long.mapInArrow(cut, leaf_schema), "bpe-leaves")
-    unit_schema = StructType(leaf_schema.fields).add("ids", "array<array<int>>").add("starts", "array<int>").add("ends", "array<int>")
+    unit_schema = StructType([*leaf_schema.fields, *StructType.fromDDL(
+        "ids array<array<int>>, starts array<int>, ends array<int>").fields])
     unit_arrow = to_arrow_schema(unit_schema)
 
     def encode_leaves(batches):
@@ -196,7 +197,7 @@ def encode(docs: DataFrame, content: str | None = None, long_chars: int = LONG_C
                 r |= {"ids": [list(u[0]) for u in units], "starts": [u[1] for u in units], "ends": [u[2] for u in units]}
             yield pa.RecordBatch.from_pylist(rows, schema=unit_arrow)
 
-    out_schema = StructType([docs.schema["doc_id"]]).add("ids", "array<int>").add("decoded", "string")
+    out_schema = StructType([docs.schema["doc_id"], *StructType.fromDDL("ids array<int>, decoded string").fields])
     out_arrow = to_arrow_schema(out_schema)
 
     loaded: list[Encoder] = []  # one a task
