@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from tierline.llm import bpe_tree, language_id, secret_scan, simhash_bktree
+from tierline.llm import bpe_tree, decontaminate, language_id, line_dedup, quality_ledger, secret_scan, simhash_bktree
 
 QUERIES = {
+    "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_quality_ledger": quality_ledger.op2_quality_ledger,
+    "op3_line_dedup": line_dedup.op3_line_dedup,
     "op5_language_id": language_id.op5_language_id,
     "op8_simhash_bktree": simhash_bktree.op8_simhash_bktree,
     "op9_bpe_tree": bpe_tree.op9_bpe_tree,
     "op10_secret_scan": secret_scan.op10_secret_scan,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_decontaminate": decontaminate.ORACLE,
+    "op2_quality_ledger": quality_ledger.ORACLE,
+    "op3_line_dedup": line_dedup.ORACLE,
+}
