@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+import gc
 import uuid
 
 import numpy as np
@@ -33,16 +33,17 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write to the shared folder and read back, so that losing an executor
-    never repeats the work above."""
+    never repeats the work above.
+
+    The collection first lets Spark's cleaner drop the shuffle files of steps that nothing
+    refers to any more, which otherwise waits for the driver's heap to fill."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
-
-
 def text_buffer(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string array, end to end, and the n+1 offsets; NULL has no bytes."""
     arr = arr.combine_chunks() if isinstance(arr, pa.ChunkedArray) else arr

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tierline.llm import (
     bpe_tree, ctw_scoring, decontaminate, language_id, line_dedup, quality_ledger, secret_scan, simhash_bktree,
-    token_counts)
+    suffix_dedup, token_counts)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -12,6 +12,7 @@ QUERIES = {
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_language_id": language_id.op5_language_id,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_ctw_scoring": ctw_scoring.op7_ctw_scoring,
     "op8_simhash_bktree": simhash_bktree.op8_simhash_bktree,
     "op9_bpe_tree": bpe_tree.op9_bpe_tree,
