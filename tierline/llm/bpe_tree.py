@@ -225,9 +225,9 @@ def encode(docs: DataFrame, content: str | None = None, long_chars: int = LONG_C
     return short.unionByName(encoded.groupBy("row").applyInArrow(join, out_schema))
 
 
-def digest(encoded: DataFrame) -> DataFrame:
+def digest(encoded: DataFrame, *more: str) -> DataFrame:
     return encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        "doc_id", *more, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

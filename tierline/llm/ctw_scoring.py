@@ -19,9 +19,9 @@ length per byte follows from it.
 *Spark.*  Tasks count (DEPTH + 1)-grams of the training texts and Spark sums them.  The nodes
 below each three last bytes are one independent group (at most 256^(DEPTH-2) grams,
 however large the corpus); tasks weigh whole groups, and the groups' sums give the small top
-of the tree.  The finished nodes go to a table of ``SLOTS`` slots by hash (a slot keeps the
-node with most training counts, with a tag of its hash), so that what is broadcast has a
-fixed size, 84 MB.
+of the tree.  The finished nodes go to a table of at most ``SLOTS`` slots by hash (a slot keeps the
+node with most training counts, with a tag of its hash) and six bytes a slot, so that what is
+broadcast never exceeds 50 MB.
 
 *Base score.*  Word counts of the corpus may be of any size, so they are never broadcast: each
 block of documents writes its distinct words and, for each document, the places of its words
@@ -167,14 +167,27 @@ def hash_node(node: np.ndarray, depth: int) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+#: Probabilities are held in 16 bits as log odds between -16 and 16.
+ODDS_STEP = 32 / 65535
+UNIT = 1 / (1 + np.exp(16 - ODDS_STEP * np.arange(65536)))
+
+
+def to_odds(p: np.ndarray) -> np.ndarray:
+    p = np.clip(np.asarray(p, float), 1e-12, 1 - 1e-12)
+    return np.clip(np.rint((np.log(p / (1 - p)) + 16) / ODDS_STEP), 0, 65535).astype(np.uint16)
+
+
 class Tree:
     """The finished nodes in slots: P(1) by KT, weight, and a tag (0: empty slot)."""
 
     def __init__(self, depth: int, slots: int):
         self.depth, self.slots = depth, slots
         self.tag = np.zeros(slots, np.uint16)
-        self.p1 = np.full(slots, 0.5, np.float32)
-        self.weight = np.ones(slots, np.float32)
+        self.p1 = np.zeros(slots, np.uint16)
+        self.weight = np.zeros(slots, np.uint16)
+
+    def put(self, slot: np.ndarray, tag: np.ndarray, p1: np.ndarray, weight: np.ndarray) -> None:
+        self.tag[slot], self.p1[slot], self.weight[slot] = tag, to_odds(p1), to_odds(weight)
 
     def log10(self, grams: np.ndarray) -> np.ndarray:
         """log10 probability of each gram's symbol in its context."""
@@ -188,7 +201,7 @@ class Tree:
                 h = hash_node(node, d)
                 slot = (h & np.uint64(self.slots - 1)).astype(np.int64)
                 known = self.tag[slot] == tag_of(h)
-                w, p1 = self.weight[slot].astype(float), self.p1[slot].astype(float)
+                w, p1 = UNIT[self.weight[slot]], UNIT[self.p1[slot]]
                 own = np.where(bit, p1, 1 - p1)
                 p = np.where(known, np.where(deeper, w * own + (1 - w) * p, own), p)
                 deeper |= known
@@ -268,20 +281,19 @@ def train(docs: DataFrame, depth: int = DEPTH, slots: int = SLOTS) -> Tree:
         heads = middle.filter(F.col("node").isNotNull())
         parts.append(middle)
 
-    tree = Tree(depth, slots)
+    used = min(slots, 1 << max(10, (2 * lower.count()).bit_length()))  # a smaller table for fewer nodes
+    tree = Tree(depth, used)
     for part in parts:  # the shallower nodes last: they win their slots
-        best = part.groupBy("slot").agg(F.max_by(F.struct("tag", "p1", "weight"), F.struct("n", "tag", "p1", "weight")).alias("best"))
+        best = part.groupBy(F.col("slot").bitwiseAND(used - 1).alias("slot")).agg(
+            F.max_by(F.struct("tag", "p1", "weight"), F.struct("n", "tag", "p1", "weight")).alias("best"))
         rows = best.select("slot", "best.*").toArrow()  # one row a slot at most
-        slot = rows.column("slot").to_numpy()
-        for name in ("tag", "p1", "weight"):
-            getattr(tree, name)[slot] = rows.column(name).to_numpy()
+        tree.put(*(rows.column(c).to_numpy() for c in ("slot", "tag", "p1", "weight")))
     rows = heads.select("node", "zeros", "ones", "pw").toArrow()  # fewer than 256 * 256
     node, zeros, ones, below = group_by(parent(rows.column("node").to_numpy().astype(np.uint64), 1),
                                         *(rows.column(c).to_numpy() for c in ("zeros", "ones", "pw")))
     _, weight = weigh(log_kt(zeros, ones), below)
     h = hash_node(node, 0)
-    slot = (h & np.uint64(slots - 1)).astype(np.int64)
-    tree.tag[slot], tree.p1[slot], tree.weight[slot] = tag_of(h), (ones + 0.5) / (zeros + ones + 1), weight
+    tree.put((h & np.uint64(used - 1)).astype(np.int64), tag_of(h), (ones + 0.5) / (zeros + ones + 1), weight)
     return tree
 
 

@@ -6,7 +6,8 @@ unit length.  Document frequencies are counted over all labelled texts.  Each la
 centroids by spherical k-means over a bounded sample of its labelled texts
 (``sample_per_lang``, the rows with the least hash of doc_id).  A text takes the language of
 the centroid with the greatest cosine, and is rejected when its distance to that centroid is
-greater than the centroid's own limit, which is learned from the sample's distances.
+greater than the centroid's own limit, which is learned from the sample's distances and
+allows for the text's length.
 
 Cases: NULL text and text without a letter give ``und``, score 0, rejected.  Labels that are
 NULL teach nothing.  With no labelled text at all every text is ``und``.  Equal cosines take
@@ -30,9 +31,12 @@ DIMS = 1 << 13
 CENTROIDS = 3
 SAMPLE_PER_LANG = 1000
 ROUNDS = 6
-#: A text is rejected when its cosine falls below this share of the least cosine but 1 % of
-#: the centroid's sample.
-REJECT_SHARE = 0.5
+#: A text is rejected when its cosine, set against what its length allows, falls below this
+#: share of the value that all but 1 % of the centroid's own sample reach.
+REJECT_SHARE = 0.25
+#: A text with few different trigrams can only reach a small cosine with a centroid that has
+#: many: about sqrt(d / (d + this)) of what a long text reaches.
+HALF_LENGTH = 200
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -64,6 +68,11 @@ def unit(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / np.where(size > 0, size, 1)
 
 
+def length_share(counts: np.ndarray) -> np.ndarray:
+    d = np.count_nonzero(counts, axis=-1)
+    return np.sqrt(d / (d + HALF_LENGTH))
+
+
 def cluster(vectors: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     """Spherical k-means from a farthest-first start: no random numbers, equal on any run."""
     pick = [0]
@@ -115,12 +124,14 @@ def fit(labelled: DataFrame, dims: int = DIMS, centroids: int = CENTROIDS,
         out = {"lang": [], "centre": [], "least": []}
         if texts:
             data, off = text_buffer(pa.array(texts, pa.string()))
-            v = unit(np.stack([term_counts(data[off[i]:off[i + 1]], dims) for i in range(len(texts))]), idf)
+            counts = np.stack([term_counts(data[off[i]:off[i + 1]], dims) for i in range(len(texts))])
+            v = unit(counts, idf)
+            reach = length_share(counts)
             centre = cluster(v, centroids)
             near = v @ centre.T
             owner = np.argmax(near, axis=1)
             for i, c in enumerate(centre):
-                own = near[owner == i, i]
+                own = near[owner == i, i] / reach[owner == i]
                 if len(own):
                     out["lang"].append(lang)
                     out["centre"].append(c.astype(np.float32).tobytes())
@@ -135,17 +146,15 @@ def fit(labelled: DataFrame, dims: int = DIMS, centroids: int = CENTROIDS,
             "centres": np.stack([np.frombuffer(r["centre"], np.float32) for r in rows])}
 
 
-def nearest(model: dict | None, text: np.ndarray) -> tuple[int, float] | None:
-    """Index of the nearest centroid and the cosine; None for a text without a letter."""
+def nearest(model: dict | None, text: np.ndarray) -> tuple[int, float, bool] | None:
+    """Index of the nearest centroid, the cosine, and whether the text is rejected; None for a
+    text without a letter."""
     if model is None or not len(text) or not _LETTER.search(text.tobytes().decode("utf-8", "replace")):
         return None
-    near = model["centres"] @ unit(term_counts(text, len(model["idf"])), model["idf"])
+    counts = term_counts(text, len(model["idf"]))
+    near = model["centres"] @ unit(counts, model["idf"])
     best = int(np.argmax(near))
-    return best, float(near[best])
-
-
-def is_rejected(model: dict, best: int, cosine: float, share: float = REJECT_SHARE) -> bool:
-    return cosine < share * model["least"][best]
+    return best, float(near[best]), bool(near[best] < REJECT_SHARE * model["least"][best] * length_share(counts))
 
 
 def predict(docs: DataFrame, model: dict | None) -> DataFrame:
@@ -156,7 +165,7 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
             for i in range(len(off) - 1):
                 found = nearest(model, data[off[i]:off[i + 1]])
                 out.append((UNKNOWN, 0.0, True) if found is None else
-                           (model["langs"][found[0]], min(max(found[1], 0.0), 1.0), is_rejected(model, *found)))
+                           (model["langs"][found[0]], min(max(found[1], 0.0), 1.0), found[2]))
             return list(zip(*out))
         return handle
 
@@ -176,7 +185,7 @@ def keep_known(docs: DataFrame, learn_from=None) -> DataFrame:
             for _, data, off in blocks([batch], at):
                 for i in range(len(off) - 1):
                     found = nearest(model, data[off[i]:off[i + 1]])
-                    keep.append(found is not None and not is_rejected(model, *found))
+                    keep.append(found is not None and not found[2])
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
