@@ -1,0 +1,56 @@
+import collections
+import random
+import re
+
+from tierline.llm import line_dedup as ld
+
+
+def key(line):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), re.sub(r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "", line))
+
+
+def brute(docs, min_docs):
+    seen = collections.defaultdict(set)
+    for d, t in docs:
+        for x in (t or "").split("\n"):
+            seen[key(x)].add(d)
+    bad = {k for k, v in seen.items() if k and len(v) >= min_docs}
+    out = []
+    for d, t in docs:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if key(x) not in bad]
+        out.append((d, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=repr)
+
+
+def test_equals_brute_force(make):
+    rng = random.Random(4)
+    pool = ["Same line", " same LINE\t", "x", "", "É", "é", "\x0b", "other one", "rare a", "rare b"]
+    docs = [(i, "\n".join(rng.choice(pool[:6 + i % 5]) for _ in range(rng.randint(0, 6)))) for i in range(40)]
+    docs += [(40, None), (41, ""), (None, "x"), (None, "x\nx"), (5, "x"), (5, "x")]
+    for batches in (1, 5):
+        rows = ld.deduplicate(make(docs, more="batch int, h1 long, _n long"), min_docs=7, batches=batches)
+        got = sorted(((r.doc_id, r._n_lines, r._n_dropped, r.text) for r in rows.collect()), key=repr)
+        assert got == brute(docs, 7)
+
+
+def test_levels_merge_and_frequent_keys_stop_counting(make, spark):
+    runs = ld.LineRuns(spark, min_docs=2, fanout=2)
+    for batch in range(5):
+        keys = spark.createDataFrame([(1, 1, 10 * batch), (1, 1, 10 * batch + 1), (batch, 2, batch)], "h1 long, h2 long, doc_id long")
+        runs.add(keys)
+    assert [len(x) for x in runs.levels] == [1, 0, 1]  # 5 batches: levels 0 and 2
+    counts = {(r.h1, r.h2): r.n_docs for r in runs.counts().collect()}
+    assert counts[1, 1] == 2  # known as frequent after the first batch
+    assert sorted((r.h1, r.h2) for r in runs.frequent().collect()) == [(1, 1)]
+
+
+def test_other_columns_stay_and_empty_table(make):
+    docs = make(["a\nb"])
+    assert ld.deduplicate(docs).select(docs.columns).collect()[0].text == "a\nb"
+    assert ld.deduplicate(docs.limit(0)).count() == 0
+
+
+def test_min_chars(make):
+    docs = make([(i, "ab\nabc") for i in range(4)])
+    assert {r.text for r in ld.deduplicate(docs, min_docs=3, min_chars=3).collect()} == {"ab"}

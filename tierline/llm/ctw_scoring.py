@@ -47,6 +47,8 @@ from tierline.llm.common import blocks, hash_mod, table, texts_of, written
 
 DEPTH = 5
 SLOTS = 1 << 23
+#: Slots a node, while the table is below its bound.
+SPARE = 2
 END = 255
 #: Grams a task holds before it merges equal ones.
 MERGE_GRAMS = 1 << 21
@@ -249,7 +251,7 @@ def context(column: str, size: int) -> Column:
     return F.shiftright(column, 8).bitwiseAND((1 << (8 * size)) - 1)
 
 
-def train(docs: DataFrame, depth: int = DEPTH, slots: int = SLOTS) -> Tree:
+def train(docs: DataFrame, depth: int = DEPTH, slots: int = SLOTS, spare: int = SPARE) -> Tree:
     """The tree of all texts of ``docs``."""
     schema = StructType.fromDDL(NODES)
     arrow = to_arrow_schema(schema)
@@ -281,7 +283,7 @@ def train(docs: DataFrame, depth: int = DEPTH, slots: int = SLOTS) -> Tree:
         heads = middle.filter(F.col("node").isNotNull())
         parts.append(middle)
 
-    used = min(slots, 1 << max(10, (2 * lower.count()).bit_length()))  # a smaller table for fewer nodes
+    used = min(slots, 1 << max(10, (spare * lower.count()).bit_length()))  # a smaller table for fewer nodes
     tree = Tree(depth, used)
     for part in parts:  # the shallower nodes last: they win their slots
         best = part.groupBy(F.col("slot").bitwiseAND(used - 1).alias("slot")).agg(
@@ -345,11 +347,11 @@ def _read_blocks(docs: DataFrame, held_out: Column, tree: Tree) -> DataFrame:
     return rows.select("doc_id", F.col("text").cast("string").alias("text"), "held_out").mapInArrow(read, schema)
 
 
-def score(docs: DataFrame, held_out: Column, depth: int = DEPTH, slots: int = SLOTS) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, depth: int = DEPTH, slots: int = SLOTS, spare: int = SPARE) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte."""
     docs = docs.select("doc_id", "text", held_out.alias("held_out"))
     texts_of(docs)  # bounds the batches
-    tree = train(docs.filter(~F.col("held_out")), depth, slots)
+    tree = train(docs.filter(~F.col("held_out")), depth, slots, spare)
     rows = written(_read_blocks(docs, F.col("held_out"), tree), "ctw-blocks")
     words = rows.filter(F.col("word").isNotNull()).select("block", "word", "at", "n_train")
     documents = rows.filter(F.col("words").isNotNull()).select("block", "doc_id", "held_out", "n_bytes", "score", "words")
