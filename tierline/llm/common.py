@@ -44,6 +44,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that a later one has replaced."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def text_buffer(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string array, end to end, and the n+1 offsets; NULL has no bytes."""
     arr = arr.combine_chunks() if isinstance(arr, pa.ChunkedArray) else arr

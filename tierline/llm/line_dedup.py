@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm.common import scratch, table, written
+from tierline.llm.common import drop_path, scratch, table, written
 
 MIN_DOCS = 10
 MIN_CHARS = 1
@@ -85,6 +85,8 @@ class LineRuns:
             if len(self.levels[level]) >= self.fanout:
                 merged, self.levels[level] = self.levels[level], []
                 self._write(self._read(merged).groupBy(KEY).agg(F.sum("n_docs").alias("n_docs")), level + 1)
+                for path in merged:
+                    drop_path(self.spark, path)
             level += 1
 
 

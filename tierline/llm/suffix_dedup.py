@@ -5,7 +5,7 @@ Every byte covered by a ``LENGTH``-byte string that also starts anywhere else go
 *Sampled suffixes.*  In each string of ``LENGTH`` bytes the leftmost of its ``HEAD``-byte pieces with
 the least fingerprint is its anchor; it depends on the string's bytes alone, so equal strings
 have equal anchors at equal places.  Consecutive strings share an anchor, which leaves about one suffix
-in forty.  A suffix is ordered by the fingerprint of its first ``HEAD`` bytes: only equal
+in thirty.  A suffix is ordered by the fingerprint of its first ``HEAD`` bytes: only equal
 heads of one fixed length must stand together, so any fixed order serves.
 
 *Index family.*  Each batch of documents gets its suffix array: a table of (head, number of
@@ -34,10 +34,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tierline.llm.common import blocks, bounded_batches, scratch, table, text_buffer, written
+from tierline.llm.common import blocks, bounded_batches, drop_path, scratch, table, text_buffer, written
 
 LENGTH = 200
-HEAD = 120
+HEAD = 140
 BATCHES = 3
 #: Strings worked on at once; bounds a task's memory for a text of any length.
 PIECE = 1 << 20
@@ -163,8 +163,14 @@ class SuffixFamily:
             if len(self.levels[level]) >= self.fanout:
                 runs, self.levels[level] = self.levels[level], []
                 self._write(self._read(runs).groupBy("head").agg(F.sum("places").alias("places")), level + 1)
+                for path in runs:
+                    drop_path(self.spark, path)
             level += 1
 
+    def drop(self) -> None:
+        """Delete the family when no further batch will come."""
+        drop_path(self.spark, self.root)
+
 
 def _fingerprints(length: int) -> Fingerprints:
     return Fingerprints(PIECE + 2 * length + 1)
@@ -255,6 +261,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, head: int = HEAD, bat
         batch = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == b)
         found = family.add(batch_heads(batch, length, head))
         repeated = found if repeated is None else repeated.union(found)
+    family.drop()
     places = written(all_places(docs, length, head).join(repeated.distinct(), "head", "left_semi"), "suffix-places")
     kinds = written(places.groupBy("head", "span").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "version", "first", "strings")).alias("one")), "suffix-kinds")
@@ -264,7 +271,8 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, head: int = HEAD, bat
     strings = written(one_by_one(docs, one_each, length), "suffix-strings")
     twice = strings.groupBy("head", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("head", "string")
     # Strings of spans with several places are known already; only single spans ask.
-    parts = strings.filter("single").join(twice, ["head", "string"], "left_semi")
+    parts = written(strings.filter("single").join(twice, ["head", "string"], "left_semi").select(
+        "doc_id", "version", "first"), "suffix-parts")
     return whole.select("doc_id", "version", "first", "strings").union(
         parts.select("doc_id", "version", "first", F.lit(1).alias("strings")))
 
