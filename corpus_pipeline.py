@@ -5,7 +5,7 @@ documents.
 2. ``line_dedup``: lines found in many documents go from every text.
 3. ``near_duplicates``: one document of each SimHash group stays.
 4. ``decontaminate``: documents with a benchmark passage go.
-5. ``bpe``: token ids of every document, and the decoded text's digest.
+5. ``bpe``: token ids of every document, and the text decoded from them.
 
 Stages 1 to 4 return the columns of ``documents`` as they came; other columns of the input pass
 through.  Cases: a document without a letter, blank or NULL is rejected by stage 1.  Texts that stage 2
@@ -39,8 +39,7 @@ def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def _bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    encoded = bpe_tree.encode(docs)
-    return bpe_tree.digest(encoded, "ids")
+    return bpe_tree.encode(docs)
 
 
 STAGES = [

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -45,5 +46,24 @@ def test_rows_long_and_short(make, encoder):
     assert got == sorted(want, key=repr)
 
 
+def test_digests_are_those_of_ids_and_text(make):
+    texts = [None, "", "Hello  World", "a\x1c b\x85 ́", "y " * 300, "<|endoftext|> x"]
+    plain = {r.doc_id: r for r in bt.encode(make(texts), long_chars=200, leaf_chars=60).collect()}
+    for r in bt.encode(make(texts), long_chars=200, leaf_chars=60, digests=True).collect():
+        p = plain[r.doc_id]
+        assert r.n_tokens == p.n_tokens == len(p.ids)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, p.ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(p.decoded.encode()).hexdigest()
+
+
+def test_cache_is_bounded(encoder, monkeypatch):
+    monkeypatch.setattr(bt, "CACHE_PIECES", 3)
+    text = " ".join(f"word{i % 7}" for i in range(40))
+    (ids, decoded), = encoder.encode_texts([text])
+    want = encoder.whole.encode(text, add_special_tokens=False).ids
+    assert [i for own in ids for i in own] == want
+    assert " ".join(decoded) == encoder.whole.decode(want, skip_special_tokens=False)
+
+
 def test_empty_table(make):
-    assert bt.digest(bt.encode(make(["a"]).limit(0))).count() == 0
+    assert bt.encode(make(["a"]).limit(0)).count() == 0

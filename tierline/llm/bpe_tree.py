@@ -1,6 +1,7 @@
 """BPE encoding and decoding, long texts by tree concatenation.
 
-Texts up to ``long_chars`` are encoded whole.  A longer text is normalised once, cut into
+Texts up to ``long_chars`` are encoded word by word: the tokenizer never joins across ASCII
+blanks, so each different blank-free piece is encoded once and remembered, up to a bound.  A longer text is normalised once, cut into
 halves, halves of halves and so on down to ``leaf_chars``; the leaves are rows of their own,
 spread over all tasks.  Then neighbours are joined pairwise up the tree.  At each join a
 window around the cut is encoded anew and grows until it agrees exactly with both sides:
@@ -18,8 +19,11 @@ to the workers.
 
 from __future__ import annotations
 
+import hashlib
 import re
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +33,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tierline.llm.common import table, texts_of, with_columns, written
 
 TOKENIZER = "word_bpe_49k.json"
-LONG_CHARS = 1 << 15
-LEAF_CHARS = 1 << 13
+LONG_CHARS = 1 << 16
+LEAF_CHARS = 1 << 14
 WINDOW = 64
+#: Pieces that a task remembers; the memory starts anew beyond it.
+CACHE_PIECES = 1 << 19
+#: Text bytes encoded at once.
+BLOCK = 1 << 20
+_BLANKS = "\t\n\x0b\x0c\r"
 
 
 def tokenizer_json(name: str = TOKENIZER) -> str:
@@ -45,7 +54,7 @@ class Encoder:
     """The library's tokenizer, and the same one without its normalizer for parts of a text
     that is normalised already."""
 
-    def __init__(self, content: str):
+    def __init__(self, content: str, digests: bool = False):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -61,9 +70,41 @@ class Encoder:
         self.part.encode_special_tokens = True  # special tokens were split off before
         special = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items()}
         self.special = special
+        self.digests = digests
+        self.seen: dict[str, tuple] = {}
         names = sorted(special, key=lambda s: (-len(s), s))
         self.split = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
 
+    def encode_texts(self, texts: list[str]) -> list[tuple[list, list[str]]]:
+        """For each text its pieces' ids (lists, or text when ``digests``) and decoded text;
+        pieces without a token are left out."""
+        split = []
+        for text in texts:
+            for blank in _BLANKS:
+                text = text.replace(blank, " ")
+            split.append(text.split(" "))
+        self._remember(split)
+        out = []
+        for own in split:
+            ids, decoded = zip(*map(self.seen.__getitem__, own))
+            if None in decoded:
+                ids, decoded = [i for i in ids if i is not None], [d for d in decoded if d is not None]
+            out.append((ids, decoded))
+        return out
+
+    def _remember(self, split: list[list[str]]) -> None:
+        wanted = set().union(*split) - self.seen.keys()
+        if len(self.seen) + len(wanted) > CACHE_PIECES:
+            self.seen.clear()
+            wanted = set().union(*split)
+        new = list(wanted)
+        for i in range(0, len(new), 4096):
+            some = new[i:i + 4096]
+            ids = [e.ids for e in self.whole.encode_batch_fast(some, add_special_tokens=False)]
+            decoded = self.whole.decode_batch(ids, skip_special_tokens=False)
+            for piece, own, text in zip(some, ids, decoded):
+                self.seen[piece] = (" ".join(map(str, own)) if self.digests else own, text) if own else (None, None)
+
     def sections(self, text: str) -> list[tuple[int | None, str]]:
         """(special id, "") or (None, normalised text), in the order of the text."""
         parts = self.split.split(text) if self.split else [text]
@@ -149,23 +190,34 @@ def encode_long(encoder: Encoder, text: str, leaf: int = LEAF_CHARS, window: int
 
 
 def encode(docs: DataFrame, content: str | None = None, long_chars: int = LONG_CHARS,
-           leaf_chars: int = LEAF_CHARS) -> DataFrame:
-    """doc_id, ids (array of int) and decoded (text)."""
+           leaf_chars: int = LEAF_CHARS, digests: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids (array of int) and decoded (text); with ``digests`` the SHA-256 of
+    the ids, written with one blank between, and of the decoded text in their place."""
     content = content or tokenizer_json()
     docs = docs.select("doc_id", "text")
     is_long = F.length("text") > long_chars
+    fields = "n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string")
+
+    def row(ids: list, decoded: list[str]) -> tuple:
+        """Output columns from pieces of ids and of decoded text."""
+        text = " ".join(decoded)
+        if not digests:
+            flat = np.fromiter(chain.from_iterable(ids), np.int32)
+            return len(flat), flat, text
+        numbers = " ".join(ids)
+        return (numbers.count(" ") + 1 if numbers else 0, hashlib.sha256(numbers.encode()).hexdigest(),
+                hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest())
 
     def start():
-        enc = Encoder(content)
+        enc = Encoder(content, digests)
 
         def handle(data, off):
             raw = data.tobytes()
             texts = [raw[off[i]:off[i + 1]].decode("utf-8", "replace") for i in range(len(off) - 1)]
-            ids = [e.ids for e in enc.whole.encode_batch_fast(texts, add_special_tokens=False)]
-            return [ids, enc.whole.decode_batch(ids, skip_special_tokens=False)]
+            return list(zip(*(row(*found) for found in enc.encode_texts(texts))))
         return handle
 
-    short = with_columns(docs.filter(~F.coalesce(is_long, F.lit(False))), start, "ids array<int>, decoded string")
+    short = with_columns(docs.filter(~F.coalesce(is_long, F.lit(False))), start, fields, BLOCK)
     key = docs.schema["doc_id"].dataType
     leaf_schema = StructType.fromDDL("row long, section int, special int, at int, size int, text string").add("doc_id", key)
     leaf_arrow = to_arrow_schema(leaf_schema)
@@ -191,13 +243,13 @@ def encode(docs: DataFrame, content: str | None = None, long_chars: int = LONG_C
         enc = None
         for batch in batches:
             enc = enc or Encoder(content)
-            rows = batch.to_pylist()
-            for r in rows:
+            for i in range(batch.num_rows):  # one leaf at a time bounds the units held
+                r = batch.slice(i, 1).to_pylist()[0]
                 units = enc.tokens(r["text"], r["at"]) if r["special"] is None else []
                 r |= {"ids": [list(u[0]) for u in units], "starts": [u[1] for u in units], "ends": [u[2] for u in units]}
-            yield pa.RecordBatch.from_pylist(rows, schema=unit_arrow)
+                yield pa.RecordBatch.from_pylist([r], schema=unit_arrow)
 
-    out_schema = StructType([docs.schema["doc_id"], *StructType.fromDDL("ids array<int>, decoded string").fields])
+    out_schema = StructType([docs.schema["doc_id"], *StructType.fromDDL(fields).fields])
     out_arrow = to_arrow_schema(out_schema)
 
     loaded: list[Encoder] = []  # one a task
@@ -218,19 +270,13 @@ def encode(docs: DataFrame, content: str | None = None, long_chars: int = LONG_C
             text = "".join(r["text"] for r in own)
             units = {r["at"]: [(tuple(i), s, e) for i, s, e in zip(r["ids"], r["starts"], r["ends"])] for r in own}
             ids += [i for u in enc.build(text, 0, len(text), leaf_chars, units) for i in u[0]]
-        return pa.Table.from_pylist([{"doc_id": rows[0]["doc_id"], "ids": ids,
-                                      "decoded": enc.whole.decode(ids, skip_special_tokens=False)}], schema=out_arrow)
+        decoded = enc.whole.decode(ids, skip_special_tokens=False)
+        found = row([" ".join(map(str, ids))] if digests else [ids], [decoded])
+        return pa.table([[v] for v in (rows[0]["doc_id"], *found)], schema=out_arrow)
 
     encoded = leaves.repartition("row", "section", "at").mapInArrow(encode_leaves, unit_schema)
     return short.unionByName(encoded.groupBy("row").applyInArrow(join, out_schema))
 
 
-def digest(encoded: DataFrame, *more: str) -> DataFrame:
-    return encoded.select(
-        "doc_id", *more, F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
-
-
 def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(encode(table(spark, sf_dir, "documents")))
+    return encode(table(spark, sf_dir, "documents"), digests=True)

@@ -81,7 +81,7 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def with_columns(docs: DataFrame, fn, fields: str, text_col: str = "text") -> DataFrame:
+def with_columns(docs: DataFrame, fn, fields: str, limit: int = BLOCK_BYTES) -> DataFrame:
     """Rows of ``docs`` (doc_id, text) as doc_id and the columns that ``fn`` returns.
 
     ``fn()`` runs once a task and returns a function from a block ``(data, offsets)`` to a
@@ -96,7 +96,7 @@ def with_columns(docs: DataFrame, fn, fields: str, text_col: str = "text") -> Da
 
     def run(batches):
         handle = None
-        for rows, data, off in blocks(batches):
+        for rows, data, off in blocks(batches, limit=limit):
             handle = handle or fn()
             cols = handle(data, off)
             yield pa.RecordBatch.from_arrays(
