@@ -50,6 +50,8 @@ SLOTS = 1 << 23
 #: Slots a node, while the table is below its bound.
 SPARE = 2
 END = 255
+#: Text bytes scored at once.
+PIECE = 1 << 20
 #: Grams a task holds before it merges equal ones.
 MERGE_GRAMS = 1 << 21
 
@@ -92,7 +94,7 @@ def count_grams(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         import pandas as pd
 
         keys, counts, held = [], [], 0
-        for _, data, off in blocks(batches):
+        for _, data, off in blocks(batches, limit=PIECE):
             code, uniq = pd.factorize(symbols(*normal(data, off)[:2], depth)[0])
             keys.append(uniq)
             counts.append(np.bincount(code, minlength=len(uniq)))
@@ -188,29 +190,58 @@ class Tree:
         self.p1 = np.zeros(slots, np.uint16)
         self.weight = np.zeros(slots, np.uint16)
 
-    def put(self, slot: np.ndarray, tag: np.ndarray, p1: np.ndarray, weight: np.ndarray) -> None:
-        self.tag[slot], self.p1[slot], self.weight[slot] = tag, to_odds(p1), to_odds(weight)
+    def put(self, slot: np.ndarray, packed: np.ndarray) -> None:
+        self.tag[slot] = packed >> 32 & 0xFFFF
+        self.p1[slot] = packed >> 16 & 0xFFFF
+        self.weight[slot] = packed & 0xFFFF
 
     def log10(self, grams: np.ndarray) -> np.ndarray:
-        """log10 probability of each gram's symbol in its context."""
+        """log10 probability of each gram's symbol in its context.  The nodes of a depth are
+        looked up once for all grams that share them."""
+        import pandas as pd
+
+        shared = [pd.factorize(grams & np.uint64((1 << (8 * (d + 1))) - 1)) for d in range(self.depth + 1)]
         total = np.zeros(len(grams))
         x = grams & np.uint64(255)
         for k in range(8):
-            bit = ((x >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
             p, deeper = np.full(len(grams), 0.5), np.zeros(len(grams), bool)
             for d in range(self.depth, -1, -1):
-                node = (grams & np.uint64((1 << (8 * (d + 1))) - 1) & ~np.uint64(255)) | np.uint64(1 << k) | (x >> np.uint64(8 - k))
-                h = hash_node(node, d)
+                code, gram = shared[d]
+                symbol = gram & np.uint64(255)
+                bit = ((symbol >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
+                h = hash_node((gram & ~np.uint64(255)) | np.uint64(1 << k) | (symbol >> np.uint64(8 - k)), d)
                 slot = (h & np.uint64(self.slots - 1)).astype(np.int64)
-                known = self.tag[slot] == tag_of(h)
-                w, p1 = UNIT[self.weight[slot]], UNIT[self.p1[slot]]
-                own = np.where(bit, p1, 1 - p1)
+                known, w, p1 = self.tag[slot] == tag_of(h), UNIT[self.weight[slot]], UNIT[self.p1[slot]]
+                known, w, own = known[code], w[code], np.where(bit, p1, 1 - p1)[code]
                 p = np.where(known, np.where(deeper, w * own + (1 - w) * p, own), p)
                 deeper |= known
             total += np.log10(p)
         return total
 
 
+class Remembered:
+    """Scores of grams seen before in this task, sorted by gram; starts anew beyond a bound."""
+
+    def __init__(self, tree: Tree):
+        self.tree = tree
+        self.gram, self.score = np.empty(0, np.uint64), np.empty(0)
+
+    def log10(self, grams: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.gram, grams)
+        new = np.ones(len(grams), bool)
+        inside = at < len(self.gram)
+        new[inside] = self.gram[at[inside]] != grams[inside]
+        out = np.empty(len(grams))
+        out[~new] = self.score[at[~new]]
+        out[new] = self.tree.log10(grams[new])
+        if len(self.gram) > MERGE_GRAMS:
+            self.gram, self.score = np.empty(0, np.uint64), np.empty(0)
+        gram, score = np.concatenate((self.gram, grams[new])), np.concatenate((self.score, out[new]))
+        order = np.argsort(gram)
+        self.gram, self.score = gram[order], score[order]
+        return out
+
+
 def tag_of(h: np.ndarray) -> np.ndarray:
     return ((h >> np.uint64(48)) | np.uint64(1)).astype(np.uint16)
 
@@ -232,16 +263,21 @@ def whole_groups(batches, names: list[str], least: int = MERGE_GRAMS):
         yield [rows.column(c).to_numpy() for c in names]
 
 
-NODES = "slot int, tag int, n double, p1 float, weight float, node long, zeros double, ones double, pw double"
+NODES = "slot int, packed long, node long, zeros double, ones double, pw double"
+
+
+def pack(n: np.ndarray, tag: np.ndarray, p1: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """A node in one integer, the logarithm of its count on top: the greatest has most counts."""
+    size = np.minimum(np.rint(np.log2(n + 1) * 1000), 32767).astype(np.int64)
+    return size << 48 | tag.astype(np.int64) << 32 | to_odds(p1).astype(np.int64) << 16 | to_odds(weight).astype(np.int64)
 
 
 def _rows(schema: pa.Schema, slots: int, d: int, node, zeros, ones, weight, pw=None) -> pa.RecordBatch:
     """Finished nodes; those of the top (``pw`` given) with what the level above needs."""
     h = hash_node(node, d)
-    none = pa.nulls(len(node))
-    top = [none] * 4 if pw is None else [node.astype(np.int64), zeros, ones, pw]
-    cols = [(h & np.uint64(slots - 1)).astype(np.int32), tag_of(h).astype(np.int32), zeros + ones,
-            ((ones + 0.5) / (zeros + ones + 1)).astype(np.float32), weight.astype(np.float32), *top]
+    top = [pa.nulls(len(node))] * 4 if pw is None else [node.astype(np.int64), zeros, ones, pw]
+    cols = [(h & np.uint64(slots - 1)).astype(np.int32),
+            pack(zeros + ones, tag_of(h), (ones + 0.5) / (zeros + ones + 1), weight), *top]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) if isinstance(c, np.ndarray) else c.cast(f.type)
                                        for c, f in zip(cols, schema)], schema=schema)
 
@@ -286,20 +322,20 @@ def train(docs: DataFrame, depth: int = DEPTH, slots: int = SLOTS, spare: int =
     used = min(slots, 1 << max(10, (spare * lower.count()).bit_length()))  # a smaller table for fewer nodes
     tree = Tree(depth, used)
     for part in parts:  # the shallower nodes last: they win their slots
-        best = part.groupBy(F.col("slot").bitwiseAND(used - 1).alias("slot")).agg(
-            F.max_by(F.struct("tag", "p1", "weight"), F.struct("n", "tag", "p1", "weight")).alias("best"))
-        rows = best.select("slot", "best.*").toArrow()  # one row a slot at most
-        tree.put(*(rows.column(c).to_numpy() for c in ("slot", "tag", "p1", "weight")))
+        best = part.groupBy(F.col("slot").bitwiseAND(used - 1).alias("slot")).agg(F.max("packed").alias("packed"))
+        rows = best.toArrow()  # one row a slot at most
+        tree.put(rows.column("slot").to_numpy(), rows.column("packed").to_numpy())
     rows = heads.select("node", "zeros", "ones", "pw").toArrow()  # fewer than 256 * 256
     node, zeros, ones, below = group_by(parent(rows.column("node").to_numpy().astype(np.uint64), 1),
                                         *(rows.column(c).to_numpy() for c in ("zeros", "ones", "pw")))
     _, weight = weigh(log_kt(zeros, ones), below)
     h = hash_node(node, 0)
-    tree.put((h & np.uint64(used - 1)).astype(np.int64), tag_of(h), (ones + 0.5) / (zeros + ones + 1), weight)
+    tree.put((h & np.uint64(used - 1)).astype(np.int64),
+             pack(zeros + ones, tag_of(h), (ones + 0.5) / (zeros + ones + 1), weight))
     return tree
 
 
-BLOCK = ("block string, doc_id {key}, held_out boolean, n_bytes long, score double, words binary, "
+BLOCK = ("block long, doc_id {key}, held_out boolean, n_bytes long, score double, words binary, "
          "word binary, at int, n_train long")
 
 
@@ -319,15 +355,16 @@ def _read_blocks(docs: DataFrame, held_out: Column, tree: Tree) -> DataFrame:
 
         model = Tree.__new__(Tree)
         vars(model).update(shared.value)
+        known = Remembered(model)
         for batch in batches:
-            block, places = uuid.uuid4().hex, {}
+            block, places = uuid.uuid4().int >> 65, {}
             held = batch.column(2).to_pylist()
             scores, sizes, words = [], [], []
-            for _, raw, cut in blocks([batch]):
+            for _, raw, cut in blocks([batch], limit=PIECE):
                 data, off, split = normal(raw, cut)
                 grams, out = symbols(data, off, model.depth)
                 code, uniq = pd.factorize(grams)
-                total = np.concatenate(([0.0], np.cumsum(model.log10(uniq)[code])))
+                total = np.concatenate(([0.0], np.cumsum(known.log10(uniq)[code])))
                 scores += (total[out[1:]] - total[out[:-1]]).tolist()
                 sizes += np.diff(off).tolist()
                 words += [np.fromiter((places.setdefault(w, len(places)) for w in own), np.int32, len(own)) for own in split]
