@@ -2,8 +2,10 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
+from tierline.sources.tables import TierStore
 from tierline.sources.topics import to_topic_records
 from tierline.streaming import ingest
 
@@ -83,7 +85,7 @@ ORDER_CASES = {
     16: (one_item(quantity=True), ["items.quantity: integer > 0 required"]),
     17: (one_item(extra={"nested": 1}), []),
     18: (order(items=[None]), ["items: object expected"]),
-    19: (one_item(quantity=3_000_000_000), ["items.quantity: integer > 0 required"]),
+    19: (one_item(quantity=3_000_000_000), []),
     20: (one_item(quantity=" 2 "), []),
     21: (order(items=[{"product_id": "a", "product_name": "A", "quantity": 1, "unit_price": 1},
                       {"product_id": 5, "product_name": "B", "quantity": 1, "unit_price": 1}]),
@@ -159,54 +161,95 @@ def _write_json_lines(folder, name, rows):
                                  "timestamp": ts.isoformat() + "Z", "value": value}) + "\n")
 
 
-def test_streaming_ingest_is_idempotent(spark, tmp_dir):
+def _ingest(spark, store, src, checkpoint=None):
+    ingest.start_ingest(ingest.read_topics(spark, "files", src), store, checkpoint, available_now=True).awaitTermination()
+
+
+def _counts(spark, store):
+    return tuple(store.read(spark, "bronze", t).count() for t in ("events", "orders", "dead_letter"))
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_streaming_ingest_is_idempotent(spark, tmp_dir, fmt):
     src = os.path.join(tmp_dir, "topics")
     rows = [msg("raw.events", o, v) for o, (v, _) in EVENT_CASES.items()]
     rows += [msg("raw.orders", o, v) for o, (v, _) in ORDER_CASES.items()]
     _write_json_lines(src, "part-0.json", rows)
-    paths = {k: os.path.join(tmp_dir, k) for k in ("bronze_events", "bronze_orders", "dead_letter")}
-    ckpt = os.path.join(tmp_dir, "ckpt")
-
-    def run():
-        q = ingest.start_ingest(ingest.read_topics(spark, "files", src), paths, ckpt, available_now=True)
-        q.awaitTermination()
-
-    def counts():
-        return tuple(spark.read.parquet(paths[k]).count() for k in ("bronze_events", "bronze_orders", "dead_letter"))
-
-    run()
-    first = counts()
+    store = TierStore(os.path.join(tmp_dir, "lake"), fmt)
+    store.bootstrap(spark)
+    _ingest(spark, store, src)
+    first = _counts(spark, store)
     n_bad_ev = sum(1 for _, e in EVENT_CASES.values() if e)
     n_bad_od = sum(1 for _, e in ORDER_CASES.values() if e)
     assert first == (len(EVENT_CASES) - n_bad_ev, len(ORDER_CASES) - n_bad_od, n_bad_ev + n_bad_od)
-    run()  # restart on the same checkpoint: nothing new
-    assert counts() == first
+    _ingest(spark, store, src)  # restart on the same checkpoint: nothing new
+    assert _counts(spark, store) == first
     _write_json_lines(src, "part-1.json", [msg("raw.events", 100, event(event_id="e2"))])
-    run()
-    assert counts() == (first[0] + 1, first[1], first[2])
-    # replaying a batch id rewrites its partition instead of appending
-    ingest.write_batch(spark.createDataFrame([msg("raw.events", 101, event(event_id="e3"))], ingest.TOPIC_SCHEMA),
-                       0, paths)
-    ingest.write_batch(spark.createDataFrame([msg("raw.events", 101, event(event_id="e3"))], ingest.TOPIC_SCHEMA),
-                       0, paths)
-    ev = spark.read.parquet(paths["bronze_events"])
-    assert ev.filter("batch_id = 0").count() == 1
+    _ingest(spark, store, src)
+    assert _counts(spark, store) == (first[0] + 1, first[1], first[2])
+    # a replayed batch replaces its own rows
+    run = ingest.query_id(spark, ingest.default_checkpoint(store))
+    again = spark.createDataFrame([msg("raw.events", 100, event(event_id="e2"))], ingest.TOPIC_SCHEMA)
+    ingest.write_batch(again, 1, store, run)
+    assert _counts(spark, store) == (first[0] + 1, first[1], first[2])
+
+
+def test_another_checkpoint_adds_and_never_replaces(spark, tmp_dir):
+    store = TierStore(os.path.join(tmp_dir, "lake"))
+    store.bootstrap(spark)
+    for n, name in enumerate(("one", "two")):
+        src = os.path.join(tmp_dir, name)
+        _write_json_lines(src, "a.json", [msg("raw.events", 10 * n + i, event(event_id=f"{name}{i}")) for i in range(3)])
+        _ingest(spark, store, src, os.path.join(tmp_dir, f"ckpt-{name}"))
+    ids = sorted(r.event_id for r in store.read(spark, "bronze", "events").collect())
+    assert ids == ["one0", "one1", "one2", "two0", "two1", "two2"]
+    landed = store.read(spark, "bronze", "events", partitions=True).select("ingest_date", "run", "batch_id").distinct().collect()
+    assert len(landed) == 2 and {r.batch_id for r in landed} == {0} and all(r.ingest_date for r in landed)
 
 
 def test_continuous_ingest_picks_up_new_files(spark, tmp_dir):
     src = os.path.join(tmp_dir, "topics")
     _write_json_lines(src, "a.json", [msg("raw.events", 1, event(event_id="c1"))])
-    paths = {k: os.path.join(tmp_dir, k) for k in ("bronze_events", "bronze_orders", "dead_letter", "ingest_stats")}
-    q = ingest.start_ingest(ingest.read_topics(spark, "files", src), paths, os.path.join(tmp_dir, "ckpt"),
-                            interval="1 second")
+    store = TierStore(os.path.join(tmp_dir, "lake"))
+    store.bootstrap(spark)
+    q = ingest.start_ingest(ingest.read_topics(spark, "files", src), store, interval="1 second")
     try:
         q.processAllAvailable()
         _write_json_lines(src, "b.json", [msg("raw.events", 2, event(event_id="c2")), msg("raw.events", 3, "{bad")])
         q.processAllAvailable()
     finally:
         q.stop()
-    ids = sorted(r.event_id for r in spark.read.parquet(paths["bronze_events"]).collect())
+    ids = sorted(r.event_id for r in store.read(spark, "bronze", "events").collect())
     assert ids == ["c1", "c2"]
-    assert spark.read.parquet(paths["dead_letter"]).count() == 1
-    stats = spark.read.parquet(paths["ingest_stats"]).groupBy("source_name").sum("rows", "dead_letters").collect()
+    assert store.read(spark, "bronze", "dead_letter").count() == 1
+    stats = store.read(spark, "bronze", "ingest_stats").groupBy("source_name").sum("rows", "dead_letters").collect()
     assert {(r.source_name, r[1], r[2]) for r in stats} >= {("bronze.events", 2, 1)}
+
+
+def test_lax_values_follow_the_record_model(spark):
+    """Text that Spark's own casts would take, or cut, or fill in from the clock."""
+    def errors(value, topic="raw.events"):
+        df = ingest.decode(spark.createDataFrame([msg(topic, 1, value)], ingest.TOPIC_SCHEMA))
+        check = ingest.validate_events if topic == "raw.events" else ingest.validate_orders_raw
+        return check(df).collect()[0]
+
+    assert list(errors(event(timestamp="10:30:00")).errors) == ["timestamp: datetime expected"]
+    assert errors(event(timestamp="2024")).timestamp == dt.datetime(1970, 1, 1, 0, 33, 44)
+    assert errors(event(timestamp="1706608800")).timestamp == dt.datetime(2024, 1, 30, 10, 0)
+    repeated = '{"event_id":"z",' + json.dumps(event(event_id="e1"))[1:]
+    assert errors(repeated).event_id == "e1" and not errors(repeated).errors
+
+    def order_with(**fields):
+        return {**ORDER_CASES[0][0], "items": [{**ORDER_CASES[0][0]["items"][0], **fields}]}
+
+    bad_quantity, bad_price = ["items.quantity: integer > 0 required"], ["items.unit_price: number > 0 required"]
+    big = errors(order_with(quantity=3_000_000_000), "raw.orders")
+    assert not big.errors and json.loads(big["items"])[0]["quantity"] == 3_000_000_000
+    assert not errors(order_with(quantity=10 ** 20), "raw.orders").errors
+    assert list(errors(order_with(quantity=2.00000000001), "raw.orders").errors) == bad_quantity
+    assert list(errors(order_with(quantity="5d"), "raw.orders").errors) == bad_quantity
+    assert list(errors(order_with(unit_price="5f"), "raw.orders").errors) == bad_price
+    assert not errors(order_with(unit_price="5.5"), "raw.orders").errors
+    wide = {**ORDER_CASES[0][0], "items": ORDER_CASES[0][0]["items"] + [
+        {**ORDER_CASES[0][0]["items"][0], **{f"extra_{i}_{'x' * 200}": i for i in range(6000)}, "zz": {"nested": 1}}]}
+    assert not errors(wide, "raw.orders").errors  # a merged schema of over a megabyte

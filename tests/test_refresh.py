@@ -3,6 +3,8 @@ import os
 
 import pytest
 
+from helpers import ts
+
 from tierline.plans.refresh import run_refresh
 from tierline.sources import fixtures as fx
 from tierline.sources.tables import TierStore
@@ -106,3 +108,114 @@ def test_refresh_of_a_fresh_store_without_ingest(spark, tmp_dir):
     assert {r.status for r in res.freshness.collect()} == {"warn"}  # no rows yet: stale, never failing
     assert store.read(spark, "gold", "daily_kpis").count() == 0
     assert store.read(spark, "gold", "customer_360").count() == 0
+
+
+def test_stats_never_hide_raw_rows_without_them(spark, tmp_dir):
+    """A row loaded some other way is newer than every batch that has statistics."""
+    from helpers import bronze_events, ev
+    store = TierStore(os.path.join(tmp_dir, "lake"))
+    store.bootstrap(spark)
+    from tierline.plans.refresh import freshness
+    stats = spark.createDataFrame([("bronze.events", 1, 0, ts("2024-01-01 00:00:00"))],
+                                  "source_name string, rows long, dead_letters long, latest_at timestamp_ntz")
+    store.land(stats, "ingest_stats", "r", 0)
+    from pyspark.sql import functions as F
+    day = F.to_date("timestamp").alias("ingest_date")
+    store.land(bronze_events(spark, [ev("e0", when="2024-01-01 00:00:00")]).select("*", day), "events", "r", 0)
+    store.land(bronze_events(spark, [ev("e1", when="2024-01-09 00:00:00")]).select("*", day), "events", "other", 0)
+    got = {r.source_name: r for r in freshness(spark, store, "2024-01-09 00:10:00").collect()}
+    assert got["bronze.events"].latest_at == ts("2024-01-09 00:00:00") and got["bronze.events"].status == "pass"
+
+
+def test_bootstrap_after_a_failed_lookup_keeps_every_row(spark, tmp_dir, monkeypatch):
+    from helpers import bronze_events, ev
+    from tierline.operators import silver
+    from tierline.sources import tables
+    store = TierStore(os.path.join(tmp_dir, "lake"))
+    store.bootstrap(spark)
+    store.write(silver.clean_events(bronze_events(spark, [ev("e1")]), fx.FIXTURE_AS_OF), "silver", "clean_events")
+
+    def denied(spark_, path):
+        raise PermissionError("denied")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_fs", denied)
+        with pytest.raises(PermissionError):
+            store.bootstrap(spark)
+    store.bootstrap(spark)
+    assert store.read(spark, "silver", "clean_events").count() == 1
+
+
+def test_a_failed_rewrite_leaves_the_table(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    store = TierStore(os.path.join(tmp_dir, "lake"))
+    store.bootstrap(spark)
+    good = spark.createDataFrame([(None, "click", 1, 1, 0.5)], store.read(spark, "gold", "daily_kpis").schema)
+    store.write(good, "gold", "daily_kpis")
+    bad = good.withColumn("total_events", F.raise_error(F.lit("lost")).cast("long"))
+    with pytest.raises(Exception, match="lost"):
+        store.write(bad, "gold", "daily_kpis")
+    assert store.read(spark, "gold", "daily_kpis").count() == 1
+    store.write(good.union(good), "gold", "daily_kpis")
+    assert store.read(spark, "gold", "daily_kpis").count() == 2
+
+
+def _land(spark, store, batch, events, orders):
+    from helpers import bronze_events, bronze_orders
+    from pyspark.sql import functions as F
+    e, o = bronze_events(spark, events), bronze_orders(spark, orders)
+    store.land(e.withColumn("ingest_date", F.lit("2024-02-01").cast("date")), "events", "run", batch)
+    store.land(o.withColumn("ingest_date", F.lit("2024-02-01").cast("date")), "orders", "run", batch)
+    stats = e.agg(F.lit("bronze.events").alias("source_name"), F.count("*").alias("rows"),
+                  F.lit(0).cast("long").alias("dead_letters"), F.max("timestamp").alias("latest_at"))
+    store.land(stats, "ingest_stats", "run", batch)
+
+
+def test_incremental_refresh_equals_a_full_one(spark, tmp_dir):
+    from helpers import ev, item, items, od
+    batches = [
+        ([ev("a", when="2024-01-01 10:00:00"), ev("b", "click", when="2024-01-02 10:00:00"),
+          ev("c", "purchase", "u2", when="2024-01-03 10:00:00"), ev(None)],
+         [od("o1", items(item()), 10.0), od("o2", items(item()), 11.0)]),
+        # a moves to another day and leaves its old one empty; b's latest copy has an unknown type
+        ([ev("a", when="2024-01-05 10:00:00"), ev("b", "hover", when="2024-01-02 11:00:00"), ev("d", when="2024-01-03 09:00:00")],
+         [od("o2", items(item(qty=2)), 20.0, when="2024-02-02 00:00:00")]),
+        # late: an older copy of b and of a change nothing; a new user on an old day
+        ([ev("b", "click", when="2024-01-02 09:00:00"), ev("a", when="2023-12-31 10:00:00"), ev("e", user="u9", when="2024-01-05 11:00:00")],
+         [od("o3", "broken", 5.0), od("o1", items(item()), 10.0, when="2024-01-01 00:00:00")]),
+    ]
+    inc, full = (TierStore(os.path.join(tmp_dir, n)) for n in ("inc", "full"))
+    for i, (events, orders) in enumerate(batches):
+        for store in (inc, full):
+            store.bootstrap(spark)
+            _land(spark, store, i, events, orders)
+        res = run_refresh(spark, inc, fx.FIXTURE_AS_OF, steps=("silver", "quality", "gold"), incremental=True)
+        run_refresh(spark, full, fx.FIXTURE_AS_OF, steps=("silver", "quality", "gold"))
+        assert _snapshot(spark, inc) == _snapshot(spark, full), i
+    assert {str(d) for d in res.days["clean_events"]} == {"2024-01-05"}
+    again = run_refresh(spark, inc, fx.FIXTURE_AS_OF, steps=("silver", "gold"), incremental=True)
+    assert again.days == {"clean_events": [], "validate_orders": []}
+    assert _snapshot(spark, inc) == _snapshot(spark, full)
+    # the raw rows of new batches come from their own folders only
+    from tierline.plans.refresh import _in_batches
+    plan = inc.read(spark, "bronze", "events", partitions=True).filter(_in_batches([("run", 2)])) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "batch_id" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_gate_passes_valid_orders_and_poison_rows_fail_alone(spark, tmp_dir):
+    from helpers import bronze_orders, item, items, od
+    from tierline.operators import quality, silver
+    raw = bronze_orders(spark, [
+        od("cent", items(item(price=10.0)), 10.01, status="paid"), od("frac", items(item(price=59.98)), 59.9899, status="paid"),
+        od("huge", items(item(price=10.0)), 1e17, status="paid"),
+        od("items", items(item(qty=2_000_000_000, price=900_000_000.0)), 1.8e18, status="paid"),
+        od("inf", items(item(price=10.0)), float("inf"), status="paid")])
+    valid = silver.validate_orders(raw, fx.FIXTURE_AS_OF)
+    status = {r.order_id: r.status for r in valid.collect()}
+    assert status == {"cent": "paid", "frac": "paid", "huge": "validation_failed", "items": "validation_failed",
+                      "inf": "validation_failed"}
+    clean = TierStore(os.path.join(tmp_dir, "lake"))
+    clean.bootstrap(spark)
+    report = quality.silver_quality(clean.read(spark, "silver", "clean_events"), valid)
+    quality.assert_quality(report)

@@ -4,6 +4,8 @@ from decimal import Decimal
 import pytest
 from helpers import bronze_events, bronze_orders, ev, item, items, od
 
+from pyspark.sql import functions as F
+
 from conftest import AS_OF
 from tierline import schemas
 from tierline.operators import envelopes, reports, silver
@@ -134,3 +136,15 @@ def test_parameter_rules():
     with pytest.raises(ValueError):
         envelopes.check_date(None, "date_from")
     assert envelopes.check_date("2024-01-02", "d") == dt.date(2024, 1, 2)
+
+
+def test_revenue_keeps_small_and_large_prices(spark):
+    from tierline.operators import silver, sql_reports
+    raw = bronze_orders(spark, [
+        od("a", '[{"product_id":"s","product_name":"S","quantity":1000000,"unit_price":0.00004}]', 40.0),
+        od("b", '[{"product_id":"l","product_name":"L","quantity":1,"unit_price":1e15}]', 1e15),
+        od("c", '[{"product_id":"q","product_name":"Q","quantity":3000000000,"unit_price":1.0}]', 3e9)])
+    valid = silver.validate_orders(raw, "2024-01-31").withColumn("status", F.lit("paid"))
+    for rows in (reports.report_top_products(valid, raw, 5),
+                 sql_reports.report(spark, "top_products", {"validate_orders": valid, "bronze_orders": raw}, n=5)):
+        assert {r.product_id: r.total_revenue for r in rows.collect()} == {"s": 40.0, "l": 1e15, "q": None}

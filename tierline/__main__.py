@@ -20,7 +20,7 @@ from datetime import datetime, timezone
 
 from tierline.operators import envelopes, reports
 from tierline.plans.refresh import STEPS, run_refresh
-from tierline.session import ensure_checkpoint_dir, get_spark
+from tierline.session import get_spark
 from tierline.sources.tables import TierStore
 from tierline.streaming import ingest
 
@@ -28,6 +28,7 @@ from tierline.streaming import ingest
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tierline")
     p.add_argument("--master", default=None, help="e.g. local[8]; omit under spark-submit")
+    p.add_argument("--format", default="parquet", help="file or table format of the store")
     sub = p.add_subparsers(dest="command", required=True)
 
     ing = sub.add_parser("ingest")
@@ -36,7 +37,9 @@ def _parser() -> argparse.ArgumentParser:
     ing.add_argument("--kafka")
     ing.add_argument("--checkpoint")
     ing.add_argument("--once", action="store_true", help="drain what is there (availableNow) and stop")
-    ing.add_argument("--interval", default="1 second")
+    ing.add_argument("--interval", default="1 minute")
+    ing.add_argument("--max-offsets", type=int, default=ingest.MAX_OFFSETS_PER_TRIGGER)
+    ing.add_argument("--max-bytes", type=int, default=ingest.MAX_FILE_BYTES_PER_TRIGGER)
 
     ref = sub.add_parser("refresh")
     ref.add_argument("--store", required=True)
@@ -44,6 +47,7 @@ def _parser() -> argparse.ArgumentParser:
     ref.add_argument("--topics")
     ref.add_argument("--kafka")
     ref.add_argument("--checkpoint")
+    ref.add_argument("--incremental", action="store_true", help="only what new batches touch")
     ref.add_argument("--steps", nargs="+", default=list(STEPS), choices=list(STEPS))
 
     rep = sub.add_parser("report")
@@ -84,19 +88,17 @@ def report_envelope(spark, store: TierStore, args) -> str:
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = get_spark(args.master)
-    store = TierStore(args.store)
+    store = TierStore(args.store, args.format)
     if args.command == "ingest":
         store.bootstrap(spark)
-        source = (ingest.read_topics(spark, "kafka", bootstrap_servers=args.kafka) if args.kafka
-                  else ingest.read_topics(spark, "files", args.topics))
-        paths = {"bronze_events": store.path("bronze", "events"), "bronze_orders": store.path("bronze", "orders"),
-                 "dead_letter": store.path("bronze", "dead_letter"),
-                 "ingest_stats": store.path("bronze", "ingest_stats")}
-        ckpt = args.checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest"
-        ingest.start_ingest(source, paths, ckpt, available_now=args.once, interval=args.interval).awaitTermination()
+        source = (ingest.read_topics(spark, "kafka", bootstrap_servers=args.kafka,
+                                     max_offsets_per_trigger=args.max_offsets) if args.kafka
+                  else ingest.read_topics(spark, "files", args.topics, max_bytes_per_trigger=args.max_bytes))
+        ingest.start_ingest(source, store, args.checkpoint, available_now=args.once,
+                            interval=args.interval).awaitTermination()
     elif args.command == "refresh":
         res = run_refresh(spark, store, args.as_of, topic_path=args.topics, bootstrap_servers=args.kafka,
-                          checkpoint=args.checkpoint, steps=tuple(args.steps))
+                          checkpoint=args.checkpoint, steps=tuple(args.steps), incremental=args.incremental)
         print("written:", ", ".join(res.written))
         if res.freshness is not None:
             for r in res.freshness.collect():  # one row per raw table

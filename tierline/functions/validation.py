@@ -53,6 +53,9 @@ ORDER_FIELDS = ("order_id", "user_id", "items", "total_amount", "currency", "sta
                 "created_at")
 ITEM_FIELDS = ("product_id", "product_name", "quantity", "unit_price")
 _NUMBER_KINDS = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
+NUMBER_TEXT = r"^[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))$"
+DATE_TEXT = r"^\d{4}-\d{2}-\d{2}($|[T ])"
+INTEGER = "decimal(38,0)"
 
 
 def parse_value(value: Column) -> Column:
@@ -108,30 +111,41 @@ def as_string(x: Column, k: Column) -> Column:
     return F.when(k_string(k), F.try_variant_get(x, "$", "string"))
 
 
+def number_text(x: Column) -> Column:
+    """Trimmed text when it is a JSON-like number or one of the words for infinity and not a
+    number; NULL otherwise (Spark's own cast would also take ``5d`` or ``5f``)."""
+    text = F.trim(F.try_variant_get(x, "$", "string"))
+    return F.when(F.regexp_like(text, F.lit(NUMBER_TEXT)), text)
+
+
 def as_number(x: Column, k: Column) -> Column:
-    """Lax number: JSON number or numeric string → DECIMAL(38,10) (NULL otherwise)."""
+    """Lax number of an epoch: JSON number or numeric string → DECIMAL(38,10)."""
     return (F.when(k_number(k), F.try_variant_get(x, "$", "decimal(38,10)"))
-            .when(k_string(k), F.trim(F.try_variant_get(x, "$", "string")).try_cast("decimal(38,10)")))
+            .when(k_string(k), number_text(x).try_cast("decimal(38,10)")))
 
 
 def as_double(x: Column, k: Column) -> Column:
     return (F.when(k_number(k), F.try_variant_get(x, "$", "double"))
-            .when(k_string(k), F.trim(F.try_variant_get(x, "$", "string")).try_cast("double")))
+            .when(k_string(k), number_text(x).try_cast("double")))
 
 
 def as_int(x: Column, k: Column) -> Column:
-    """Lax integer: integral number or integral numeric string (``2.0`` ok, ``2.5`` NULL)."""
-    n = as_number(x, k)
-    return F.when(n == F.floor(n), n.try_cast("int"))
+    """Lax integer of up to 38 digits: integral number or integral numeric string (``2.0`` ok,
+    ``2.5`` and ``2.00000000001`` NULL)."""
+    d = as_double(x, k)
+    return F.when(d == F.rint(d), F.when(k_number(k), F.try_variant_get(x, "$", INTEGER))
+                  .otherwise(number_text(x).try_cast(INTEGER)))
 
 
 def as_timestamp(x: Column, k: Column) -> Column:
-    """ISO date / datetime text (zoned text shifted to UTC) or epoch s/ms → naive UTC."""
-    text = F.try_variant_get(x, "$", "string")
+    """ISO date / datetime text (zoned text shifted to UTC) or epoch s/ms, as number or numeric
+    text → naive UTC.  Text without a date is no time: nothing is filled in from the clock."""
+    text = F.trim(F.try_variant_get(x, "$", "string"))
     num = as_number(x, k)
     scale = F.when(F.abs(num) > EPOCH_MS_THRESHOLD, F.lit(1000)).otherwise(F.lit(1_000_000))
     from_epoch = F.timestamp_micros((num * scale).try_cast("long"))
-    parsed = (F.when(k_string(k), F.coalesce(F.try_to_timestamp(text), from_epoch))
+    dated = F.when(F.regexp_like(text, F.lit(DATE_TEXT)), F.try_to_timestamp(text))
+    parsed = (F.when(k_string(k), F.coalesce(from_epoch, dated))
               .when(k_number(k), from_epoch))
     return parsed.cast("timestamp_ntz")
 
@@ -284,10 +298,11 @@ def typed_item(it: Column) -> Column:
 
 # Fast path for order items: one native cast of the whole array to typed structs, guarded by
 # the array's merged JSON schema (one ``schema_of_variant`` call per order).
-FAST_ITEMS = "array<struct<product_id:string,product_name:string,quantity:decimal(38,10),unit_price:double>>"
-ITEMS_JSON = "array<struct<product_id:string,product_name:string,quantity:int,unit_price:double>>"
-_LAX_NUMBER = r"(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\)|STRING)"
-INT_MAX = 2_147_483_647
+FAST_ITEMS = "array<struct<product_id:string,product_name:string,quantity:double,unit_price:double>>"
+ITEMS_JSON = "array<struct<product_id:string,product_name:string,quantity:decimal(38,0),unit_price:double>>"
+_NUMBER = r"(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))"
+# Doubles are exact integers up to here; greater quantities take the element-wise path.
+EXACT_DOUBLE = float(1 << 53)
 
 
 def _fast_items_ok(schema: Column, fast: Column) -> Column:
@@ -295,16 +310,16 @@ def _fast_items_ok(schema: Column, fast: Column) -> Column:
     valid values; such an order breaks no item rule and its typed items are ``fast``.  Any
     other order (a wrong kind, a NULL element, a nested value, a bad number) is left to the
     exact element-by-element path, which also names the broken rules."""
-    inner = F.substring(schema, len("ARRAY<OBJECT<") + 1, 1 << 20)
+    inner = F.substr(schema, F.lit(len("ARRAY<OBJECT<") + 1))
     flat = schema.startswith("ARRAY<OBJECT<") & ~inner.contains("OBJECT<") & ~inner.contains("ARRAY<")
     kinds = (F.regexp_like(schema, F.lit(r"[<, ]product_id: STRING[,>]"))
              & F.regexp_like(schema, F.lit(r"[<, ]product_name: STRING[,>]"))
-             & F.regexp_like(schema, F.lit(r"[<, ]quantity: " + _LAX_NUMBER + r"[,>]"))
-             & F.regexp_like(schema, F.lit(r"[<, ]unit_price: " + _LAX_NUMBER + r"[,>]")))
+             & F.regexp_like(schema, F.lit(r"[<, ]quantity: " + _NUMBER + r"[,>]"))
+             & F.regexp_like(schema, F.lit(r"[<, ]unit_price: " + _NUMBER + r"[,>]")))
     bad_value = F.exists(fast, lambda it: (
         it.isNull() | it["product_id"].isNull() | it["product_name"].isNull()
-        | ~F.coalesce((it["quantity"] > 0) & (it["quantity"] == F.floor(it["quantity"]))
-                      & (it["quantity"] <= INT_MAX), F.lit(False))
+        | ~F.coalesce((it["quantity"] > 0) & (it["quantity"] == F.rint(it["quantity"]))
+                      & (it["quantity"] <= EXACT_DOUBLE), F.lit(False))
         | ~F.coalesce(positive(it["unit_price"]), F.lit(False))))
     empty = schema == F.lit("ARRAY<VOID>")
     return fast.isNotNull() & (empty | (flat & kinds)) & ~F.coalesce(bad_value, F.lit(True))

@@ -65,6 +65,16 @@ def _ordered_rows(report: DataFrame, sort_key: Column, fields: list[str]) -> Col
                        lambda s: F.struct(*[s[c].alias(c) for c in fields]))
 
 
+def flat(envelope: DataFrame, rows: str) -> DataFrame:
+    """An envelope as plain rows: each of its rows with its place, and the envelope's totals and
+    parameters beside it (those named like a column of the rows get the prefix ``envelope_``)."""
+    inner = envelope.schema[rows].dataType.elementType.names
+    named = {c: f"envelope_{c}" if c in inner else c for c in envelope.columns if c != rows}
+    return (envelope.select(F.posexplode_outer(rows).alias("place", "row"),
+                            *[F.col(c).alias(n) for c, n in named.items()])
+            .select("place", "row.*", *named.values()))
+
+
 def envelope_dau(report: DataFrame, date_from, date_to) -> DataFrame:
     fields = ["event_date", "active_users", "total_events", "avg_conversion_rate"]
     return report.agg(
@@ -77,7 +87,9 @@ def envelope_dau(report: DataFrame, date_from, date_to) -> DataFrame:
 
 def envelope_top_products(report: DataFrame) -> DataFrame:
     fields = ["product_id", "product_name", "total_revenue", "order_count"]
-    key = F.struct((-F.col("total_revenue")).alias("r"), F.col("product_id"), F.col("product_name"))
+    missing = F.col("total_revenue").isNull()  # last, as in the report
+    key = F.struct(missing.alias("n"), (-F.col("total_revenue")).alias("r"), F.col("product_id").isNull().alias("i"),
+                   F.col("product_id"), F.col("product_name").isNull().alias("p"), F.col("product_name"))
     return report.agg(
         _ordered_rows(report, key, fields).alias("products"),
         F.count(F.lit(1)).alias("total"),

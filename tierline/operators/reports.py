@@ -26,10 +26,9 @@ ANOMALY_Z = 2.0
 NAMED_METRICS = ("dau", "conversion", "events")
 KPI_NUMERIC_COLUMNS = ("daily_active_users", "total_events", "conversion_rate")
 
-# Exact accumulators: rates (at most 4 places upstream) and money.  Scales are kept small
-# enough that sums stay below 2^53 units, so the final DOUBLE is correctly rounded.
+# Exact accumulators: rates (at most 4 places upstream), money and revenues.
 RATE = "decimal(38,10)"
-PRICE = "decimal(18,4)"
+REVENUE = "decimal(38,10)"
 MONEY_SUM = "decimal(38,2)"
 
 
@@ -63,6 +62,14 @@ def report_dau(daily_kpis: DataFrame, date_from, date_to) -> DataFrame:
 
 # ---------------------------------------------------------------- R2
 
+def revenue_sum(revenue: Column) -> Column:
+    """SUM of DOUBLE revenues: exact to ten places, so it does not depend on the order of the
+    rows; in plain DOUBLE where that many digits do not fit."""
+    return F.coalesce(
+        F.when(F.count(revenue) == F.count(revenue.try_cast(REVENUE)), F.try_sum(revenue.try_cast(REVENUE))).cast("double"),
+        F.sum(revenue))
+
+
 def report_top_products(validated_orders: DataFrame, bronze_orders: DataFrame, n: int = 10,
                         dedupe_items: bool = False) -> DataFrame:
     """Top ``n`` products by revenue over orders whose status is not failed.
@@ -77,10 +84,10 @@ def report_top_products(validated_orders: DataFrame, bronze_orders: DataFrame, n
     # Refined order ids are unique, so keeping the raw rows of valid orders is a semi join.
     items = (raw.join(good, "order_id", "left_semi")
              .select("order_id", F.explode(raw_items("items")).alias("it")))
-    revenue = to_int_lax(F.col("it.quantity")) * F.col("it.unit_price").try_cast(PRICE)
+    revenue = to_int_lax(F.col("it.quantity")) * F.col("it.unit_price").try_cast("double")
     return (items
             .groupBy(F.col("it.product_id").alias("product_id"), F.col("it.product_name").alias("product_name"))
-            .agg(F.sum(revenue).cast("double").alias("total_revenue"),
+            .agg(revenue_sum(revenue).alias("total_revenue"),
                  F.count_distinct("order_id").alias("order_count"))
             .orderBy(F.col("total_revenue").desc_nulls_last(), F.col("product_id").asc_nulls_last(),
                      F.col("product_name").asc_nulls_last())

@@ -113,7 +113,11 @@ def item_totals_grouped(bronze_orders: DataFrame) -> DataFrame:
 
 
 def validation_status(total_amount: str, calculated_total, status: str):
+    """The order's own status if its totals agree; failed without items, or when a total does
+    not fit the refined table's money type."""
     return (F.when(calculated_total.isNull(), F.lit(FAILED_STATUS))
+            .when(calculated_total.try_cast(MONEY).isNull() | F.col(total_amount).try_cast(MONEY).isNull(),
+                  F.lit(FAILED_STATUS))
             .when(F.abs(F.col(total_amount).cast("double") - calculated_total.cast("double")) < TOTAL_TOLERANCE,
                   F.col(status))
             .otherwise(F.lit(FAILED_STATUS)))
@@ -131,8 +135,8 @@ def validate_orders(bronze_orders: DataFrame, as_of: AsOf) -> DataFrame:
         surrogate_key("order_id").alias("order_key"),
         "order_id",
         "user_id",
-        F.col("total_amount").cast(MONEY).alias("total_amount"),
-        F.coalesce(calc, F.lit(0)).cast(MONEY).alias("validated_total"),
+        F.col("total_amount").try_cast(MONEY).alias("total_amount"),
+        F.coalesce(calc, F.lit(0)).try_cast(MONEY).alias("validated_total"),
         "currency",
         F.col("created_at").cast("timestamp_ntz").alias("created_at"),
         as_of_ts(as_of).alias("validated_at"),

@@ -14,7 +14,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from tierline.functions.segments import MISSING_RECENCY_DAYS, SEGMENT_RULES
-from tierline.operators.reports import FUNNEL_STEPS
+from tierline.operators.reports import ANOMALY_Z, FUNNEL_STEPS
 
 VIEWS = ("clean_events", "validate_orders", "bronze_orders", "daily_kpis", "customer_360")
 
@@ -58,17 +58,22 @@ SQL = {
         GROUP BY event_date
         ORDER BY event_date NULLS LAST""",
     "top_products": """
-        SELECT it.product_id, it.product_name,
-               CAST(SUM(CAST(ROUND(TRY_CAST(it.quantity AS DECIMAL(38,6)), 0) AS INT)
-                        * TRY_CAST(it.unit_price AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
-               COUNT(DISTINCT b.order_id) AS order_count
-        FROM {bronze_orders} b
-        LEFT SEMI JOIN (SELECT order_id FROM {validate_orders} WHERE status != 'validation_failed') o
-          ON b.order_id = o.order_id
-        LATERAL VIEW explode(from_json(b.items, 'array<string>')) e AS item
-        LATERAL VIEW inline(array(from_json(e.item,
-            'struct<product_id:string,product_name:string,quantity:string,unit_price:string>'))) it
-        GROUP BY it.product_id, it.product_name
+        SELECT product_id, product_name,
+               COALESCE(
+                   CAST(CASE WHEN COUNT(revenue) = COUNT(TRY_CAST(revenue AS DECIMAL(38,10)))
+                             THEN TRY_SUM(TRY_CAST(revenue AS DECIMAL(38,10))) END AS DOUBLE),
+                   SUM(revenue)) AS total_revenue,
+               COUNT(DISTINCT order_id) AS order_count
+        FROM (SELECT b.order_id, it.product_id, it.product_name,
+                     TRY_CAST(ROUND(TRY_CAST(it.quantity AS DECIMAL(38,6)), 0) AS INT)
+                         * TRY_CAST(it.unit_price AS DOUBLE) AS revenue
+              FROM {bronze_orders} b
+              LEFT SEMI JOIN (SELECT order_id FROM {validate_orders} WHERE status != 'validation_failed') o
+                ON b.order_id = o.order_id
+              LATERAL VIEW explode(from_json(b.items, 'array<string>')) e AS item
+              LATERAL VIEW inline(array(from_json(e.item,
+                  'struct<product_id:string,product_name:string,quantity:string,unit_price:string>'))) it)
+        GROUP BY product_id, product_name
         ORDER BY total_revenue DESC NULLS LAST, product_id ASC NULLS LAST, product_name ASC NULLS LAST
         LIMIT :n""",
     "segments": f"""
@@ -83,33 +88,32 @@ SQL = {
         GROUP BY segment_name
         ORDER BY segment_name NULLS LAST""",
     "funnel": f"""
-        SELECT event_type AS step_name, COUNT(DISTINCT user_id) AS users, COUNT(*) AS count
-        FROM {{clean_events}}
-        WHERE event_timestamp >= CAST(:date_from AS TIMESTAMP_NTZ)
-          AND event_timestamp < CAST(date_add(:date_to, 1) AS TIMESTAMP_NTZ)
-          AND event_type IN ({", ".join(f"'{s}'" for s in FUNNEL_STEPS)})
-        GROUP BY event_type
-        ORDER BY array_position(array({", ".join(f"'{s}'" for s in FUNNEL_STEPS)}), step_name)""",
+        WITH steps AS (SELECT * FROM VALUES {", ".join(f"({i}, '{s}')" for i, s in enumerate(FUNNEL_STEPS))}
+                           AS s(at, step_name)),
+             span AS (SELECT event_type, user_id FROM {{clean_events}}
+                      WHERE event_timestamp >= CAST(:date_from AS TIMESTAMP_NTZ)
+                        AND event_timestamp < CAST(:date_to AS TIMESTAMP_NTZ) + INTERVAL 1 DAY)
+        SELECT s.step_name, COUNT(DISTINCT e.user_id) AS users, COUNT(*) AS count
+        FROM span e JOIN steps s ON e.event_type = s.step_name
+        GROUP BY s.at, s.step_name
+        ORDER BY s.at""",
 }
 
 
 def anomaly_sql(metric: str) -> str:
     if metric not in _METRICS:
         raise ValueError(f"unknown metric {metric!r}")
+    # One row a day is left when the window runs, so its single partition is small.
     return f"""
-        WITH daily AS (
-            SELECT event_date AS date, {_METRICS[metric]} AS value
-            FROM {{daily_kpis}}
-            WHERE event_date >= date_sub(:as_of, :lookback)
-            GROUP BY event_date
-        )
         SELECT :metric AS metric, date, value,
-               CASE WHEN std > 0 THEN {_round("(value - mean) / std", 3)} ELSE 0.0 END AS z_score,
-               CASE WHEN std > 0 AND ABS((value - mean) / std) > 2.0 THEN TRUE ELSE FALSE END AS is_anomaly
-        FROM (SELECT date, value,
-                     (SELECT AVG(value) FROM daily) AS mean,
-                     (SELECT COALESCE(STDDEV_SAMP(value), 0.0) FROM daily) AS std
-              FROM daily)
+               IF(spread > 0, {_round("(value - centre) / spread", 3)}, 0.0) AS z_score,
+               COALESCE(spread > 0 AND ABS((value - centre) / spread) > {ANOMALY_Z}, FALSE) AS is_anomaly
+        FROM (SELECT event_date AS date, {_METRICS[metric]} AS value,
+                     AVG({_METRICS[metric]}) OVER () AS centre,
+                     COALESCE(STDDEV_SAMP({_METRICS[metric]}) OVER (), 0.0) AS spread
+              FROM {{daily_kpis}}
+              WHERE event_date >= date_sub(:as_of, :lookback)
+              GROUP BY event_date)
         ORDER BY date NULLS LAST"""
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.operators import envelopes, gold, quality, reports, silver, sql_reports
+from tierline.schemas import BRONZE_EVENTS
 from tierline.sources import fixtures as fx
 from tierline.sources.topics import to_topic_records
 from tierline.streaming import ingest
@@ -68,6 +69,13 @@ def _tables(s, d):
             "daily_kpis": gold.daily_kpis(clean), "customer_360": gold.customer_360(clean, orders, AS_OF)}
 
 
+def _read_back(records: DataFrame) -> DataFrame:
+    """Topic records with the fields of their JSON value read back, and how many it has."""
+    fields = [F.get_json_object("value", f"$.{c}").alias(c) for c in BRONZE_EVENTS.names if c != "timestamp"]
+    time = F.get_json_object("value", "$.timestamp").cast("timestamp_ntz").alias("timestamp")
+    return records.select("topic", "key", *fields, time, F.size(F.json_object_keys("value")).alias("n_fields"))
+
+
 def _anomaly(metric):
     return lambda s, d: reports.report_anomaly(_kpis(s, d), metric, LOOKBACK_DAYS, AS_OF)
 
@@ -85,8 +93,8 @@ QUERIES: dict[str, Query] = {
                                      .filter((F.size("errors") == 0) & (F.size("defaults") > 0))
                                      .select("topic", "partition", "offset", "event_id",
                                              F.array_join("defaults", ",").alias("defaults"))),
-    "to_topic_records": lambda s, d: to_topic_records(_bronze_events(s, d), fx.EVENTS_TOPIC, key="event_id",
-                                                        json_columns=("metadata",)),
+    "to_topic_records": lambda s, d: _read_back(to_topic_records(
+        _bronze_events(s, d), fx.EVENTS_TOPIC, key="event_id", json_columns=("metadata",))),
     # refined events
     "dedup_latest_events": lambda s, d: silver.dedup_latest_events(_bronze_events(s, d)),
     "events_metadata_valid": lambda s, d: silver.events_metadata_valid(_bronze_events(s, d)),
@@ -130,17 +138,18 @@ QUERIES: dict[str, Query] = {
                                                          date_to=RANGE_TO),
     "report_anomaly_events_sql": lambda s, d: sql_reports.report(s, "anomaly", _tables(s, d), metric="events",
                                                                  lookback_days=LOOKBACK_DAYS, as_of=AS_OF),
-    # envelopes
-    "envelope_dau": lambda s, d: envelopes.envelope_dau(
-        reports.report_dau(_kpis(s, d), RANGE_FROM, RANGE_TO), RANGE_FROM, RANGE_TO),
-    "envelope_top_products": lambda s, d: envelopes.envelope_top_products(
-        reports.report_top_products(_orders(s, d), _bronze_orders(s, d), envelopes.check_top_n(TOP_N))),
-    "envelope_segments": lambda s, d: envelopes.envelope_segments(reports.report_user_segments(_c360(s, d))),
-    "envelope_funnel": lambda s, d: envelopes.envelope_funnel(
-        reports.report_funnel(_clean(s, d), RANGE_FROM, RANGE_TO), RANGE_FROM, RANGE_TO),
-    "envelope_anomaly": lambda s, d: envelopes.envelope_anomaly(
+    # envelopes, as flat rows (place in the envelope, row, totals and parameters)
+    "envelope_dau": lambda s, d: envelopes.flat(envelopes.envelope_dau(
+        reports.report_dau(_kpis(s, d), RANGE_FROM, RANGE_TO), RANGE_FROM, RANGE_TO), "data"),
+    "envelope_top_products": lambda s, d: envelopes.flat(envelopes.envelope_top_products(
+        reports.report_top_products(_orders(s, d), _bronze_orders(s, d), envelopes.check_top_n(TOP_N))), "products"),
+    "envelope_segments": lambda s, d: envelopes.flat(
+        envelopes.envelope_segments(reports.report_user_segments(_c360(s, d))), "segments"),
+    "envelope_funnel": lambda s, d: envelopes.flat(envelopes.envelope_funnel(
+        reports.report_funnel(_clean(s, d), RANGE_FROM, RANGE_TO), RANGE_FROM, RANGE_TO), "funnel"),
+    "envelope_anomaly": lambda s, d: envelopes.flat(envelopes.envelope_anomaly(
         reports.report_anomaly(_kpis(s, d), envelopes.check_metric("events"),
-                               envelopes.check_lookback(LOOKBACK_DAYS), AS_OF), "events", LOOKBACK_DAYS),
+                               envelopes.check_lookback(LOOKBACK_DAYS), AS_OF), "events", LOOKBACK_DAYS), "anomalies"),
     # data quality
     "source_freshness": lambda s, d: quality.source_freshness(_bronze_events(s, d), _bronze_orders(s, d), AS_OF),
     "silver_quality": lambda s, d: quality.silver_quality(_clean(s, d), _orders(s, d)),

@@ -4,21 +4,33 @@ Each step writes its tier and the next step reads the written table back, so eve
 a lineage cut: a lost executor recomputes at most one tier's stages, and reruns with the same
 ``as_of`` over the same raw data give identical tables.  Steps can be selected on their own
 (``steps=("silver",)``), as the reference's tier selection allows.
+
+A full refresh rebuilds the refined tier from all raw rows.  An incremental one reads the raw
+rows of the batches that landed since the last, and from the history only the copies of
+the same ids; it rewrites only the days these rows are or were on, in the refined tables and
+the daily KPIs.  Rows it does not touch keep the load time they have.  The customer profile
+depends on ``as_of`` in every row, so it is always rebuilt, from the refined tier.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierline.operators import gold, quality, silver
-from tierline.session import ensure_checkpoint_dir
 from tierline.sources.tables import TierStore
 from tierline.streaming import ingest
 
 STEPS = ("ingest", "freshness", "silver", "quality", "gold")
+# Raw table, refined table, id, the day column of its partitions, and its model.
+MODELS: tuple[tuple[str, str, str, str, Callable], ...] = (
+    ("events", "clean_events", "event_id", "event_day", silver.clean_events),
+    ("orders", "validate_orders", "order_id", "created_day", silver.validate_orders),
+)
 
 
 @dataclass
@@ -26,67 +38,143 @@ class RefreshResult:
     freshness: DataFrame | None = None
     quality: DataFrame | None = None
     written: list[str] = field(default_factory=list)
+    days: dict[str, list[date | None]] = field(default_factory=dict)
 
 
 def run_refresh(spark: SparkSession, store: TierStore, as_of: datetime | str,
                 topic_path: str | None = None, checkpoint: str | None = None,
-                steps=STEPS, gate: bool = True, bootstrap_servers: str | None = None) -> RefreshResult:
+                steps=STEPS, gate: bool = True, bootstrap_servers: str | None = None,
+                incremental: bool = False) -> RefreshResult:
     """Run the selected steps in dependency order and return the check results.
 
     ``ingest`` drains the topic source once (``availableNow``) into the raw tables: Kafka when
     ``bootstrap_servers`` is given, else JSON-lines topic files under ``topic_path``;
-    ``checkpoint`` must be a shared folder on a cluster (by default under
-    ``spark.checkpoint.dir``).
+    ``checkpoint`` is by default a folder of the store.
     """
     result = RefreshResult()
     store.bootstrap(spark)
 
     if "ingest" in steps and (topic_path or bootstrap_servers):
-        ckpt = checkpoint or _default_checkpoint(spark, "ingest")
-        paths = {"bronze_events": store.path("bronze", "events"),
-                 "bronze_orders": store.path("bronze", "orders"),
-                 "dead_letter": store.path("bronze", "dead_letter"),
-                 "ingest_stats": store.path("bronze", "ingest_stats")}
         source = ingest.read_topics(spark, "kafka", bootstrap_servers=bootstrap_servers) if bootstrap_servers \
             else ingest.read_topics(spark, "files", topic_path)
-        q = ingest.start_ingest(source, paths, ckpt, available_now=True)
-        q.awaitTermination()
+        ingest.start_ingest(source, store, checkpoint, available_now=True).awaitTermination()
         result.written += ["bronze.events", "bronze.orders", "bronze.dead_letter"]
 
-    bronze_events = store.read(spark, "bronze", "events")
-    bronze_orders = store.read(spark, "bronze", "orders")
-
     if "freshness" in steps:
-        # Raw tables filled by this ingest carry per-batch statistics; reading those avoids a
-        # scan of the whole raw history.  Tables loaded some other way are scanned.
-        stats = store.read(spark, "bronze", "ingest_stats")
-        if stats.limit(1).count() > 0:
-            result.freshness = quality.source_freshness_from_stats(stats, as_of)
-        else:
-            result.freshness = quality.source_freshness(bronze_events, bronze_orders, as_of)
+        result.freshness = freshness(spark, store, as_of)
 
     if "silver" in steps:
-        # Sorted by time within each file, so parquet row-group statistics let time-ranged
-        # reports (the funnel) skip most of the table; rows stay hash-distributed by id.
-        store.write(silver.clean_events(bronze_events, as_of).sortWithinPartitions("event_timestamp"),
-                    "silver", "clean_events")
-        store.write(silver.validate_orders(bronze_orders, as_of), "silver", "validate_orders")
+        new = new_batches(spark, store)
+        if incremental:
+            for raw, refined, key, day, model in MODELS:
+                result.days[refined] = _refine_new(spark, store, raw, refined, key, day, model, as_of, new)
+        else:
+            for raw, refined, _, _, model in MODELS:
+                rows = model(store.read(spark, "bronze", raw), as_of)
+                if refined == "clean_events":
+                    # Sorted by time within each file, so parquet row-group statistics let time-ranged
+                    # reports (the funnel) skip most of the table.
+                    rows = rows.sortWithinPartitions("event_timestamp")
+                store.write(rows, "silver", refined)
         result.written += ["silver.clean_events", "silver.validate_orders"]
 
-    clean = store.read(spark, "silver", "clean_events")
+    clean = store.read(spark, "silver", "clean_events", partitions=True)
     orders = store.read(spark, "silver", "validate_orders")
 
     if "quality" in steps:
-        result.quality = quality.silver_quality(clean, orders)
+        days = result.days.get("clean_events") if incremental else None
+        checked = clean if days is None else clean.filter(_on_days("event_day", days))
+        result.quality = quality.silver_quality(checked, orders)
         if gate:
             quality.assert_quality(result.quality)
 
     if "gold" in steps:
-        store.write(gold.daily_kpis(clean), "gold", "daily_kpis")
+        if incremental:
+            days = sorted(_pending_days(spark, store), key=str)
+            store.replace_days(gold.daily_kpis(clean.filter(_on_days("event_day", days))), "gold", "daily_kpis",
+                               [d for d in days])
+        else:
+            store.write(gold.daily_kpis(clean), "gold", "daily_kpis")
         store.write(gold.customer_360(clean, orders, as_of), "gold", "customer_360")
         result.written += ["gold.daily_kpis", "gold.customer_360"]
+        _set_pending(spark, store, [])
+    if "silver" in steps:
+        _mark_done(spark, store, new)
     return result
 
 
-def _default_checkpoint(spark: SparkSession, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+# ---------------------------------------------------------------- freshness
+
+def freshness(spark: SparkSession, store: TierStore, as_of) -> DataFrame:
+    """Newest record time of the raw tables: from the per-batch statistics, and from a scan of
+    those raw rows whose batch has none (rows loaded some other way)."""
+    stats = store.read(spark, "bronze", "ingest_stats", partitions=True)
+    counted = {(r["run"], r["batch_id"]) for r in stats.select("run", "batch_id").distinct().collect()}
+    tables = []
+    for raw, time in (("events", "timestamp"), ("orders", "created_at")):
+        rows = store.read(spark, "bronze", raw, partitions=True)
+        # Partition columns only: no column of the rows is read.
+        landed = {(r["run"], r["batch_id"]) for r in rows.select("run", "batch_id").distinct().collect()}
+        scan = rows.filter(_in_batches(sorted(landed - counted, key=str))).select(F.col(time).alias("latest_at"))
+        known = stats.filter(F.col("source_name") == f"bronze.{raw}").select("latest_at")
+        tables.append(scan.unionByName(known))
+    return quality.source_freshness(tables[0].withColumnRenamed("latest_at", "timestamp"),
+                                    tables[1].withColumnRenamed("latest_at", "created_at"), as_of)
+
+
+# ---------------------------------------------------------------- incremental refresh
+
+def new_batches(spark: SparkSession, store: TierStore) -> list[tuple]:
+    """(run, batch_id) of landed batches that no refresh has refined yet."""
+    stats = store.read(spark, "bronze", "ingest_stats", partitions=True)
+    landed = {(r["run"], r["batch_id"]) for r in stats.select("run", "batch_id").distinct().collect()}
+    done = {(r["run"], r["batch_id"]) for r in store.read(spark, "silver", "refined_batches").collect()}
+    return sorted(landed - done, key=str)
+
+
+def _in_batches(batches: list[tuple]):
+    """Rows of the batches; literals on partition columns, so other folders are not read."""
+    out = F.lit(False)
+    for run in {r for r, _ in batches}:
+        ids = [b for r, b in batches if r == run and b is not None]
+        same = F.col("run").eqNullSafe(F.lit(run))
+        out = out | (same & (F.col("batch_id").isin(ids) if ids else F.col("batch_id").isNull()))
+    return out
+
+
+def _on_days(column: str, days: list):
+    return F.col(column).isin([d for d in days if d is not None]) | (
+        F.col(column).isNull() if None in days else F.lit(False))
+
+
+def _refine_new(spark: SparkSession, store: TierStore, raw: str, refined: str, key: str, day: str,
+                model: Callable, as_of, batches: list[tuple]) -> list:
+    """Refine the ids that the batches hold and replace the days they are or were on."""
+    rows = store.read(spark, "bronze", raw, partitions=True)
+    ids = rows.filter(_in_batches(batches)).select(key).filter(F.col(key).isNotNull()).distinct()
+    # All copies of these ids, old ones too: which copy is the latest depends on them.
+    copies = store.read(spark, "bronze", raw).join(ids, key, "left_semi")
+    latest = model(copies, as_of)
+    old = store.read(spark, "silver", refined, partitions=True)
+    days = [r[0] for r in latest.select(F.to_date("event_timestamp" if refined == "clean_events" else "created_at"))
+            .union(old.join(ids, key, "left_semi").select(day)).distinct().collect()]  # calendar days
+    if not days:
+        return days
+    if refined == "clean_events":  # noted before the rows move, so that a failed run loses no day
+        _set_pending(spark, store, sorted(set(days) | set(_pending_days(spark, store)), key=str))
+    kept = old.filter(_on_days(day, days)).join(ids, key, "left_anti").select(latest.columns)
+    store.replace_days(kept.unionByName(latest), "silver", refined, days)
+    return days
+
+
+def _pending_days(spark: SparkSession, store: TierStore) -> list:
+    return [r["event_date"] for r in store.read(spark, "silver", "pending_days").collect()]
+
+
+def _set_pending(spark: SparkSession, store: TierStore, days: list) -> None:
+    store.write(spark.createDataFrame([(d,) for d in days], "event_date date"), "silver", "pending_days")
+
+
+def _mark_done(spark: SparkSession, store: TierStore, batches: list[tuple]) -> None:
+    done = [tuple(r) for r in store.read(spark, "silver", "refined_batches").collect()]
+    store.write(spark.createDataFrame(done + batches, "run string, batch_id long"), "silver", "refined_batches")

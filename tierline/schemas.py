@@ -39,6 +39,10 @@ CUSTOMER_360 = _struct(("user_id", S), ("first_seen", TS), ("last_seen", TS),
 INGEST_STATS = _struct(("source_name", S), ("rows", T.LongType()), ("dead_letters", T.LongType()),
                       ("latest_at", TS))
 
+# Which landed batches are refined, and which days' KPIs wait for the aggregate tier.
+REFINED_BATCHES = _struct(("run", S), ("batch_id", T.LongType()))
+PENDING_DAYS = _struct(("event_date", T.DateType()))
+
 TABLES = {
     ("bronze", "ingest_stats"): INGEST_STATS,
     ("bronze", "events"): BRONZE_EVENTS,
@@ -46,6 +50,8 @@ TABLES = {
     ("bronze", "dead_letter"): DEAD_LETTER,
     ("silver", "clean_events"): CLEAN_EVENTS,
     ("silver", "validate_orders"): VALIDATED_ORDERS,
+    ("silver", "refined_batches"): REFINED_BATCHES,
+    ("silver", "pending_days"): PENDING_DAYS,
     ("gold", "daily_kpis"): DAILY_KPIS,
     ("gold", "customer_360"): CUSTOMER_360,
 }

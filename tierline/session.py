@@ -16,6 +16,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A JSON object that repeats a key is JSON; the last value counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -35,11 +37,6 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.master(master)
         builder = builder.config("spark.ui.enabled", "false")
         builder = builder.config("spark.driver.memory", os.environ.get("TIERLINE_DRIVER_MEMORY", "8g"))
-        if master.startswith("local"):
-            # Small local inputs: let AQE keep CPU-heavy post-shuffle stages (JSON parsing,
-            # item folds) spread over the cores instead of coalescing them into 1 MB chunks.
-            # On a cluster, partitions are far above either minimum and this has no effect.
-            builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128KB")
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
@@ -51,11 +48,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def apply_defaults(spark: SparkSession) -> None:
+    """Set the defaults on a running session.  All are run-time settings; one that cannot be set
+    would change results without a sign, so the error is raised."""
     for k, v in SESSION_DEFAULTS.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on an existing session: leave as configured
-            pass
+        spark.conf.set(k, v)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from tierline.sources.topics import EVENTS_TOPIC, ORDERS_TOPIC
 
-# Fixed values chosen for the fixtures (not taken from anywhere): pages by event id mod 5,
-# the referrer used on every third event, and the reference instant of a fixture run.
-PAGES = ("/home", "/products", "/product/detail", "/cart", "/checkout")
+# Fixed values chosen for the fixtures: pages by event id mod 5, the referrer used on every
+# third event, and the reference instant of a fixture run.
+PAGES = ("/start", "/list", "/list/item", "/basket", "/pay")
 REFERRER = "https://search.example/"
 FIXTURE_AS_OF = "2024-01-31"
 BURST_DATE = "2024-01-15"
@@ -99,14 +99,11 @@ def order_item_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     them per order is safe.  ``part`` joins by broadcast only when Spark measures it under
     the broadcast threshold, else by a sort-merge join.
     """
-    # Distribute line items by order before joining and collecting: a partial collect_list
-    # does not shrink the data, so this is the shuffle the grouping needs anyway, and the
-    # join and array building then run on every core even when the scan is one task.
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice").repartition("l_orderkey")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
     price = ((F.col("p_size") % 10).cast("decimal(18,2)") + F.lit("0.99").cast("decimal(3,2)")).cast("decimal(18,2)")
-    lines = li.join(part, li.l_partkey == part.p_partkey, "inner").select(
+    lines = li.join(part, li.l_partkey == part.p_partkey, "left").select(
         "l_orderkey",
         F.struct(
             F.col("l_linenumber").alias("o1"),
@@ -176,17 +173,12 @@ def _iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
-def _as_served(spark: SparkSession, copies: DataFrame) -> DataFrame:
-    """Lay records out the way a multi-partition topic is read: spread over the cluster's
-    tasks by source key and copy, not held in the one task that scanned a single-file table.
-    Done before the message text is built, so that work is spread too.  One partition per
-    task slot: the validation that follows is CPU-bound, so size-based coalescing would
-    leave cores idle."""
-    try:
-        slots = spark.sparkContext.defaultParallelism
-    except Exception:  # sessions without a local SparkContext (Spark Connect)
-        slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return copies.repartition(slots, "_k", "_copy")
+def _as_served(copies: DataFrame) -> DataFrame:
+    """Lay records out the way a multi-partition topic is read: spread by source key and copy,
+    not held in the one task that scanned a single-file table.  The number of partitions
+    follows the size of the data (AQE).  Done before the message text is built, so that work
+    is spread too."""
+    return copies.repartition("_k", "_copy")
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,7 +187,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     The message carries ``metadata`` verbatim, so an event whose metadata is not JSON
     becomes an undecodable message; a NULL id is simply absent from the message.
     """
-    ev = _as_served(spark, event_copies(spark, sf_dir))
+    ev = _as_served(event_copies(spark, sf_dir))
     head = F.to_json(F.struct(
         "event_id", "event_type", "user_id", "session_id", "page", "referrer",
         _iso(F.col("timestamp")).alias("timestamp"),
@@ -213,7 +205,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw orders as topic records; ``items`` is a real JSON array in the message."""
-    od = _as_served(spark, order_copies(spark, sf_dir))
+    od = _as_served(order_copies(spark, sf_dir))
     # A producer bug on a few orders: a zero total, which ingest must dead-letter.
     total = F.when(F.col("_k") % 101 == ZERO_TOTAL_REMAINDER, F.lit(0.0)).otherwise(F.col("total_amount"))
     value = F.to_json(F.struct(

@@ -1,9 +1,16 @@
 """Tier tables: where they live, how they are created, read and (re)written.
 
-Tables are directories under one root, ``<root>/<tier>/<table>``, in a pluggable format
-(Parquet by default; ``delta`` or ``iceberg`` when their connectors are on the classpath and
-the session is configured for them, an ``s3a://`` root for object storage).  Readers and
-writers never lock each other: a rewrite replaces files, not rows in place.
+Tables are directories under one root, ``<root>/<tier>/<table>``, in any file format Spark
+writes (Parquet by default, ORC; ``delta`` or ``iceberg`` when their connectors are on the
+classpath), on any file system Hadoop reads.
+
+* Raw tables only grow: a micro-batch replaces its own ``(ingest_date, run, batch_id)``
+  partitions and can touch no other batch's rows.
+* A full rewrite of a refined or aggregate table goes to a new version folder; the job's
+  ``_SUCCESS`` marker makes it the current one.  Until then, and for readers that are
+  running, the version before stays; a failed rewrite changes nothing.
+* An incremental rewrite replaces single partitions of the current version (Spark stages
+  them and moves them in when the whole job has succeeded).
 """
 
 from __future__ import annotations
@@ -16,15 +23,22 @@ from pyspark.sql import types as T
 
 from tierline.schemas import TABLES
 
-# Partition columns of the tables that are written partitioned: raw tables by micro-batch
-# (idempotent replays), daily KPIs by date (pruning for date-ranged reports).
-PARTITIONING = {
-    ("bronze", "events"): ("batch_id",),
-    ("bronze", "orders"): ("batch_id",),
-    ("bronze", "dead_letter"): ("batch_id",),
-    ("bronze", "ingest_stats"): ("batch_id",),
-    ("gold", "daily_kpis"): ("event_date",),
+# Partition columns that are no column of the record (raw tables: which batch landed the row;
+# refined tables: the day, so that an incremental refresh replaces only touched days).
+LANDED = {"ingest_date": T.DateType(), "run": T.StringType(), "batch_id": T.LongType()}
+PARTITIONING: dict[tuple[str, str], dict[str, T.DataType]] = {
+    ("bronze", "events"): LANDED,
+    ("bronze", "orders"): LANDED,
+    ("bronze", "dead_letter"): LANDED,
+    ("bronze", "ingest_stats"): {"run": T.StringType(), "batch_id": T.LongType()},
+    ("silver", "clean_events"): {"event_day": T.DateType()},
+    ("silver", "validate_orders"): {"created_day": T.DateType()},
+    ("gold", "daily_kpis"): {"event_date": T.DateType()},
 }
+DAY_OF = {("silver", "clean_events"): "event_timestamp", ("silver", "validate_orders"): "created_at"}
+KEPT_VERSIONS = 2
+# Formats that keep versions themselves and replace a table atomically.
+TRANSACTIONAL = ("delta", "iceberg")
 
 
 @dataclass(frozen=True)
@@ -32,52 +46,130 @@ class TierStore:
     root: str
     fmt: str = "parquet"
 
-    def path(self, tier: str, table: str) -> str:
+    def folder(self, tier: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{tier}/{table}"
 
+    def _versioned(self, tier: str) -> bool:
+        return tier != "bronze" and self.fmt not in TRANSACTIONAL
+
+    def versions(self, spark: SparkSession, tier: str, table: str) -> list[tuple[int, str]]:
+        """(number, path) of the complete versions, in order."""
+        fs, path = _fs(spark, self.folder(tier, table))
+        if not fs.exists(path):
+            return []
+        found = []
+        for status in fs.listStatus(path):
+            name = status.getPath().getName()
+            if name.startswith("v-") and fs.exists(_path(spark, f"{self.folder(tier, table)}/{name}/_SUCCESS")):
+                found.append((int(name[2:]), f"{self.folder(tier, table)}/{name}"))
+        return sorted(found)
+
+    def path(self, spark: SparkSession, tier: str, table: str) -> str:
+        """Where the current rows are."""
+        if not self._versioned(tier):
+            return self.folder(tier, table)
+        found = self.versions(spark, tier, table)
+        if not found:
+            raise FileNotFoundError(f"{tier}.{table} has no complete version under {self.root}")
+        return found[-1][1]
+
     def exists(self, spark: SparkSession, tier: str, table: str) -> bool:
-        """Whether the table folder exists (Hadoop file system; by a read probe where the
-        session has no local JVM, as with Spark Connect)."""
-        try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(self.path(tier, table))
-            return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-        except Exception:  # no SparkContext in this session
-            try:
-                spark.read.format(self.fmt).load(self.path(tier, table)).schema  # noqa: B018
-                return True
-            except Exception:
-                return False
+        """Whether the table is there.  Any failure to find out (a denied or throttled store)
+        is raised: it must never be taken for a missing table."""
+        if self._versioned(tier):
+            return bool(self.versions(spark, tier, table))
+        fs, path = _fs(spark, self.folder(tier, table))
+        return bool(fs.exists(path))
 
     def bootstrap(self, spark: SparkSession) -> None:
-        """Create every missing table empty, with its fixed schema (idempotent)."""
+        """Create every table that is definitely missing, empty, with its fixed schema.
+        Nothing that exists is ever written to."""
         for (tier, table), schema in TABLES.items():
-            if not self.exists(spark, tier, table):
-                empty = spark.createDataFrame([], schema)
-                for c in PARTITIONING.get((tier, table), ()):
-                    if c not in empty.columns:
-                        empty = empty.withColumn(c, F.lit(None).cast("long"))
-                self.write(empty, tier, table)
-
-    def read(self, spark: SparkSession, tier: str, table: str) -> DataFrame:
-        """A tier table with its declared columns (partition columns of raw tables dropped).
-
-        Read with the declared schema, so a table that has no files yet (a partitioned table
-        right after ``bootstrap``) reads as empty instead of failing schema inference."""
+            if self.exists(spark, tier, table):
+                continue
+            if self._versioned(tier):
+                self.write(spark.createDataFrame([], schema), tier, table)
+            elif self.fmt in TRANSACTIONAL:
+                spark.createDataFrame([], schema).write.format(self.fmt).mode("ignore").save(self.folder(tier, table))
+            else:  # an empty folder is an empty partitioned table
+                fs, path = _fs(spark, self.folder(tier, table))
+                fs.mkdirs(path)
+
+    def read(self, spark: SparkSession, tier: str, table: str, partitions: bool = False) -> DataFrame:
+        """A tier table with its declared columns (and its partition columns when asked).
+
+        Read with the declared schema, so a table that has no files yet reads as empty instead of failing schema
+        inference."""
         schema = TABLES.get((tier, table))
+        path = self.path(spark, tier, table)
         if schema is None:
-            return spark.read.format(self.fmt).load(self.path(tier, table))
-        full = T.StructType(list(schema.fields) + [
-            T.StructField(c, T.LongType()) for c in PARTITIONING.get((tier, table), ()) if c not in schema.names])
-        df = spark.read.format(self.fmt).schema(full).load(self.path(tier, table))
-        return df.select(*[F.col(f.name) for f in schema.fields])
-
-    def write(self, df: DataFrame, tier: str, table: str, mode: str = "overwrite", dynamic: bool = False) -> None:
-        """Materialise a model.  A full refresh replaces the whole table; ``dynamic=True``
-        replaces only the partitions present in ``df`` (replays of one micro-batch)."""
-        parts = [c for c in PARTITIONING.get((tier, table), ()) if c in df.columns]
-        writer = df.write.format(self.fmt).mode(mode)
+            return spark.read.format(self.fmt).load(path)
+        extra = {c: t for c, t in PARTITIONING.get((tier, table), {}).items() if c not in schema.names}
+        reader = spark.read.format(self.fmt)
+        if self.fmt not in TRANSACTIONAL:
+            reader = reader.schema(T.StructType([*schema.fields, *(T.StructField(c, t) for c, t in extra.items())]))
+        df = reader.load(path)
+        return df.select(*schema.names, *(extra if partitions else ()))
+
+    def _with_day(self, df: DataFrame, tier: str, table: str) -> DataFrame:
+        day = DAY_OF.get((tier, table))
+        return df.withColumn(next(iter(PARTITIONING[tier, table])), F.to_date(day)) if day else df
+
+    def write(self, df: DataFrame, tier: str, table: str) -> None:
+        """Replace the whole table by a new version."""
+        spark = df.sparkSession
+        df = self._with_day(df, tier, table)
+        writer = df.write.format(self.fmt)
+        parts = [c for c in PARTITIONING.get((tier, table), {}) if c in df.columns]
         if parts:
             writer = writer.partitionBy(*parts)
-            writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-        writer.save(self.path(tier, table))
+        if not self._versioned(tier):
+            writer.mode("overwrite").option("partitionOverwriteMode", "static").save(self.folder(tier, table))
+            return
+        old = self.versions(spark, tier, table)
+        number = old[-1][0] + 1 if old else 0
+        # "overwrite" only clears what a failed attempt at this number left behind.
+        (writer.mode("overwrite").option("partitionOverwriteMode", "static")
+         .save(f"{self.folder(tier, table)}/v-{number:010d}"))
+        for _, path in old[:-(KEPT_VERSIONS - 1)]:
+            fs, p = _fs(spark, path)
+            fs.delete(p, True)
+
+    def replace_days(self, df: DataFrame, tier: str, table: str, days: list) -> None:
+        """Replace the given days (partitions) of the current version by the rows of ``df``,
+        which has no row of another day; days without rows go."""
+        spark = df.sparkSession
+        path = self.path(spark, tier, table)
+        df = self._with_day(df, tier, table)
+        column = next(iter(PARTITIONING[tier, table]))
+        # Asked before the write: the rows may come from the very files that it replaces.
+        filled = {r[0] for r in df.select(column).distinct().collect()}  # calendar days
+        (df.write.format(self.fmt).mode("overwrite").partitionBy(column)
+         .option("partitionOverwriteMode", "dynamic").save(path))
+        for day in set(days) - filled:
+            name = "__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat()
+            fs, p = _fs(spark, f"{path}/{column}={name}")
+            fs.delete(p, True)
+
+    def land(self, df: DataFrame, table: str, run: str, batch_id: int) -> None:
+        """Write one micro-batch of a raw table.  Its partitions are named by the streaming
+        query's id and the batch's number, so a replay replaces its own rows and nothing
+        else; a query with a new checkpoint has a new id."""
+        df = df.withColumn("run", F.lit(run)).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+        parts = list(PARTITIONING["bronze", table])
+        writer = df.write.format(self.fmt).partitionBy(*parts)
+        if self.fmt in TRANSACTIONAL:
+            (writer.mode("append").option("txnAppId", f"{run}-{table}").option("txnVersion", int(batch_id))
+             .save(self.folder("bronze", table)))
+        else:
+            (writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .save(self.folder("bronze", table)))
+
+
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _fs(spark: SparkSession, path: str):
+    p = _path(spark, path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Topic names of the two record streams.
 EVENTS_TOPIC = "raw.events"
 ORDERS_TOPIC = "raw.orders"
+_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # Spark's default format drops microseconds
 
 
 def to_topic_records(df: DataFrame, topic: str, key: str | None = None,
@@ -15,11 +16,14 @@ def to_topic_records(df: DataFrame, topic: str, key: str | None = None,
     """``topic, key, value`` rows: each record serialised as one JSON object.
 
     ``json_columns`` hold JSON text (a raw table's ``metadata`` or ``items``) and are embedded
-    as JSON values, not as quoted strings.  The frame is what a Kafka sink takes
+    as JSON values, not as quoted strings.  Text that is not JSON stays in the message as a string, which
+    the ingest's rules name and dead-letter; a NULL field is an explicit ``null``.  The frame is what a Kafka sink takes
     (``df.write.format("kafka")``, see ``write_topic``); the broker assigns partition and
     offset."""
-    fields = [F.try_parse_json(F.col(c)).alias(c) if c in json_columns else F.col(c) for c in df.columns]
-    value = F.to_json(F.struct(*fields))
+    fields = [F.coalesce(F.try_parse_json(F.col(c)), F.col(c).cast("variant")).alias(c) if c in json_columns
+              else F.col(c) for c in df.columns]
+    value = F.to_json(F.struct(*fields), {
+        "ignoreNullFields": "false", "timestampFormat": f"{_TIME}XXX", "timestampNTZFormat": _TIME})
     k = F.col(key).cast("string") if key else F.lit(None).cast("string")
     return df.select(F.lit(topic).alias("topic"), k.alias("key"), value.alias("value"))
 

@@ -6,10 +6,11 @@ Variant parse per message), split by topic, validated by column rules, and writt
 * good events / orders → the raw tables,
 * everything else → the dead-letter table with its ``errors`` (nothing is silently lost).
 
-Writes are keyed by the micro-batch id (``batch_id`` partition, dynamic overwrite), so a
-batch replayed after a failure replaces its own output instead of appending twice; with the
-checkpoint this makes the raw tables effectively exactly-once although delivery is
-at-least-once.  The batch functions (``decode``, ``validate_events``, ``dead_letters`` …) are
+Writes are keyed by the streaming query's id and the micro-batch's number (partitions
+``run`` and ``batch_id`` below ``ingest_date``, dynamic overwrite), so a batch replayed after a
+failure replaces its own output instead of appending twice, and a query with another
+checkpoint, which counts its batches from 0 again, adds to what is there.  With the checkpoint
+this makes the raw tables effectively exactly-once although delivery is at-least-once.  The batch functions (``decode``, ``validate_events``, ``dead_letters`` …) are
 the same ones the stream uses, so they are tested and registered as ordinary batch queries too.
 """
 
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions import validation as V
+from tierline.sources.tables import TierStore
 from tierline.sources.topics import EVENTS_TOPIC, ORDERS_TOPIC
 
 # The columns a topic source delivers (a Kafka source has them; a file source is given them).
@@ -142,19 +144,22 @@ def ingest_batch(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 # Upper bound on messages per micro-batch: each batch is persisted once while it is split
 # into good rows and dead letters, so its size must not grow with the backlog.
+# A rate, not a cap: what is left waits for the next batch.
 MAX_OFFSETS_PER_TRIGGER = 20_000_000
+MAX_FILE_BYTES_PER_TRIGGER = 16 << 30
 
 
 def read_topics(spark: SparkSession, source: str = "files", path: str | None = None,
                 bootstrap_servers: str | None = None, topics=(EVENTS_TOPIC, ORDERS_TOPIC),
-                max_files_per_trigger: int | None = None,
+                max_bytes_per_trigger: int = MAX_FILE_BYTES_PER_TRIGGER,
                 max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
     """Streaming topic records.
 
     ``source="kafka"`` subscribes to the topics from the earliest offset (needs the Kafka
     connector on the classpath) with at most ``max_offsets_per_trigger`` messages per batch;
     ``source="files"`` reads JSON-lines files with the same
-    ``topic, partition, offset, timestamp, value`` columns, for offline runs and tests.
+    ``topic, partition, offset, timestamp, value`` columns, at most
+    ``max_bytes_per_trigger`` of files per batch, for offline runs and tests.
     """
     if source == "kafka":
         return (spark.readStream.format("kafka")
@@ -165,10 +170,8 @@ def read_topics(spark: SparkSession, source: str = "files", path: str | None = N
                 .option("failOnDataLoss", "true")
                 .load()
                 .select("topic", "partition", "offset", "timestamp", F.col("value").cast("string").alias("value")))
-    reader = spark.readStream.schema(TOPIC_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path)
+    return (spark.readStream.schema(TOPIC_SCHEMA)
+            .option("maxBytesPerTrigger", str(max_bytes_per_trigger)).json(path))
 
 
 def batch_stats(validated_events: DataFrame, validated_orders: DataFrame) -> DataFrame:
@@ -184,8 +187,9 @@ def batch_stats(validated_events: DataFrame, validated_orders: DataFrame) -> Dat
         one(validated_orders, "bronze.orders", "created_at"))
 
 
-def write_batch(messages: DataFrame, batch_id: int, paths: dict[str, str]) -> None:
-    """Write one micro-batch idempotently: each output replaces its ``batch_id`` partition.
+def write_batch(messages: DataFrame, batch_id: int, store: TierStore, run: str) -> None:
+    """Write one micro-batch idempotently: each output replaces its own ``run`` / ``batch_id``
+    partitions.
 
     The batch is read from the source once and validated once: the incoming records and the
     two validated frames are persisted (a micro-batch is bounded by the trigger), so the good
@@ -196,31 +200,43 @@ def write_batch(messages: DataFrame, batch_id: int, paths: dict[str, str]) -> No
     decoded = decode(messages)
     ev = validate_events(decoded).persist()
     od = validate_orders_raw(decoded).persist()
+    day = F.to_date("broker_timestamp").alias("ingest_date")
+    good, bad = F.size("errors") == 0, F.size("errors") > 0
     try:
         cols = list(DEAD_LETTER_COLUMNS)
-        dead = (ev.filter(F.size("errors") > 0).select(*cols)
-                .unionByName(od.filter(F.size("errors") > 0).select(*cols))
+        dead = (ev.filter(bad).select(*cols).unionByName(od.filter(bad).select(*cols))
                 .unionByName(unrouted(decoded)))
-        outputs = [(good_events(ev), "bronze_events"), (good_orders(od), "bronze_orders"), (dead, "dead_letter")]
-        if "ingest_stats" in paths:
-            outputs.append((batch_stats(ev, od), "ingest_stats"))
-        for df, key in outputs:
-            (df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-             .write.mode("overwrite").partitionBy("batch_id").option("partitionOverwriteMode", "dynamic")
-             .parquet(paths[key]))
+        store.land(ev.filter(good).select(*EVENT_COLUMNS, day), "events", run, batch_id)
+        store.land(od.filter(good).select(*ORDER_COLUMNS, day), "orders", run, batch_id)
+        store.land(dead.select(*cols, day), "dead_letter", run, batch_id)
+        store.land(batch_stats(ev, od), "ingest_stats", run, batch_id)  # last: the batch is complete
     finally:
         ev.unpersist()
         od.unpersist()
         messages.unpersist()
 
 
-def start_ingest(stream: DataFrame, paths: dict[str, str], checkpoint: str,
-                 available_now: bool = False, interval: str = "1 second"):
-    """Start the ingest query.  ``paths`` has ``bronze_events``, ``bronze_orders``,
-    ``dead_letter`` and optionally ``ingest_stats``; ``checkpoint`` must be a shared, durable
-    folder on a cluster."""
-    writer = (stream.writeStream
-              .foreachBatch(lambda df, bid: write_batch(df, bid, paths))
-              .option("checkpointLocation", checkpoint))
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a checkpoint for the life of its streaming query."""
+    row = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").select(
+        F.get_json_object("value", "$.id").alias("id")).filter(F.col("id").isNotNull()).first()
+    return row["id"]
+
+
+def default_checkpoint(store: TierStore) -> str:
+    """Beside the tables it belongs to: as durable and as shared as they are, and the same
+    folder for every later run."""
+    return f"{store.root.rstrip('/')}/_checkpoints/ingest"
+
+
+def start_ingest(stream: DataFrame, store: TierStore, checkpoint: str | None = None,
+                 available_now: bool = False, interval: str = "1 minute"):
+    """Start the ingest query into the raw tables of ``store``."""
+    checkpoint = checkpoint or default_checkpoint(store)
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        write_batch(df, batch_id, store, query_id(df.sparkSession, checkpoint))
+
+    writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
