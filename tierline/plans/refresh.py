@@ -22,14 +22,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.operators import gold, quality, silver
-from tierline.sources.tables import TierStore
+from tierline.sources.tables import TierStore, period_of
 from tierline.streaming import ingest
 
 STEPS = ("ingest", "freshness", "silver", "quality", "gold")
-# Raw table, refined table, id, the day column of its partitions, and its model.
+# Raw table, refined table, id, the column of its partitions, and its model.
 MODELS: tuple[tuple[str, str, str, str, Callable], ...] = (
     ("events", "clean_events", "event_id", "event_day", silver.clean_events),
-    ("orders", "validate_orders", "order_id", "created_day", silver.validate_orders),
+    ("orders", "validate_orders", "order_id", "created_month", silver.validate_orders),
 )
 
 
@@ -70,12 +70,7 @@ def run_refresh(spark: SparkSession, store: TierStore, as_of: datetime | str,
                 result.days[refined] = _refine_new(spark, store, raw, refined, key, day, model, as_of, new)
         else:
             for raw, refined, _, _, model in MODELS:
-                rows = model(store.read(spark, "bronze", raw), as_of)
-                if refined == "clean_events":
-                    # Sorted by time within each file, so parquet row-group statistics let time-ranged
-                    # reports (the funnel) skip most of the table.
-                    rows = rows.sortWithinPartitions("event_timestamp")
-                store.write(rows, "silver", refined)
+                store.write(model(store.read(spark, "bronze", raw), as_of), "silver", refined)
         result.written += ["silver.clean_events", "silver.validate_orders"]
 
     clean = store.read(spark, "silver", "clean_events", partitions=True)
@@ -156,7 +151,7 @@ def _refine_new(spark: SparkSession, store: TierStore, raw: str, refined: str, k
     copies = store.read(spark, "bronze", raw).join(ids, key, "left_semi")
     latest = model(copies, as_of)
     old = store.read(spark, "silver", refined, partitions=True)
-    days = [r[0] for r in latest.select(F.to_date("event_timestamp" if refined == "clean_events" else "created_at"))
+    days = [r[0] for r in latest.select(period_of("silver", refined))
             .union(old.join(ids, key, "left_semi").select(day)).distinct().collect()]  # calendar days
     if not days:
         return days
