@@ -200,7 +200,10 @@ def write_batch(messages: DataFrame, batch_id: int, store: TierStore, run: str)
     decoded = decode(messages)
     ev = validate_events(decoded).persist()
     od = validate_orders_raw(decoded).persist()
-    day = F.to_date("broker_timestamp").alias("ingest_date")
+    # One date a batch, its newest: the same on a replay, and one folder a batch however old
+    # the records of a backlog are.
+    newest = messages.agg(F.max(F.to_date("timestamp"))).first()[0]
+    day = F.lit(newest).cast("date").alias("ingest_date")
     good, bad = F.size("errors") == 0, F.size("errors") > 0
     try:
         cols = list(DEAD_LETTER_COLUMNS)
