@@ -4,7 +4,7 @@ A text's vector holds the TF-IDF weights of its byte trigrams (letters only, A-Z
 lower-cased, anything else in ASCII one blank), hashed to a fixed number of dimensions, at
 unit length.  Document frequencies are counted over all labelled texts.  Each language gets several
 centroids by spherical k-means over a bounded sample of its labelled texts
-(``sample_per_lang``, the rows with the least hash of doc_id).  A text takes the language of
+(``sample_per_lang``, the rows with the least hash of doc_id and text).  A text takes the language of
 the centroid with the greatest cosine, and is rejected when its distance to that centroid is
 greater than the centroid's own limit, which is learned from the sample's distances and
 allows for the text's length.
@@ -114,8 +114,15 @@ def fit(labelled: DataFrame, dims: int = DIMS, centroids: int = CENTROIDS,
     """The model: idf, languages, unit centroids and each centroid's least accepted cosine."""
     labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     idf = inverse_frequency(labelled, dims)
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text")
+    # About twice the sample passes a threshold on the hash, so that what meets in one task is
+    # as small at any size of the table; the least hashes of it are the sample.
+    share = F.lit(0.0)
+    for r in labelled.groupBy("lang").count().collect():  # one row a language
+        share = F.when(F.col("lang") == r["lang"], F.lit(2.0 * sample_per_lang / r["count"])).otherwise(share)
+    hashed = F.xxhash64("doc_id", "text")
+    by_hash = Window.partitionBy("lang").orderBy(hashed, "doc_id", "text")
     sample = (labelled.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
+              .filter(hashed / F.lit(2.0 ** 64) + 0.5 < share)
               .withColumn("at", F.row_number().over(by_hash)).filter(F.col("at") <= sample_per_lang))
 
     def learn(group):
