@@ -4,9 +4,9 @@ import corpus_pipeline as cp
 import __spark_entry__ as entry
 from tierline.llm import bpe_tree, queries
 
-from test_decontaminate import brute as hit_words
-from test_line_dedup import brute as dropped_lines
-from test_simhash_bktree import brute_fp, brute_groups
+from .test_decontaminate import brute as hit_words
+from .test_line_dedup import brute as dropped_lines
+from .test_simhash_bktree import brute_fp, brute_groups
 
 DATA = "/root/testdata/sf0.001"
 
