@@ -27,7 +27,7 @@ def _language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def _line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.deduplicate(docs).select(docs.columns)
+    return line_dedup.deduplicate(docs)
 
 
 def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,8 +29,9 @@ def test_equals_brute_force(make):
     docs = [(i, "\n".join(rng.choice(pool[:6 + i % 5]) for _ in range(rng.randint(0, 6)))) for i in range(40)]
     docs += [(40, None), (41, ""), (None, "x"), (None, "x\nx"), (5, "x"), (5, "x")]
     for batches in (1, 5):
-        rows = ld.deduplicate(make(docs, more="batch int, h1 long, _n long"), min_docs=7, batches=batches)
-        got = sorted(((r.doc_id, r._n_lines, r._n_dropped, r.text) for r in rows.collect()), key=repr)
+        rows = ld.deduplicate(make(docs, more="batch int, h1 long, kept long, gone string, doc int"), min_docs=7, batches=batches,
+                              measured=True)
+        got = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in rows.collect()), key=repr)
         assert got == brute(docs, 7)
 
 
@@ -46,8 +47,9 @@ def test_levels_merge_and_frequent_keys_stop_counting(make, spark):
 
 
 def test_other_columns_stay_and_empty_table(make):
-    docs = make(["a\nb"])
-    assert ld.deduplicate(docs).select(docs.columns).collect()[0].text == "a\nb"
+    docs = make(["a\nb"], more="kept long, gone string, doc int, gone_id int")
+    same = ld.deduplicate(docs)
+    assert same.columns == docs.columns and same.collect()[0] == docs.collect()[0]
     assert ld.deduplicate(docs.limit(0)).count() == 0
 
 

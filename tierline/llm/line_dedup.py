@@ -104,31 +104,32 @@ def frequent_keys(keys: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATC
     return runs.frequent()
 
 
-def deduplicate(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, batches: int = BATCHES) -> DataFrame:
-    """Rows of ``docs`` with ``text`` cut to the lines that stay, and ``_n_lines`` and
-    ``_n_dropped`` beside the columns they had."""
+def deduplicate(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, batches: int = BATCHES,
+                measured: bool = False) -> DataFrame:
+    """Rows of ``docs`` with ``text`` cut to the lines that stay; with ``measured`` doc_id, text,
+    n_lines (before) and n_dropped instead of the columns of ``docs``."""
     path = scratch(docs.sparkSession, "line-keys")
     document_keys(docs, min_chars, batches).write.partitionBy("batch").parquet(path)
     keys = docs.sparkSession.read.schema(docs.select("doc_id").schema.add("h1", "long").add("h2", "long").add("batch", "integer")).parquet(path)
     frequent = written(frequent_keys(keys, min_docs, batches), "line-frequent")
     # A frequent key is one row on its side, so a hot line is a skewed join that AQE splits.
-    gone = (keys.join(frequent, KEY).groupBy("doc_id").agg(F.collect_set(F.struct(*KEY)).alias("_gone"))
-            .withColumnRenamed("doc_id", "_gone_id"))
-    rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone_id"]), "left").drop("_gone_id")
-    kept = F.when(F.col("_gone").isNull(), lines_of(F.col("text"))).otherwise(F.filter(
-        lines_of(F.col("text")),
-        lambda x: (F.length(line_key(x)) < min_chars) | ~F.array_contains(F.col("_gone"), hashed(line_key(x)))))
-    n_lines = F.size(lines_of(F.col("text")))
-    rows = rows.withColumn("_kept", kept)
-    return (rows.withColumn("_n_lines", n_lines.cast("long"))
-            .withColumn("_n_dropped", (n_lines - F.size("_kept")).cast("long"))
-            .withColumn("text", F.array_join("_kept", "\n")).drop("_kept", "_gone"))
+    gone = (keys.join(frequent, KEY).groupBy("doc_id").agg(F.collect_set(F.struct(*KEY)).alias("gone"))
+            .withColumnRenamed("doc_id", "gone_id"))
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))  # no name can clash
+    lines = lines_of(F.col("doc.text"))
+    kept = F.when(F.col("gone").isNull(), lines).otherwise(F.filter(
+        lines, lambda x: (F.length(line_key(x)) < min_chars) | ~F.array_contains(F.col("gone"), hashed(line_key(x)))))
+    rows = packed.join(gone, F.col("doc.doc_id").eqNullSafe(F.col("gone_id")), "left").select(
+        "doc", kept.alias("kept"), F.size(lines).cast("long").alias("n_lines"))
+    text = F.array_join("kept", "\n").alias("text")
+    if measured:
+        return rows.select("doc.doc_id", text, "n_lines", (F.col("n_lines") - F.size("kept")).alias("n_dropped"))
+    return rows.select(*[text if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns])
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return rows.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
-                       F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+    rows = deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), measured=True)
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
 ORACLE = r"""

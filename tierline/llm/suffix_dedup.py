@@ -253,8 +253,12 @@ def one_by_one(docs: DataFrame, spans: DataFrame, length: int = LENGTH) -> DataF
     return rows.mapInArrow(run, schema)
 
 
-def repeated_ranges(docs: DataFrame, length: int = LENGTH, head: int = HEAD, batches: int = BATCHES) -> DataFrame:
-    """(doc_id, version, first, strings): runs of string starts that also start elsewhere."""
+def repeated_ranges(docs: DataFrame, length: int = LENGTH, head: int = HEAD, batches: int = BATCHES,
+                    paths: list[str] | None = None) -> DataFrame:
+    """(doc_id, version, first, strings): runs of string starts that also start elsewhere.
+    ``paths`` gets the scratch tables that the result reads."""
+    paths = [] if paths is None else paths
+    compared: list[str] = []
     family = SuffixFamily(docs.sparkSession)
     repeated = None
     for b in range(batches):
@@ -262,17 +266,19 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, head: int = HEAD, bat
         found = family.add(batch_heads(batch, length, head))
         repeated = found if repeated is None else repeated.union(found)
     family.drop()
-    places = written(all_places(docs, length, head).join(repeated.distinct(), "head", "left_semi"), "suffix-places")
+    places = written(all_places(docs, length, head).join(repeated.distinct(), "head", "left_semi"), "suffix-places", paths)
     kinds = written(places.groupBy("head", "span").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "version", "first", "strings")).alias("one")), "suffix-kinds")
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "version", "first", "strings")).alias("one")), "suffix-kinds", paths)
     whole = places.join(kinds.filter("n > 1").select("head", "span"), ["head", "span"], "left_semi")
     mixed = kinds.groupBy("head").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("kinds")).filter("least = 1 AND kinds > 1")
     one_each = kinds.join(mixed, "head", "left_semi").select("head", "one.*", (F.col("n") == 1).alias("single"))
-    strings = written(one_by_one(docs, one_each, length), "suffix-strings")
+    strings = written(one_by_one(docs, one_each, length), "suffix-strings", compared)
     twice = strings.groupBy("head", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("head", "string")
     # Strings of spans with several places are known already; only single spans ask.
     parts = written(strings.filter("single").join(twice, ["head", "string"], "left_semi").select(
-        "doc_id", "version", "first"), "suffix-parts")
+        "doc_id", "version", "first"), "suffix-parts", paths)
+    for path in compared:
+        drop_path(docs.sparkSession, path)
     return whole.select("doc_id", "version", "first", "strings").union(
         parts.select("doc_id", "version", "first", F.lit(1).alias("strings")))
 
@@ -286,7 +292,10 @@ def versioned(docs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, length: int = LENGTH, head: int = HEAD, batches: int = BATCHES) -> DataFrame:
     """doc_id, n_bytes, the removed byte ranges and the kept bytes of every row."""
     docs = versioned(docs)
-    ranges = written(_by_row(repeated_ranges(docs, length, head, batches), ["first", "strings"], "_ranges"), "suffix-ranges")
+    used: list[str] = []
+    ranges = written(_by_row(repeated_ranges(docs, length, head, batches, used), ["first", "strings"], "_ranges"), "suffix-ranges")
+    for path in used:
+        drop_path(docs.sparkSession, path)
     schema = StructType([docs.schema["doc_id"], *StructType.fromDDL(
         "n_bytes long, removed array<struct<start:long,end:long>>, kept binary").fields])
     arrow = to_arrow_schema(schema)
