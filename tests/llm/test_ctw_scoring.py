@@ -103,3 +103,15 @@ def test_small_table_keeps_probabilities(make):
     docs = make(["many different words fill a table of few slots", "and collide there"])
     got = ctw.score(docs, F.lit(False), depth=3, slots=1 << 10).collect()
     assert all(-1e6 < r.score < 0 for r in got)
+
+
+def test_every_node_counts_with_the_production_parameters(make):
+    """A table of hashed slots lost a tenth of the nodes and more."""
+    import random
+    rng = random.Random(5)
+    vocab = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(150)]
+    texts = [" ".join(rng.choice(vocab) for _ in range(30)) for _ in range(20)]
+    got = {r.doc_id: r.score for r in ctw.score(make(texts), F.col("doc_id") >= 16).collect()}
+    counts = dict(brute_model(texts[:16], ctw.DEPTH))
+    for i in (0, 7, 16, 17, 18, 19):
+        assert got[i] == pytest.approx(brute_score(counts, texts[i], ctw.DEPTH), rel=1e-9)

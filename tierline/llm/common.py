@@ -31,7 +31,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, paths: list[str] | None = None, compression: str | None = None) -> DataFrame:
     """Cut lineage: write to the shared folder and read back, so that losing an executor
     never repeats the work above.
 
@@ -40,7 +40,7 @@ def written(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFra
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     if paths is not None:  # for a caller who deletes the table when later ones replace it
         paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,16 +16,17 @@ training has seen (going on with the even odds of an unseen one costs 2.6 % in c
 held-out texts of sf0.1).  A text's score is the log10 probability of its symbols; code
 length per byte follows from it.
 
-*Spark.*  Tasks count (DEPTH + 1)-grams of the training texts and Spark sums them.  The nodes
-below each three last bytes are one independent group (at most 256^(DEPTH-2) grams,
-however large the corpus); tasks weigh whole groups, and the groups' sums give the small top
-of the tree.  The finished nodes go to a table of at most ``SLOTS`` slots by hash (a slot keeps the
-node with most training counts, with a tag of its hash) and six bytes a slot, so that what is
-broadcast never exceeds 50 MB.
-
-*Base score.*  Word counts of the corpus may be of any size, so they are never broadcast: each
-block of documents writes its distinct words and, for each document, the places of its words
-among them; blocks and counts meet by joins.
+*Spark.*  Each block of documents is written with its texts, its distinct (DEPTH + 1)-grams and
+its distinct words, and how often training documents of the block hold them; Spark sums the
+counts over the blocks.  The nodes below each three last bytes are one independent group (at
+most 256^(DEPTH-2) grams, however large the corpus); tasks weigh whole groups and score their
+grams, those of held-out texts too, so every node is used and none is ever gathered.  The
+groups' sums give the small top of the tree, the contexts of 0 to 2 bytes: it is broadcast, and
+256^3 nodes bound it at any size of the corpus.  What a gram's nodes below the top give for each decision and what the
+top adds make its log10 probability; scores meet the blocks by a join.
+
+*Base score.*  Word counts of the corpus may be of any size, so they are never broadcast: blocks
+and counts meet by joins.
 
 Cases: NULL and blank text have only the end.  Without training documents every decision has
 probability 1/2 and the base score is 0 a token.  Repeated rows are counted and scored each
@@ -43,17 +44,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tierline.llm.common import blocks, hash_mod, table, texts_of, written
+from tierline.llm.common import blocks, hash_mod, table, text_buffer, texts_of, written
 
 DEPTH = 5
-SLOTS = 1 << 23
-#: Slots a node, while the table is below its bound.
-SPARE = 2
+#: Bytes of context that deal the nodes into groups.
+TOP = 3
 END = 255
 #: Text bytes scored at once.
 PIECE = 1 << 20
-#: Grams a task holds before it merges equal ones.
+#: Text bytes of a block of documents, which one task holds; the larger, the fewer grams repeat.
+BLOCK_TEXT = 64 << 20
+#: Grams of a block held before equal ones merge.
 MERGE_GRAMS = 1 << 21
+#: Rows a task collects before it works on whole groups.
+GROUP_ROWS = 1 << 18
 
 
 def normal(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
@@ -88,33 +92,22 @@ def merge(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
     return k[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def count_grams(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(gram, n) over all texts of ``docs``."""
-    def count(batches):
-        import pandas as pd
+#: Log gamma of n + 1/2 and of n + 1 for small whole n.
+HALVES = np.array([math.lgamma(n + 0.5) for n in range(1 << 14)])
+WHOLES = np.array([math.lgamma(n + 1.0) for n in range(1 << 14)])
 
-        keys, counts, held = [], [], 0
-        for _, data, off in blocks(batches, limit=PIECE):
-            code, uniq = pd.factorize(symbols(*normal(data, off)[:2], depth)[0])
-            keys.append(uniq)
-            counts.append(np.bincount(code, minlength=len(uniq)))
-            held += len(uniq)
-            if held > MERGE_GRAMS:
-                k, n = merge(keys, counts)
-                keys, counts, held = [k], [n], 0
-        if keys:
-            k, n = merge(keys, counts)
-            for i in range(0, len(k), 1 << 16):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(k[i:i + (1 << 16)].astype(np.int64)), pa.array(n[i:i + (1 << 16)].astype(np.int64))], ["gram", "n"])
 
-    return texts_of(docs).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+def log_gamma(n: np.ndarray, add: float, small: np.ndarray) -> np.ndarray:
+    out = small[np.minimum(n, len(small) - 1).astype(np.int64)]
+    large = np.flatnonzero(n >= len(small))
+    out[large] = [math.lgamma(x + add) for x in n[large].tolist()]
+    return out
 
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Log of the Krichevsky-Trofimov probability of so many zeros and ones."""
-    lg = lambda x: np.fromiter(map(math.lgamma, x.tolist()), float, len(x))
-    return lg(zeros + 0.5) + lg(ones + 0.5) - lg(zeros + ones + 1.0) - math.log(math.pi)
+    return (log_gamma(zeros, 0.5, HALVES) + log_gamma(ones, 0.5, HALVES)
+            - log_gamma(zeros + ones, 1.0, WHOLES) - math.log(math.pi))
 
 
 def weigh(kt: np.ndarray, children: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,125 +121,77 @@ def group_by(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     return [uniq, *(np.bincount(code, v, len(uniq)) for v in values)]
 
 
-def decisions(grams: np.ndarray, n: np.ndarray, depth: int) -> list[np.ndarray]:
-    """(node, zeros, ones) of the decisions in contexts of ``depth`` bytes.  A node's integer is
-    its context and, in the lowest byte, its bit prefix behind a leading 1."""
-    grams = grams & np.uint64((1 << (8 * (depth + 1))) - 1)
-    ctx, x = grams & ~np.uint64(255), grams & np.uint64(255)
-    nodes, ones, zeros = [], [], []
-    for k in range(8):
-        nodes.append(ctx | np.uint64(1 << k) | (x >> np.uint64(8 - k)))
-        bit = ((x >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
-        ones.append(np.where(bit, n, 0))
-        zeros.append(np.where(bit, 0, n))
-    return group_by(np.concatenate(nodes), np.concatenate(zeros), np.concatenate(ones))
-
-
 def parent(nodes: np.ndarray, depth: int) -> np.ndarray:
     """The node one byte of context shorter: the byte farthest back goes."""
     return nodes & np.uint64((1 << (8 * depth)) - 1)
 
 
-def subtree(grams: np.ndarray, n: np.ndarray, depth: int, top: int) -> tuple[list, np.ndarray, np.ndarray]:
-    """Nodes from ``depth`` up to ``top``: [(depth, node, zeros, ones, weight)], and the top
-    nodes with their log Pw."""
-    out, below = [], None
+def subtree(grams: np.ndarray, n: np.ndarray, depth: int, top: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """What the nodes of ``depth`` up to ``top`` bytes of context say of whole groups of
+    distinct grams, of which training holds ``n`` each (0: none): the probability of each
+    gram's eight decisions, -1 where training has seen no context of ``top`` bytes; and the
+    seen nodes of ``top``: [node, zeros, ones, log Pw].  A node's integer is its context and, in
+    the lowest byte, its bit prefix behind a leading 1."""
+    p = np.full((8, len(grams)), -1.0)
+    below: list = [None] * 8
+    heads = []
     for d in range(depth, top - 1, -1):
-        node, zeros, ones = decisions(grams, n, d)
-        kt = log_kt(zeros, ones)
-        if below is None:
-            pw, weight = kt, np.ones(len(node))
-        else:
-            up, total = group_by(parent(below[0], d + 1), below[1])
-            pw, weight = weigh(kt, total)  # up equals node: every node has a child
-        out.append((d, node, zeros, ones, weight))
-        below = node, pw
-    return out, *below
-
-
-def hash_node(node: np.ndarray, depth: int) -> np.ndarray:
-    h = (node + np.uint64((depth + 1) * 0xD1B54A32D192ED03 % (1 << 64))) * np.uint64(0x9E3779B97F4A7C15)
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(29))
-
-
-#: Probabilities are held in 16 bits as log odds between -16 and 16.
-ODDS_STEP = 32 / 65535
-UNIT = 1 / (1 + np.exp(16 - ODDS_STEP * np.arange(65536)))
-
-
-def to_odds(p: np.ndarray) -> np.ndarray:
-    p = np.clip(np.asarray(p, float), 1e-12, 1 - 1e-12)
-    return np.clip(np.rint((np.log(p / (1 - p)) + 16) / ODDS_STEP), 0, 65535).astype(np.uint16)
-
-
-class Tree:
-    """The finished nodes in slots: P(1) by KT, weight, and a tag (0: empty slot)."""
-
-    def __init__(self, depth: int, slots: int):
-        self.depth, self.slots = depth, slots
-        self.tag = np.zeros(slots, np.uint16)
-        self.p1 = np.zeros(slots, np.uint16)
-        self.weight = np.zeros(slots, np.uint16)
-
-    def put(self, slot: np.ndarray, packed: np.ndarray) -> None:
-        self.tag[slot] = packed >> 32 & 0xFFFF
-        self.p1[slot] = packed >> 16 & 0xFFFF
-        self.weight[slot] = packed & 0xFFFF
-
-    def log10(self, grams: np.ndarray) -> np.ndarray:
-        """log10 probability of each gram's symbol in its context.  The nodes of a depth are
-        looked up once for all grams that share them."""
-        import pandas as pd
-
-        shared = [pd.factorize(grams & np.uint64((1 << (8 * (d + 1))) - 1)) for d in range(self.depth + 1)]
+        # The grams by their last d + 1 bytes; all nodes of a bit prefix are runs of these.
+        tails, first, code = np.unique(parent(grams, d + 1), return_index=True, return_inverse=True)
+        count = np.bincount(code, n, len(tails))
+        for k in range(8):
+            prefix = tails >> np.uint64(8 - k)
+            start = np.flatnonzero(np.concatenate(([True], prefix[1:] != prefix[:-1])))
+            run = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(tails))))
+            bit = ((tails >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
+            ones = np.bincount(run, np.where(bit, count, 0), len(start))
+            zeros = np.bincount(run, np.where(bit, 0, count), len(start))
+            pw = kt = log_kt(zeros, ones)
+            weight = np.ones(len(start))
+            if d < depth:
+                example, lower = below[k]  # a gram of each node below, and its log Pw
+                pw, weight = weigh(kt, np.bincount(run[code[example]], lower, len(start)))
+            below[k] = first[start], pw
+            own = (ones + 0.5) / (zeros + ones + 1)
+            own = np.where(bit, own[run], 1 - own[run])
+            p[k] = mixed(p[k], (zeros + ones > 0)[run][code], weight[run][code], own[code])
+            if d == top:
+                seen = zeros + ones > 0
+                node = ((tails[start] & ~np.uint64(255)) | np.uint64(1 << k) | (prefix[start] & np.uint64((1 << k) - 1)))
+                heads.append((node[seen], zeros[seen], ones[seen], pw[seen]))
+    return p, [np.concatenate(x) for x in zip(*heads)]
+
+
+def mixed(deeper: np.ndarray, seen: np.ndarray, weight: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Probabilities of the deeper contexts (-1: unseen) mixed with a context's own."""
+    return np.where(seen, np.where(deeper < 0, own, weight * own + (1 - weight) * deeper), deeper)
+
+
+class Top:
+    """The nodes of few bytes of context, sorted: of each depth the nodes, P(1) by KT, weights."""
+
+    def __init__(self, depths: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+        self.depths = depths
+
+    def log10(self, grams: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """log10 probability of each gram's symbol, from what the nodes below the top say."""
         total = np.zeros(len(grams))
-        x = grams & np.uint64(255)
         for k in range(8):
-            p, deeper = np.full(len(grams), 0.5), np.zeros(len(grams), bool)
-            for d in range(self.depth, -1, -1):
-                code, gram = shared[d]
-                symbol = gram & np.uint64(255)
-                bit = ((symbol >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
-                h = hash_node((gram & ~np.uint64(255)) | np.uint64(1 << k) | (symbol >> np.uint64(8 - k)), d)
-                slot = (h & np.uint64(self.slots - 1)).astype(np.int64)
-                known, w, p1 = self.tag[slot] == tag_of(h), UNIT[self.weight[slot]], UNIT[self.p1[slot]]
-                known, w, own = known[code], w[code], np.where(bit, p1, 1 - p1)[code]
-                p = np.where(known, np.where(deeper, w * own + (1 - w) * p, own), p)
-                deeper |= known
-            total += np.log10(p)
+            q = p[k]
+            bit = ((grams >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
+            for d in range(len(self.depths) - 1, -1, -1):
+                nodes, p1, weight = self.depths[d]
+                if not len(nodes):
+                    continue
+                x = grams & np.uint64(255)
+                node = parent(grams & ~np.uint64(255), d + 1) | np.uint64(1 << k) | (x >> np.uint64(8 - k))
+                at = np.minimum(np.searchsorted(nodes, node), len(nodes) - 1)
+                q = mixed(q, nodes[at] == node, weight[at], np.where(bit, p1[at], 1 - p1[at]))
+            total += np.log10(np.where(q < 0, 0.5, q))
         return total
 
 
-class Remembered:
-    """Scores of grams seen before in this task, sorted by gram; starts anew beyond a bound."""
-
-    def __init__(self, tree: Tree):
-        self.tree = tree
-        self.gram, self.score = np.empty(0, np.uint64), np.empty(0)
-
-    def log10(self, grams: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.gram, grams)
-        new = np.ones(len(grams), bool)
-        inside = at < len(self.gram)
-        new[inside] = self.gram[at[inside]] != grams[inside]
-        out = np.empty(len(grams))
-        out[~new] = self.score[at[~new]]
-        out[new] = self.tree.log10(grams[new])
-        if len(self.gram) > MERGE_GRAMS:
-            self.gram, self.score = np.empty(0, np.uint64), np.empty(0)
-        gram, score = np.concatenate((self.gram, grams[new])), np.concatenate((self.score, out[new]))
-        order = np.argsort(gram)
-        self.gram, self.score = gram[order], score[order]
-        return out
-
-
-def tag_of(h: np.ndarray) -> np.ndarray:
-    return ((h >> np.uint64(48)) | np.uint64(1)).astype(np.uint16)
-
-
-def whole_groups(batches, names: list[str], least: int = MERGE_GRAMS):
+def whole_groups(batches, names: list[str], least: int = GROUP_ROWS):
     """Columns of a sorted partition in pieces of whole groups (equal first column)."""
     held: list = []
     for batch in batches:
@@ -263,41 +208,42 @@ def whole_groups(batches, names: list[str], least: int = MERGE_GRAMS):
         yield [rows.column(c).to_numpy() for c in names]
 
 
-NODES = "slot int, packed long, node long, zeros double, ones double, pw double"
-
-
-def pack(n: np.ndarray, tag: np.ndarray, p1: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """A node in one integer, the logarithm of its count on top: the greatest has most counts."""
-    size = np.minimum(np.rint(np.log2(n + 1) * 1000), 32767).astype(np.int64)
-    return size << 48 | tag.astype(np.int64) << 32 | to_odds(p1).astype(np.int64) << 16 | to_odds(weight).astype(np.int64)
+def context(column: str, size: int) -> Column:
+    """The last ``size`` bytes of the context of a gram or node."""
+    return F.shiftright(column, 8).bitwiseAND((1 << (8 * size)) - 1)
 
 
-def _rows(schema: pa.Schema, slots: int, d: int, node, zeros, ones, weight, pw=None) -> pa.RecordBatch:
-    """Finished nodes; those of the top (``pw`` given) with what the level above needs."""
-    h = hash_node(node, d)
-    top = [pa.nulls(len(node))] * 4 if pw is None else [node.astype(np.int64), zeros, ones, pw]
-    cols = [(h & np.uint64(slots - 1)).astype(np.int32),
-            pack(zeros + ones, tag_of(h), (ones + 0.5) / (zeros + ones + 1), weight), *top]
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) if isinstance(c, np.ndarray) else c.cast(f.type)
-                                       for c, f in zip(cols, schema)], schema=schema)
+def _dealt(rows: DataFrame, size: int, *cols: str) -> DataFrame:
+    return rows.select(context(cols[0], size).alias("near"), *cols).repartition("near").sortWithinPartitions("near")
 
 
-def context(column: str, size: int) -> Column:
-    """The last ``size`` bytes of the context of a gram or node."""
-    return F.shiftright(column, 8).bitwiseAND((1 << (8 * size)) - 1)
+def _batch(schema: pa.Schema, n: int, **cols) -> pa.RecordBatch:
+    """``n`` rows with the given columns; the others NULL."""
+    return pa.RecordBatch.from_arrays([
+        pa.nulls(n, f.type) if f.name not in cols else cols[f.name] if isinstance(cols[f.name], pa.Array)
+        else pa.array(cols[f.name], f.type) for f in schema], schema=schema)
 
 
-def train(docs: DataFrame, depth: int = DEPTH, slots: int = SLOTS, spare: int = SPARE) -> Tree:
-    """The tree of all texts of ``docs``."""
-    schema = StructType.fromDDL(NODES)
-    arrow = to_arrow_schema(schema)
-    top = min(3, depth)
+def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(gram, log10) of distinct grams, of which training holds ``n`` each (0: none)."""
+    spark = grams.sparkSession
+    top = min(TOP, depth)
+    lower_schema = StructType.fromDDL("gram long, p binary, node long, zeros double, ones double, pw double")
+    lower_arrow = to_arrow_schema(lower_schema)
+    middle_schema = StructType.fromDDL("depth int, node long, p1 double, weight double, zeros double, ones double, pw double")
+    middle_arrow = to_arrow_schema(middle_schema)
 
     def lower_part(batches):
-        for grams, n in whole_groups(batches, ["gram", "n"]):
-            found, node, pw = subtree(grams.astype(np.uint64), n, depth, top)
-            for d, nodes, zeros, ones, weight in found:
-                yield _rows(arrow, slots, d, nodes, zeros, ones, weight, pw if d == top else None)
+        for gram, n in whole_groups(batches, ["gram", "n"]):
+            p, (node, zeros, ones, pw) = subtree(gram.astype(np.uint64), n, depth, top)
+            for i in range(0, len(gram), 1 << 16):
+                rows = np.ascontiguousarray(p[:, i:i + (1 << 16)].T)
+                places = np.arange(0, rows.nbytes + 1, 64, dtype=np.int32)
+                yield _batch(lower_arrow, len(rows), gram=gram[i:i + (1 << 16)], p=pa.Array.from_buffers(
+                    pa.binary(), len(rows), [None, pa.py_buffer(places), pa.py_buffer(rows)]))
+            for i in range(0, len(node), 1 << 16):
+                own = slice(i, i + (1 << 16))
+                yield _batch(lower_arrow, len(node[own]), node=node[own].astype(np.int64), zeros=zeros[own], ones=ones[own], pw=pw[own])
 
     def middle_part(batches):
         for node, zeros, ones, pw in whole_groups(batches, ["node", "zeros", "ones", "pw"]):
@@ -305,123 +251,160 @@ def train(docs: DataFrame, depth: int = DEPTH, slots: int = SLOTS, spare: int =
             for d in range(top - 1, 0, -1):
                 node, zeros, ones, below = group_by(parent(node, d + 1), zeros, ones, pw)
                 pw, weight = weigh(log_kt(zeros, ones), below)
-                yield _rows(arrow, slots, d, node, zeros, ones, weight, pw if d == 1 else None)
+                needed = {"zeros": zeros, "ones": ones, "pw": pw} if d == 1 else {}  # by the level above
+                yield _batch(middle_arrow, len(node), depth=np.full(len(node), d), node=node.astype(np.int64),
+                             p1=(ones + 0.5) / (zeros + ones + 1), weight=weight, **needed)
 
-    def dealt(rows, size, *cols):
-        return rows.select(context(cols[0], size).alias("near"), *cols).repartition("near").sortWithinPartitions("near")
-
-    grams = count_grams(docs, depth)
-    lower = written(dealt(grams, top, "gram", "n").mapInArrow(lower_part, schema), "ctw-lower")
-    heads = lower.filter(F.col("node").isNotNull())
-    parts = [lower]
+    lower = written(_dealt(grams, top, "gram", "n").mapInArrow(lower_part, lower_schema), "ctw-lower")
+    heads = lower.filter(F.col("node").isNotNull()).select("node", "zeros", "ones", "pw")
+    depths = []
     if top > 1:
-        middle = written(dealt(heads, 1, "node", "zeros", "ones", "pw").mapInArrow(middle_part, schema), "ctw-middle")
-        heads = middle.filter(F.col("node").isNotNull())
-        parts.append(middle)
-
-    used = min(slots, 1 << max(10, (spare * lower.count()).bit_length()))  # a smaller table for fewer nodes
-    tree = Tree(depth, used)
-    for part in parts:  # the shallower nodes last: they win their slots
-        best = part.groupBy(F.col("slot").bitwiseAND(used - 1).alias("slot")).agg(F.max("packed").alias("packed"))
-        rows = best.toArrow()  # one row a slot at most
-        tree.put(rows.column("slot").to_numpy(), rows.column("packed").to_numpy())
+        middle = written(_dealt(heads, 1, "node", "zeros", "ones", "pw").mapInArrow(middle_part, middle_schema), "ctw-middle")
+        for d in range(1, top):  # fewer than 256 ** (d + 1) nodes
+            rows = middle.filter(F.col("depth") == d).select("node", "p1", "weight").sort("node").toArrow()
+            depths.append((rows.column("node").to_numpy().astype(np.uint64),
+                           *(rows.column(c).to_numpy() for c in ("p1", "weight"))))
+        heads = middle.filter(F.col("depth") == 1)
     rows = heads.select("node", "zeros", "ones", "pw").toArrow()  # fewer than 256 * 256
     node, zeros, ones, below = group_by(parent(rows.column("node").to_numpy().astype(np.uint64), 1),
                                         *(rows.column(c).to_numpy() for c in ("zeros", "ones", "pw")))
     _, weight = weigh(log_kt(zeros, ones), below)
-    h = hash_node(node, 0)
-    tree.put((h & np.uint64(used - 1)).astype(np.int64),
-             pack(zeros + ones, tag_of(h), (ones + 0.5) / (zeros + ones + 1), weight))
-    return tree
+    shared = spark.sparkContext.broadcast([(node, (ones + 0.5) / (zeros + ones + 1), weight), *depths])
+
+    def finish(batches):
+        model = Top(shared.value)
+        for batch in batches:
+            data, off = text_buffer(batch.column(1))
+            p = np.frombuffer(data.tobytes(), float).reshape(-1, 8).T
+            gram = batch.column(0).to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(model.log10(gram.astype(np.uint64), p))], ["gram", "log10"])
+
+    return lower.filter(F.col("gram").isNotNull()).select("gram", "p").mapInArrow(finish, "gram long, log10 double")
+
+
+class Trained:
+    """The model of some training texts, for scoring given grams."""
+
+    def __init__(self, counts: DataFrame, depth: int):
+        self.counts, self.depth = counts, depth
+
+    def log10(self, grams: np.ndarray) -> np.ndarray:
+        """log10 probability of each gram's symbol in its context."""
+        spark = self.counts.sparkSession
+        asked = spark.createDataFrame([(g, 0) for g in sorted(set(grams.tolist()))], "gram long, n long")
+        found = gram_scores(self.counts.union(asked).groupBy("gram").agg(F.sum("n").alias("n")), self.depth)
+        of = {r["gram"]: r["log10"] for r in found.join(asked, "gram", "left_semi").collect()}
+        return np.array([of[g] for g in grams.tolist()])
+
+
+def train(docs: DataFrame, depth: int = DEPTH, slots: int | None = None) -> Trained:
+    """The model of all texts of ``docs``.  It keeps every node; ``slots`` is not read."""
+    rows = _read_blocks(docs, F.lit(False), depth).filter(F.col("gram").isNotNull())
+    return Trained(written(rows.groupBy("gram").agg(F.sum("n_train").alias("n")), "ctw-grams"), depth)
 
 
-BLOCK = ("block long, doc_id {key}, held_out boolean, n_bytes long, score double, words binary, "
-         "word binary, at int, n_train long")
+BLOCK = "block long, doc_id {key}, held_out boolean, text binary, gram long, word binary, n_train long"
 
 
-def _read_blocks(docs: DataFrame, held_out: Column, tree: Tree) -> DataFrame:
-    """For each block of documents: a row a document (score, its words as places in the block)
-    and a row a distinct word (the word, its place, its training count in the block)."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(vars(tree))
+def _read_blocks(docs: DataFrame, held_out: Column, depth: int) -> DataFrame:
+    """For each block of documents: a row a document (its words joined by blanks), a row a
+    distinct gram and a row a distinct word (with its training count in the block)."""
     key = docs.schema["doc_id"].dataType.simpleString()
     schema = StructType.fromDDL(BLOCK.format(key=key))
     arrow = to_arrow_schema(schema)
+    texts_of(docs)  # bounds the batches
 
     def read(batches):
         import uuid
+        from collections import Counter
 
         import pandas as pd
 
-        model = Tree.__new__(Tree)
-        vars(model).update(shared.value)
-        known = Remembered(model)
-        for batch in batches:
-            block, places = uuid.uuid4().int >> 65, {}
-            held = batch.column(2).to_pylist()
-            scores, sizes, words = [], [], []
-            for _, raw, cut in blocks([batch], limit=PIECE):
-                data, off, split = normal(raw, cut)
-                grams, out = symbols(data, off, model.depth)
-                code, uniq = pd.factorize(grams)
-                total = np.concatenate(([0.0], np.cumsum(known.log10(uniq)[code])))
-                scores += (total[out[1:]] - total[out[:-1]]).tolist()
-                sizes += np.diff(off).tolist()
-                words += [np.fromiter((places.setdefault(w, len(places)) for w in own), np.int32, len(own)) for own in split]
-            n, m = len(held), len(places)
-            learned = np.concatenate([np.empty(0, np.int32), *(w for w, h in zip(words, held) if not h)])
-            n_train = np.bincount(learned, minlength=m)
-            distinct = list(places)  # in the order of their places
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip((
-                [block] * n, batch.column(0), held, sizes, scores, [w.tobytes() for w in words], [None] * n, [None] * n, [None] * n), arrow)], schema=arrow)
-            for a in range(0, m, 1 << 15):
-                b = min(m, a + (1 << 15))
-                none = [None] * (b - a)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip((
-                    [block] * (b - a), none, none, none, none, none, distinct[a:b], np.arange(a, b), n_train[a:b]), arrow)], schema=arrow)
-
-    rows = docs.select("doc_id", "text", held_out.alias("held_out"))
-    return rows.select("doc_id", F.col("text").cast("string").alias("text"), "held_out").mapInArrow(read, schema)
-
-
-def score(docs: DataFrame, held_out: Column, depth: int = DEPTH, slots: int = SLOTS, spare: int = SPARE) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte."""
+        def counted(block, keys, counts, words):
+            gram, n = merge(keys, counts)
+            for i in range(0, len(gram), 1 << 16):
+                own = slice(i, i + (1 << 16))
+                yield _batch(arrow, len(gram[own]), block=np.full(len(gram[own]), block), gram=gram[own].astype(np.int64), n_train=n[own])
+            distinct, n = list(words), list(words.values())
+            for i in range(0, len(distinct), 1 << 15):
+                own = slice(i, i + (1 << 15))
+                yield _batch(arrow, len(distinct[own]), block=np.full(len(distinct[own]), block), word=distinct[own], n_train=n[own])
+
+        keys: list = []
+        for rows, raw, cut in blocks(batches, limit=PIECE):
+            if not keys:
+                block, counts, words, size, fresh = uuid.uuid4().int >> 65, [], Counter(), 0, 0
+            held = np.array(rows.column(2).to_pylist(), bool)
+            data, off, split = normal(raw, cut)
+            grams, out = symbols(data, off, depth)
+            code, uniq = pd.factorize(grams)
+            keys.append(uniq)
+            counts.append(np.bincount(code, np.repeat(~held, np.diff(out)), len(uniq)).astype(np.int64))
+            for w, h in zip(split, held):
+                words.update(dict.fromkeys(w, 0) if h else w)
+            yield _batch(arrow, len(split), block=np.full(len(split), block), doc_id=rows.column(0).cast(arrow.field("doc_id").type),
+                         held_out=held, text=[b" ".join(w) for w in split])
+            size, fresh = size + len(data), fresh + len(uniq)
+            if size > BLOCK_TEXT:
+                yield from counted(block, keys, counts, words)
+                keys = []
+            elif fresh > MERGE_GRAMS:
+                gram, n = merge(keys, counts)
+                keys, counts, fresh = [gram], [n], 0
+        if keys:
+            yield from counted(block, keys, counts, words)
+
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
+    return rows.mapInArrow(read, schema)
+
+
+def score(docs: DataFrame, held_out: Column, depth: int = DEPTH, slots: int | None = None, spare: int | None = None) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte.
+    Every node is kept; ``slots`` and ``spare`` are not read."""
     docs = docs.select("doc_id", "text", held_out.alias("held_out"))
-    texts_of(docs)  # bounds the batches
-    tree = train(docs.filter(~F.col("held_out")), depth, slots, spare)
-    rows = written(_read_blocks(docs, F.col("held_out"), tree), "ctw-blocks")
-    words = rows.filter(F.col("word").isNotNull()).select("block", "word", "at", "n_train")
-    documents = rows.filter(F.col("words").isNotNull()).select("block", "doc_id", "held_out", "n_bytes", "score", "words")
+    rows = written(_read_blocks(docs, F.col("held_out"), depth), "ctw-blocks", compression="zstd")
+    grams = rows.filter(F.col("gram").isNotNull()).select("block", "gram", "n_train")
+    words = rows.filter(F.col("word").isNotNull()).select("block", "word", "n_train")
+    documents = rows.filter(F.col("text").isNotNull()).select("block", "doc_id", "held_out", "text")
     counts = written(words.groupBy("word").agg(F.sum("n_train").alias("n")).filter("n > 0"), "ctw-words")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     ends = documents.filter(~F.col("held_out")).count()
     total, distinct = total + ends, distinct + (ends > 0)
     unit = math.log10(total + distinct + 1)
-    known = words.join(counts, "word").select(F.col("block").alias("of_block"), "at", "n")
+    scores = gram_scores(grams.groupBy("gram").agg(F.sum("n_train").alias("n")), depth)
+    none = F.lit(None)
+    known = (grams.join(scores, "gram").select(F.col("block").alias("of_block"), "gram", "log10", none.cast("binary").alias("word"), none.cast("long").alias("n"))
+             .union(words.join(counts, "word").select("block", none.cast("long"), none.cast("double"), "word", "n")))
 
     schema = StructType([docs.schema["doc_id"], *StructType.fromDDL(
         "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
         "bits_per_byte double").fields])
     arrow = to_arrow_schema(schema)
 
-    def base(docs_of_block, words_of_block):
-        at = words_of_block.column("at").to_numpy()
-        size = int(at.max()) + 1 if len(at) else 0
-        n_of = np.zeros(size, np.int64)
-        n_of[at] = words_of_block.column("n").to_numpy()
+    def finish(docs_of_block, known_of_block):
+        import pandas as pd
+        import pyarrow.compute as pc
+
+        scored = known_of_block.filter(pc.is_valid(known_of_block.column("gram")))
+        gram, log10 = scored.column("gram").to_numpy().astype(np.uint64), scored.column("log10").to_numpy()
+        order = np.argsort(gram)
+        gram, log10 = gram[order], log10[order]
+        counted = known_of_block.filter(pc.is_valid(known_of_block.column("word")))
+        n_of = dict(zip(counted.column("word").to_pylist(), counted.column("n").to_pylist()))
         out = []
-        for r in docs_of_block.to_pylist():
-            ids = np.frombuffer(r["words"], np.int32)
-            n = np.zeros(len(ids), np.int64)
-            inside = ids < size
-            n[inside] = n_of[ids[inside]]
-            n = np.append(n, ends)
-            out.append({"doc_id": r["doc_id"], "held_out": r["held_out"], "n_tokens": len(n), "n_known": int((n > 0).sum()),
-                        "train_tokens": total, "base_score": float(np.log10(n + 1).sum() - len(n) * unit),
-                        "score": r["score"], "bits_per_byte": -r["score"] * math.log2(10) / max(r["n_bytes"], 1)})
+        for rows, data, off in blocks(docs_of_block.select(["doc_id", "text", "held_out"]).to_batches(), limit=PIECE):
+            of_text, cut = symbols(data, off, depth)
+            code, uniq = pd.factorize(of_text)
+            total_at = np.concatenate(([0.0], np.cumsum(log10[np.searchsorted(gram, uniq)][code])))
+            own = total_at[cut[1:]] - total_at[cut[:-1]]
+            for i, (doc_id, text, held) in enumerate(zip(*(rows.column(c).to_pylist() for c in range(3)))):
+                n = np.array([*(n_of.get(w, 0) for w in text.split()), ends], np.int64)
+                out.append({"doc_id": doc_id, "held_out": held, "n_tokens": len(n), "n_known": int((n > 0).sum()),
+                            "train_tokens": total, "base_score": float(np.log10(n + 1).sum() - len(n) * unit),
+                            "score": float(own[i]), "bits_per_byte": -float(own[i]) * math.log2(10) / max(len(text), 1)})
         return pa.Table.from_pylist(out, schema=arrow)
 
-    return documents.groupBy("block").cogroup(known.groupBy("of_block")).applyInArrow(base, schema)
+    return documents.groupBy("block").cogroup(known.groupBy("of_block")).applyInArrow(finish, schema)
 
 
 def op7_ctw_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
