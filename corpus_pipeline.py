@@ -3,14 +3,14 @@ documents.
 
 1. ``language_id``: documents whose language is rejected go.
 2. ``line_dedup``: lines found in many documents go from every text.
-3. ``near_duplicates``: one document of each SimHash group stays.
+3. ``near_duplicates``: one row of each SimHash group stays.
 4. ``decontaminate``: documents with a benchmark passage go.
 5. ``bpe``: token ids of every document, and the text decoded from them.
 
 Stages 1 to 4 return the columns of ``documents`` as they came; other columns of the input pass
 through.  Cases: a document without a letter, blank or NULL is rejected by stage 1.  Texts that stage 2
 empties stay, as the empty text, and meet in one group in stage 3.  Rows that repeat a
-document collapse in stage 3.  An empty table stays empty.
+text collapse in stage 3; NULL or repeated ids do not make two texts one document.  An empty table stays empty.
 """
 
 from __future__ import annotations

@@ -107,3 +107,13 @@ def test_empty_and_only_null_ids(make):
     assert sb.near_duplicates(make(["a"]).limit(0)).count() == 0
     kept = sb.keep_first(make([(None, "a b c d"), (None, "a b c d")]))
     assert kept.count() == 1
+
+
+def test_keep_first_decides_by_row_not_by_id(make):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcde")
+    docs = make([(None, a), (None, b), (None, b), (3, c), (5, c), (5, d), (None, d), (7, e), (7, a)],
+                more="row long, _row_number int, root int, first int")
+    kept = sb.keep_first(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got == sorted([(7, a), (None, b), (3, c), (5, d), (7, e)], key=repr)

@@ -46,6 +46,14 @@ def written(df: DataFrame, name: str, paths: list[str] | None = None, compressio
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have (Spark's names ignore case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch table that a later one has replaced."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

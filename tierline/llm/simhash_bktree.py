@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm.common import table, with_columns, written
+from tierline.llm.common import free_name, table, with_columns, written
 from tierline.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -165,26 +165,39 @@ def links(fps: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SIZE) -> D
     return dealt.mapInArrow(search, "a long, b long")
 
 
+def _groups(distinct: DataFrame, radius: int, tree_size: int) -> DataFrame:
+    """(fp, root) of distinct fingerprints, equal for all that links connect."""
+    roots = connected_components(links(distinct.select("fp"), radius, tree_size))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, radius: int = RADIUS,
                     tree_size: int = TREE_SIZE) -> DataFrame:
     """doc_id, fingerprint (hex) and component_id, the least doc_id reachable over links."""
     prints = written(fingerprints(docs, size), "simhash")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    roots = connected_components(links(distinct.select("fp"), radius, tree_size))
-    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = _groups(distinct, radius, tree_size)
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     group = named.join(least, "root").select("fp", "component_id")
     return prints.join(group, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs`` that stay when one document of each near-duplicate group is kept: the
-    one with the least doc_id.  Rows that repeat that doc_id collapse to one."""
-    found = near_duplicates(docs, **options)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+def keep_first(docs: DataFrame, size: int = SHINGLE_WORDS, radius: int = RADIUS, tree_size: int = TREE_SIZE) -> DataFrame:
+    """Rows of ``docs`` that stay when one row of each near-duplicate group is kept: the one
+    with the least doc_id (NULL last), among these with the least text hash.  Ids may be NULL or
+    repeated: groups are of texts, and the verdict is carried by the row's written number."""
+    number = free_name(docs, "_row_number")
+    rows = written(docs.withColumn(number, F.monotonically_increasing_id()), "simhash-rows")
+    # The row number goes through the fingerprints in the place of the id.
+    prints = fingerprints(rows.select(F.col(number).alias("doc_id"), "text"), size).withColumnRenamed("doc_id", "row")
+    ranks = rows.select(F.col(number).alias("row"), "doc_id", F.xxhash64(F.col("text").cast("string")).alias("hash"))
+    prints = written(prints.join(ranks, "row"), "simhash")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "row")
+    distinct = written(prints.groupBy("fp").agg(F.min(rank).alias("first")), "simhash-distinct")
+    kept = _groups(distinct, radius, tree_size).groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.row").alias(number))
+    return rows.join(kept, number, "left_semi").select(*(rows[f"`{c}`"] for c in docs.columns))
 
 
 def op8_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
