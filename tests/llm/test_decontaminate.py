@@ -82,3 +82,13 @@ def test_bisect(after):
     keys = np.array([[1, 1], [1, 2], [1, 2], [3, 0]])
     want = np.array([[0, 9], [1, 2], [2, 0], [3, 0], [4, 0]])
     assert dc.bisect(keys, want, after).tolist() == ([0, 3, 3, 4, 4] if after else [0, 1, 3, 3, 4])
+
+
+def test_remove_decides_by_row_not_by_id(spark, make):
+    text = "this passage has more than ten words so it is one window long"
+    docs = make([(1, text), (1, "clean one"), (None, "also " + text), (None, "clean two"), (None, None), (2, "clean three")],
+                more="_row_number int, _bad_id long")
+    kept = dc.remove(docs, spark.createDataFrame([(1, text)], "item_id long, text string"))
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, "clean one"), (None, "clean two"), (None, None), (2, "clean three")], key=repr)

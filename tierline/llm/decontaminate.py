@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tierline.llm.common import blocks, table, texts_of
+from tierline.llm.common import blocks, free_name, table, texts_of, written
 
 WINDOW = 10
 BLOCK_BYTES = 32 << 20
@@ -214,9 +214,13 @@ def locate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_by
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Rows of ``docs`` without those of contaminated documents."""
-    bad = locate(docs, benchmark, window).filter("contaminated").select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"]), "left_anti")
+    """Rows of ``docs`` without the contaminated ones.  Ids may be NULL or repeated: the verdict
+    is carried by the row's written number."""
+    number = free_name(docs, "_row_number")
+    rows = written(docs.withColumn(number, F.monotonically_increasing_id()), "decontaminate-rows")
+    found = locate(rows.select(F.col(number).alias("doc_id"), "text"), benchmark, window)
+    bad = found.filter("contaminated").select(F.col("doc_id").alias(number))
+    return rows.join(bad, number, "left_anti").select(*(rows[f"`{c}`"] for c in docs.columns))
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
