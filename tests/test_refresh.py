@@ -219,3 +219,34 @@ def test_gate_passes_valid_orders_and_poison_rows_fail_alone(spark, tmp_dir):
     clean.bootstrap(spark)
     report = quality.silver_quality(clean.read(spark, "silver", "clean_events"), valid)
     quality.assert_quality(report)
+
+
+def test_incremental_refresh_takes_batches_without_statistics(spark, tmp_dir):
+    from helpers import bronze_events, ev
+    from pyspark.sql import functions as F
+    inc, full = (TierStore(os.path.join(tmp_dir, n)) for n in ("inc", "full"))
+    steps = ("silver", "quality", "gold")
+    for store in (inc, full):
+        store.bootstrap(spark)
+        _land(spark, store, 0, [ev("a", when="2024-01-01 10:00:00")], [])
+    run_refresh(spark, inc, fx.FIXTURE_AS_OF, steps=steps, incremental=True)
+    for batch, rows in ((0, [ev("b", when="2024-01-02 10:00:00")]), (1, [ev("a", when="2024-01-03 10:00:00")])):
+        for store in (inc, full):
+            store.land(bronze_events(spark, rows).withColumn("ingest_date", F.lit("2024-02-01").cast("date")), "events", "other", batch)
+        run_refresh(spark, inc, fx.FIXTURE_AS_OF, steps=steps, incremental=True)
+    run_refresh(spark, full, fx.FIXTURE_AS_OF, steps=steps)
+    assert _snapshot(spark, inc) == _snapshot(spark, full)
+
+
+def test_incremental_gold_after_a_full_refined_tier_alone(spark, tmp_dir):
+    from helpers import ev
+    inc, full = (TierStore(os.path.join(tmp_dir, n)) for n in ("inc", "full"))
+    for store in (inc, full):
+        store.bootstrap(spark)
+        _land(spark, store, 0, [ev("a", when="2024-01-01 10:00:00"), ev("b", when="2024-01-02 10:00:00")], [])
+    run_refresh(spark, inc, fx.FIXTURE_AS_OF, steps=("silver",))
+    for store in (inc, full):
+        _land(spark, store, 1, [ev("b", when="2024-01-04 10:00:00")], [])
+    run_refresh(spark, inc, fx.FIXTURE_AS_OF, steps=("silver", "gold"), incremental=True)
+    run_refresh(spark, full, fx.FIXTURE_AS_OF, steps=("silver", "gold"))
+    assert _snapshot(spark, inc) == _snapshot(spark, full)

@@ -64,13 +64,17 @@ def run_refresh(spark: SparkSession, store: TierStore, as_of: datetime | str,
         result.freshness = freshness(spark, store, as_of)
 
     if "silver" in steps:
+        # Statistics land last: a batch without them may still get rows, so it stays new.
+        counted = _counted(spark, store)
         new = new_batches(spark, store)
         if incremental:
             for raw, refined, key, day, model in MODELS:
                 result.days[refined] = _refine_new(spark, store, raw, refined, key, day, model, as_of, new)
         else:
+            _note_all_days(spark, store)  # old days, which may be left without rows
             for raw, refined, _, _, model in MODELS:
                 store.write(model(store.read(spark, "bronze", raw), as_of), "silver", refined)
+            _note_all_days(spark, store)
         result.written += ["silver.clean_events", "silver.validate_orders"]
 
     clean = store.read(spark, "silver", "clean_events", partitions=True)
@@ -94,7 +98,7 @@ def run_refresh(spark: SparkSession, store: TierStore, as_of: datetime | str,
         result.written += ["gold.daily_kpis", "gold.customer_360"]
         _set_pending(spark, store, [])
     if "silver" in steps:
-        _mark_done(spark, store, new)
+        _mark_done(spark, store, [b for b in new if b in counted])
     return result
 
 
@@ -120,13 +124,23 @@ def freshness(spark: SparkSession, store: TierStore, as_of) -> DataFrame:
 # ---------------------------------------------------------------- incremental refresh
 
 def new_batches(spark: SparkSession, store: TierStore) -> list[tuple]:
-    """(run, batch_id) of landed batches that no refresh has refined yet."""
-    stats = store.read(spark, "bronze", "ingest_stats", partitions=True)
-    landed = {(r["run"], r["batch_id"]) for r in stats.select("run", "batch_id").distinct().collect()}
-    done = {(r["run"], r["batch_id"]) for r in store.read(spark, "silver", "refined_batches").collect()}
+    """(run, batch_id) of landed batches that no refresh has refined yet: of the statistics and of
+    the raw tables' own partitions, as rows loaded some other way have no statistics."""
+    landed = _counted(spark, store)
+    for raw, *_ in MODELS:  # partition columns only
+        landed |= _pairs(store.read(spark, "bronze", raw, partitions=True))
+    done = _pairs(store.read(spark, "silver", "refined_batches"))
     return sorted(landed - done, key=str)
 
 
+def _pairs(rows: DataFrame) -> set[tuple]:
+    return {(r["run"], r["batch_id"]) for r in rows.select("run", "batch_id").distinct().collect()}
+
+
+def _counted(spark: SparkSession, store: TierStore) -> set[tuple]:
+    return _pairs(store.read(spark, "bronze", "ingest_stats", partitions=True))
+
+
 def _in_batches(batches: list[tuple]):
     """Rows of the batches; literals on partition columns, so other folders are not read."""
     out = F.lit(False)
@@ -166,6 +180,12 @@ def _pending_days(spark: SparkSession, store: TierStore) -> list:
     return [r["event_date"] for r in store.read(spark, "silver", "pending_days").collect()]
 
 
+def _note_all_days(spark: SparkSession, store: TierStore) -> None:
+    """All days of the refined events are pending until the daily KPIs are next built."""
+    days = {r[0] for r in store.read(spark, "silver", "clean_events", partitions=True).select("event_day").distinct().collect()}
+    _set_pending(spark, store, sorted(days | set(_pending_days(spark, store)), key=str))
+
+
 def _set_pending(spark: SparkSession, store: TierStore, days: list) -> None:
     store.write(spark.createDataFrame([(d,) for d in days], "event_date date"), "silver", "pending_days")
 
