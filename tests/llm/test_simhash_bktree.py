@@ -117,3 +117,19 @@ def test_keep_first_decides_by_row_not_by_id(make):
     assert kept.columns == docs.columns
     got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
     assert got == sorted([(7, a), (None, b), (3, c), (5, d), (7, e)], key=repr)
+
+
+def test_no_group_grows_with_its_shard(spark):
+    rng = random.Random(7)
+    values = {rng.getrandbits(40) << 24 for _ in range(1200)}  # all in one shard of the lowest band
+    fps = spark.createDataFrame([(signed(v),) for v in values], "fp long")
+    groups = sb.placed(fps, 2, 10).groupBy("band", "part", "tree", "chunk", "member").count()
+    assert groups.filter("band = 0").agg({"tree": "max"}).first()[0] > 100
+    assert max(r["count"] for r in groups.collect()) < 2 * sb.VISITING_TREES * 10
+    near = sorted(values)[:100]
+    near = {v ^ (1 << b) for v, b in zip(near, range(24, 64))} | values
+    fps = spark.createDataFrame([(signed(v),) for v in near], "fp long")
+    roots = {r.node: r.root for r in connected_components(sb.links(fps, 2, 10)).collect()}
+    want = brute_groups(near, 2)
+    pairs = {(want[v], roots.get(signed(v), signed(v))) for v in near}
+    assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs}) < len(near)

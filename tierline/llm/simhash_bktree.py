@@ -13,7 +13,7 @@ Hamming distance to it, and a search with distance d at a node follows only the
 d - radius to d + radius.  The trees meet their queries by a shuffle on the shard key; all
 trees together grow with the corpus, so they are not broadcast.  A shard with more than
 ``tree_size`` fingerprints becomes several trees of bounded size, and each of its
-fingerprints then searches all of them.  A tree reports a spanning forest of its links, not
+fingerprints then searches all of them, in chunks of bounded size too.  A tree reports a spanning forest of its links, not
 all pairs: components need no more, and a group of a million near copies yields under a
 million rows.
 
@@ -36,6 +36,8 @@ SHINGLE_WORDS = 3
 RADIUS = 2
 SEED = 42
 TREE_SIZE = 4096
+#: Trees whose fingerprints visit another tree together, as one group.
+VISITING_TREES = 8
 
 
 def fingerprint(text: bytes, size: int = SHINGLE_WORDS) -> int:
@@ -99,8 +101,9 @@ class BKTree:
         return found
 
 
-def shard_links(members: list[int], visitors: list[int], radius: int) -> list[tuple[int, int]]:
-    """Spanning forest of the links inside one shard tree and from its visitors to it."""
+def shard_links(members: list[int], visitors: list[int], radius: int, home: bool = True) -> list[tuple[int, int]]:
+    """Spanning forest of the links inside one shard tree and from its visitors to it; without
+    the links inside it, which another group reports, when the group is not ``home``."""
     tree, parent, links = BKTree(), {}, []
 
     def root(x):
@@ -114,7 +117,8 @@ def shard_links(members: list[int], visitors: list[int], radius: int) -> list[tu
             a, b = root(value), root(near)
             if a != b:
                 parent[a] = b
-                links.append((value, near))
+                if home or not own:
+                    links.append((value, near))
         if own:
             tree.add(value)
     return links
@@ -126,8 +130,8 @@ def bands(radius: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cut, cut[1:])]
 
 
-def links(fps: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SIZE) -> DataFrame:
-    """Links ``(a, b)`` between the distinct ``fp`` that connect all within ``radius`` bits."""
+def placed(fps: DataFrame, radius: int, tree_size: int) -> DataFrame:
+    """The groups (band, part, tree, chunk) of each distinct ``fp``, as a member or a visitor."""
     keys = F.array(*[F.struct(F.lit(i).alias("band"), F.shiftrightunsigned("fp", shift).bitwiseAND((1 << width) - 1).alias("part"))
                      for i, (shift, width) in enumerate(bands(radius))])
     routed = fps.select("fp", F.explode(keys).alias("k")).select("fp", "k.band", "k.part")
@@ -136,25 +140,36 @@ def links(fps: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SIZE) -> D
              .select("band", "part", F.ceil(F.col("n") / tree_size).cast("int").alias("trees")))
     routed = routed.join(large, ["band", "part"], "left").withColumn("trees", F.coalesce("trees", F.lit(1)))
     own = F.pmod(F.xxhash64(F.lit(7), "fp"), F.col("trees")).cast("int")
-    # A fingerprint lives in its own tree and searches the trees numbered above it.
-    placed = (routed.withColumn("own", own)
-              .select("fp", "band", "part", "own", F.explode(F.sequence("own", F.col("trees") - 1)).alias("tree"))
-              .select("fp", "band", "part", "tree", (F.col("own") == F.col("tree")).alias("member")))
-    dealt = placed.repartition("band", "part", "tree").sortWithinPartitions("band", "part", "tree", F.desc("member"), "fp")
+    routed = routed.withColumn("own", own).withColumn("home", F.floor(F.col("own") / VISITING_TREES).cast("int"))
+    # A fingerprint lives in its own tree and searches the trees numbered above it.  Visitors
+    # come in chunks, and a tree is there once for each chunk: no group grows with the shard.
+    group = lambda tree, chunk, member: F.struct(tree.alias("tree"), chunk.alias("chunk"), member.alias("member"))
+    searched = F.transform(F.sequence("own", F.col("trees") - 1), lambda t: group(t, F.col("home"), t == F.col("own")))
+    visited = F.transform(F.sequence(F.lit(0), F.col("home")), lambda c: group(F.col("own"), c, F.lit(True)))
+    visited = F.filter(visited, lambda g: g["chunk"] < F.col("home"))
+    return (routed.select("fp", "band", "part", F.explode(F.concat(searched, visited)).alias("g"))
+            .select("fp", "band", "part", "g.tree", "g.chunk", "g.member"))
+
+
+def links(fps: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SIZE) -> DataFrame:
+    """Links ``(a, b)`` between the distinct ``fp`` that connect all within ``radius`` bits."""
+    group = ["band", "part", "tree", "chunk"]
+    dealt = placed(fps, radius, tree_size).repartition(*group).sortWithinPartitions(*group, F.desc("member"), "fp")
 
     def search(batches):
         key, members, visitors = None, [], []
 
         def flush():
-            found = shard_links(members, visitors, radius) if len(members) + len(visitors) > 1 else []
+            home = key is None or key[2] // VISITING_TREES == key[3]
+            found = shard_links(members, visitors, radius, home) if len(members) + len(visitors) > 1 else []
             return [(a - (1 << 64) if a >> 63 else a, b - (1 << 64) if b >> 63 else b) for a, b in found]
 
         out = []
         for batch in batches:
-            for fp, band, part, tree, member in zip(*(c.to_pylist() for c in batch.columns)):
-                if (band, part, tree) != key:
+            for fp, band, part, tree, chunk, member in zip(*(c.to_pylist() for c in batch.columns)):
+                if (band, part, tree, chunk) != key:
                     out += flush()
-                    key, members, visitors = (band, part, tree), [], []
+                    key, members, visitors = (band, part, tree, chunk), [], []
                 (members if member else visitors).append(fp & ((1 << 64) - 1))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
