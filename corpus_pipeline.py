@@ -1,7 +1,8 @@
 """Corpus pipeline: five stages, each written as Parquet and read again as the next one's
 documents.
 
-1. ``language_id``: documents whose language is rejected go.
+1. ``language_id``: documents whose language is rejected go; the model learns from all that
+   have a label.
 2. ``line_dedup``: lines found in many documents go from every text.
 3. ``near_duplicates``: one row of each SimHash group stays.
 4. ``decontaminate``: documents with a benchmark passage go.
@@ -16,14 +17,13 @@ text collapse in stage 3; NULL or repeated ids do not make two texts one documen
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tierline.llm import bpe_tree, decontaminate, language_id, line_dedup, simhash_bktree
-from tierline.llm.common import hash_mod, table, written
+from tierline.llm.common import table, written
 
 
 def _language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language_id.keep_known(docs, hash_mod(F.col("doc_id"), 5) != 0)
+    return language_id.keep_known(docs)
 
 
 def _line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import collections
+import math
 import os
 
 import corpus_pipeline as cp
@@ -58,3 +60,75 @@ def test_pipeline_with_nulls_repeats_extra_columns_and_empty(spark, make, tmp_pa
     for _, stage in cp.STAGES:
         empty = stage(spark, empty, sf)
     assert empty.count() == 0
+
+
+def brute_known(rows):
+    """Kept places of (doc_id, text, lang, hash), by definition in plain numbers: TF-IDF trigrams in 8192
+    dimensions, three spherical centroids a language, rejection by the 1 % quantile."""
+    def counts(text):
+        b = bytes(c if 97 <= c < 123 or c > 127 else c + 32 if 65 <= c < 91 else 32 for c in b" " + text.encode() + b" ")
+        return collections.Counter(((b[i] << 16 | b[i + 1] << 8 | b[i + 2]) * 0x9E3779B1 & 0xFFFFFFFF) >> 19 for i in range(len(b) - 2))
+
+    grams = [counts(t) if t else {} for _, t, _, _ in rows]
+    df = collections.Counter(d for (_, _, lang, _), g in zip(rows, grams) if lang is not None for d in g)
+    n = sum(1 for (_, t, lang, _) in rows if lang is not None and t)
+    idf = [math.log((1 + n) / (1 + df[d])) + 1e-3 for d in range(8192)]
+
+    def unit(v):
+        size = math.sqrt(sum(x * x for x in v.values())) or 1
+        return {d: x / size for d, x in v.items()}
+
+    dot = lambda a, b: sum(x * b.get(d, 0) for d, x in a.items())
+    vectors = [unit({d: math.log1p(c) * idf[d] for d, c in g.items()}) for g in grams]
+    reach = [math.sqrt(len(g) / (len(g) + 200)) for g in grams]
+    letter = lambda t: any(c.isalpha() for c in t or "")
+    model = []
+    for lang in {r[2] for r in rows} - {None}:
+        own = [i for i in sorted(range(len(rows)), key=lambda i: rows[i][3]) if rows[i][2] == lang and letter(rows[i][1])]
+        assert len(own) <= 1000  # all are the sample
+        if not own:
+            continue
+        centre = [vectors[own[0]]]
+        while len(centre) < min(3, len(own)):
+            centre.append(vectors[min(own, key=lambda i: max(dot(vectors[i], c) for c in centre))])
+        near = lambda i: max(range(len(centre)), key=lambda k: dot(vectors[i], centre[k]))
+        for _ in range(6):
+            groups = [[] for _ in centre]
+            for i in own:
+                groups[near(i)].append(i)
+            new = []
+            for k, group in enumerate(groups):
+                total = collections.Counter()
+                for i in group:
+                    for d, x in vectors[i].items():
+                        total[d] += x
+                new.append(unit(total) if group else centre[k])
+            centre = new
+        for k, c in enumerate(centre):
+            reached = sorted(dot(vectors[i], c) / reach[i] for i in own if near(i) == k)
+            if reached:
+                at = 0.01 * (len(reached) - 1)
+                low = reached[int(at)]
+                model.append((c, low + (at % 1) * (reached[min(int(at) + 1, len(reached) - 1)] - low)))
+    kept = []
+    for i, (_, text, _, _) in enumerate(rows):
+        if letter(text):
+            score, least = max(((dot(vectors[i], c), least) for c, least in model), key=lambda x: x[0])
+            if score >= 0.25 * least * reach[i]:
+                kept.append(i)
+    return kept
+
+
+def test_stage_1_equals_brute_force_and_learns_from_every_label(spark, make):
+    from pyspark.sql import functions as F
+    strange = make([(900001, "Привет мир, это русский текст о погоде"), (900002, "12 34"), (900003, None)], lang=None)
+    # ids of the fold that op5 holds out: only a model of all labelled rows knows this language
+    fold = [r[0] for r in spark.range(10**6, 10**6 + 200).filter(F.crc32(F.col("id").cast("string").cast("binary")) % 5 == 0).collect()]
+    greek = make([(i, "ο καιρός είναι καλός σήμερα " + "και αύριο " * (k % 4)) for k, i in enumerate(fold)], lang="el")
+    real = spark.read.parquet(f"{DATA}/documents.parquet").filter("doc_id < 60")
+    docs = real.unionByName(strange.select(real.columns)).unionByName(greek.select(real.columns))
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "lang", F.xxhash64("doc_id", "text")).collect()]
+    want = sorted(rows[i][0] for i in brute_known(rows))
+    got = sorted(r.doc_id for r in cp.STAGES[0][1](spark, docs, DATA).collect())
+    assert got == want
+    assert set(fold) <= set(got) and not {900001, 900002, 900003} & set(got)
