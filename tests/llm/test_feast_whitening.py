@@ -1,0 +1,131 @@
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from tierline.llm import feast_whitening as fw
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(rows, k=4, scale=256):
+    """Distinct vectors, exact covariance, a dense eigensolver."""
+    kept = [(i, tuple(int(np.floor(scale * float(np.float32(c)))) for c in v)) for i, v in rows
+            if v and all(c is not None and np.isfinite(c) for c in v)]
+    fit = sorted({x for _, x in kept})
+    n, dim = len(fit), len(fit[0])
+    total = [sum(x[i] for x in fit) for i in range(dim)]
+    v = np.array([[float(Fraction(sum((n * x[i] - total[i]) * (n * x[j] - total[j]) for x in fit), n ** 3))
+                   for j in range(dim)] for i in range(dim)])
+    values, vectors = np.linalg.eigh(v)
+    values, vectors = values[::-1][:k], vectors[:, ::-1][:, :k]
+    out = {}
+    for i, x in kept:
+        centred = np.array([float(Fraction(x[j]) - Fraction(total[j], n)) for j in range(dim)])
+        deviation = sum((n * x[j] - total[j]) ** 2 for j in range(dim))
+        for c in range(k):
+            out.setdefault((i, c + 1), []).append(
+                (n, deviation, centred @ vectors[:, c] / np.sqrt(values[c]), values[c] / np.trace(v)))
+    return out
+
+
+def same(got, want):
+    rows: dict = {}
+    for r in got:
+        rows.setdefault((r["vec_id"], r["component"]), []).append(r)
+    assert {k: len(v) for k, v in rows.items()} == {k: len(v) for k, v in want.items()}
+    for c in {k[1] for k in want}:
+        a = np.array([sorted(r["whitened"] for r in rows[k]) if len(rows[k]) == 1 else [np.nan] for k in sorted(want, key=str) if k[1] == c])
+        b = np.array([[w[2] for w in want[k]] if len(want[k]) == 1 else [np.nan] for k in sorted(want, key=str) if k[1] == c])
+        ok = ~np.isnan(a[:, 0])
+        assert min(np.abs(a - b)[ok].max(), np.abs(a + b)[ok].max()) < 1e-9
+    for k, v in want.items():
+        assert {(r["n"], r["deviation"]) for r in rows[k]} == {(w[0], w[1]) for w in v}
+        assert all(abs(r["explained"] / w[3] - 1) < 1e-10 for r, w in zip(rows[k], v))
+        assert all(0 <= r["identity_error"] < 1e-8 for r in rows[k])
+
+
+def run(spark, rows, schema=SCHEMA, **kw):
+    return fw.whiten(spark.createDataFrame(rows, schema).repartition(3), **kw).collect()
+
+
+def vectors(n, dim, seed):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim)) * np.linspace(3, 1, dim) @ np.linalg.qr(rng.normal(size=(dim, dim)))[0]
+    return [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(x)]
+
+
+@pytest.mark.parametrize("dim", [4, 9, 24])
+def test_equals_a_dense_solver(spark, dim):
+    rows = vectors(150, dim, dim)
+    same(run(spark, rows), brute(rows))
+
+
+def test_dropped_rows_repeats_and_null_ids(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = vectors(60, 6, 1)
+    rows += [(i, rows[3][1]) for i in range(1000, 1200)]  # copies count once
+    rows += [(2000, None), (2001, []), (2002, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (2003, [nan] + [0.0] * 5),
+             (2004, [0.0] * 5 + [-inf]), (None, [0.5] * 6), (None, [-0.25] * 6), (5, [1.5] * 6)]
+    same(run(spark, rows), brute(rows))
+
+
+def test_other_lengths_go(spark):
+    rows = vectors(40, 5, 2)
+    same(run(spark, rows + [(900, [1.0, 2.0]), (901, [1.0] * 6)]), brute(rows))
+
+
+def test_equal_vectors_and_empty_tables_have_no_components(spark):
+    assert run(spark, []) == [] and run(spark, [(1, [1.0, 2.0])] * 5) == [] and run(spark, [(1, None)]) == []
+
+
+def test_fewer_dimensions_or_rank_than_components(spark):
+    rows = [(i, [float(i), 2.0]) for i in range(20)]
+    got = run(spark, rows)
+    assert {r["component"] for r in got} == {1} and len(got) == 20
+    assert abs(got[0]["explained"] - 1) < 1e-12
+    one = [(i, [float(i * i)]) for i in range(9)]
+    same(run(spark, one), brute(one, k=1))
+
+
+def test_large_entries_and_deviations_stay_exact(spark):
+    rows = [(i, [float(np.float32(3e7 * (-1) ** i * i)), float(i), float(np.float32(1e7 + i * i))]) for i in range(50)]
+    got, want = run(spark, rows, components=2), brute(rows, k=2)
+    for r in got:
+        d = want[r["vec_id"], r["component"]][0][1]
+        assert r["deviation"] == (d if d < 1 << 63 else None)
+        assert r["deviation_digits"] == (None if d < 1 << 63 else str(d))
+
+
+def test_close_eigenvalues_share_an_interval(spark):
+    """Axes of exactly equal variance: any basis is right, and the whitened covariance is the identity."""
+    rows = [(2 * i + s, [(-1.0) ** s * (3.0 if j == i else 0.0) for j in range(7)]) for i in range(7) for s in range(2)]
+    got = run(spark, rows)
+    assert len(got) == len(rows) * 4 and got[0]["identity_error"] < 1e-12
+    w = np.zeros((len(rows), 4))
+    for r in got:
+        w[r["vec_id"], r["component"] - 1] = r["whitened"]
+    assert np.abs(w.T @ w / len(w) - np.eye(4)).max() < 1e-12
+
+
+def test_inertia_counts_equal_the_eigenvalues_below():
+    rng = np.random.default_rng(3)
+    a = rng.normal(size=(30, 30))
+    v = a @ a.T
+    values = np.linalg.eigvalsh(v)
+    shifts = np.sort(rng.uniform(-1, values[-1] * 1.1, 50))
+    assert (fw.inertia_below(fw.three_diagonals(v), shifts) == np.searchsorted(values, shifts)).all()
+
+
+def test_covariance_is_the_nearest_double(spark):
+    rows = vectors(70, 3, 8)
+    fit = fw.fit_list(spark.createDataFrame(rows, SCHEMA))
+    n, total = fw.counts_and_sums(fit, 3)
+    x = [[int(np.floor(256 * c)) for c in v] for _, v in rows]
+    want = [[float(Fraction(sum((n * r[i] - total[i]) * (n * r[j] - total[j]) for r in x), n ** 3)) for j in range(3)] for i in range(3)]
+    assert fw.covariance(fit, n, total).tolist() == want
+
+
+def test_other_columns_are_not_read(spark):
+    rows = vectors(30, 4, 9)
+    same(run(spark, [(i, v, 1, "s") for i, v in rows], SCHEMA + ", component int, whitened string"), brute(rows))
