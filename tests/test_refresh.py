@@ -197,8 +197,8 @@ def test_incremental_refresh_equals_a_full_one(spark, tmp_dir):
     assert again.days == {"clean_events": [], "validate_orders": []}
     assert _snapshot(spark, inc) == _snapshot(spark, full)
     # the raw rows of new batches come from their own folders only
-    from tierline.plans.refresh import _in_batches
-    plan = inc.read(spark, "bronze", "events", partitions=True).filter(_in_batches([("run", 2)])) \
+    from tierline.plans.incremental import in_batches
+    plan = inc.read(spark, "bronze", "events", partitions=True).filter(in_batches([("run", 2)])) \
         ._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "batch_id" in plan.split("PartitionFilters: [")[1].split("]")[0]
 

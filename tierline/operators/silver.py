@@ -49,7 +49,11 @@ def events_metadata_valid(bronze_events: DataFrame) -> DataFrame:
 def clean_events(bronze_events: DataFrame, as_of: AsOf) -> DataFrame:
     """Deduplicate, then keep known event types (a latest row with an unknown type drops its
     id entirely), cast the time, safe-parse metadata, add an MD5 key and the load time."""
-    deduped = dedup_latest_events(bronze_events)
+    return refine_events(dedup_latest_events(bronze_events), as_of)
+
+
+def refine_events(deduped: DataFrame, as_of: AsOf) -> DataFrame:
+    """``clean_events`` of raw events that are already the latest of their ids."""
     return deduped.filter(F.col("event_type").isin(*EVENT_TYPES)).select(
         surrogate_key("event_id").alias("event_key"),
         "event_id",
@@ -129,9 +133,13 @@ def validate_orders(bronze_orders: DataFrame, as_of: AsOf) -> DataFrame:
     The item sum is an in-row higher-order aggregate over the parsed JSON array, so the
     model needs one shuffle (the dedup) and no join back to an item-total table.
     """
-    deduped = dedup_latest_orders(bronze_orders).withColumn("_calc", item_total("items"))
+    return refine_orders(dedup_latest_orders(bronze_orders), as_of)
+
+
+def refine_orders(deduped: DataFrame, as_of: AsOf) -> DataFrame:
+    """``validate_orders`` of raw orders that are already the latest of their ids."""
     calc = F.col("_calc")
-    return deduped.select(
+    return deduped.withColumn("_calc", item_total("items")).select(
         surrogate_key("order_id").alias("order_key"),
         "order_id",
         "user_id",

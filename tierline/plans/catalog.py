@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.operators import envelopes, gold, quality, reports, silver, sql_reports
+from tierline.plans.landing import refreshed_store
 from tierline.schemas import BRONZE_EVENTS
 from tierline.sources import fixtures as fx
 from tierline.sources.topics import to_topic_records
@@ -76,6 +77,11 @@ def _read_back(records: DataFrame) -> DataFrame:
     return records.select("topic", "key", *fields, time, F.size(F.json_object_keys("value")).alias("n_fields"))
 
 
+def _maintained(tier, table):
+    """A table of a store that three landed batches and incremental refreshes have filled."""
+    return lambda s, d: refreshed_store(s, d).read(s, tier, table)
+
+
 def _anomaly(metric):
     return lambda s, d: reports.report_anomaly(_kpis(s, d), metric, LOOKBACK_DAYS, AS_OF)
 
@@ -150,6 +156,11 @@ QUERIES: dict[str, Query] = {
     "envelope_anomaly": lambda s, d: envelopes.flat(envelopes.envelope_anomaly(
         reports.report_anomaly(_kpis(s, d), envelopes.check_metric("events"),
                                envelopes.check_lookback(LOOKBACK_DAYS), AS_OF), "events", LOOKBACK_DAYS), "anomalies"),
+    # the maintained tables, after incremental refreshes of three landed batches
+    "clean_events_incremental": _maintained("silver", "clean_events"),
+    "validate_orders_incremental": _maintained("silver", "validate_orders"),
+    "daily_kpis_incremental": _maintained("gold", "daily_kpis"),
+    "customer_360_incremental": _maintained("gold", "customer_360"),
     # data quality
     "source_freshness": lambda s, d: quality.source_freshness(_bronze_events(s, d), _bronze_orders(s, d), AS_OF),
     "silver_quality": lambda s, d: quality.silver_quality(_clean(s, d), _orders(s, d)),

@@ -5,32 +5,28 @@ a lineage cut: a lost executor recomputes at most one tier's stages, and reruns
 ``as_of`` over the same raw data give identical tables.  Steps can be selected on their own
 (``steps=("silver",)``), as the reference's tier selection allows.
 
-A full refresh rebuilds the refined tier from all raw rows.  An incremental one reads the raw
-rows of the batches that landed since the last, and from the history only the copies of
-the same ids; it rewrites only the days these rows are or were on, in the refined tables and
-the daily KPIs.  Rows it does not touch keep the load time they have.  The customer profile
-depends on ``as_of`` in every row, so it is always rebuilt, from the refined tier.
+A full refresh rebuilds the refined tier from all raw rows.  An incremental one (see
+``plans.incremental``) reads the raw rows of the batches that landed since the last, and of the current
+raw rows only the hash buckets of the same ids; it rewrites only the periods these rows left or entered,
+in the refined tables and the daily KPIs.  Rows it does not touch keep the load time they have.  The customer
+profile depends on ``as_of`` in every row, so it is read anew each time, from the customers'
+states, which an incremental refresh only adds to.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.operators import gold, quality, silver
-from tierline.sources.tables import TierStore, period_of
+from tierline.operators import gold, quality
+from tierline.plans import incremental as inc
+from tierline.sources.tables import TierStore
 from tierline.streaming import ingest
 
 STEPS = ("ingest", "freshness", "silver", "quality", "gold")
-# Raw table, refined table, id, the column of its partitions, and its model.
-MODELS: tuple[tuple[str, str, str, str, Callable], ...] = (
-    ("events", "clean_events", "event_id", "event_day", silver.clean_events),
-    ("orders", "validate_orders", "order_id", "created_month", silver.validate_orders),
-)
 
 
 @dataclass
@@ -65,40 +61,51 @@ def run_refresh(spark: SparkSession, store: TierStore, as_of: datetime | str,
 
     if "silver" in steps:
         # Statistics land last: a batch without them may still get rows, so it stays new.
-        counted = _counted(spark, store)
-        new = new_batches(spark, store)
-        if incremental:
-            for raw, refined, key, day, model in MODELS:
-                result.days[refined] = _refine_new(spark, store, raw, refined, key, day, model, as_of, new)
+        commit = inc.read_commit(spark, store)
+        counted = inc.batches_of(store.read(spark, "bronze", "ingest_stats", partitions=True), commit)
+        new = new_batches(spark, store, commit)
+        if incremental and commit.full:
+            def note(refined, periods):
+                if refined == "clean_events":  # before the rows move, so that a failed run loses no day
+                    _set_pending(spark, store, sorted(set(periods) | set(_pending_days(spark, store)), key=str))
+
+            result.days = inc.refine_new(spark, store, as_of, commit, new, note)
         else:
             _note_all_days(spark, store)  # old days, which may be left without rows
-            for raw, refined, _, _, model in MODELS:
-                store.write(model(store.read(spark, "bronze", raw), as_of), "silver", refined)
+            inc.refine_all(spark, store, as_of, commit)
             _note_all_days(spark, store)
+        commit.add([b for b in new if b in counted])
         result.written += ["silver.clean_events", "silver.validate_orders"]
 
     clean = store.read(spark, "silver", "clean_events", partitions=True)
-    orders = store.read(spark, "silver", "validate_orders")
+    orders = store.read(spark, "silver", "validate_orders", partitions=True)
 
     if "quality" in steps:
-        days = result.days.get("clean_events") if incremental else None
-        checked = clean if days is None else clean.filter(_on_days("event_day", days))
-        result.quality = quality.silver_quality(checked, orders)
+        checked, tested = clean, orders
+        if result.days:  # and the days of refinements before, whose aggregates still wait
+            days = set(result.days["clean_events"]) | set(_pending_days(spark, store))
+            checked = clean.filter(inc.on_periods("event_day", sorted(days, key=str)))
+            tested = orders.filter(inc.on_periods("created_month", result.days["validate_orders"]))
+        result.quality = quality.silver_quality(checked, tested)
         if gate:
             quality.assert_quality(result.quality)
 
+    if "silver" in steps:  # finished only now: what the gate turns away is refined again
+        inc.write_commit(spark, store, commit)
+        for model in inc.MODELS:
+            if len(store.parts(spark, "silver", model.winners)) > inc.MAX_PARTS:
+                inc.compact_winners(spark, store, model, commit.seq)
+
     if "gold" in steps:
         if incremental:
             days = sorted(_pending_days(spark, store), key=str)
-            store.replace_days(gold.daily_kpis(clean.filter(_on_days("event_day", days))), "gold", "daily_kpis",
-                               [d for d in days])
+            store.replace_days(gold.daily_kpis(clean.filter(inc.on_periods("event_day", days))), "gold", "daily_kpis", days)
         else:
             store.write(gold.daily_kpis(clean), "gold", "daily_kpis")
-        store.write(gold.customer_360(clean, orders, as_of), "gold", "customer_360")
+        state = inc.refresh_customers(spark, store, inc.read_commit(spark, store))
+        store.write(gold.profile(state, as_of), "gold", "customer_360")
         result.written += ["gold.daily_kpis", "gold.customer_360"]
         _set_pending(spark, store, [])
-    if "silver" in steps:
-        _mark_done(spark, store, [b for b in new if b in counted])
     return result
 
 
@@ -108,13 +115,14 @@ def freshness(spark: SparkSession, store: TierStore, as_of) -> DataFrame:
     """Newest record time of the raw tables: from the per-batch statistics, and from a scan of
     those raw rows whose batch has none (rows loaded some other way)."""
     stats = store.read(spark, "bronze", "ingest_stats", partitions=True)
-    counted = {(r["run"], r["batch_id"]) for r in stats.select("run", "batch_id").distinct().collect()}
+    counted = stats.select(F.col("run").alias("of_run"), F.col("batch_id").alias("of_batch")).distinct()
     tables = []
     for raw, time in (("events", "timestamp"), ("orders", "created_at")):
         rows = store.read(spark, "bronze", raw, partitions=True)
-        # Partition columns only: no column of the rows is read.
-        landed = {(r["run"], r["batch_id"]) for r in rows.select("run", "batch_id").distinct().collect()}
-        scan = rows.filter(_in_batches(sorted(landed - counted, key=str))).select(F.col(time).alias("latest_at"))
+        landed = rows.select("run", "batch_id").distinct()  # partition columns only
+        same = landed["run"].eqNullSafe(counted["of_run"]) & landed["batch_id"].eqNullSafe(counted["of_batch"])
+        uncounted = sorted(((r["run"], r["batch_id"]) for r in landed.join(counted, same, "left_anti").collect()), key=str)
+        scan = rows.filter(inc.in_batches(uncounted)).select(F.col(time).alias("latest_at"))
         known = stats.filter(F.col("source_name") == f"bronze.{raw}").select("latest_at")
         tables.append(scan.unionByName(known))
     return quality.source_freshness(tables[0].withColumnRenamed("latest_at", "timestamp"),
@@ -123,57 +131,12 @@ def freshness(spark: SparkSession, store: TierStore, as_of) -> DataFrame:
 
 # ---------------------------------------------------------------- incremental refresh
 
-def new_batches(spark: SparkSession, store: TierStore) -> list[tuple]:
+def new_batches(spark: SparkSession, store: TierStore, commit: inc.Commit | None = None) -> list[tuple]:
     """(run, batch_id) of landed batches that no refresh has refined yet: of the statistics and of
     the raw tables' own partitions, as rows loaded some other way have no statistics."""
-    landed = _counted(spark, store)
-    for raw, *_ in MODELS:  # partition columns only
-        landed |= _pairs(store.read(spark, "bronze", raw, partitions=True))
-    done = _pairs(store.read(spark, "silver", "refined_batches"))
-    return sorted(landed - done, key=str)
-
-
-def _pairs(rows: DataFrame) -> set[tuple]:
-    return {(r["run"], r["batch_id"]) for r in rows.select("run", "batch_id").distinct().collect()}
-
-
-def _counted(spark: SparkSession, store: TierStore) -> set[tuple]:
-    return _pairs(store.read(spark, "bronze", "ingest_stats", partitions=True))
-
-
-def _in_batches(batches: list[tuple]):
-    """Rows of the batches; literals on partition columns, so other folders are not read."""
-    out = F.lit(False)
-    for run in {r for r, _ in batches}:
-        ids = [b for r, b in batches if r == run and b is not None]
-        same = F.col("run").eqNullSafe(F.lit(run))
-        out = out | (same & (F.col("batch_id").isin(ids) if ids else F.col("batch_id").isNull()))
-    return out
-
-
-def _on_days(column: str, days: list):
-    return F.col(column).isin([d for d in days if d is not None]) | (
-        F.col(column).isNull() if None in days else F.lit(False))
-
-
-def _refine_new(spark: SparkSession, store: TierStore, raw: str, refined: str, key: str, day: str,
-                model: Callable, as_of, batches: list[tuple]) -> list:
-    """Refine the ids that the batches hold and replace the days they are or were on."""
-    rows = store.read(spark, "bronze", raw, partitions=True)
-    ids = rows.filter(_in_batches(batches)).select(key).filter(F.col(key).isNotNull()).distinct()
-    # All copies of these ids, old ones too: which copy is the latest depends on them.
-    copies = store.read(spark, "bronze", raw).join(ids, key, "left_semi")
-    latest = model(copies, as_of)
-    old = store.read(spark, "silver", refined, partitions=True)
-    days = [r[0] for r in latest.select(period_of("silver", refined))
-            .union(old.join(ids, key, "left_semi").select(day)).distinct().collect()]  # calendar days
-    if not days:
-        return days
-    if refined == "clean_events":  # noted before the rows move, so that a failed run loses no day
-        _set_pending(spark, store, sorted(set(days) | set(_pending_days(spark, store)), key=str))
-    kept = old.filter(_on_days(day, days)).join(ids, key, "left_anti").select(latest.columns)
-    store.replace_days(kept.unionByName(latest), "silver", refined, days)
-    return days
+    commit = commit or inc.read_commit(spark, store)
+    tables = ["ingest_stats", *(model.raw for model in inc.MODELS)]
+    return sorted(set().union(*(inc.batches_of(store.read(spark, "bronze", t, partitions=True), commit) for t in tables)), key=str)
 
 
 def _pending_days(spark: SparkSession, store: TierStore) -> list:
@@ -188,8 +151,3 @@ def _note_all_days(spark: SparkSession, store: TierStore) -> None:
 
 def _set_pending(spark: SparkSession, store: TierStore, days: list) -> None:
     store.write(spark.createDataFrame([(d,) for d in days], "event_date date"), "silver", "pending_days")
-
-
-def _mark_done(spark: SparkSession, store: TierStore, batches: list[tuple]) -> None:
-    done = [tuple(r) for r in store.read(spark, "silver", "refined_batches").collect()]
-    store.write(spark.createDataFrame(done + batches, "run string, batch_id long"), "silver", "refined_batches")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from tierline.functions.columns import EVENT_TYPES
+
 S, TS, D = T.StringType(), T.TimestampNTZType(), T.DoubleType()
 
 
@@ -39,10 +41,21 @@ CUSTOMER_360 = _struct(("user_id", S), ("first_seen", TS), ("last_seen", TS),
 INGEST_STATS = _struct(("source_name", S), ("rows", T.LongType()), ("dead_letters", T.LongType()),
                       ("latest_at", TS))
 
-# Which landed batches are refined, and which days' KPIs wait for the aggregate tier.
-REFINED_BATCHES = _struct(("run", S), ("batch_id", T.LongType()))
+# What the refreshes have finished: rows (what, run, number); see ``plans.incremental``.
+REFINE_COMMITS = _struct(("what", S), ("run", S), ("number", T.LongType()))
+# Periods that a refinement is about to rewrite, and days whose KPIs wait for the aggregate tier.
+REFINE_INTENT = _struct(("seq", T.LongType()), ("table_name", S), ("period", T.DateType()))
 PENDING_DAYS = _struct(("event_date", T.DateType()))
 
+# Refined rows that a refinement added (sign 1) or took back (sign -1), by customer.
+USER_CHANGES = _struct(("sign", T.IntegerType()), ("user_id", S), ("seen_at", TS), ("event_type", S),
+                       ("is_event", T.IntegerType()), ("order_id", S), ("status", S),
+                       ("total_amount", T.DecimalType(18, 2)))
+# What the customer profile needs to know of a user, and the last refinement it holds.
+CUSTOMER_STATE = _struct(("user_id", S), ("first_seen", TS), ("last_seen", TS), ("n_events", T.LongType()),
+                         ("n_orders", T.LongType()), ("n_valid", T.LongType()), ("spend", T.DecimalType(38, 2)),
+                         *((f"n_{t}", T.LongType()) for t in EVENT_TYPES), ("through", T.LongType()))
+
 TABLES = {
     ("bronze", "ingest_stats"): INGEST_STATS,
     ("bronze", "events"): BRONZE_EVENTS,
@@ -50,8 +63,13 @@ TABLES = {
     ("bronze", "dead_letter"): DEAD_LETTER,
     ("silver", "clean_events"): CLEAN_EVENTS,
     ("silver", "validate_orders"): VALIDATED_ORDERS,
-    ("silver", "refined_batches"): REFINED_BATCHES,
+    ("silver", "event_winners"): BRONZE_EVENTS,
+    ("silver", "order_winners"): BRONZE_ORDERS,
+    ("silver", "refine_commits"): REFINE_COMMITS,
+    ("silver", "refine_intent"): REFINE_INTENT,
+    ("silver", "user_changes"): USER_CHANGES,
     ("silver", "pending_days"): PENDING_DAYS,
     ("gold", "daily_kpis"): DAILY_KPIS,
     ("gold", "customer_360"): CUSTOMER_360,
+    ("gold", "customer_state"): CUSTOMER_STATE,
 }

@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from tierline.sources.topics import EVENTS_TOPIC, ORDERS_TOPIC
 
-# Fixed values chosen for the fixtures: pages by event id mod 5, the referrer used on every
-# third event, and the reference instant of a fixture run.
-PAGES = ("/start", "/list", "/list/item", "/basket", "/pay")
+# Fixed values chosen for the fixtures: pages are the event id mod ``N_PAGES``; the referrer used
+# on every third event, and the reference instant of a fixture run.
+N_PAGES = 5
 REFERRER = "https://search.example/"
 FIXTURE_AS_OF = "2024-01-31"
 BURST_DATE = "2024-01-15"
@@ -62,7 +62,7 @@ def event_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("event_type")).alias("event_type"),
         _user_id(u).alias("user_id"),
         F.concat(F.lit("sess_"), (k % 500).cast("string")).alias("session_id"),
-        F.element_at(F.array(*[F.lit(p) for p in PAGES]), (k % 5 + 1).cast("int")).alias("_page"),
+        F.concat(F.lit("/p"), (k % N_PAGES).cast("string")).alias("_page"),
         F.when(k % 3 == 0, F.lit(REFERRER)).alias("referrer"),
         F.when(k % 97 == 0, F.lit("not json")).otherwise(F.col("props")).alias("metadata"),
         shifted.alias("_ts"),
@@ -99,8 +99,11 @@ def order_item_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     them per order is safe.  ``part`` joins by broadcast only when Spark measures it under
     the broadcast threshold, else by a sort-merge join.
     """
+    # By order first: a partial collect_list does not shrink the rows, so this is the shuffle that
+    # the grouping needs anyway, and the join and array building then run on every core even
+    # when the table is one file.
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice").repartition("l_orderkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
     price = ((F.col("p_size") % 10).cast("decimal(18,2)") + F.lit("0.99").cast("decimal(3,2)")).cast("decimal(18,2)")
     lines = li.join(part, li.l_partkey == part.p_partkey, "left").select(
@@ -175,10 +178,10 @@ def _iso(ts: Column) -> Column:
 
 def _as_served(copies: DataFrame) -> DataFrame:
     """Lay records out the way a multi-partition topic is read: spread by source key and copy,
-    not held in the one task that scanned a single-file table.  The number of partitions
-    follows the size of the data (AQE).  Done before the message text is built, so that work
-    is spread too."""
-    return copies.repartition("_k", "_copy")
+    not held in the one task that scanned a single-file table.  All shuffle partitions are kept:
+    the validation that follows is CPU-bound, so coalescing by bytes would leave cores idle.
+    Done before the message text is built, so that work is spread too."""
+    return copies.repartition(int(copies.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_k", "_copy")
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

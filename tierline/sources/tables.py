@@ -33,6 +33,9 @@ PARTITIONING: dict[tuple[str, str], dict[str, T.DataType]] = {
     ("bronze", "ingest_stats"): {"run": T.StringType(), "batch_id": T.LongType()},
     ("silver", "clean_events"): {"event_day": T.DateType()},
     ("silver", "validate_orders"): {"created_month": T.DateType()},
+    ("silver", "event_winners"): {"seq": T.LongType(), "bucket": T.IntegerType()},
+    ("silver", "order_winners"): {"seq": T.LongType(), "bucket": T.IntegerType()},
+    ("silver", "user_changes"): {"seq": T.LongType()},
     ("gold", "daily_kpis"): {"event_date": T.DateType()},
 }
 # Time column and period of the partitions of refined tables (events are many, orders few).
@@ -46,6 +49,9 @@ TRANSACTIONAL = ("delta", "iceberg")
 class TierStore:
     root: str
     fmt: str = "parquet"
+    #: Hash buckets of the tables of current raw rows; fixed for the life of a store.  A bucket
+    #: should come to a few hundred MB (4096 for 1 TB of current rows).
+    buckets: int = 64
 
     def folder(self, tier: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{tier}/{table}"
@@ -157,6 +163,29 @@ class TierStore:
             fs, p = _fs(spark, f"{path}/{column}={name}")
             fs.delete(p, True)
 
+    def add_part(self, df: DataFrame, tier: str, table: str, number: int) -> None:
+        """Put the rows of ``df`` into the current version as the part (first partition column)
+        ``number``, in place of what a failed attempt left there."""
+        spark = df.sparkSession
+        path = self.path(spark, tier, table)
+        parts = list(PARTITIONING[tier, table])
+        self.drop_parts(spark, tier, table, [number])
+        (df.withColumn(parts[0], F.lit(number).cast("long")).write.format(self.fmt).mode("overwrite").partitionBy(*parts)
+         .option("partitionOverwriteMode", "dynamic").save(path))
+
+    def parts(self, spark: SparkSession, tier: str, table: str) -> list[int]:
+        """Numbers of the parts of the current version."""
+        fs, path = _fs(spark, self.path(spark, tier, table))
+        names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+        first = next(iter(PARTITIONING[tier, table]))
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{first}="))
+
+    def drop_parts(self, spark: SparkSession, tier: str, table: str, numbers: list[int]) -> None:
+        path = self.path(spark, tier, table)
+        for n in numbers:
+            fs, p = _fs(spark, f"{path}/{next(iter(PARTITIONING[tier, table]))}={n}")
+            fs.delete(p, True)
+
     def land(self, df: DataFrame, table: str, run: str, batch_id: int) -> None:
         """Write one micro-batch of a raw table.  Its partitions are named by the streaming
         query's id and the batch's number, so a replay replaces its own rows and nothing
