@@ -1,0 +1,92 @@
+"""The product report from bucketed lines: equal to the one from raw items, and without their shuffle."""
+
+import os
+import random
+
+import pytest
+
+from helpers import ev, item, items, od
+from test_refresh import _land
+
+from tierline.operators import reports
+from tierline.plans import incremental as inc
+from tierline.plans import order_lines
+from tierline.plans.refresh import run_refresh
+from tierline.sources import fixtures as fx
+from tierline.sources.tables import TierStore
+
+STEPS = ("silver", "gold")
+
+
+def batch(rng):
+    price = lambda: rng.choice([1.5, 9.99, 1e30, "null", '"x"'])
+    def one(i):
+        lines = [item(f"p{rng.randint(0, 4)}", qty=rng.randint(1, 3), price=price()) for _ in range(rng.randint(0, 3))]
+        return od(rng.choice([f"o{i}", f"o{i}", None]), rng.choice([items(*lines), items(*lines), "broken"]), rng.choice([10.0, 1.5, 9.99]),
+                  when=f"2024-0{rng.randint(1, 3)}-01 0{rng.randint(0, 2)}:00:00")
+    return [one(rng.randint(0, 9)) for _ in range(25)]
+
+
+def both(spark, store, n=20):
+    lines, states = order_lines.read(spark, store, inc.read_commit(spark, store))
+    raw, valid = store.read(spark, "bronze", "orders"), store.read(spark, "silver", "validate_orders")
+    for dedupe in (False, True):
+        got = [tuple(r) for r in order_lines.report_top_products(lines, states, n, dedupe).collect()]
+        want = [tuple(r) for r in reports.report_top_products(valid, raw, n, dedupe).collect()]
+        assert got == want, dedupe
+
+
+def test_equal_after_each_refresh(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(order_lines, "MAX_ATTEMPTS", 3)  # the last refresh builds them anew
+    store = TierStore(os.path.join(tmp_dir, "lake"), buckets=4)
+    store.bootstrap(spark)
+    rng = random.Random(4)
+    for i in range(4):
+        _land(spark, store, i, [ev("a")], batch(rng))
+        if i == 2:  # landed and not refined: raw copies count, their status does not
+            raw_only = inc.read_commit(spark, store)
+            assert len(inc.landed_batches(spark, store, raw_only)) == 1
+            both(spark, store)
+        run_refresh(spark, store, fx.FIXTURE_AS_OF, steps=STEPS, incremental=True)
+        both(spark, store)
+    assert len(inc.read_commit(spark, store).attempts) == 1
+
+
+def test_what_a_failed_attempt_left_is_not_read(spark, tmp_dir, monkeypatch):
+    store = TierStore(os.path.join(tmp_dir, "lake"), buckets=4)
+    store.bootstrap(spark)
+    rng = random.Random(5)
+    _land(spark, store, 0, [], batch(rng))
+    run_refresh(spark, store, fx.FIXTURE_AS_OF, steps=STEPS, incremental=True)
+    _land(spark, store, 1, [], batch(rng))
+    with monkeypatch.context() as m:
+        def fails(*args):
+            raise RuntimeError("lost")
+
+        m.setattr(inc, "write_commit", fails)
+        with pytest.raises(RuntimeError):
+            run_refresh(spark, store, fx.FIXTURE_AS_OF, steps=STEPS, incremental=True)
+    run_refresh(spark, store, fx.FIXTURE_AS_OF, steps=STEPS, incremental=True)
+    both(spark, store)
+
+
+def test_no_shuffle_below_the_product_sums(spark, tmp_dir):
+    store = TierStore(os.path.join(tmp_dir, "lake"), buckets=4)
+    store.bootstrap(spark)
+    _land(spark, store, 0, [], batch(random.Random(6)))
+    run_refresh(spark, store, fx.FIXTURE_AS_OF, steps=STEPS)
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for dedupe in (False, True):
+            lines, states = order_lines.read(spark, store, inc.read_commit(spark, store))
+            plan = order_lines.report_top_products(lines, states, 5, dedupe)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange") == 1 and "hashpartitioning(product_id" in plan
+            assert "SortMergeJoin" in plan.split("Exchange")[1]
+            raw = store.read(spark, "bronze", "orders")
+            old = reports.report_top_products(store.read(spark, "silver", "validate_orders"), raw, 5, dedupe)
+            assert old._jdf.queryExecution().executedPlan().toString().count("Exchange") > 2
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)

@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.operators import envelopes, gold, quality, reports, silver, sql_reports
+from tierline.operators import bitmaps, envelopes, gold, quality, reports, silver, sql_reports
+from tierline.plans import order_lines
+from tierline.plans.incremental import read_commit
 from tierline.plans.landing import refreshed_store
 from tierline.schemas import BRONZE_EVENTS
 from tierline.sources import fixtures as fx
@@ -24,6 +26,7 @@ AS_OF = fx.FIXTURE_AS_OF
 RANGE_FROM, RANGE_TO = "2023-10-01", "2024-01-31"
 TOP_N = 10
 LOOKBACK_DAYS = 30
+ROLLING_DAYS = 7
 COLUMN_METRIC = "conversion_rate"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +85,18 @@ def _maintained(tier, table):
     return lambda s, d: refreshed_store(s, d).read(s, tier, table)
 
 
+def _bitmaps(s, d):
+    return refreshed_store(s, d).read(s, "gold", "user_bitmaps")
+
+
+def _products_bucketed(dedupe_items):
+    def run(s, d):
+        store = refreshed_store(s, d)
+        lines, states = order_lines.read(s, store, read_commit(s, store))
+        return order_lines.report_top_products(lines, states, TOP_N, dedupe_items)
+    return run
+
+
 def _anomaly(metric):
     return lambda s, d: reports.report_anomaly(_kpis(s, d), metric, LOOKBACK_DAYS, AS_OF)
 
@@ -161,6 +176,13 @@ QUERIES: dict[str, Query] = {
     "validate_orders_incremental": _maintained("silver", "validate_orders"),
     "daily_kpis_incremental": _maintained("gold", "daily_kpis"),
     "customer_360_incremental": _maintained("gold", "customer_360"),
+    # exact distinct users from bitmaps, and the product report from bucketed lines
+    "range_users": lambda s, d: bitmaps.range_users(_bitmaps(s, d), RANGE_FROM, RANGE_TO),
+    "rolling_users": lambda s, d: bitmaps.rolling_users(_bitmaps(s, d), ROLLING_DAYS),
+    "report_funnel_bitmaps": lambda s, d: bitmaps.report_funnel(
+        _bitmaps(s, d), refreshed_store(s, d).read(s, "gold", "daily_kpis"), RANGE_FROM, RANGE_TO),
+    "report_top_products_bucketed": _products_bucketed(False),
+    "report_top_products_deduped_bucketed": _products_bucketed(True),
     # data quality
     "source_freshness": lambda s, d: quality.source_freshness(_bronze_events(s, d), _bronze_orders(s, d), AS_OF),
     "silver_quality": lambda s, d: quality.silver_quality(_clean(s, d), _orders(s, d)),

@@ -23,14 +23,17 @@ full refresh failed in between) is refreshed in full whatever was asked for.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.operators import gold, silver
+from tierline.operators import bitmaps, gold, silver
 from tierline.operators.dedup import latest_per_key
+from tierline.plans import order_lines
 from tierline.sources.tables import PARTITIONING, TierStore, period_of
 
 #: Parts of the log of current rows before they are rewritten as one.
@@ -72,6 +75,9 @@ class Commit:
     full: int = 0
     marks: dict = field(default_factory=dict)
     batches: set = field(default_factory=set)
+    #: Folder of the bucketed order lines, and the attempts that filled it.
+    lines: str | None = None
+    attempts: list = field(default_factory=list)
 
     def add(self, done: list[tuple]) -> None:
         self.batches |= set(done)
@@ -91,6 +97,10 @@ def read_commit(spark: SparkSession, store: TierStore) -> Commit:
             out.marks[r["run"]] = r["number"]
         elif r["what"] == "batch":
             out.batches.add((r["run"], r["number"]))
+        elif r["what"] == "lines":
+            out.lines = r["run"]
+        elif r["what"] == "attempt":
+            out.attempts.append(r["run"])
         else:
             setattr(out, r["what"], r["number"])
     return out
@@ -100,6 +110,7 @@ def write_commit(spark: SparkSession, store: TierStore, commit: Commit) -> None:
     rows = [("seq", None, commit.seq), ("full", None, commit.full)]
     rows += [("mark", run, n) for run, n in commit.marks.items()]
     rows += [("batch", run, n) for run, n in sorted(commit.batches, key=str)]
+    rows += [("lines", commit.lines, 0)] * bool(commit.lines) + [("attempt", a, i) for i, a in enumerate(commit.attempts)]
     store.write(spark.createDataFrame(rows, "what string, run string, number long"), "silver", "refine_commits")
 
 
@@ -111,11 +122,20 @@ def beyond(commit: Commit):
     return out
 
 
-def batches_of(rows: DataFrame, commit: Commit) -> set[tuple]:
-    """(run, batch_id) of the rows' batches that no finished refinement holds: partition
-    columns only, of the folders above the marks."""
-    found = rows.filter(beyond(commit)).select("run", "batch_id").distinct().collect()
-    return {(r["run"], r["batch_id"]) for r in found} - commit.batches
+def landed_batches(spark: SparkSession, store: TierStore, commit: Commit) -> dict[tuple, set[str]]:
+    """(run, batch_id) of the landed batches that no finished refinement holds, with the tables that
+    have them: partition columns only, of the folders above the marks."""
+    parts = [store.read(spark, "bronze", t, partitions=True).filter(beyond(commit)).select(F.lit(t).alias("t"), "run", "batch_id")
+             for t in ("ingest_stats", *(model.raw for model in MODELS))]
+    out: dict[tuple, set[str]] = {}
+    for r in reduce(DataFrame.unionAll, parts).distinct().collect():
+        out.setdefault((r["run"], r["batch_id"]), set()).add(r["t"])
+    return {b: tables for b, tables in out.items() if b not in commit.batches}
+
+
+def finished(commit: Commit):
+    """Rows of batches that finished refinements hold."""
+    return ~beyond(commit) | in_batches(sorted(commit.batches, key=str))
 
 
 def in_batches(batches: list[tuple]):
@@ -159,8 +179,10 @@ def compact_winners(spark: SparkSession, store: TierStore, model: Model, seq: in
 
 # ---------------------------------------------------------------- refinements
 
-def refine_all(spark: SparkSession, store: TierStore, as_of, commit: Commit) -> None:
-    """Rebuild the current rows and the refined tables from all raw rows."""
+def refine_all(spark: SparkSession, store: TierStore, as_of, commit: Commit, counted: list[tuple]) -> None:
+    """Rebuild the current rows, the refined tables and the order lines from all raw rows.
+
+    ``counted`` are the new batches that this refinement finishes: they have statistics, so they are whole."""
     commit.full = 0  # until this one is finished, nothing incremental may build on what is there
     write_commit(spark, store, commit)
     seq = commit.seq + 1
@@ -171,17 +193,35 @@ def refine_all(spark: SparkSession, store: TierStore, as_of, commit: Commit) ->
         store.write(model.refine(store.read(spark, "silver", model.winners), as_of), "silver", model.refined)
     store.write(spark.createDataFrame([], store.read(spark, "silver", "user_changes", partitions=True).schema),
                 "silver", "user_changes")
+    commit.add(counted)
     commit.seq = commit.full = seq
+    build_lines(spark, store, commit)
+
+
+def build_lines(spark: SparkSession, store: TierStore, commit: Commit) -> None:
+    """Build the bucketed order lines anew, from the raw copies of finished batches."""
+    before = commit.lines
+    copies = store.read(spark, "bronze", "orders", partitions=True).filter(finished(commit))
+    current = _latest(store.read(spark, "silver", "order_winners", partitions=True)
+                      .filter(F.col("seq") <= commit.seq).drop("seq", "bucket"), MODELS[1])
+    commit.lines = f"v-{uuid.uuid4().hex}"
+    commit.attempts = [order_lines.add(store, commit.lines, commit.seq, copies, current, None,
+                                       store.read(spark, "silver", "validate_orders"))]
+    for folder in store.line_folders(spark) if before else []:
+        if folder not in (before, commit.lines):  # readers of the one before may still run
+            store.drop_lines(spark, folder)
 
 
-def refine_new(spark: SparkSession, store: TierStore, as_of, commit: Commit, batches: list[tuple],
+def refine_new(spark: SparkSession, store: TierStore, as_of, commit: Commit, batches: list[tuple], counted: list[tuple],
                note: Callable[[str, list], None]) -> dict[str, list]:
-    """Refine the rows of the new batches; the periods rewritten, by refined table.
+    """Refine the rows of the new batches; the periods rewritten, by refined table.  ``counted`` are
+    those that this refinement finishes.
 
     ``note(table, periods)`` is called before any row of these periods moves."""
     seq = commit.seq + 1
-    changes, days, logs = [], {}, []
+    changes, days, logs, attempt = [], {}, [], None
     held: list[DataFrame] = []
+    landed = store.read(spark, "bronze", "orders", partitions=True).filter(in_batches(counted))
     try:
         for model in MODELS:
             changed = _changed(spark, store, model, commit, batches)
@@ -196,6 +236,8 @@ def refine_new(spark: SparkSession, store: TierStore, as_of, commit: Commit, bat
             periods |= _intended(spark, store, model, seq)
             days[model.refined] = sorted(periods, key=str)
             logs.append((model, new, added))
+            if model.raw == "orders":
+                attempt = order_lines.add(store, commit.lines, seq, landed, new, old, added)
             changes += [model.rows(added).withColumn("sign", F.lit(1)), model.rows(gone).withColumn("sign", F.lit(-1))]
         _intend(spark, store, seq, days)
         for model, new, added in logs:
@@ -203,16 +245,16 @@ def refine_new(spark: SparkSession, store: TierStore, as_of, commit: Commit, bat
                 note(model.refined, days[model.refined])
                 _replace(spark, store, model, days[model.refined], added, new)
         if changes:
-            out = changes[0]
-            for more in changes[1:]:
-                out = out.unionByName(more)
-            store.add_part(out, "silver", "user_changes", seq)
+            store.add_part(reduce(DataFrame.unionByName, changes), "silver", "user_changes", seq)
         for model, new, _ in logs:
             store.add_part(_in_buckets(new, model, store), "silver", model.winners, seq)
     finally:
         for df in held:
             df.unpersist()
     commit.seq = seq
+    commit.add(counted)
+    if attempt:
+        commit.attempts.append(attempt)
     return days
 
 
@@ -259,6 +301,25 @@ def _intended(spark: SparkSession, store: TierStore, model: Model, seq: int) ->
     return {r["period"] for r in rows.collect()}  # calendar
 
 
+# ---------------------------------------------------------------- bitmaps of users
+
+def refresh_bitmaps(spark: SparkSession, store: TierStore, commit: Commit, days: list | None) -> None:
+    """Rebuild the user bitmaps of some days of the refined events; of all days, with fresh numbers,
+    for None.
+
+    Users without a number get one first, as the part ``seq`` of the numbers.  A failed attempt leaves
+    all its days to the next one, which numbers its users again: no other day knows them."""
+    clean = store.read(spark, "silver", "clean_events", partitions=True)
+    if days is None:
+        store.write(bitmaps.number_users(clean).withColumn("seq", F.lit(commit.seq).cast("long")), "silver", "user_numbers")
+        store.write(bitmaps.user_bitmaps(clean, store.read(spark, "silver", "user_numbers")), "gold", "user_bitmaps")
+        return
+    own = clean.filter(on_periods("event_day", days))
+    known = store.read(spark, "silver", "user_numbers", partitions=True).filter(F.col("seq") < commit.seq).select("user_id", "number")
+    store.add_part(bitmaps.number_users(own, known), "silver", "user_numbers", commit.seq)
+    store.replace_days(bitmaps.user_bitmaps(own, store.read(spark, "silver", "user_numbers")), "gold", "user_bitmaps", days)
+
+
 # ---------------------------------------------------------------- the customers' states
 
 def refresh_customers(spark: SparkSession, store: TierStore, commit: Commit) -> DataFrame:

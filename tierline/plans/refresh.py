@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tierline.operators import gold, quality
 from tierline.plans import incremental as inc
+from tierline.plans import order_lines
 from tierline.sources.tables import TierStore
 from tierline.streaming import ingest
 
@@ -62,19 +63,19 @@ def run_refresh(spark: SparkSession, store: TierStore, as_of: datetime | str,
     if "silver" in steps:
         # Statistics land last: a batch without them may still get rows, so it stays new.
         commit = inc.read_commit(spark, store)
-        counted = inc.batches_of(store.read(spark, "bronze", "ingest_stats", partitions=True), commit)
-        new = new_batches(spark, store, commit)
+        landed = inc.landed_batches(spark, store, commit)
+        new = sorted(landed, key=str)
+        counted = [b for b in new if "ingest_stats" in landed[b]]
         if incremental and commit.full:
             def note(refined, periods):
                 if refined == "clean_events":  # before the rows move, so that a failed run loses no day
                     _set_pending(spark, store, sorted(set(periods) | set(_pending_days(spark, store)), key=str))
 
-            result.days = inc.refine_new(spark, store, as_of, commit, new, note)
+            result.days = inc.refine_new(spark, store, as_of, commit, new, counted, note)
         else:
             _note_all_days(spark, store)  # old days, which may be left without rows
-            inc.refine_all(spark, store, as_of, commit)
+            inc.refine_all(spark, store, as_of, commit, counted)
             _note_all_days(spark, store)
-        commit.add([b for b in new if b in counted])
         result.written += ["silver.clean_events", "silver.validate_orders"]
 
     clean = store.read(spark, "silver", "clean_events", partitions=True)
@@ -91,6 +92,8 @@ def run_refresh(spark: SparkSession, store: TierStore, as_of: datetime | str,
             quality.assert_quality(result.quality)
 
     if "silver" in steps:  # finished only now: what the gate turns away is refined again
+        if len(commit.attempts) > order_lines.MAX_ATTEMPTS:
+            inc.build_lines(spark, store, commit)
         inc.write_commit(spark, store, commit)
         for model in inc.MODELS:
             if len(store.parts(spark, "silver", model.winners)) > inc.MAX_PARTS:
@@ -102,7 +105,9 @@ def run_refresh(spark: SparkSession, store: TierStore, as_of: datetime | str,
             store.replace_days(gold.daily_kpis(clean.filter(inc.on_periods("event_day", days))), "gold", "daily_kpis", days)
         else:
             store.write(gold.daily_kpis(clean), "gold", "daily_kpis")
-        state = inc.refresh_customers(spark, store, inc.read_commit(spark, store))
+        commit = inc.read_commit(spark, store)
+        inc.refresh_bitmaps(spark, store, commit, days if incremental and commit.full and commit.seq > commit.full else None)
+        state = inc.refresh_customers(spark, store, commit)
         store.write(gold.profile(state, as_of), "gold", "customer_360")
         result.written += ["gold.daily_kpis", "gold.customer_360"]
         _set_pending(spark, store, [])
@@ -131,12 +136,10 @@ def freshness(spark: SparkSession, store: TierStore, as_of) -> DataFrame:
 
 # ---------------------------------------------------------------- incremental refresh
 
-def new_batches(spark: SparkSession, store: TierStore, commit: inc.Commit | None = None) -> list[tuple]:
+def new_batches(spark: SparkSession, store: TierStore) -> list[tuple]:
     """(run, batch_id) of landed batches that no refresh has refined yet: of the statistics and of
     the raw tables' own partitions, as rows loaded some other way have no statistics."""
-    commit = commit or inc.read_commit(spark, store)
-    tables = ["ingest_stats", *(model.raw for model in inc.MODELS)]
-    return sorted(set().union(*(inc.batches_of(store.read(spark, "bronze", t, partitions=True), commit) for t in tables)), key=str)
+    return sorted(inc.landed_batches(spark, store, inc.read_commit(spark, store)), key=str)
 
 
 def _pending_days(spark: SparkSession, store: TierStore) -> list:

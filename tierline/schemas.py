@@ -56,6 +56,10 @@ CUSTOMER_STATE = _struct(("user_id", S), ("first_seen", TS), ("last_seen", TS),
                          ("n_orders", T.LongType()), ("n_valid", T.LongType()), ("spend", T.DecimalType(38, 2)),
                          *((f"n_{t}", T.LongType()) for t in EVENT_TYPES), ("through", T.LongType()))
 
+# A number for each user, and the users of a day and event type as bitmaps over these numbers.
+USER_NUMBERS = _struct(("user_id", S), ("number", T.LongType()))
+USER_BITMAPS = _struct(("event_date", T.DateType()), ("event_type", S), ("piece", T.LongType()), ("users", T.BinaryType()))
+
 TABLES = {
     ("bronze", "ingest_stats"): INGEST_STATS,
     ("bronze", "events"): BRONZE_EVENTS,
@@ -72,4 +76,6 @@ TABLES = {
     ("gold", "daily_kpis"): DAILY_KPIS,
     ("gold", "customer_360"): CUSTOMER_360,
     ("gold", "customer_state"): CUSTOMER_STATE,
+    ("silver", "user_numbers"): USER_NUMBERS,
+    ("gold", "user_bitmaps"): USER_BITMAPS,
 }

@@ -36,7 +36,9 @@ PARTITIONING: dict[tuple[str, str], dict[str, T.DataType]] = {
     ("silver", "event_winners"): {"seq": T.LongType(), "bucket": T.IntegerType()},
     ("silver", "order_winners"): {"seq": T.LongType(), "bucket": T.IntegerType()},
     ("silver", "user_changes"): {"seq": T.LongType()},
+    ("silver", "user_numbers"): {"seq": T.LongType()},
     ("gold", "daily_kpis"): {"event_date": T.DateType()},
+    ("gold", "user_bitmaps"): {"event_date": T.DateType()},
 }
 # Time column and period of the partitions of refined tables (events are many, orders few).
 PERIODS = {("silver", "clean_events"): ("event_timestamp", "day"), ("silver", "validate_orders"): ("created_at", "month")}
@@ -186,6 +188,15 @@ class TierStore:
             fs, p = _fs(spark, f"{path}/{next(iter(PARTITIONING[tier, table]))}={n}")
             fs.delete(p, True)
 
+    def line_folders(self, spark: SparkSession) -> list[str]:
+        """Folders of the bucketed order lines."""
+        fs, path = _fs(spark, self.folder("silver", "order_lines"))
+        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+    def drop_lines(self, spark: SparkSession, folder: str) -> None:
+        fs, p = _fs(spark, f"{self.folder('silver', 'order_lines')}/{folder}")
+        fs.delete(p, True)
+
     def land(self, df: DataFrame, table: str, run: str, batch_id: int) -> None:
         """Write one micro-batch of a raw table.  Its partitions are named by the streaming
         query's id and the batch's number, so a replay replaces its own rows and nothing
