@@ -16,14 +16,14 @@ training has seen (going on with the even odds of an unseen one costs 2.6 % in c
 held-out texts of sf0.1).  A text's score is the log10 probability of its symbols; code
 length per byte follows from it.
 
-*Spark.*  Each block of documents is written with its texts, its distinct (DEPTH + 1)-grams and
-its distinct words, and how often training documents of the block hold them; Spark sums the
+*Spark.*  Each block of documents is written with its texts (compressed), its distinct (DEPTH + 1)-grams, numbered in
+order, and its distinct words, and how often training documents of the block hold them; Spark sums the
 counts over the blocks.  The nodes below each three last bytes are one independent group (at
-most 256^(DEPTH-2) grams, however large the corpus); tasks weigh whole groups and score their
-grams, those of held-out texts too, so every node is used and none is ever gathered.  The
-groups' sums give the small top of the tree, the contexts of 0 to 2 bytes: it is broadcast, and
-256^3 nodes bound it at any size of the corpus.  What a gram's nodes below the top give for each decision and what the
-top adds make its log10 probability; scores meet the blocks by a join.
+most 256^(DEPTH-2) grams, however large the corpus).  A first pass over the groups yields only their heads; these
+give the small top of the tree, the contexts of 0 to 2 bytes, which is broadcast: 256^3 nodes bound it at any size
+of the corpus.  A second pass weighs the groups again and answers the blocks' grams that meet them
+in the same shuffle with their log10 probability, held-out ones too.  So every node is used, none is ever
+gathered or written, and the blocks get back one number a distinct gram.
 
 *Base score.*  Word counts of the corpus may be of any size, so they are never broadcast: blocks
 and counts meet by joins.
@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tierline.llm.common import blocks, hash_mod, table, text_buffer, texts_of, written
+from tierline.llm.common import blocks, drop_path, hash_mod, table, texts_of, written
 
 DEPTH = 5
 #: Bytes of context that deal the nodes into groups.
@@ -60,28 +60,39 @@ MERGE_GRAMS = 1 << 21
 GROUP_ROWS = 1 << 18
 
 
-def normal(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-    """The texts as their words joined by one blank, and the words."""
-    words = [data[off[i]:off[i + 1]].tobytes().lower().split() for i in range(len(off) - 1)]
-    texts = [b" ".join(w) for w in words]
-    return (np.frombuffer(b"".join(texts), np.uint8),
-            np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64))), words)
+def normal(data: np.ndarray, off: np.ndarray) -> list[bytes]:
+    """The texts as their words joined by one blank."""
+    return [b" ".join(data[off[i]:off[i + 1]].tobytes().lower().split()) for i in range(len(off) - 1)]
 
 
-def symbols(data: np.ndarray, off: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+def symbols(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
     """The gram (context, symbol) of each symbol as one integer, the latest byte lowest; and the
     offsets of the texts among them (each has its bytes and one end)."""
-    n = np.diff(off)
-    starts = np.concatenate(([0], np.cumsum(n + depth + 1)))
-    padded = np.full(starts[-1], END, np.uint64)
-    place = np.arange(len(data)) + np.repeat(starts[:-1] + depth - off[:-1], n)
-    padded[place] = data
-    out = np.concatenate(([0], np.cumsum(n + 1)))
-    first = np.arange(out[-1]) + np.repeat(starts[:-1] - out[:-1], n + 1)
-    grams = np.zeros(out[-1], np.uint64)
+    gap = bytes([END]) * (depth + 1)
+    padded = np.frombuffer(gap[1:] + gap.join(texts) + gap, np.uint8)
+    grams = np.zeros(len(padded) - depth, np.uint64)
     for j in range(depth + 1):
-        grams = (grams << np.uint64(8)) | padded[first + j]
-    return grams, out
+        grams <<= np.uint64(8)
+        grams |= padded[j:len(padded) - depth + j]
+    size = np.array([len(t) + 1 for t in texts], np.int64)
+    starts = np.concatenate(([0], np.cumsum(size + depth)))[:-1]
+    out = np.concatenate(([0], np.cumsum(size)))
+    parts = [grams[i:i + n] for i, n in zip(starts.tolist(), size.tolist())]
+    return np.concatenate(parts) if parts else grams[:0], out
+
+
+def words_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words, the word of each token as its place among them, and each text's offset
+    among the tokens (without the ends)."""
+    import pyarrow.compute as pc
+
+    split = pc.split_pattern(pa.array(texts, pa.large_binary()), " ")
+    size = np.where([not t for t in texts], 0, pc.list_value_length(split).to_numpy()) if texts else np.zeros(0, np.int64)
+    flat = pc.list_flatten(split)
+    if (size == 0).any():  # the empty text splits into one empty word
+        flat = flat.filter(pc.greater(pc.binary_length(flat), 0))
+    coded = flat.dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.concatenate(([0], np.cumsum(size)))
 
 
 def merge(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -126,11 +137,11 @@ def parent(nodes: np.ndarray, depth: int) -> np.ndarray:
     return nodes & np.uint64((1 << (8 * depth)) - 1)
 
 
-def subtree(grams: np.ndarray, n: np.ndarray, depth: int, top: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def subtree(grams: np.ndarray, n: np.ndarray, depth: int, top: int, only_heads: bool = False) -> tuple[np.ndarray, list[np.ndarray]]:
     """What the nodes of ``depth`` up to ``top`` bytes of context say of whole groups of
     distinct grams, of which training holds ``n`` each (0: none): the probability of each
-    gram's eight decisions, -1 where training has seen no context of ``top`` bytes; and the
-    seen nodes of ``top``: [node, zeros, ones, log Pw].  A node's integer is its context and, in
+    gram's eight decisions, -1 where training has seen no context of ``top`` bytes (not
+    worked out for ``only_heads``); and the seen nodes of ``top``: [node, zeros, ones, log Pw].  A node's integer is its context and, in
     the lowest byte, its bit prefix behind a leading 1."""
     p = np.full((8, len(grams)), -1.0)
     below: list = [None] * 8
@@ -152,9 +163,10 @@ def subtree(grams: np.ndarray, n: np.ndarray, depth: int, top: int) -> tuple[np.
                 example, lower = below[k]  # a gram of each node below, and its log Pw
                 pw, weight = weigh(kt, np.bincount(run[code[example]], lower, len(start)))
             below[k] = first[start], pw
-            own = (ones + 0.5) / (zeros + ones + 1)
-            own = np.where(bit, own[run], 1 - own[run])
-            p[k] = mixed(p[k], (zeros + ones > 0)[run][code], weight[run][code], own[code])
+            if not only_heads:
+                own = (ones + 0.5) / (zeros + ones + 1)
+                own = np.where(bit, own[run], 1 - own[run])
+                p[k] = mixed(p[k], (zeros + ones > 0)[run][code], weight[run][code], own[code])
             if d == top:
                 seen = zeros + ones > 0
                 node = ((tails[start] & ~np.uint64(255)) | np.uint64(1 << k) | (prefix[start] & np.uint64((1 << k) - 1)))
@@ -191,30 +203,29 @@ class Top:
         return total
 
 
-def whole_groups(batches, names: list[str], least: int = GROUP_ROWS):
-    """Columns of a sorted partition in pieces of whole groups (equal first column)."""
+def context(column: str, size: int) -> Column:
+    """The last ``size`` bytes of the context of a gram or node."""
+    return F.shiftright(column, 8).bitwiseAND((1 << (8 * size)) - 1)
+
+
+def near(keys: np.ndarray, size: int) -> np.ndarray:
+    return (keys >> 8) & ((1 << (8 * size)) - 1)
+
+
+def whole_groups(batches, size: int, least: int = GROUP_ROWS):
+    """Columns of a partition sorted by the context of its first column, in pieces of whole groups."""
     held: list = []
     for batch in batches:
         held.append(batch)
         if sum(x.num_rows for x in held) >= least:
             rows = pa.Table.from_batches(held)
-            group = rows.column(0).to_numpy()
+            group = near(rows.column(0).to_numpy(), size)
             cut = int(np.searchsorted(group, group[-1]))
             if cut:
-                yield [rows.column(c).to_numpy()[:cut] for c in names]
+                yield [c.to_numpy()[:cut] for c in rows.columns]
                 held = rows.slice(cut).to_batches()
     if held and sum(x.num_rows for x in held):
-        rows = pa.Table.from_batches(held)
-        yield [rows.column(c).to_numpy() for c in names]
-
-
-def context(column: str, size: int) -> Column:
-    """The last ``size`` bytes of the context of a gram or node."""
-    return F.shiftright(column, 8).bitwiseAND((1 << (8 * size)) - 1)
-
-
-def _dealt(rows: DataFrame, size: int, *cols: str) -> DataFrame:
-    return rows.select(context(cols[0], size).alias("near"), *cols).repartition("near").sortWithinPartitions("near")
+        yield [c.to_numpy() for c in pa.Table.from_batches(held).columns]
 
 
 def _batch(schema: pa.Schema, n: int, **cols) -> pa.RecordBatch:
@@ -224,29 +235,29 @@ def _batch(schema: pa.Schema, n: int, **cols) -> pa.RecordBatch:
         else pa.array(cols[f.name], f.type) for f in schema], schema=schema)
 
 
-def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(gram, log10) of distinct grams, of which training holds ``n`` each (0: none)."""
-    spark = grams.sparkSession
+def _sliced(schema: pa.Schema, rows: int, **cols):
+    n = len(next(iter(cols.values())))
+    for i in range(0, n, rows):
+        own = {k: v[i:i + rows] for k, v in cols.items()}
+        yield _batch(schema, len(next(iter(own.values()))), **own)
+
+
+def top_of(counts: DataFrame, depth: int = DEPTH) -> Top:
+    """The top of the tree of all grams (gram, n): the contexts of fewer than ``TOP`` bytes."""
+    spark, paths = counts.sparkSession, []
     top = min(TOP, depth)
-    lower_schema = StructType.fromDDL("gram long, p binary, node long, zeros double, ones double, pw double")
-    lower_arrow = to_arrow_schema(lower_schema)
+    head_schema = StructType.fromDDL("node long, zeros double, ones double, pw double")
+    head_arrow = to_arrow_schema(head_schema)
     middle_schema = StructType.fromDDL("depth int, node long, p1 double, weight double, zeros double, ones double, pw double")
     middle_arrow = to_arrow_schema(middle_schema)
 
-    def lower_part(batches):
-        for gram, n in whole_groups(batches, ["gram", "n"]):
-            p, (node, zeros, ones, pw) = subtree(gram.astype(np.uint64), n, depth, top)
-            for i in range(0, len(gram), 1 << 16):
-                rows = np.ascontiguousarray(p[:, i:i + (1 << 16)].T)
-                places = np.arange(0, rows.nbytes + 1, 64, dtype=np.int32)
-                yield _batch(lower_arrow, len(rows), gram=gram[i:i + (1 << 16)], p=pa.Array.from_buffers(
-                    pa.binary(), len(rows), [None, pa.py_buffer(places), pa.py_buffer(rows)]))
-            for i in range(0, len(node), 1 << 16):
-                own = slice(i, i + (1 << 16))
-                yield _batch(lower_arrow, len(node[own]), node=node[own].astype(np.int64), zeros=zeros[own], ones=ones[own], pw=pw[own])
+    def heads_part(batches):
+        for gram, n in whole_groups(batches, top):
+            node, zeros, ones, pw = subtree(gram.astype(np.uint64), n, depth, top, only_heads=True)[1]
+            yield from _sliced(head_arrow, 1 << 16, node=node.astype(np.int64), zeros=zeros, ones=ones, pw=pw)
 
     def middle_part(batches):
-        for node, zeros, ones, pw in whole_groups(batches, ["node", "zeros", "ones", "pw"]):
+        for node, zeros, ones, pw in whole_groups(batches, 1):
             node = node.astype(np.uint64)
             for d in range(top - 1, 0, -1):
                 node, zeros, ones, below = group_by(parent(node, d + 1), zeros, ones, pw)
@@ -255,31 +266,93 @@ def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
                 yield _batch(middle_arrow, len(node), depth=np.full(len(node), d), node=node.astype(np.int64),
                              p1=(ones + 0.5) / (zeros + ones + 1), weight=weight, **needed)
 
-    lower = written(_dealt(grams, top, "gram", "n").mapInArrow(lower_part, lower_schema), "ctw-lower")
-    heads = lower.filter(F.col("node").isNotNull()).select("node", "zeros", "ones", "pw")
+    own = counts.filter("n > 0").select("gram", "n")
+    heads = own.repartition(context("gram", top)).sortWithinPartitions(context("gram", top)).mapInArrow(heads_part, head_schema)
     depths = []
     if top > 1:
-        middle = written(_dealt(heads, 1, "node", "zeros", "ones", "pw").mapInArrow(middle_part, middle_schema), "ctw-middle")
+        dealt = heads.repartition(context("node", 1)).sortWithinPartitions(context("node", 1))
+        middle = written(dealt.mapInArrow(middle_part, middle_schema), "ctw-middle", paths)
         for d in range(1, top):  # fewer than 256 ** (d + 1) nodes
             rows = middle.filter(F.col("depth") == d).select("node", "p1", "weight").sort("node").toArrow()
             depths.append((rows.column("node").to_numpy().astype(np.uint64),
                            *(rows.column(c).to_numpy() for c in ("p1", "weight"))))
         heads = middle.filter(F.col("depth") == 1)
     rows = heads.select("node", "zeros", "ones", "pw").toArrow()  # fewer than 256 * 256
+    for path in paths:
+        drop_path(spark, path)
     node, zeros, ones, below = group_by(parent(rows.column("node").to_numpy().astype(np.uint64), 1),
                                         *(rows.column(c).to_numpy() for c in ("zeros", "ones", "pw")))
     _, weight = weigh(log_kt(zeros, ones), below)
-    shared = spark.sparkContext.broadcast([(node, (ones + 0.5) / (zeros + ones + 1), weight), *depths])
+    return Top([(node, (ones + 0.5) / (zeros + ones + 1), weight), *depths])
 
-    def finish(batches):
+
+ASKED = "block long, place int, log10 double"
+
+
+def answers(counts: DataFrame, asked: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(block, place, log10) of the ``asked`` grams (block, place, gram), each among ``counts`` (gram,
+    n; 0: training has none).  Asked grams meet their group's counts in one shuffle, behind them in the sort
+    order, and stream past the weighed group: a group holds its counts in memory, never what is asked of it."""
+    top = min(TOP, depth)
+    shared = counts.sparkSession.sparkContext.broadcast(top_of(counts, depth).depths)
+    schema = StructType.fromDDL(ASKED)
+    arrow = to_arrow_schema(schema)
+
+    def part(batches):
         model = Top(shared.value)
+        held: list = []  # counts not weighed yet, and what their groups are asked
+        known = np.empty(0, np.int64), np.empty(0)
+
+        def weighed(rows):
+            gram = np.concatenate([r[0] for r in rows])
+            p, _ = subtree(gram.astype(np.uint64), np.concatenate([r[1] for r in rows]), depth, top)
+            order = np.argsort(gram)
+            return gram[order], model.log10(gram.astype(np.uint64), p)[order]
+
+        def answer(rows):
+            for gram, block, place in rows:
+                for i in range(0, len(gram), 1 << 16):
+                    own = slice(i, i + (1 << 16))
+                    yield _batch(arrow, len(gram[own]), block=block[own], place=place[own],
+                                 log10=known[1][np.searchsorted(known[0], gram[own])])
+
+        # Batches run count rows, asked rows, count rows ... by group; several groups are weighed at once.
+        fresh, waiting, open_group = [], [], None
         for batch in batches:
-            data, off = text_buffer(batch.column(1))
-            p = np.frombuffer(data.tobytes(), float).reshape(-1, 8).T
             gram = batch.column(0).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(model.log10(gram.astype(np.uint64), p))], ["gram", "log10"])
-
-    return lower.filter(F.col("gram").isNotNull()).select("gram", "p").mapInArrow(finish, "gram long, log10 double")
+            is_count = np.asarray(batch.column(1).is_valid())
+            if not len(gram):
+                continue
+            group = near(gram, top)
+            n = batch.column(1).fill_null(0).to_numpy()
+            block, place = (batch.column(c).fill_null(0).to_numpy() for c in (2, 3))
+            cut = int(np.searchsorted(group, group[-1]))  # where the batch's last group begins
+            for own, closes in ((slice(0, cut), True), (slice(cut, len(gram)), False)):
+                if group[own].size == 0:
+                    continue
+                if closes is False and open_group != group[-1] and sum(len(r[0]) for r in fresh) + sum(len(r[0]) for r in waiting) >= GROUP_ROWS:
+                    known = weighed(fresh)
+                    yield from answer(waiting)
+                    fresh, waiting = [], []
+                c = is_count[own]
+                fresh.append((gram[own][c], n[own][c]))
+                waiting.append((gram[own][~c], block[own][~c], place[own][~c]))
+            open_group = group[-1]
+            # A group asked so much that it fills the memory: its counts came first and are whole.
+            if not is_count[-1] and sum(len(r[0]) for r in waiting) >= 4 * GROUP_ROWS:
+                known = weighed(fresh)
+                yield from answer(waiting)
+                waiting = []
+                last = [(g[near(g, top) == open_group], m[near(g, top) == open_group]) for g, m in fresh]
+                fresh = last
+        if fresh:
+            known = weighed(fresh)
+            yield from answer(waiting)
+
+    rows = (counts.select("gram", "n", F.lit(None).cast("long").alias("block"), F.lit(None).cast("int").alias("place"))
+            .unionByName(asked.select("gram", F.lit(None).cast("long").alias("n"), "block", "place")))
+    group = context("gram", top)
+    return rows.repartition(group).sortWithinPartitions(group, F.col("n").isNull()).mapInArrow(part, schema)
 
 
 class Trained:
@@ -291,120 +364,143 @@ class Trained:
     def log10(self, grams: np.ndarray) -> np.ndarray:
         """log10 probability of each gram's symbol in its context."""
         spark = self.counts.sparkSession
-        asked = spark.createDataFrame([(g, 0) for g in sorted(set(grams.tolist()))], "gram long, n long")
-        found = gram_scores(self.counts.union(asked).groupBy("gram").agg(F.sum("n").alias("n")), self.depth)
-        of = {r["gram"]: r["log10"] for r in found.join(asked, "gram", "left_semi").collect()}
-        return np.array([of[g] for g in grams.tolist()])
+        asked = spark.createDataFrame([(0, i, int(g)) for i, g in enumerate(grams)], "block long, place int, gram long")
+        counts = self.counts.union(asked.selectExpr("gram", "0L")).groupBy("gram").agg(F.sum("n").alias("n"))
+        of = {r["place"]: r["log10"] for r in answers(counts, asked, self.depth).collect()}
+        return np.array([of[i] for i in range(len(grams))])
 
 
-def train(docs: DataFrame, depth: int = DEPTH, slots: int | None = None) -> Trained:
-    """The model of all texts of ``docs``.  It keeps every node; ``slots`` is not read."""
+def train(docs: DataFrame, depth: int = DEPTH) -> Trained:
+    """The model of all texts of ``docs``."""
     rows = _read_blocks(docs, F.lit(False), depth).filter(F.col("gram").isNotNull())
     return Trained(written(rows.groupBy("gram").agg(F.sum("n_train").alias("n")), "ctw-grams"), depth)
 
 
-BLOCK = "block long, doc_id {key}, held_out boolean, text binary, gram long, word binary, n_train long"
+BLOCK = "block long, texts binary, ends long, gram long, place int, word binary, n_train long"
 
 
 def _read_blocks(docs: DataFrame, held_out: Column, depth: int) -> DataFrame:
-    """For each block of documents: a row a document (its words joined by blanks), a row a
-    distinct gram and a row a distinct word (with its training count in the block)."""
-    key = docs.schema["doc_id"].dataType.simpleString()
-    schema = StructType.fromDDL(BLOCK.format(key=key))
+    """For each block of documents: a row for each piece of its documents (id, whether held out and words joined by
+    blanks, compressed) with its number of training documents, a row a distinct gram with its place in order, and a row a distinct
+    word, both with their training counts in the block."""
+    schema = StructType.fromDDL(BLOCK)
     arrow = to_arrow_schema(schema)
     texts_of(docs)  # bounds the batches
 
     def read(batches):
-        import uuid
         from collections import Counter
 
         import pandas as pd
+        from pyspark import TaskContext
 
-        def counted(block, keys, counts, words):
+        number = (TaskContext.get().partitionId() << 24) - 1
+
+        def counted(keys, counts, words):
             gram, n = merge(keys, counts)
-            for i in range(0, len(gram), 1 << 16):
-                own = slice(i, i + (1 << 16))
-                yield _batch(arrow, len(gram[own]), block=np.full(len(gram[own]), block), gram=gram[own].astype(np.int64), n_train=n[own])
-            distinct, n = list(words), list(words.values())
-            for i in range(0, len(distinct), 1 << 15):
-                own = slice(i, i + (1 << 15))
-                yield _batch(arrow, len(distinct[own]), block=np.full(len(distinct[own]), block), word=distinct[own], n_train=n[own])
+            yield from _sliced(arrow, 1 << 16, block=np.full(len(gram), number), gram=gram.astype(np.int64),
+                               place=np.arange(len(gram)), n_train=n)
+            yield from _sliced(arrow, 1 << 15, block=np.full(len(words), number), word=list(words), n_train=list(words.values()))
 
         keys: list = []
         for rows, raw, cut in blocks(batches, limit=PIECE):
             if not keys:
-                block, counts, words, size, fresh = uuid.uuid4().int >> 65, [], Counter(), 0, 0
-            held = np.array(rows.column(2).to_pylist(), bool)
-            data, off, split = normal(raw, cut)
-            grams, out = symbols(data, off, depth)
+                number += 1
+                counts, words, size, fresh = [], Counter(), 0, 0
+            kept = ~np.array(rows.column(2).to_pylist(), bool)
+            texts = normal(raw, cut)
+            grams, out = symbols(texts, depth)
             code, uniq = pd.factorize(grams)
             keys.append(uniq)
-            counts.append(np.bincount(code, np.repeat(~held, np.diff(out)), len(uniq)).astype(np.int64))
-            for w, h in zip(split, held):
-                words.update(dict.fromkeys(w, 0) if h else w)
-            yield _batch(arrow, len(split), block=np.full(len(split), block), doc_id=rows.column(0).cast(arrow.field("doc_id").type),
-                         held_out=held, text=[b" ".join(w) for w in split])
-            size, fresh = size + len(data), fresh + len(uniq)
+            counts.append(np.bincount(code, np.repeat(kept, np.diff(out)), len(uniq)).astype(np.int64))
+            distinct, token, at = words_of(texts)
+            n = np.bincount(token, np.repeat(kept, np.diff(at)), len(distinct)).astype(np.int64)
+            words.update(dict(zip(distinct, n.tolist())))
+            yield _batch(arrow, 1, block=[number], texts=[packed(rows.column(0), rows.column(2), texts)], ends=[int(kept.sum())])
+            size, fresh = size + len(raw), fresh + len(uniq)
             if size > BLOCK_TEXT:
-                yield from counted(block, keys, counts, words)
+                yield from counted(keys, counts, words)
                 keys = []
             elif fresh > MERGE_GRAMS:
                 gram, n = merge(keys, counts)
                 keys, counts, fresh = [gram], [n], 0
         if keys:
-            yield from counted(block, keys, counts, words)
+            yield from counted(keys, counts, words)
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
     return rows.mapInArrow(read, schema)
 
 
-def score(docs: DataFrame, held_out: Column, depth: int = DEPTH, slots: int | None = None, spare: int | None = None) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte.
-    Every node is kept; ``slots`` and ``spare`` are not read."""
+def packed(doc_id: pa.Array, held_out: pa.Array, texts: list[bytes]) -> bytes:
+    """Documents as one compressed Arrow stream."""
+    batch = pa.RecordBatch.from_arrays([doc_id, held_out, pa.array(texts, pa.binary())], ["doc_id", "held_out", "text"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def score(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte."""
+    spark, paths = docs.sparkSession, []
     docs = docs.select("doc_id", "text", held_out.alias("held_out"))
-    rows = written(_read_blocks(docs, F.col("held_out"), depth), "ctw-blocks", compression="zstd")
-    grams = rows.filter(F.col("gram").isNotNull()).select("block", "gram", "n_train")
+    rows = written(_read_blocks(docs, F.col("held_out"), depth), "ctw-blocks", paths, compression="zstd")
+    grams = rows.filter(F.col("gram").isNotNull())
     words = rows.filter(F.col("word").isNotNull()).select("block", "word", "n_train")
-    documents = rows.filter(F.col("text").isNotNull()).select("block", "doc_id", "held_out", "text")
-    counts = written(words.groupBy("word").agg(F.sum("n_train").alias("n")).filter("n > 0"), "ctw-words")
+    pieces = rows.filter(F.col("texts").isNotNull()).select("block", "texts", "ends")
+    counts = written(words.groupBy("word").agg(F.sum("n_train").alias("n")).filter("n > 0"), "ctw-words", paths)
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    ends = documents.filter(~F.col("held_out")).count()
+    ends = pieces.agg(F.coalesce(F.sum("ends"), F.lit(0))).first()[0]
     total, distinct = total + ends, distinct + (ends > 0)
     unit = math.log10(total + distinct + 1)
-    scores = gram_scores(grams.groupBy("gram").agg(F.sum("n_train").alias("n")), depth)
+    summed = written(grams.groupBy("gram").agg(F.sum("n_train").alias("n")), "ctw-grams", paths, compression="zstd")
+    scores = written(answers(summed, grams.select("block", "place", "gram"), depth), "ctw-answers", paths)
     none = F.lit(None)
-    known = (grams.join(scores, "gram").select(F.col("block").alias("of_block"), "gram", "log10", none.cast("binary").alias("word"), none.cast("long").alias("n"))
-             .union(words.join(counts, "word").select("block", none.cast("long"), none.cast("double"), "word", "n")))
+    known = (scores.select(F.col("block").alias("of_block"), "place", "log10", none.cast("binary").alias("word"), none.cast("long").alias("n"))
+             .union(words.join(counts, "word").select("block", none.cast("int"), none.cast("double"), "word", "n")))
 
     schema = StructType([docs.schema["doc_id"], *StructType.fromDDL(
         "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
         "bits_per_byte double").fields])
     arrow = to_arrow_schema(schema)
 
-    def finish(docs_of_block, known_of_block):
+    def finish(texts_of_block, known_of_block):
         import pandas as pd
         import pyarrow.compute as pc
 
-        scored = known_of_block.filter(pc.is_valid(known_of_block.column("gram")))
-        gram, log10 = scored.column("gram").to_numpy().astype(np.uint64), scored.column("log10").to_numpy()
-        order = np.argsort(gram)
-        gram, log10 = gram[order], log10[order]
+        scored = known_of_block.filter(pc.is_valid(known_of_block.column("place")))
+        place, log10 = scored.column("place").to_numpy(), scored.column("log10").to_numpy()
+        of_place = np.empty(len(place))
+        of_place[place] = log10
         counted = known_of_block.filter(pc.is_valid(known_of_block.column("word")))
-        n_of = dict(zip(counted.column("word").to_pylist(), counted.column("n").to_pylist()))
+        known_words, known_n = counted.column("word").combine_chunks(), counted.column("n").to_numpy()
+        streams = [pa.ipc.open_stream(t).read_next_batch() for t in texts_of_block.column("texts").to_pylist()]
+        # The block's grams, in the order that numbered them.
+        coded = []
+        for batch in streams:
+            code, uniq = pd.factorize(symbols(batch.column("text").to_pylist(), depth)[0])
+            coded.append((code.astype(np.int32), uniq))
+        order = np.unique(np.concatenate([u for _, u in coded]))
         out = []
-        for rows, data, off in blocks(docs_of_block.select(["doc_id", "text", "held_out"]).to_batches(), limit=PIECE):
-            of_text, cut = symbols(data, off, depth)
-            code, uniq = pd.factorize(of_text)
-            total_at = np.concatenate(([0.0], np.cumsum(log10[np.searchsorted(gram, uniq)][code])))
-            own = total_at[cut[1:]] - total_at[cut[:-1]]
-            for i, (doc_id, text, held) in enumerate(zip(*(rows.column(c).to_pylist() for c in range(3)))):
-                n = np.array([*(n_of.get(w, 0) for w in text.split()), ends], np.int64)
-                out.append({"doc_id": doc_id, "held_out": held, "n_tokens": len(n), "n_known": int((n > 0).sum()),
-                            "train_tokens": total, "base_score": float(np.log10(n + 1).sum() - len(n) * unit),
-                            "score": float(own[i]), "bits_per_byte": -float(own[i]) * math.log2(10) / max(len(text), 1)})
-        return pa.Table.from_pylist(out, schema=arrow)
-
-    return documents.groupBy("block").cogroup(known.groupBy("of_block")).applyInArrow(finish, schema)
+        for batch, (code, uniq) in zip(streams, coded):
+            texts = batch.column("text").to_pylist()
+            size = np.array([len(t) for t in texts], np.int64)
+            own = np.add.reduceat(of_place[np.searchsorted(order, uniq)][code], np.concatenate(([0], np.cumsum(size + 1)))[:-1])
+            distinct, token, at = words_of(texts)
+            found = pc.index_in(pa.array(distinct, pa.binary()), value_set=known_words)
+            n = np.where(np.asarray(found.is_valid()), known_n[found.fill_null(0).to_numpy()], 0) if len(known_n) else np.zeros(len(distinct), np.int64)
+            tokens = np.diff(at)
+            summed_at = lambda v: np.diff(np.concatenate(([0], np.cumsum(v[token])))[at])
+            out.append(pa.RecordBatch.from_arrays([
+                batch.column("doc_id").cast(arrow.field(0).type), batch.column("held_out"), pa.array(tokens + 1),
+                pa.array(summed_at((n > 0).astype(np.int64)) + (ends > 0)), pa.array(np.full(len(texts), total)),
+                pa.array(summed_at(np.log10(n + 1)) + math.log10(ends + 1) - (tokens + 1) * unit), pa.array(own),
+                pa.array(-own * math.log2(10) / np.maximum(size, 1))], schema=arrow))
+        return pa.Table.from_batches(out, schema=arrow)
+
+    done = written(pieces.select("block", "texts").groupBy("block").cogroup(known.groupBy("of_block")).applyInArrow(finish, schema), "ctw-scores")
+    for path in paths:
+        drop_path(spark, path)
+    return done
 
 
 def op7_ctw_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
