@@ -35,6 +35,7 @@ by itself.  Only doc_id and text are read.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -81,23 +82,16 @@ def symbols(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndar
     return np.concatenate(parts) if parts else grams[:0], out
 
 
-def words_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Distinct words, the word of each token as its place among them, and each text's offset
-    among the tokens (without the ends)."""
-    import pyarrow.compute as pc
-
-    split = pc.split_pattern(pa.array(texts, pa.large_binary()), " ")
-    size = np.where([not t for t in texts], 0, pc.list_value_length(split).to_numpy()) if texts else np.zeros(0, np.int64)
-    flat = pc.list_flatten(split)
-    if (size == 0).any():  # the empty text splits into one empty word
-        flat = flat.filter(pc.greater(pc.binary_length(flat), 0))
-    coded = flat.dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.concatenate(([0], np.cumsum(size)))
+def counted_grams(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams in order and how often each occurs."""
+    grams = np.sort(grams)
+    first = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1]))) if len(grams) else np.empty(0, np.int64)
+    return grams[first], np.diff(np.append(first, len(grams)))
 
 
 def merge(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
     k, n = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(k, kind="stable")
+    order = np.argsort(k)
     k, n = k[order], n[order]
     first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.empty(0, np.int64)
     return k[first], np.add.reduceat(n, first) if len(first) else n
@@ -390,7 +384,6 @@ def _read_blocks(docs: DataFrame, held_out: Column, depth: int) -> DataFrame:
     def read(batches):
         from collections import Counter
 
-        import pandas as pd
         from pyspark import TaskContext
 
         number = (TaskContext.get().partitionId() << 24) - 1
@@ -408,15 +401,17 @@ def _read_blocks(docs: DataFrame, held_out: Column, depth: int) -> DataFrame:
                 counts, words, size, fresh = [], Counter(), 0, 0
             kept = ~np.array(rows.column(2).to_pylist(), bool)
             texts = normal(raw, cut)
-            grams, out = symbols(texts, depth)
-            code, uniq = pd.factorize(grams)
-            keys.append(uniq)
-            counts.append(np.bincount(code, np.repeat(kept, np.diff(out)), len(uniq)).astype(np.int64))
-            distinct, token, at = words_of(texts)
-            n = np.bincount(token, np.repeat(kept, np.diff(at)), len(distinct)).astype(np.int64)
-            words.update(dict(zip(distinct, n.tolist())))
+            for training in (True, False):
+                own = [t for t, k in zip(texts, kept.tolist()) if k == training]
+                if own:
+                    uniq, n = counted_grams(symbols(own, depth)[0])
+                    keys.append(uniq)
+                    counts.append(n if training else np.zeros_like(n))
+                    fresh += len(uniq)
+                    for t in own:
+                        words.update(t.split() if training else dict.fromkeys(t.split(), 0))
             yield _batch(arrow, 1, block=[number], texts=[packed(rows.column(0), rows.column(2), texts)], ends=[int(kept.sum())])
-            size, fresh = size + len(raw), fresh + len(uniq)
+            size += len(raw)
             if size > BLOCK_TEXT:
                 yield from counted(keys, counts, words)
                 keys = []
@@ -454,6 +449,7 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
     unit = math.log10(total + distinct + 1)
     summed = written(grams.groupBy("gram").agg(F.sum("n_train").alias("n")), "ctw-grams", paths, compression="zstd")
     scores = written(answers(summed, grams.select("block", "place", "gram"), depth), "ctw-answers", paths)
+    drop_path(spark, paths.pop(-2))  # the summed grams
     none = F.lit(None)
     known = (scores.select(F.col("block").alias("of_block"), "place", "log10", none.cast("binary").alias("word"), none.cast("long").alias("n"))
              .union(words.join(counts, "word").select("block", none.cast("int"), none.cast("double"), "word", "n")))
@@ -472,29 +468,32 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
         of_place = np.empty(len(place))
         of_place[place] = log10
         counted = known_of_block.filter(pc.is_valid(known_of_block.column("word")))
-        known_words, known_n = counted.column("word").combine_chunks(), counted.column("n").to_numpy()
-        streams = [pa.ipc.open_stream(t).read_next_batch() for t in texts_of_block.column("texts").to_pylist()]
+        n_of = dict(zip(counted.column("word").to_pylist(), counted.column("n").to_pylist()))
+        streams = texts_of_block.column("texts").to_pylist()
+        of_piece = lambda t: pa.ipc.open_stream(t).read_next_batch()
         # The block's grams, in the order that numbered them.
-        coded = []
-        for batch in streams:
-            code, uniq = pd.factorize(symbols(batch.column("text").to_pylist(), depth)[0])
-            coded.append((code.astype(np.int32), uniq))
-        order = np.unique(np.concatenate([u for _, u in coded]))
+        found: list = []
+        for t in streams:
+            found.append(counted_grams(symbols(of_piece(t).column("text").to_pylist(), depth)[0])[0])
+            if sum(map(len, found[1:])) > MERGE_GRAMS:
+                found = [counted_grams(np.concatenate(found))[0]]
+        order = counted_grams(np.concatenate(found))[0]
         out = []
-        for batch, (code, uniq) in zip(streams, coded):
+        for batch in map(of_piece, streams):
             texts = batch.column("text").to_pylist()
             size = np.array([len(t) for t in texts], np.int64)
+            code, uniq = pd.factorize(symbols(texts, depth)[0])
             own = np.add.reduceat(of_place[np.searchsorted(order, uniq)][code], np.concatenate(([0], np.cumsum(size + 1)))[:-1])
-            distinct, token, at = words_of(texts)
-            found = pc.index_in(pa.array(distinct, pa.binary()), value_set=known_words)
-            n = np.where(np.asarray(found.is_valid()), known_n[found.fill_null(0).to_numpy()], 0) if len(known_n) else np.zeros(len(distinct), np.int64)
-            tokens = np.diff(at)
-            summed_at = lambda v: np.diff(np.concatenate(([0], np.cumsum(v[token])))[at])
+            tokens, known_tokens, base = [], [], []
+            for t in texts:
+                n = np.array([*map(n_of.get, t.split(), itertools.repeat(0)), ends], np.int64)
+                tokens.append(len(n))
+                known_tokens.append(int((n > 0).sum()))
+                base.append(float(np.log10(n + 1).sum()) - len(n) * unit)
             out.append(pa.RecordBatch.from_arrays([
-                batch.column("doc_id").cast(arrow.field(0).type), batch.column("held_out"), pa.array(tokens + 1),
-                pa.array(summed_at((n > 0).astype(np.int64)) + (ends > 0)), pa.array(np.full(len(texts), total)),
-                pa.array(summed_at(np.log10(n + 1)) + math.log10(ends + 1) - (tokens + 1) * unit), pa.array(own),
-                pa.array(-own * math.log2(10) / np.maximum(size, 1))], schema=arrow))
+                batch.column("doc_id").cast(arrow.field(0).type), batch.column("held_out"), pa.array(tokens, pa.int64()),
+                pa.array(known_tokens, pa.int64()), pa.array(np.full(len(texts), total)), pa.array(base, pa.float64()),
+                pa.array(own), pa.array(-own * math.log2(10) / np.maximum(size, 1))], schema=arrow))
         return pa.Table.from_batches(out, schema=arrow)
 
     done = written(pieces.select("block", "texts").groupBy("block").cogroup(known.groupBy("of_block")).applyInArrow(finish, schema), "ctw-scores")
