@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tierline.llm.common import blocks, drop_path, hash_mod, table, texts_of, written
+from tierline.llm.common import blocks, drop_path, hash_mod, scratch, table, texts_of, written
 
 DEPTH = 5
 #: Bytes of context that deal the nodes into groups.
@@ -280,11 +280,27 @@ def top_of(counts: DataFrame, depth: int = DEPTH) -> Top:
     return Top([(node, (ones + 0.5) / (zeros + ones + 1), weight), *depths])
 
 
-ASKED = "block long, place int, log10 double"
+def bundled(block: np.ndarray, place: np.ndarray, log10: np.ndarray) -> tuple[np.ndarray, list[bytes], list[bytes]]:
+    """For each block the places, as compressed steps, and their values, as doubles."""
+    order = np.lexsort((place, block))
+    block, place, log10 = block[order], place[order], log10[order]
+    start = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
+    cuts = list(zip(start.tolist(), [*start[1:].tolist(), len(block)]))
+    steps = [np.diff(place[a:b], prepend=0).astype(np.int32).tobytes() for a, b in cuts]
+    return block[start], [pa.compress(x, codec="zstd", asbytes=True) for x in steps], [log10[a:b].tobytes() for a, b in cuts]
+
+
+def unbundled(places: list[bytes], values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    steps = [np.frombuffer(pa.decompress(p, decompressed_size=len(v) // 2, codec="zstd", asbytes=True), np.int32)
+             for p, v in zip(places, values)]
+    return np.concatenate([np.cumsum(x) for x in steps]), np.frombuffer(b"".join(values))
+
+
+ASKED = "block long, places binary, log10 binary"
 
 
 def answers(counts: DataFrame, asked: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(block, place, log10) of the ``asked`` grams (block, place, gram), each among ``counts`` (gram,
+    """(block, places, log10), bundles of the ``asked`` grams (block, place, gram), each among ``counts`` (gram,
     n; 0: training has none).  Asked grams meet their group's counts in one shuffle, behind them in the sort
     order, and stream past the weighed group: a group holds its counts in memory, never what is asked of it."""
     top = min(TOP, depth)
@@ -304,11 +320,12 @@ def answers(counts: DataFrame, asked: DataFrame, depth: int = DEPTH) -> DataFram
             return gram[order], model.log10(gram.astype(np.uint64), p)[order]
 
         def answer(rows):
-            for gram, block, place in rows:
-                for i in range(0, len(gram), 1 << 16):
-                    own = slice(i, i + (1 << 16))
-                    yield _batch(arrow, len(gram[own]), block=block[own], place=place[own],
-                                 log10=known[1][np.searchsorted(known[0], gram[own])])
+            gram, block, place = (np.concatenate([r[c] for r in rows]) for c in range(3))
+            if len(gram):
+                order = np.argsort(gram)  # sorted needles are found faster
+                value = known[1][np.searchsorted(known[0], gram[order])]
+                of, places, values = bundled(block[order], place[order], value)
+                yield from _sliced(arrow, 1 << 12, block=of, places=places, log10=values)
 
         # Batches run count rows, asked rows, count rows ... by group; several groups are weighed at once.
         fresh, waiting, open_group = [], [], None
@@ -360,17 +377,19 @@ class Trained:
         spark = self.counts.sparkSession
         asked = spark.createDataFrame([(0, i, int(g)) for i, g in enumerate(grams)], "block long, place int, gram long")
         counts = self.counts.union(asked.selectExpr("gram", "0L")).groupBy("gram").agg(F.sum("n").alias("n"))
-        of = {r["place"]: r["log10"] for r in answers(counts, asked, self.depth).collect()}
-        return np.array([of[i] for i in range(len(grams))])
+        rows = answers(counts, asked, self.depth).collect()
+        place, value = unbundled([r["places"] for r in rows], [r["log10"] for r in rows])
+        return value[np.argsort(place)]
 
 
 def train(docs: DataFrame, depth: int = DEPTH) -> Trained:
     """The model of all texts of ``docs``."""
-    rows = _read_blocks(docs, F.lit(False), depth).filter(F.col("gram").isNotNull())
+    rows = _read_blocks(docs, F.lit(False), depth).filter(F.col("kind") == GRAM)
     return Trained(written(rows.groupBy("gram").agg(F.sum("n_train").alias("n")), "ctw-grams"), depth)
 
 
-BLOCK = "block long, texts binary, ends long, gram long, place int, word binary, n_train long"
+TEXT, GRAM, WORD = range(3)
+BLOCK = "kind int, block long, texts binary, ends long, gram long, place int, word binary, n_train long"
 
 
 def _read_blocks(docs: DataFrame, held_out: Column, depth: int) -> DataFrame:
@@ -390,9 +409,9 @@ def _read_blocks(docs: DataFrame, held_out: Column, depth: int) -> DataFrame:
 
         def counted(keys, counts, words):
             gram, n = merge(keys, counts)
-            yield from _sliced(arrow, 1 << 16, block=np.full(len(gram), number), gram=gram.astype(np.int64),
+            yield from _sliced(arrow, 1 << 16, kind=np.full(len(gram), GRAM), block=np.full(len(gram), number), gram=gram.astype(np.int64),
                                place=np.arange(len(gram)), n_train=n)
-            yield from _sliced(arrow, 1 << 15, block=np.full(len(words), number), word=list(words), n_train=list(words.values()))
+            yield from _sliced(arrow, 1 << 15, kind=np.full(len(words), WORD), block=np.full(len(words), number), word=list(words), n_train=list(words.values()))
 
         keys: list = []
         for rows, raw, cut in blocks(batches, limit=PIECE):
@@ -410,7 +429,7 @@ def _read_blocks(docs: DataFrame, held_out: Column, depth: int) -> DataFrame:
                     fresh += len(uniq)
                     for t in own:
                         words.update(t.split() if training else dict.fromkeys(t.split(), 0))
-            yield _batch(arrow, 1, block=[number], texts=[packed(rows.column(0), rows.column(2), texts)], ends=[int(kept.sum())])
+            yield _batch(arrow, 1, kind=[TEXT], block=[number], texts=[packed(rows.column(0), rows.column(2), texts)], ends=[int(kept.sum())])
             size += len(raw)
             if size > BLOCK_TEXT:
                 yield from counted(keys, counts, words)
@@ -425,11 +444,25 @@ def _read_blocks(docs: DataFrame, held_out: Column, depth: int) -> DataFrame:
     return rows.mapInArrow(read, schema)
 
 
+def _written_by_kind(rows: DataFrame) -> tuple[DataFrame, str]:
+    """The block rows in one folder a kind, so that one kind can be deleted before the others."""
+    spark, path = rows.sparkSession, scratch(rows.sparkSession, "ctw-blocks")
+    # A file a kind is open at once, so that rows need no sort before they are written.
+    writers = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(writers)
+    spark.conf.set(writers, "3")
+    try:
+        rows.write.partitionBy("kind").parquet(path, compression="zstd")
+    finally:
+        spark.conf.set(writers, before)
+    return spark.read.schema(rows.schema).option("basePath", path).parquet(path), path
+
+
 def packed(doc_id: pa.Array, held_out: pa.Array, texts: list[bytes]) -> bytes:
     """Documents as one compressed Arrow stream."""
     batch = pa.RecordBatch.from_arrays([doc_id, held_out, pa.array(texts, pa.binary())], ["doc_id", "held_out", "text"])
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -438,10 +471,11 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte."""
     spark, paths = docs.sparkSession, []
     docs = docs.select("doc_id", "text", held_out.alias("held_out"))
-    rows = written(_read_blocks(docs, F.col("held_out"), depth), "ctw-blocks", paths, compression="zstd")
-    grams = rows.filter(F.col("gram").isNotNull())
-    words = rows.filter(F.col("word").isNotNull()).select("block", "word", "n_train")
-    pieces = rows.filter(F.col("texts").isNotNull()).select("block", "texts", "ends")
+    rows, folder = _written_by_kind(_read_blocks(docs, F.col("held_out"), depth))
+    paths.append(folder)
+    grams = rows.filter(F.col("kind") == GRAM)
+    words = rows.filter(F.col("kind") == WORD).select("block", "word", "n_train")
+    pieces = rows.filter(F.col("kind") == TEXT).select("block", "texts", "ends")
     counts = written(words.groupBy("word").agg(F.sum("n_train").alias("n")).filter("n > 0"), "ctw-words", paths)
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     ends = pieces.agg(F.coalesce(F.sum("ends"), F.lit(0))).first()[0]
@@ -450,9 +484,10 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
     summed = written(grams.groupBy("gram").agg(F.sum("n_train").alias("n")), "ctw-grams", paths, compression="zstd")
     scores = written(answers(summed, grams.select("block", "place", "gram"), depth), "ctw-answers", paths)
     drop_path(spark, paths.pop(-2))  # the summed grams
+    drop_path(spark, f"{folder}/kind={GRAM}")
     none = F.lit(None)
-    known = (scores.select(F.col("block").alias("of_block"), "place", "log10", none.cast("binary").alias("word"), none.cast("long").alias("n"))
-             .union(words.join(counts, "word").select("block", none.cast("int"), none.cast("double"), "word", "n")))
+    known = (scores.select(F.col("block").alias("of_block"), "places", "log10", none.cast("binary").alias("word"), none.cast("long").alias("n"))
+             .union(words.join(counts, "word").select("block", none.cast("binary"), none.cast("binary"), "word", "n")))
 
     schema = StructType([docs.schema["doc_id"], *StructType.fromDDL(
         "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
@@ -463,8 +498,8 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
         import pandas as pd
         import pyarrow.compute as pc
 
-        scored = known_of_block.filter(pc.is_valid(known_of_block.column("place")))
-        place, log10 = scored.column("place").to_numpy(), scored.column("log10").to_numpy()
+        scored = known_of_block.filter(pc.is_valid(known_of_block.column("places")))
+        place, log10 = unbundled(scored.column("places").to_pylist(), scored.column("log10").to_pylist())
         of_place = np.empty(len(place))
         of_place[place] = log10
         counted = known_of_block.filter(pc.is_valid(known_of_block.column("word")))
@@ -483,13 +518,17 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
             texts = batch.column("text").to_pylist()
             size = np.array([len(t) for t in texts], np.int64)
             code, uniq = pd.factorize(symbols(texts, depth)[0])
-            own = np.add.reduceat(of_place[np.searchsorted(order, uniq)][code], np.concatenate(([0], np.cumsum(size + 1)))[:-1])
-            tokens, known_tokens, base = [], [], []
-            for t in texts:
-                n = np.array([*map(n_of.get, t.split(), itertools.repeat(0)), ends], np.int64)
-                tokens.append(len(n))
-                known_tokens.append(int((n > 0).sum()))
-                base.append(float(np.log10(n + 1).sum()) - len(n) * unit)
+            by = np.argsort(uniq)
+            value = np.empty(len(uniq))
+            value[by] = of_place[np.searchsorted(order, uniq[by])]
+            own = np.add.reduceat(value[code], np.concatenate(([0], np.cumsum(size + 1)))[:-1])
+            split = [t.split() for t in texts]
+            tokens = np.array([len(x) + 1 for x in split])
+            n = np.fromiter(itertools.chain.from_iterable(itertools.chain(map(n_of.get, x, itertools.repeat(0)), (ends,)) for x in split),
+                            np.int64, int(tokens.sum()))
+            at = np.concatenate(([0], np.cumsum(tokens)))[:-1]
+            known_tokens = np.add.reduceat((n > 0).astype(np.int64), at)
+            base = np.add.reduceat(np.log10(n + 1), at) - tokens * unit
             out.append(pa.RecordBatch.from_arrays([
                 batch.column("doc_id").cast(arrow.field(0).type), batch.column("held_out"), pa.array(tokens, pa.int64()),
                 pa.array(known_tokens, pa.int64()), pa.array(np.full(len(texts), total)), pa.array(base, pa.float64()),
