@@ -7,17 +7,19 @@ in-memory input.  Parameters are fixed per query and cover the whole data range.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.operators import bitmaps, envelopes, gold, quality, reports, silver, sql_reports
+from tierline.operators import bitmaps, envelopes, gold, quality, reports, silver, sql_functions, sql_reports, variants
 from tierline.plans import order_lines
 from tierline.plans.incremental import read_commit
-from tierline.plans.landing import refreshed_store
+from tierline.plans.landing import refreshed_store, replayed_letters, replayed_records
 from tierline.schemas import BRONZE_EVENTS
 from tierline.sources import fixtures as fx
+from tierline.sources import topic_log
 from tierline.sources.topics import to_topic_records
 from tierline.streaming import ingest
 
@@ -73,6 +75,16 @@ def _tables(s, d):
             "daily_kpis": gold.daily_kpis(clean), "customer_360": gold.customer_360(clean, orders, AS_OF)}
 
 
+def _from_function(name: str, arguments: str):
+    """All rows of a report's table function over the tier frames."""
+    def run(s, d):
+        prefix = f"report_{hashlib.md5(d.encode()).hexdigest()[:8]}_"
+        needed = sql_reports.NEEDS[name]
+        sql_functions.register(s, {t: df for t, df in _tables(s, d).items() if t in needed}, prefix)
+        return s.sql(f"SELECT * FROM {prefix}{name}({arguments})")
+    return run
+
+
 def _read_back(records: DataFrame) -> DataFrame:
     """Topic records with the fields of their JSON value read back, and how many it has."""
     fields = [F.get_json_object("value", f"$.{c}").alias(c) for c in BRONZE_EVENTS.names if c != "timestamp"]
@@ -110,10 +122,12 @@ QUERIES: dict[str, Query] = {
     "stream_ingest_events": lambda s, d: ingest.good_events(ingest.validate_events(_decoded(s, d))),
     "stream_ingest_orders": lambda s, d: ingest.good_orders(ingest.validate_orders_raw(_decoded(s, d))),
     "ingest_dead_letter": lambda s, d: _errors_text(ingest.dead_letters(_decoded(s, d))),
+    "dead_letter_replay": replayed_letters,
     "ingest_defaults": lambda s, d: (ingest.validate_events(_decoded(s, d))
                                      .filter((F.size("errors") == 0) & (F.size("defaults") > 0))
                                      .select("topic", "partition", "offset", "event_id",
                                              F.array_join("defaults", ",").alias("defaults"))),
+    "topic_log_records": lambda s, d: topic_log.summary(replayed_records(s, d)),
     "to_topic_records": lambda s, d: _read_back(to_topic_records(
         _bronze_events(s, d), fx.EVENTS_TOPIC, key="event_id", json_columns=("metadata",))),
     # refined events
@@ -159,6 +173,12 @@ QUERIES: dict[str, Query] = {
                                                          date_to=RANGE_TO),
     "report_anomaly_events_sql": lambda s, d: sql_reports.report(s, "anomaly", _tables(s, d), metric="events",
                                                                  lookback_days=LOOKBACK_DAYS, as_of=AS_OF),
+    # and as SQL table functions
+    "report_dau_function": _from_function("dau", f"DATE '{RANGE_FROM}', DATE '{RANGE_TO}'"),
+    "report_top_products_function": _from_function("top_products", f"{TOP_N}"),
+    "report_user_segments_function": _from_function("segments", ""),
+    "report_funnel_function": _from_function("funnel", f"DATE '{RANGE_FROM}', DATE '{RANGE_TO}'"),
+    "report_anomaly_events_function": _from_function("anomaly", f"'events', DATE '{AS_OF}', {LOOKBACK_DAYS}"),
     # envelopes, as flat rows (place in the envelope, row, totals and parameters)
     "envelope_dau": lambda s, d: envelopes.flat(envelopes.envelope_dau(
         reports.report_dau(_kpis(s, d), RANGE_FROM, RANGE_TO), RANGE_FROM, RANGE_TO), "data"),
@@ -183,6 +203,10 @@ QUERIES: dict[str, Query] = {
         _bitmaps(s, d), refreshed_store(s, d).read(s, "gold", "daily_kpis"), RANGE_FROM, RANGE_TO),
     "report_top_products_bucketed": _products_bucketed(False),
     "report_top_products_deduped_bucketed": _products_bucketed(True),
+    # metadata paths of the stored Variant column
+    "metadata_variant_paths": lambda s, d: variants.metadata_paths(
+        refreshed_store(s, d).read(s, "silver", "event_variants"),
+        {"k": ("$.k", "long"), "section": ("$.page.section", "string")}),
     # data quality
     "source_freshness": lambda s, d: quality.source_freshness(_bronze_events(s, d), _bronze_orders(s, d), AS_OF),
     "silver_quality": lambda s, d: quality.silver_quality(_clean(s, d), _orders(s, d)),

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from tierline.plans.refresh import run_refresh
 from tierline.session import ensure_checkpoint_dir
 from tierline.sources import fixtures as fx
+from tierline.sources import topic_log
 from tierline.sources.tables import TierStore
-from tierline.streaming import ingest
+from tierline.streaming import ingest, replay
 
 BATCHES = 3
 _STORES: dict[tuple[str, str], TierStore] = {}
@@ -52,7 +53,7 @@ def refreshed_store(spark: SparkSession, sf_dir: str) -> TierStore:
     for a session and a source folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORES:
-        store = scratch_store(spark, buckets=16)
+        store = scratch_store(spark, buckets=16, variants=True)
         store.bootstrap(spark)
         staged = [df.repartition("landed_in").sortWithinPartitions("landed_in") for df in raw_copies(spark, sf_dir)]
         folder = f"{store.root}/_landing"
@@ -64,3 +65,43 @@ def refreshed_store(spark: SparkSession, sf_dir: str) -> TierStore:
             run_refresh(spark, store, fx.FIXTURE_AS_OF, steps=("silver", "quality", "gold"), incremental=True)
         _STORES[key] = store
     return _STORES[key]
+
+
+def replayed_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture's dead letters after a replay in which the events with broken metadata are corrected, run
+    twice: what the second finds open stays open."""
+    store = scratch_store(spark)
+    store.bootstrap(spark)
+    letters = ingest.dead_letters(ingest.decode(fx.topic_messages(spark, sf_dir)))
+    for batch in range(2):  # two queries have stored the same letters
+        store.land(letters.withColumn("ingest_date", F.lit(fx.FIXTURE_AS_OF).cast("date")), "dead_letter", "fixture", batch)
+    broken = store.read(spark, "bronze", "dead_letter").filter(F.col("value").endswith('"metadata":not json}'))
+    fixed = broken.select(*replay.KEY, F.expr("""replace(value, '"metadata":not json}', '"metadata":{}}')""").alias("value"))
+    for _ in range(2):
+        replay.replay(spark, store, fixed)
+    return replay.status(spark, store).select(*replay.KEY, F.array_join("errors", "; ").alias("errors"),
+                                              F.col("replay").cast("int").alias("replay"))
+
+
+_LOGS: dict[tuple[str, str], str] = {}
+
+
+def replayed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture's topic records after a stream has read them from a topic log that grew in
+    ``BATCHES`` pieces, restarted after each; made once for a session and a source folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOGS:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/topics-{uuid.uuid4().hex}"
+        log, checkpoint, out = (f"{root}/{name}" for name in ("log", "checkpoint", "out"))
+        records = fx.topic_messages(spark, sf_dir)
+        records.write.parquet(f"{root}/records")
+        records = spark.read.schema(records.schema).parquet(f"{root}/records")
+        last = records.agg(F.max("offset")).first()[0] or 0
+        for piece in range(BATCHES):  # a topic partition's log grows at its end
+            bounds = [last * p // BATCHES for p in (piece, piece + 1)]
+            own = (F.col("offset") >= bounds[0]) & ((F.col("offset") < bounds[1]) | F.lit(piece == BATCHES - 1))
+            topic_log.append(records.filter(own), log)
+            (topic_log.read_stream(spark, log, checkpoint).writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
+        _LOGS[key] = out
+    return spark.read.schema(topic_log.SCHEMA).parquet(_LOGS[key])

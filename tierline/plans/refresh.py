@@ -21,7 +21,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.operators import gold, quality
+from tierline.operators import gold, quality, variants
 from tierline.plans import incremental as inc
 from tierline.plans import order_lines
 from tierline.sources.tables import TierStore
@@ -107,6 +107,11 @@ def run_refresh(spark: SparkSession, store: TierStore, as_of: datetime | str,
             store.write(gold.daily_kpis(clean), "gold", "daily_kpis")
         commit = inc.read_commit(spark, store)
         inc.refresh_bitmaps(spark, store, commit, days if incremental and commit.full and commit.seq > commit.full else None)
+        if store.variants:
+            if incremental:
+                store.replace_days(variants.event_variants(clean.filter(inc.on_periods("event_day", days))), "silver", "event_variants", days)
+            else:
+                store.write(variants.event_variants(clean), "silver", "event_variants")
         state = inc.refresh_customers(spark, store, commit)
         store.write(gold.profile(state, as_of), "gold", "customer_360")
         result.written += ["gold.daily_kpis", "gold.customer_360"]

@@ -41,6 +41,12 @@ CUSTOMER_360 = _struct(("user_id", S), ("first_seen", TS), ("last_seen", TS),
 INGEST_STATS = _struct(("source_name", S), ("rows", T.LongType()), ("dead_letters", T.LongType()),
                       ("latest_at", TS))
 
+# Dead letters that a replay has landed since.
+REPLAYED = _struct(("topic", S), ("partition", T.IntegerType()), ("offset", T.LongType()))
+
+# Metadata of refined events, parsed (optional, see ``TierStore.variants``).
+EVENT_VARIANTS = _struct(("event_id", S), ("event_type", S), ("event_timestamp", TS), ("metadata_variant", T.VariantType()))
+
 # What the refreshes have finished: rows (what, run, number); see ``plans.incremental``.
 REFINE_COMMITS = _struct(("what", S), ("run", S), ("number", T.LongType()))
 # Periods that a refinement is about to rewrite, and days whose KPIs wait for the aggregate tier.
@@ -65,6 +71,7 @@ TABLES = {
     ("bronze", "events"): BRONZE_EVENTS,
     ("bronze", "orders"): BRONZE_ORDERS,
     ("bronze", "dead_letter"): DEAD_LETTER,
+    ("bronze", "replayed"): REPLAYED,
     ("silver", "clean_events"): CLEAN_EVENTS,
     ("silver", "validate_orders"): VALIDATED_ORDERS,
     ("silver", "event_winners"): BRONZE_EVENTS,
@@ -79,3 +86,5 @@ TABLES = {
     ("silver", "user_numbers"): USER_NUMBERS,
     ("gold", "user_bitmaps"): USER_BITMAPS,
 }
+#: Tables that a store has only when asked for (Parquet alone stores a Variant).
+OPTIONAL = {("silver", "event_variants"): EVENT_VARIANTS}

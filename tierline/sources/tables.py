@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.schemas import TABLES
+from tierline.schemas import OPTIONAL, TABLES
 
 # Partition columns that are no column of the record (raw tables: which batch landed the row;
 # refined tables: the day or month, so that an incremental refresh replaces only those touched).
@@ -30,6 +30,8 @@ PARTITIONING: dict[tuple[str, str], dict[str, T.DataType]] = {
     ("bronze", "events"): LANDED,
     ("bronze", "orders"): LANDED,
     ("bronze", "dead_letter"): LANDED,
+    ("bronze", "replayed"): {"run": T.StringType(), "batch_id": T.LongType()},
+    ("silver", "event_variants"): {"event_day": T.DateType()},
     ("bronze", "ingest_stats"): {"run": T.StringType(), "batch_id": T.LongType()},
     ("silver", "clean_events"): {"event_day": T.DateType()},
     ("silver", "validate_orders"): {"created_month": T.DateType()},
@@ -41,7 +43,8 @@ PARTITIONING: dict[tuple[str, str], dict[str, T.DataType]] = {
     ("gold", "user_bitmaps"): {"event_date": T.DateType()},
 }
 # Time column and period of the partitions of refined tables (events are many, orders few).
-PERIODS = {("silver", "clean_events"): ("event_timestamp", "day"), ("silver", "validate_orders"): ("created_at", "month")}
+PERIODS = {("silver", "clean_events"): ("event_timestamp", "day"), ("silver", "event_variants"): ("event_timestamp", "day"),
+            ("silver", "validate_orders"): ("created_at", "month")}
 KEPT_VERSIONS = 2
 # Formats that keep versions themselves and replace a table atomically.
 TRANSACTIONAL = ("delta", "iceberg")
@@ -54,6 +57,8 @@ class TierStore:
     #: Hash buckets of the tables of current raw rows; fixed for the life of a store.  A bucket
     #: should come to a few hundred MB (4096 for 1 TB of current rows).
     buckets: int = 64
+    #: Keep the events' metadata as a Variant column too.
+    variants: bool = False
 
     def folder(self, tier: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{tier}/{table}"
@@ -93,7 +98,7 @@ class TierStore:
     def bootstrap(self, spark: SparkSession) -> None:
         """Create every table that is definitely missing, empty, with its fixed schema.
         Nothing that exists is ever written to."""
-        for (tier, table), schema in TABLES.items():
+        for (tier, table), schema in {**TABLES, **(OPTIONAL if self.variants else {})}.items():
             if self.exists(spark, tier, table):
                 continue
             if self._versioned(tier):
@@ -109,7 +114,7 @@ class TierStore:
 
         Read with the declared schema, so a table that has no files yet reads as empty instead of failing schema
         inference."""
-        schema = TABLES.get((tier, table))
+        schema = TABLES.get((tier, table)) or OPTIONAL.get((tier, table))
         path = self.path(spark, tier, table)
         if schema is None:
             return spark.read.format(self.fmt).load(path)

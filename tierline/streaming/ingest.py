@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions import validation as V
+from tierline.sources import topic_log
 from tierline.sources.tables import TierStore
 from tierline.sources.topics import EVENTS_TOPIC, ORDERS_TOPIC
 
@@ -152,11 +153,13 @@ MAX_FILE_BYTES_PER_TRIGGER = 16 << 30
 def read_topics(spark: SparkSession, source: str = "files", path: str | None = None,
                 bootstrap_servers: str | None = None, topics=(EVENTS_TOPIC, ORDERS_TOPIC),
                 max_bytes_per_trigger: int = MAX_FILE_BYTES_PER_TRIGGER,
-                max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
+                max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER, checkpoint: str | None = None) -> DataFrame:
     """Streaming topic records.
 
     ``source="kafka"`` subscribes to the topics from the earliest offset (needs the Kafka
-    connector on the classpath) with at most ``max_offsets_per_trigger`` messages per batch;
+    connector on the classpath; not run here, there is no broker) with at most ``max_offsets_per_trigger`` messages
+    per batch; ``source="log"`` reads a log of ``sources.topic_log`` the same way, given the
+    ``checkpoint`` of the query that will read it;
     ``source="files"`` reads JSON-lines files with the same
     ``topic, partition, offset, timestamp, value`` columns, at most
     ``max_bytes_per_trigger`` of files per batch, for offline runs and tests.
@@ -170,6 +173,9 @@ def read_topics(spark: SparkSession, source: str = "files", path: str | None = N
                 .option("failOnDataLoss", "true")
                 .load()
                 .select("topic", "partition", "offset", "timestamp", F.col("value").cast("string").alias("value")))
+    if source == "log":
+        stream = topic_log.read_stream(spark, path, checkpoint, max_offsets_per_trigger if checkpoint else None)
+        return stream.filter(F.col("topic").isin(*topics))
     return (spark.readStream.schema(TOPIC_SCHEMA)
             .option("maxBytesPerTrigger", str(max_bytes_per_trigger)).json(path))
 
