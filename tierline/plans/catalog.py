@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tierline.operators import bitmaps, envelopes, gold, quality, reports, silver, sql_functions, sql_reports, variants
 from tierline.plans import order_lines
 from tierline.plans.incremental import read_commit
-from tierline.plans.landing import refreshed_store, replayed_letters, replayed_records
+from tierline.plans.landing import compacted_events, refreshed_store, replayed_letters, replayed_records
 from tierline.schemas import BRONZE_EVENTS
 from tierline.sources import fixtures as fx
 from tierline.sources import topic_log
@@ -207,6 +207,8 @@ QUERIES: dict[str, Query] = {
     "metadata_variant_paths": lambda s, d: variants.metadata_paths(
         refreshed_store(s, d).read(s, "silver", "event_variants"),
         {"k": ("$.k", "long"), "section": ("$.page.section", "string")}),
+    # raw rows after a compaction of finished batches
+    "raw_events_compacted": compacted_events,
     # data quality
     "source_freshness": lambda s, d: quality.source_freshness(_bronze_events(s, d), _bronze_orders(s, d), AS_OF),
     "silver_quality": lambda s, d: quality.silver_quality(_clean(s, d), _orders(s, d)),

@@ -67,6 +67,25 @@ def refreshed_store(spark: SparkSession, sf_dir: str) -> TierStore:
     return _STORES[key]
 
 
+def compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw events of a store whose first batches are refined and compacted, and whose last has
+    just landed."""
+    from tierline.plans.compaction import compact_raw
+
+    store = scratch_store(spark, buckets=16)
+    store.bootstrap(spark)
+    staged = []
+    for name, df in zip(("events", "orders"), raw_copies(spark, sf_dir)):
+        df.write.parquet(f"{store.root}/_landing/{name}")
+        staged.append(spark.read.schema(df.schema).parquet(f"{store.root}/_landing/{name}"))
+    for batch in range(BATCHES):
+        land_batch(spark, store, *staged, batch)
+        if batch == BATCHES - 2:
+            run_refresh(spark, store, fx.FIXTURE_AS_OF, steps=("silver",), incremental=True)
+            compact_raw(spark, store, "2024-02-01")
+    return store.read(spark, "bronze", "events")
+
+
 def replayed_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixture's dead letters after a replay in which the events with broken metadata are corrected, run
     twice: what the second finds open stays open."""

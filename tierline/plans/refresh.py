@@ -129,7 +129,8 @@ def freshness(spark: SparkSession, store: TierStore, as_of) -> DataFrame:
     tables = []
     for raw, time in (("events", "timestamp"), ("orders", "created_at")):
         rows = store.read(spark, "bronze", raw, partitions=True)
-        landed = rows.select("run", "batch_id").distinct()  # partition columns only
+        # Partition columns only; compacted parts hold refined batches, which all have statistics.
+        landed = rows.filter(F.col("batch_id").isNull() | (F.col("batch_id") >= 0)).select("run", "batch_id").distinct()
         same = landed["run"].eqNullSafe(counted["of_run"]) & landed["batch_id"].eqNullSafe(counted["of_batch"])
         uncounted = sorted(((r["run"], r["batch_id"]) for r in landed.join(counted, same, "left_anti").collect()), key=str)
         scan = rows.filter(inc.in_batches(uncounted)).select(F.col(time).alias("latest_at"))

@@ -47,6 +47,9 @@ REPLAYED = _struct(("topic", S), ("partition", T.IntegerType()), ("offset", T.Lo
 # Metadata of refined events, parsed (optional, see ``TierStore.variants``).
 EVENT_VARIANTS = _struct(("event_id", S), ("event_type", S), ("event_timestamp", TS), ("metadata_variant", T.VariantType()))
 
+# What compactions of raw tables have finished; see ``plans.compaction``.
+RAW_VIEW = _struct(("generation", T.LongType()), ("last_day", T.DateType()), ("run", S), ("mark", T.LongType()))
+
 # What the refreshes have finished: rows (what, run, number); see ``plans.incremental``.
 REFINE_COMMITS = _struct(("what", S), ("run", S), ("number", T.LongType()))
 # Periods that a refinement is about to rewrite, and days whose KPIs wait for the aggregate tier.
@@ -76,6 +79,7 @@ TABLES = {
     ("silver", "validate_orders"): VALIDATED_ORDERS,
     ("silver", "event_winners"): BRONZE_EVENTS,
     ("silver", "order_winners"): BRONZE_ORDERS,
+    ("silver", "raw_view"): RAW_VIEW,
     ("silver", "refine_commits"): REFINE_COMMITS,
     ("silver", "refine_intent"): REFINE_INTENT,
     ("silver", "user_changes"): USER_CHANGES,

@@ -15,7 +15,8 @@ classpath), on any file system Hadoop reads.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,10 +47,37 @@ PARTITIONING: dict[tuple[str, str], dict[str, T.DataType]] = {
 PERIODS = {("silver", "clean_events"): ("event_timestamp", "day"), ("silver", "event_variants"): ("event_timestamp", "day"),
             ("silver", "validate_orders"): ("created_at", "month")}
 KEPT_VERSIONS = 2
+_NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 # Formats that keep versions themselves and replace a table atomically.
 TRANSACTIONAL = ("delta", "iceberg")
 
 
+@dataclass(frozen=True)
+class RawView:
+    """Which rows of a raw table count: the parts of finished compactions (negative batch ids), and the batches
+    that none of them holds."""
+
+    generation: int = 0
+    last_day: date | None = None
+    marks: dict = field(default_factory=dict)
+
+    def rows(self) -> list[tuple]:
+        return [(self.generation, self.last_day, run, mark) for run, mark in self.marks.items()] or [
+            (self.generation, self.last_day, None, None)]
+
+    def counts(self) -> Column:
+        """Literals on partition columns: hidden folders are not read."""
+        part = (F.col("batch_id") < 0) & (F.col("batch_id") >= -self.generation)
+        held = F.lit(False)
+        for run, mark in self.marks.items():
+            held = held | (F.col("run").eqNullSafe(F.lit(run)) & (F.col("batch_id") <= mark))
+        held = held & (F.col("ingest_date") <= F.lit(self.last_day))
+        return part | ((F.col("batch_id").isNull() | (F.col("batch_id") >= 0)) & ~F.coalesce(held, F.lit(False)))
+
+
+_VIEWS: dict[str, RawView] = {}  # by the path of the version that says so, which never changes
+
+
 @dataclass(frozen=True)
 class TierStore:
     root: str
@@ -123,8 +151,35 @@ class TierStore:
         if self.fmt not in TRANSACTIONAL:
             reader = reader.schema(T.StructType([*schema.fields, *(T.StructField(c, t) for c, t in extra.items())]))
         df = reader.load(path)
+        if tier == "bronze" and list(extra) == list(LANDED):
+            df = df.filter(self.raw_view(spark).counts())
         return df.select(*schema.names, *(extra if partitions else ()))
 
+    def raw_view(self, spark: SparkSession) -> RawView:
+        """What the compactions have finished."""
+        found = self.versions(spark, "silver", "raw_view") if self._versioned("silver") else []
+        if not found:
+            return RawView()
+        path = found[-1][1]
+        if path not in _VIEWS:
+            rows = self.read(spark, "silver", "raw_view").collect()  # a row a streaming query
+            _VIEWS[path] = RawView(rows[0]["generation"], rows[0]["last_day"], {
+                r["run"]: r["mark"] for r in rows if r["mark"] is not None}) if rows else RawView()
+        return _VIEWS[path]
+
+    def drop_hidden(self, spark: SparkSession, table: str, view: RawView) -> None:
+        """Delete the folders of batches that a finished compaction holds."""
+        fs, root = _fs(spark, self.folder("bronze", table))
+        folders = lambda path: [s.getPath() for s in fs.listStatus(path) if s.isDirectory()]
+        value = lambda path: path.getName().split("=", 1)[1]
+        for day in [p for p in folders(root) if p.getName().startswith("ingest_date=")]:
+            if value(day) == _NULL_PART or date.fromisoformat(value(day)) > view.last_day:
+                continue
+            for run in folders(day):
+                for batch in folders(run):
+                    if value(batch) != _NULL_PART and 0 <= int(value(batch)) <= view.marks.get(value(run), -1):
+                        fs.delete(batch, True)
+
     def _laid_out(self, df: DataFrame, tier: str, table: str) -> DataFrame:
         """With the partition column, rows of a partition together in files of a size that AQE
         picks, in time order within a file (row-group statistics then skip by time)."""
@@ -166,7 +221,7 @@ class TierStore:
         (df.write.format(self.fmt).mode("overwrite").partitionBy(column)
          .option("partitionOverwriteMode", "dynamic").save(path))
         for day in set(days) - filled:
-            name = "__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat()
+            name = _NULL_PART if day is None else day.isoformat()
             fs, p = _fs(spark, f"{path}/{column}={name}")
             fs.delete(p, True)
 
