@@ -209,7 +209,7 @@ def build_lines(spark: SparkSession, store: TierStore, commit: Commit) -> None:
                                        store.read(spark, "silver", "validate_orders"))]
     for folder in store.line_folders(spark) if before else []:
         if folder not in (before, commit.lines):  # readers of the one before may still run
-            store.drop_lines(spark, folder)
+            store.drop_folder(spark, f"silver/order_lines/{folder}")
 
 
 def refine_new(spark: SparkSession, store: TierStore, as_of, commit: Commit, batches: list[tuple], counted: list[tuple],

@@ -253,8 +253,9 @@ class TierStore:
         fs, path = _fs(spark, self.folder("silver", "order_lines"))
         return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
 
-    def drop_lines(self, spark: SparkSession, folder: str) -> None:
-        fs, p = _fs(spark, f"{self.folder('silver', 'order_lines')}/{folder}")
+    def drop_folder(self, spark: SparkSession, folder: str) -> None:
+        """Delete a folder below the store's root."""
+        fs, p = _fs(spark, f"{self.root.rstrip('/')}/{folder}")
         fs.delete(p, True)
 
     def land(self, df: DataFrame, table: str, run: str, batch_id: int) -> None:

@@ -55,7 +55,11 @@ def replay(spark: SparkSession, store: TierStore, corrections: DataFrame | None
         fixed = corrections.select(*[F.col(c).alias(f"of_{c}") for c in KEY], F.col("value").alias("fixed")).dropDuplicates(
             [f"of_{c}" for c in KEY])
         letters = letters.join(fixed, _same(letters, fixed), "left").withColumn("value", F.coalesce("fixed", "value"))
-    messages = letters.select(*KEY, F.col("broker_timestamp").alias("timestamp"), "value").persist()
+    # Written apart first: what is landed below must not be read from the tables it is landed in.
+    staged = f"{store.root.rstrip('/')}/_replay/{number}"
+    messages = letters.select(*KEY, F.col("broker_timestamp").alias("timestamp"), "value")
+    messages.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(staged)
+    messages = spark.read.schema(messages.schema).parquet(staged)
     decoded = ingest.decode(messages)
     good = F.size("errors") == 0
     events = ingest.validate_events(decoded).filter(good).persist()
@@ -70,5 +74,6 @@ def replay(spark: SparkSession, store: TierStore, corrections: DataFrame | None
             store.land(ingest.batch_stats(events, orders), "ingest_stats", RUN, number)  # last: the replay is finished
         return landed
     finally:
-        for df in (events, orders, messages):
-            df.unpersist()
+        events.unpersist()
+        orders.unpersist()
+        store.drop_folder(spark, f"_replay/{number}")
