@@ -16,7 +16,7 @@ DATA = "/root/testdata/sf0.001"
 def test_stages_and_registration():
     assert [name for name, _ in cp.STAGES] == ["language_id", "line_dedup", "near_duplicates", "decontaminate", "bpe"]
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_equals_brute_force_stage_by_stage(spark):
