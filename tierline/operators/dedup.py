@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -17,6 +17,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
     keeps only its best row per key before the shuffle, so a key with millions of redelivered
     copies costs one row of shuffle per task, not millions.
     """
-    order = [F.col(order_col).desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tiebreak]
-    w = Window.partitionBy(*keys).orderBy(*order)
+    w = _newest_first(keys, order_col, tiebreak)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+
+
+def repeats(keys: Sequence[str], order_col: str, tiebreak: Sequence[str] = ()) -> Column:
+    """Whether a row's key has another row before it.  Over the result of :func:`latest_per_key` with the same
+    arguments it needs no shuffle and no sort: the rows stand as the window wants them."""
+    return F.row_number().over(_newest_first(keys, order_col, tiebreak)) > 1
+
+
+def _newest_first(keys: Sequence[str], order_col: str, tiebreak: Sequence[str]) -> WindowSpec:
+    order = [F.col(order_col).desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tiebreak]
+    return Window.partitionBy(*keys).orderBy(*order)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import EVENT_TYPES, FAILED_STATUS, as_of_ts
@@ -37,6 +37,35 @@ def source_freshness(bronze_events: DataFrame, bronze_orders: DataFrame, as_of)
         _freshness(bronze_orders, "bronze.orders", "created_at", as_of))
 
 
+def event_rules() -> dict[str, Column]:
+    """Violations of the rules that look at one refined event at a time."""
+    return {
+        "event_id_not_null": F.count_if(F.col("event_id").isNull()),
+        "event_type_accepted": F.count_if(~F.col("event_type").isin(*EVENT_TYPES) | F.col("event_type").isNull()),
+    }
+
+
+def order_rules() -> dict[str, Column]:
+    """Violations of the rules that look at one refined order at a time."""
+    return {
+        "order_id_not_null": F.count_if(F.col("order_id").isNull()),
+        "total_matches_items": F.count_if(
+            (F.coalesce(F.col("status"), F.lit("")) != F.lit(FAILED_STATUS))
+            & ~F.coalesce(F.abs(F.col("total_amount") - F.col("validated_total")) <= ROUNDED_TOLERANCE, F.lit(False))),
+    }
+
+
+#: The rules of each refined table that can be counted while it is written.
+ROW_RULES = {"clean_events": event_rules, "validate_orders": order_rules}
+UNIQUE_RULE = {"clean_events": "event_id_unique", "validate_orders": "order_id_unique"}
+
+
+def counted_report(spark: SparkSession, counts: dict[str, dict[str, int]]) -> DataFrame:
+    """The rows of :func:`silver_quality` from violations counted elsewhere, by refined table and rule."""
+    rows = [(f"silver.{table}", rule, n) for table, own in counts.items() for rule, n in own.items()]
+    return spark.createDataFrame(rows, "table_name string, rule string, violations long")
+
+
 def _violations(df: DataFrame, table: str, rules: dict) -> DataFrame:
     counts = df.agg(*[expr.cast("long").alias(name) for name, expr in rules.items()])
     stack = ", ".join(f"'{name}', `{name}`" for name in rules)
@@ -49,16 +78,12 @@ def silver_quality(clean_events: DataFrame, validated_orders: DataFrame) -> Data
     ids unique and non-NULL, event types in the closed set, and every order not marked failed
     has a declared total that matches its item total."""
     ev = _violations(clean_events, "silver.clean_events", {
-        "event_id_not_null": F.count_if(F.col("event_id").isNull()),
         "event_id_unique": F.count("event_id") - F.count_distinct("event_id"),
-        "event_type_accepted": F.count_if(~F.col("event_type").isin(*EVENT_TYPES) | F.col("event_type").isNull()),
+        **event_rules(),
     })
     od = _violations(validated_orders, "silver.validate_orders", {
-        "order_id_not_null": F.count_if(F.col("order_id").isNull()),
         "order_id_unique": F.count("order_id") - F.count_distinct("order_id"),
-        "total_matches_items": F.count_if(
-            (F.coalesce(F.col("status"), F.lit("")) != F.lit(FAILED_STATUS))
-            & ~F.coalesce(F.abs(F.col("total_amount") - F.col("validated_total")) <= ROUNDED_TOLERANCE, F.lit(False))),
+        **order_rules(),
     })
     return ev.unionByName(od)
 

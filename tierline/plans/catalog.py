@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from tierline.operators import bitmaps, envelopes, gold, quality, reports, silver, sql_functions, sql_reports, variants
 from tierline.plans import order_lines
 from tierline.plans.incremental import read_commit
-from tierline.plans.landing import compacted_events, refreshed_store, replayed_letters, replayed_records
+from tierline.plans.landing import (compacted_events, observed_quality, observed_stats, refreshed_store, replayed_letters,
+                                    replayed_records)
 from tierline.schemas import BRONZE_EVENTS
 from tierline.sources import fixtures as fx
 from tierline.sources import topic_log
@@ -212,4 +213,7 @@ QUERIES: dict[str, Query] = {
     # data quality
     "source_freshness": lambda s, d: quality.source_freshness(_bronze_events(s, d), _bronze_orders(s, d), AS_OF),
     "silver_quality": lambda s, d: quality.silver_quality(_clean(s, d), _orders(s, d)),
+    # counted while the tables are written
+    "silver_quality_observed": observed_quality,
+    "ingest_stats_observed": observed_stats,
 }

@@ -31,8 +31,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.operators import bitmaps, gold, silver
-from tierline.operators.dedup import latest_per_key
+from tierline.operators import bitmaps, gold, quality, silver
+from tierline.operators.dedup import latest_per_key, repeats
 from tierline.plans import order_lines
 from tierline.sources.tables import PARTITIONING, TierStore, period_of
 
@@ -179,23 +179,31 @@ def compact_winners(spark: SparkSession, store: TierStore, model: Model, seq: in
 
 # ---------------------------------------------------------------- refinements
 
-def refine_all(spark: SparkSession, store: TierStore, as_of, commit: Commit, counted: list[tuple]) -> None:
+def refine_all(spark: SparkSession, store: TierStore, as_of, commit: Commit, counted: list[tuple]) -> dict[str, dict]:
     """Rebuild the current rows, the refined tables and the order lines from all raw rows.
 
-    ``counted`` are the new batches that this refinement finishes: they have statistics, so they are whole."""
+    ``counted`` are the new batches that this refinement finishes: they have statistics, so they are whole.
+    Returns the violations of the quality rules by refined table, counted while the tables were written: ids
+    found twice where the current rows are picked, whose order the check reuses; the other rules in the refined rows."""
+    found = {}
     commit.full = 0  # until this one is finished, nothing incremental may build on what is there
     write_commit(spark, store, commit)
     seq = commit.seq + 1
     for model in MODELS:
         raw = store.read(spark, "bronze", model.raw).filter(F.col(model.key).isNotNull())
-        store.write(_in_buckets(_latest(raw, model), model, store).withColumn("seq", F.lit(seq).cast("long")),
-                    "silver", model.winners)
-        store.write(model.refine(store.read(spark, "silver", model.winners), as_of), "silver", model.refined)
+        latest = _latest(raw, model).withColumn("_again", repeats([model.key], model.time, model.tiebreak))
+        again = store.write(_in_buckets(latest, model, store).withColumn("seq", F.lit(seq).cast("long")),
+                            "silver", model.winners, {"again": F.count_if("_again")})
+        rules = quality.ROW_RULES[model.refined]()
+        refined = model.refine(store.read(spark, "silver", model.winners), as_of)
+        found[model.refined] = {quality.UNIQUE_RULE[model.refined]: again["again"],
+                                **store.write(refined, "silver", model.refined, rules)}
     store.write(spark.createDataFrame([], store.read(spark, "silver", "user_changes", partitions=True).schema),
                 "silver", "user_changes")
     commit.add(counted)
     commit.seq = commit.full = seq
     build_lines(spark, store, commit)
+    return found
 
 
 def build_lines(spark: SparkSession, store: TierStore, commit: Commit) -> None:

@@ -16,7 +16,7 @@ from tierline.plans.refresh import run_refresh
 from tierline.session import ensure_checkpoint_dir
 from tierline.sources import fixtures as fx
 from tierline.sources import topic_log
-from tierline.sources.tables import TierStore
+from tierline.sources.tables import TierStore, observed
 from tierline.streaming import ingest, replay
 
 BATCHES = 3
@@ -41,11 +41,11 @@ def land_batch(spark: SparkSession, store: TierStore, events: DataFrame, orders:
     day = F.lit(fx.FIXTURE_AS_OF).cast("date").alias("ingest_date")
     stats = []
     for rows, table, time in ((events, "events", "timestamp"), (orders, "orders", "created_at")):
-        own = rows.filter(F.col("landed_in") == batch).drop("landed_in")
+        own, taken = observed(rows.filter(F.col("landed_in") == batch).drop("landed_in"), {
+            "rows": F.count(F.lit(1)), "dead_letters": F.count_if(F.lit(False)), "latest_at": F.max(time)})
         store.land(own.select("*", day), table, "fixture", batch)
-        stats.append(own.agg(F.lit(f"bronze.{table}").alias("source_name"), F.count(F.lit(1)).alias("rows"),
-                             F.lit(0).cast("long").alias("dead_letters"), F.max(time).alias("latest_at")))
-    store.land(stats[0].unionByName(stats[1]), "ingest_stats", "fixture", batch)
+        stats.append(taken())
+    store.land(ingest.batch_stats(spark, *stats), "ingest_stats", "fixture", batch)
 
 
 def refreshed_store(spark: SparkSession, sf_dir: str) -> TierStore:
@@ -67,6 +67,27 @@ def refreshed_store(spark: SparkSession, sf_dir: str) -> TierStore:
     return _STORES[key]
 
 
+def observed_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality rules as a full refresh of the landed batches counts them while it writes."""
+    store = scratch_store(spark, buckets=16)
+    store.bootstrap(spark)
+    copies = raw_copies(spark, sf_dir)
+    for batch in range(BATCHES):
+        land_batch(spark, store, *copies, batch)
+    return run_refresh(spark, store, fx.FIXTURE_AS_OF, steps=("silver", "quality"), gate=False).quality
+
+
+def observed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics that the ingest of the fixture's topic records leaves, in ``BATCHES`` micro-batches."""
+    store = scratch_store(spark)
+    store.bootstrap(spark)
+    messages = fx.topic_messages(spark, sf_dir)
+    for batch in range(BATCHES):
+        ingest.write_batch(messages.filter(F.col("offset") % BATCHES == batch), batch, store, "fixture")
+    return store.read(spark, "bronze", "ingest_stats").groupBy("source_name").agg(
+        F.sum("rows").alias("rows"), F.sum("dead_letters").alias("dead_letters"), F.max("latest_at").alias("latest_at"))
+
+
 def compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw events of a store whose first batches are refined and compacted, and whose last has
     just landed."""

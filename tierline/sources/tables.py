@@ -15,10 +15,11 @@ classpath), on any file system Hadoop reads.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -189,17 +190,21 @@ class TierStore:
         return (df.withColumn(column, period_of(tier, table)).hint("rebalance", column)
                 .sortWithinPartitions(column, time))
 
-    def write(self, df: DataFrame, tier: str, table: str) -> None:
-        """Replace the whole table by a new version."""
+    def write(self, df: DataFrame, tier: str, table: str, measures: dict[str, Column] | None = None) -> dict:
+        """Replace the whole table by a new version; returns the ``measures`` (aggregates by name)
+        of its rows, taken while they are written.
+
+        They are observed in the stage that writes, behind its shuffle: there a task that is run again counts
+        once.  Columns that begin with ``_`` serve the measures and are not written."""
         spark = df.sparkSession
-        df = self._laid_out(df, tier, table)
+        df, found = observed(self._laid_out(df, tier, table), measures)
         writer = df.write.format(self.fmt)
         parts = [c for c in PARTITIONING.get((tier, table), {}) if c in df.columns]
         if parts:
             writer = writer.partitionBy(*parts)
         if not self._versioned(tier):
             writer.mode("overwrite").option("partitionOverwriteMode", "static").save(self.folder(tier, table))
-            return
+            return found()
         old = self.versions(spark, tier, table)
         number = old[-1][0] + 1 if old else 0
         # "overwrite" only clears what a failed attempt at this number left behind.
@@ -208,6 +213,7 @@ class TierStore:
         for _, path in old[:-(KEPT_VERSIONS - 1)]:
             fs, p = _fs(spark, path)
             fs.delete(p, True)
+        return found()
 
     def replace_days(self, df: DataFrame, tier: str, table: str, days: list) -> None:
         """Replace the given days (partitions) of the current version by the rows of ``df``,
@@ -273,6 +279,15 @@ class TierStore:
              .save(self.folder("bronze", table)))
 
 
+def observed(df: DataFrame, measures: dict[str, Column] | None) -> tuple[DataFrame, Callable[[], dict]]:
+    """``df`` without its ``_`` columns, and what gives the measures of its rows once an action has run."""
+    if not measures:
+        return df, dict
+    taken = Observation()
+    df = df.observe(taken, *[m.alias(name) for name, m in measures.items()])
+    return df.drop(*[c for c in df.columns if c.startswith("_")]), lambda: taken.get
+
+
 def period_of(tier: str, table: str) -> Column:
     """First day of the period that a refined row belongs to."""
     time, unit = PERIODS[tier, table]

@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions import validation as V
+from tierline.schemas import INGEST_STATS
 from tierline.sources import topic_log
-from tierline.sources.tables import TierStore
+from tierline.sources.tables import TierStore, observed
 from tierline.sources.topics import EVENTS_TOPIC, ORDERS_TOPIC
 
 # The columns a topic source delivers (a Kafka source has them; a file source is given them).
@@ -180,17 +181,21 @@ def read_topics(spark: SparkSession, source: str = "files", path: str | None = N
             .option("maxBytesPerTrigger", str(max_bytes_per_trigger)).json(path))
 
 
-def batch_stats(validated_events: DataFrame, validated_orders: DataFrame) -> DataFrame:
-    """Per raw table, for one micro-batch: rows landed, rows dead-lettered and the newest
-    record time.  Read by the freshness check instead of scanning the whole raw table."""
-    def one(df: DataFrame, source: str, ts: str) -> DataFrame:
-        good = F.size("errors") == 0
-        return df.agg(F.lit(source).alias("source_name"),
-                      F.count_if(good).alias("rows"),
-                      F.count_if(~good).alias("dead_letters"),
-                      F.max(F.when(good, F.col(ts))).alias("latest_at"))
-    return one(validated_events, "bronze.events", "timestamp").unionByName(
-        one(validated_orders, "bronze.orders", "created_at"))
+def stats_measures(ts: str) -> dict[str, Column]:
+    """Of one micro-batch's validated messages: rows landed, rows dead-lettered and the newest
+    record time ``ts``."""
+    good = F.size("errors") == 0
+    return {"rows": F.count_if(good), "dead_letters": F.count_if(~good), "latest_at": F.max(F.when(good, F.col(ts)))}
+
+
+def batch_stats(spark: SparkSession, events: dict, orders: dict) -> DataFrame:
+    """The statistics of one micro-batch, a row per raw table, from the measures of its validated messages.
+    Read by the freshness check instead of scanning the whole raw table."""
+    return spark.createDataFrame([("bronze.events", *(events[c] for c in STATS)), ("bronze.orders", *(orders[c] for c in STATS))],
+                                 INGEST_STATS)
+
+
+STATS = INGEST_STATS.names[1:]
 
 
 def write_batch(messages: DataFrame, batch_id: int, store: TierStore, run: str) -> None:
@@ -200,7 +205,7 @@ def write_batch(messages: DataFrame, batch_id: int, store: TierStore, run: str)
     The batch is read from the source once and validated once: the incoming records and the
     two validated frames are persisted (a micro-batch is bounded by the trigger), so the good
     rows, the dead letters and the statistics all read cached results instead of fetching the
-    batch again or re-running the rules.
+    batch again or re-running the rules.  The statistics are observed while the good rows are written.
     """
     messages = messages.persist()
     decoded = decode(messages)
@@ -215,10 +220,13 @@ def write_batch(messages: DataFrame, batch_id: int, store: TierStore, run: str)
         cols = list(DEAD_LETTER_COLUMNS)
         dead = (ev.filter(bad).select(*cols).unionByName(od.filter(bad).select(*cols))
                 .unionByName(unrouted(decoded)))
-        store.land(ev.filter(good).select(*EVENT_COLUMNS, day), "events", run, batch_id)
-        store.land(od.filter(good).select(*ORDER_COLUMNS, day), "orders", run, batch_id)
+        counted_ev, ev_stats = observed(ev, stats_measures("timestamp"))
+        counted_od, od_stats = observed(od, stats_measures("created_at"))
+        store.land(counted_ev.filter(good).select(*EVENT_COLUMNS, day), "events", run, batch_id)
+        store.land(counted_od.filter(good).select(*ORDER_COLUMNS, day), "orders", run, batch_id)
         store.land(dead.select(*cols, day), "dead_letter", run, batch_id)
-        store.land(batch_stats(ev, od), "ingest_stats", run, batch_id)  # last: the batch is complete
+        stats = batch_stats(messages.sparkSession, ev_stats(), od_stats())
+        store.land(stats, "ingest_stats", run, batch_id)  # last: the batch is complete
     finally:
         ev.unpersist()
         od.unpersist()

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.sources.tables import TierStore
+from tierline.sources.tables import TierStore, observed
 from tierline.streaming import ingest
 
 RUN = "replay"
@@ -68,10 +68,12 @@ def replay(spark: SparkSession, store: TierStore, corrections: DataFrame | None
     try:
         landed = events.count() + orders.count()
         if landed:
-            store.land(events.select(*ingest.EVENT_COLUMNS, day), "events", RUN, number)
-            store.land(orders.select(*ingest.ORDER_COLUMNS, day), "orders", RUN, number)
+            counted_ev, ev_stats = observed(events, ingest.stats_measures("timestamp"))
+            counted_od, od_stats = observed(orders, ingest.stats_measures("created_at"))
+            store.land(counted_ev.select(*ingest.EVENT_COLUMNS, day), "events", RUN, number)
+            store.land(counted_od.select(*ingest.ORDER_COLUMNS, day), "orders", RUN, number)
             store.land(events.select(*KEY).unionByName(orders.select(*KEY)), "replayed", RUN, number)
-            store.land(ingest.batch_stats(events, orders), "ingest_stats", RUN, number)  # last: the replay is finished
+            store.land(ingest.batch_stats(spark, ev_stats(), od_stats()), "ingest_stats", RUN, number)  # last: the replay is finished
         return landed
     finally:
         events.unpersist()
