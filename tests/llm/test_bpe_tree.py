@@ -65,5 +65,13 @@ def test_cache_is_bounded(encoder, monkeypatch):
     assert " ".join(decoded) == encoder.whole.decode(want, skip_special_tokens=False)
 
 
+def test_leaves_and_joins_keep_their_tasks(make):
+    """Adaptive execution must not coalesce the few bytes of the leaves into one task."""
+    frame = bt.encode(make(["ab " * 300, "cd" * 400, "e"]), long_chars=200, leaf_chars=60)
+    assert len(frame.collect()) == 3
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") >= 2 and "ENSURE_REQUIREMENTS" not in plan
+
+
 def test_empty_table(make):
     assert bt.encode(make(["a"]).limit(0)).count() == 0

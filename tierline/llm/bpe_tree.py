@@ -274,8 +274,10 @@ def encode(docs: DataFrame, content: str | None = None, long_chars: int = LONG_C
         found = row([" ".join(map(str, ids))] if digests else [ids], [decoded])
         return pa.table([[v] for v in (rows[0]["doc_id"], *found)], schema=out_arrow)
 
-    encoded = leaves.repartition("row", "section", "at").mapInArrow(encode_leaves, unit_schema)
-    return short.unionByName(encoded.groupBy("row").applyInArrow(join, out_schema))
+    # Given numbers: leaves and texts are few bytes and much work, so Spark must not coalesce their tasks.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    encoded = leaves.repartition(tasks, "row", "section", "at").mapInArrow(encode_leaves, unit_schema)
+    return short.unionByName(encoded.repartition(tasks, "row").groupBy("row").applyInArrow(join, out_schema))
 
 
 def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
