@@ -47,6 +47,28 @@ def test_equals_brute_force(make, length, head, batches):
     assert got == brute(docs, length)
 
 
+def test_rows_without_ids_and_many_equal_rows(make):
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    shared = text(40)
+    docs = [(None, text(30) + shared[i:i + 25] + text(20)) for i in range(12)]
+    docs += [(5, shared + text(9)), (5, text(9) + shared), (6, text(50))]
+    docs += [(i % 3 or None, "one " + shared + " text in many rows") for i in range(1000)]
+    got = rows(sd.remove_repeats(make(docs, more="version int"), 20, 12, 2))
+    assert got == brute(docs, 20)
+
+
+def test_texts_under_one_id_whose_short_hash_is_equal_stay_apart(spark, make):
+    """Two texts with one 32-bit hash under NULL: a key of that size would exchange their ranges."""
+    from pyspark.sql import functions as F
+
+    n = 300_000
+    near = spark.range(n).select(F.format_string("%030d", "id").alias("t")).withColumn("h", F.hash("t"))
+    pair = near.groupBy("h").agg(F.collect_list("t").alias("ts")).filter(F.size("ts") > 1).first()["ts"][:2]
+    docs = [(None, pair[0]), (None, pair[1]), (1, "zz" + pair[0])]
+    assert rows(sd.remove_repeats(make(docs), 30, 12, 2)) == brute(docs, 30)
+
+
 def test_long_text_in_pieces(make, monkeypatch):
     monkeypatch.setattr(sd, "PIECE", 64)
     rng = random.Random(5)

@@ -22,7 +22,8 @@ each kind standing for all equal ones.  Fingerprints count in pairs of 64 bits.
 Cases: NULL is the empty text.  Texts under ``LENGTH`` bytes keep everything.  Rows that
 repeat a document repeat its strings too, so both lose them.  A removal may cut a UTF-8
 character; what is kept is bytes.  Very long texts are worked through in pieces.  Only doc_id and text are
-read; rows are told apart by doc_id and a hash of the text.
+read; rows are told apart by doc_id and 64 bits of a hash of the text, NULL and repeated ids too.  Rows equal in both
+have equal ranges, which are held once for all of them.
 """
 
 from __future__ import annotations
@@ -194,7 +195,7 @@ def batch_heads(docs: DataFrame, length: int = LENGTH, head: int = HEAD) -> Data
 def all_places(docs: DataFrame, length: int = LENGTH, head: int = HEAD) -> DataFrame:
     """(head, span, doc_id, version, first, strings) of every span of ``docs``."""
     schema = StructType([*StructType.fromDDL("head long, span long").fields, docs.schema["doc_id"],
-                         *StructType.fromDDL("version int, first long, strings int").fields])
+                         *StructType.fromDDL("version long, first long, strings int").fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches):
@@ -214,22 +215,29 @@ def _same_row(a: DataFrame, b: DataFrame, prefix: str) -> Column:
 
 
 def _by_row(places: DataFrame, cols: list[str], name: str) -> DataFrame:
-    """All of a row's places in one list, under column names that clash with no other."""
-    return places.groupBy("doc_id", "version").agg(F.collect_list(F.struct(*cols)).alias(name)).select(
+    """All different places of a row in one list, under column names that clash with no other: k equal rows bring
+    each place k times and keep it once, before the shuffle where they can."""
+    return places.groupBy("doc_id", "version").agg(F.collect_set(F.struct(*cols)).alias(name)).select(
         F.col("doc_id").alias("_doc_id"), F.col("version").alias("_version"), name)
 
 
 def one_by_one(docs: DataFrame, spans: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, version, head, string, single, first) of each string of the given spans."""
     schema = StructType([docs.schema["doc_id"], *StructType.fromDDL(
-        "version int, head long, string long, single boolean, first long").fields])
+        "version long, head long, string long, single boolean, first long").fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         fp = _fingerprints(length)
+        last = None
         for batch in batches:
             data, off = text_buffer(batch.column(1))
             for i, wanted in enumerate(batch.column(3).to_pylist()):
+                # Equal rows come out of the merge join one after another; one of them speaks for all.
+                row = batch.column(0)[i].as_py(), batch.column(2)[i].as_py()
+                if row == last:
+                    continue
+                last = row
                 text = data[off[i]:off[i + 1]]
                 for s in range(0, len(text) - length + 1, PIECE):
                     prefix = fp.prefix(text[s:s + PIECE + length - 1])
@@ -244,7 +252,7 @@ def one_by_one(docs: DataFrame, spans: DataFrame, length: int = LENGTH) -> DataF
                         at = np.concatenate(starts)
                         n = len(at)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array([batch.column(0)[i].as_py()] * n, arrow.field(0).type), pa.array([batch.column(2)[i].as_py()] * n, pa.int32()),
+                            [pa.array([row[0]] * n, arrow.field(0).type), pa.array([row[1]] * n, pa.int64()),
                              pa.array(heads, pa.int64()), _signed(fp.of(prefix, at, length)), pa.array(single, pa.bool_()),
                              pa.array(at + s)], schema=arrow)
 
@@ -286,7 +294,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, head: int = HEAD, bat
 def versioned(docs: DataFrame) -> DataFrame:
     bounded_batches(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select("doc_id", text.alias("text"), F.hash(text).alias("version"))
+    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("version"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, head: int = HEAD, batches: int = BATCHES) -> DataFrame:
