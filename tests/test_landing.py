@@ -1,0 +1,130 @@
+"""How the fixture's rows reach the stores: derived once, by many tasks, whatever the number of batches."""
+
+import os
+from collections import Counter
+from datetime import datetime, timedelta
+from glob import glob
+
+import pytest
+from pyspark.sql import functions as F
+
+from tierline.plans import landing
+from tierline.sources import fixtures as fx
+from tierline.sources import topic_log
+from tierline.sources.tables import TierStore
+from tierline.streaming import ingest
+
+DAY = datetime(2024, 1, 2)
+
+
+@pytest.fixture()
+def tables(spark, tmp_dir):
+    """Small driver tables in several files; an order without lines, a line of an unknown part, a NULL key."""
+    rows = {
+        "events": ([(i, DAY + timedelta(minutes=i), i % 7, "view" if i % 2 else "click", '{"k": %d}' % i) for i in range(120)],
+                   "event_id long, ts timestamp_ntz, user_id long, event_type string, props string"),
+        "orders": ([(i, i % 7, "OFP"[i % 3], DAY + timedelta(hours=i)) for i in range(60)],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz"),
+        "lineitem": ([(i, (i + n) % 6, 1, n, float(n)) for i in range(59) for n in (1, 2, 2)] + [(None, 1, 1, 1, 1.0)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double"),
+        "part": ([(i, f"part {i}", i) for i in range(5)], "p_partkey long, p_name string, p_size int"),
+    }
+    for name, (data, schema) in rows.items():
+        spark.createDataFrame(data, schema).repartition(4).write.parquet(os.path.join(tmp_dir, f"{name}.parquet"))
+    return tmp_dir
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    """Joins as on large tables."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def counted(df):
+    return Counter(map(str, df.collect()))
+
+
+def test_a_batch_is_staged_by_many_tasks(spark, tables, monkeypatch, no_broadcast):
+    monkeypatch.setattr(fx, "LINES_A_TASK", 8)  # 178 lines: more tasks than the session's shuffle partitions
+    store = landing.scratch_store(spark)
+    staged = landing.staged_copies(spark, tables, store)
+    for name, got, want in zip(("events", "orders"), staged, landing.raw_copies(spark, tables)):
+        assert counted(got) == counted(want)
+        for batch in range(landing.BATCHES):
+            assert len(glob(f"{store.root}/_landing/{name}/landed_in={batch}/*.parquet")) > 1
+
+
+def test_grouping_of_lines_grows_with_them(spark, tables, monkeypatch):
+    few = counted(fx.order_copies(spark, tables))
+    assert fx._order_parts(spark, fx.read_table(spark, tables, "lineitem")) == []  # left to AQE
+    monkeypatch.setattr(fx, "LINES_A_TASK", 8)
+    assert fx._order_parts(spark, fx.read_table(spark, tables, "lineitem")) == [23]
+    assert counted(fx.order_copies(spark, tables)) == few
+    monkeypatch.setattr(landing, "BUCKET_ROWS", 10)
+    assert landing.buckets_for(spark, tables) == 30  # 120 events and 178 lines
+
+
+def test_lines_meet_a_large_part_in_two_shuffles(spark, tables, no_broadcast):
+    plan = fx.order_item_arrays(spark, tables)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(l_partkey") == 1
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
+
+
+def test_quality_lands_from_staged_rows(spark, tables, monkeypatch):
+    seen, real = [], landing.land_batch
+
+    def land(spark, store, events, orders, batch):
+        seen.extend(f for df in (events, orders) for f in df.inputFiles())
+        real(spark, store, events, orders, batch)
+
+    monkeypatch.setattr(landing, "land_batch", land)
+    landing.observed_quality(spark, tables)
+    assert seen and all("/_landing/" in f for f in seen)
+
+
+def test_messages_are_derived_once(spark, tables, monkeypatch):
+    seen, real = [], ingest.write_batch
+
+    def write(messages, batch, store, run):
+        seen.extend(messages.inputFiles())
+        real(messages, batch, store, run)
+
+    monkeypatch.setattr(ingest, "write_batch", write)
+    got = {r.source_name: r.rows + r.dead_letters for r in landing.observed_stats(spark, tables).collect()}
+    assert seen and all("/_topics/" in f for f in seen)
+    assert got == {"bronze.events": fx.event_messages(spark, tables).count(), "bronze.orders": fx.order_messages(spark, tables).count()}
+
+
+def test_letters_are_found_once(spark, tables, monkeypatch):
+    seen, real = [], TierStore.land
+
+    def land(self, df, table, run, batch):
+        if table == "dead_letter":
+            seen.extend(df.inputFiles())
+        real(self, df, table, run, batch)
+
+    monkeypatch.setattr(TierStore, "land", land)
+    got = landing.replayed_letters(spark, tables)
+    letters = ingest.dead_letters(ingest.decode(fx.topic_messages(spark, tables)))
+    assert got.count() == letters.count() > 0
+    assert seen and all("/_letters/" in f for f in seen)
+
+
+def test_one_topic_partition_is_appended_by_many_tasks(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(topic_log, "BLOCK", 10)
+    path = os.path.join(tmp_dir, "log")
+    rows = [("t", 0, o, DAY, f"v{o}") for o in range(199, -1, -1)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as if each block were large
+    try:
+        topic_log.append(spark.createDataFrame(rows, topic_log.SCHEMA).repartition(3), path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = glob(f"{path}/topic=t/partition=0/*.parquet")
+    assert len(files) > 1
+    for f in files:
+        offsets = [r.offset for r in spark.read.parquet(f).coalesce(1).collect()]
+        assert offsets == sorted(offsets)
+    assert sorted(r.offset for r in topic_log.read(spark, path).select(F.col("offset")).collect()) == list(range(200))

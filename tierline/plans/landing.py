@@ -20,6 +20,7 @@ from tierline.sources.tables import TierStore, observed
 from tierline.streaming import ingest, replay
 
 BATCHES = 3
+BUCKET_ROWS = 1 << 20
 _STORES: dict[tuple[str, str], TierStore] = {}
 
 
@@ -28,6 +29,12 @@ def scratch_store(spark: SparkSession, **kw) -> TierStore:
     return TierStore(f"{ensure_checkpoint_dir(spark).rstrip('/')}/store-{uuid.uuid4().hex}", **kw)
 
 
+def buckets_for(spark: SparkSession, sf_dir: str) -> int:
+    """Buckets for a store of the fixture's rows: about ``BUCKET_ROWS`` events and order lines each."""
+    rows = sum(fx.read_table(spark, sf_dir, name).count() for name in ("events", "lineitem"))
+    return max(16, -(-rows // BUCKET_ROWS))
+
+
 def raw_copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Raw events and orders with the batch each copy lands in."""
     batch = ((F.col("_k") + F.col("_copy")) % BATCHES).cast("long").alias("landed_in")
@@ -36,6 +43,17 @@ def raw_copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return events, orders
 
 
+def staged_copies(spark: SparkSession, sf_dir: str, store: TierStore) -> list[DataFrame]:
+    """``raw_copies``, derived once and kept in the store, a folder a batch: landing a batch reads its own rows.
+
+    Each task writes what it derived, so however few the batches are, no task holds one of them."""
+    staged = []
+    for name, df in zip(("events", "orders"), raw_copies(spark, sf_dir)):
+        df.write.partitionBy("landed_in").parquet(f"{store.root}/_landing/{name}")
+        staged.append(spark.read.schema(df.schema).parquet(f"{store.root}/_landing/{name}"))
+    return staged
+
+
 def land_batch(spark: SparkSession, store: TierStore, events: DataFrame, orders: DataFrame, batch: int) -> None:
     """Land the rows of one batch and its statistics, as the ingest query does."""
     day = F.lit(fx.FIXTURE_AS_OF).cast("date").alias("ingest_date")
@@ -53,15 +71,11 @@ def refreshed_store(spark: SparkSession, sf_dir: str) -> TierStore:
     for a session and a source folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORES:
-        store = scratch_store(spark, buckets=16, variants=True)
+        store = scratch_store(spark, buckets=buckets_for(spark, sf_dir), variants=True)
         store.bootstrap(spark)
-        staged = [df.repartition("landed_in").sortWithinPartitions("landed_in") for df in raw_copies(spark, sf_dir)]
-        folder = f"{store.root}/_landing"
-        for name, df in zip(("events", "orders"), staged):
-            df.write.partitionBy("landed_in").parquet(f"{folder}/{name}")
-        events, orders = (spark.read.schema(df.schema).parquet(f"{folder}/{name}") for name, df in zip(("events", "orders"), staged))
+        staged = staged_copies(spark, sf_dir, store)
         for batch in range(BATCHES):
-            land_batch(spark, store, events, orders, batch)
+            land_batch(spark, store, *staged, batch)
             run_refresh(spark, store, fx.FIXTURE_AS_OF, steps=("silver", "quality", "gold"), incremental=True)
         _STORES[key] = store
     return _STORES[key]
@@ -69,11 +83,11 @@ def refreshed_store(spark: SparkSession, sf_dir: str) -> TierStore:
 
 def observed_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality rules as a full refresh of the landed batches counts them while it writes."""
-    store = scratch_store(spark, buckets=16)
+    store = scratch_store(spark, buckets=buckets_for(spark, sf_dir))
     store.bootstrap(spark)
-    copies = raw_copies(spark, sf_dir)
+    staged = staged_copies(spark, sf_dir, store)
     for batch in range(BATCHES):
-        land_batch(spark, store, *copies, batch)
+        land_batch(spark, store, *staged, batch)
     return run_refresh(spark, store, fx.FIXTURE_AS_OF, steps=("silver", "quality"), gate=False).quality
 
 
@@ -81,9 +95,11 @@ def observed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The statistics that the ingest of the fixture's topic records leaves, in ``BATCHES`` micro-batches."""
     store = scratch_store(spark)
     store.bootstrap(spark)
-    messages = fx.topic_messages(spark, sf_dir)
+    messages = fx.topic_messages(spark, sf_dir).withColumn("read_in", F.col("offset") % BATCHES)
+    messages.write.partitionBy("read_in").parquet(f"{store.root}/_topics")  # derived once, as a topic keeps them
+    messages = spark.read.schema(messages.schema).parquet(f"{store.root}/_topics")
     for batch in range(BATCHES):
-        ingest.write_batch(messages.filter(F.col("offset") % BATCHES == batch), batch, store, "fixture")
+        ingest.write_batch(messages.filter(F.col("read_in") == batch).drop("read_in"), batch, store, "fixture")
     return store.read(spark, "bronze", "ingest_stats").groupBy("source_name").agg(
         F.sum("rows").alias("rows"), F.sum("dead_letters").alias("dead_letters"), F.max("latest_at").alias("latest_at"))
 
@@ -93,12 +109,9 @@ def compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     just landed."""
     from tierline.plans.compaction import compact_raw
 
-    store = scratch_store(spark, buckets=16)
+    store = scratch_store(spark, buckets=buckets_for(spark, sf_dir))
     store.bootstrap(spark)
-    staged = []
-    for name, df in zip(("events", "orders"), raw_copies(spark, sf_dir)):
-        df.write.parquet(f"{store.root}/_landing/{name}")
-        staged.append(spark.read.schema(df.schema).parquet(f"{store.root}/_landing/{name}"))
+    staged = staged_copies(spark, sf_dir, store)
     for batch in range(BATCHES):
         land_batch(spark, store, *staged, batch)
         if batch == BATCHES - 2:
@@ -113,6 +126,8 @@ def replayed_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = scratch_store(spark)
     store.bootstrap(spark)
     letters = ingest.dead_letters(ingest.decode(fx.topic_messages(spark, sf_dir)))
+    letters.write.parquet(f"{store.root}/_letters")  # both queries store the same letters: found once
+    letters = spark.read.schema(letters.schema).parquet(f"{store.root}/_letters")
     for batch in range(2):  # two queries have stored the same letters
         store.land(letters.withColumn("ingest_date", F.lit(fx.FIXTURE_AS_OF).cast("date")), "dead_letter", "fixture", batch)
     broken = store.read(spark, "bronze", "dead_letter").filter(F.col("value").endswith('"metadata":not json}'))
