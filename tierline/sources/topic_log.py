@@ -29,11 +29,20 @@ NAME = "topic_log"
 SCHEMA = "topic string, partition int, offset long, timestamp timestamp, value string"
 
 
+#: Offsets of a topic partition that are written together.
+BLOCK = 1 << 18
+
+
 def append(records: DataFrame, path: str) -> None:
     """Add topic records (topic, partition, offset, timestamp, value) to the log, in offset order
-    within each file."""
-    (records.select("topic", "partition", "offset", "timestamp", "value").repartition("topic", "partition")
-     .sortWithinPartitions("topic", "partition", "offset").write.mode("append").partitionBy("topic", "partition").parquet(path))
+    within each file.
+
+    A task takes some blocks of offsets, in files of a size that AQE picks: topics have few partitions,
+    and a task for each would hold all that is appended to one."""
+    block = F.floor(F.col("offset") / BLOCK).alias("block")
+    (records.select("topic", "partition", "offset", "timestamp", "value", block).hint("rebalance", "topic", "partition", "block")
+     .sortWithinPartitions("topic", "partition", "offset").drop("block")
+     .write.mode("append").partitionBy("topic", "partition").parquet(path))
 
 
 @dataclass(frozen=True)
