@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tierline.operators import bitmaps, gold, quality, silver
 from tierline.operators.dedup import latest_per_key, repeats
 from tierline.plans import order_lines
-from tierline.sources.tables import PARTITIONING, TierStore, period_of
+from tierline.sources.tables import PARTITIONING, TierStore, observed, period_of
 
 #: Parts of the log of current rows before they are rewritten as one.
 MAX_PARTS = 32
@@ -192,12 +192,14 @@ def refine_all(spark: SparkSession, store: TierStore, as_of, commit: Commit, cou
     for model in MODELS:
         raw = store.read(spark, "bronze", model.raw).filter(F.col(model.key).isNotNull())
         latest = _latest(raw, model).withColumn("_again", repeats([model.key], model.time, model.tiebreak))
-        again = store.write(_in_buckets(latest, model, store).withColumn("seq", F.lit(seq).cast("long")),
-                            "silver", model.winners, {"again": F.count_if("_again")})
+        winners, again = observed(_in_buckets(latest, model, store).withColumn("seq", F.lit(seq).cast("long")),
+                                  {"again": F.count_if("_again")})
+        store.write(winners, "silver", model.winners)
         rules = quality.ROW_RULES[model.refined]()
-        refined = model.refine(store.read(spark, "silver", model.winners), as_of)
-        found[model.refined] = {quality.UNIQUE_RULE[model.refined]: again["again"],
-                                **store.write(refined, "silver", model.refined, rules)}
+        refined, broken = observed(store.laid_out(model.refine(store.read(spark, "silver", model.winners), as_of),
+                                                  "silver", model.refined), rules)
+        store.write(refined, "silver", model.refined)
+        found[model.refined] = {quality.UNIQUE_RULE[model.refined]: again()["again"], **broken()}
     store.write(spark.createDataFrame([], store.read(spark, "silver", "user_changes", partitions=True).schema),
                 "silver", "user_changes")
     commit.add(counted)

@@ -181,12 +181,15 @@ class TierStore:
                     if value(batch) != _NULL_PART and 0 <= int(value(batch)) <= view.marks.get(value(run), -1):
                         fs.delete(batch, True)
 
-    def _laid_out(self, df: DataFrame, tier: str, table: str) -> DataFrame:
+    def laid_out(self, df: DataFrame, tier: str, table: str) -> DataFrame:
         """With the partition column, rows of a partition together in files of a size that AQE
-        picks, in time order within a file (row-group statistics then skip by time)."""
+        picks, in time order within a file (row-group statistics then skip by time).  Rows that have their partition
+        column already are laid out."""
         if (tier, table) not in PERIODS:
             return df
         column, time = next(iter(PARTITIONING[tier, table])), PERIODS[tier, table][0]
+        if column in df.columns:
+            return df
         return (df.withColumn(column, period_of(tier, table)).hint("rebalance", column)
                 .sortWithinPartitions(column, time))
 
@@ -197,7 +200,7 @@ class TierStore:
         They are observed in the stage that writes, behind its shuffle: there a task that is run again counts
         once.  Columns that begin with ``_`` serve the measures and are not written."""
         spark = df.sparkSession
-        df, found = observed(self._laid_out(df, tier, table), measures)
+        df, found = observed(self.laid_out(df, tier, table), measures)
         writer = df.write.format(self.fmt)
         parts = [c for c in PARTITIONING.get((tier, table), {}) if c in df.columns]
         if parts:
@@ -220,7 +223,7 @@ class TierStore:
         which has no row of another day; days without rows go."""
         spark = df.sparkSession
         path = self.path(spark, tier, table)
-        df = self._laid_out(df, tier, table)
+        df = self.laid_out(df, tier, table)
         column = next(iter(PARTITIONING[tier, table]))
         # Asked before the write: the rows may come from the very files that it replaces.
         filled = {r[0] for r in df.select(column).distinct().collect()}  # calendar days
