@@ -65,6 +65,26 @@ def test_cache_is_bounded(encoder, monkeypatch):
     assert " ".join(decoded) == encoder.whole.decode(want, skip_special_tokens=False)
 
 
+def test_frequent_pieces_outlive_the_bound(monkeypatch):
+    monkeypatch.setattr(bt, "CACHE_PIECES", 8)
+    own, encoded = bt.Encoder(bt.tokenizer_json()), []
+
+    class Counted:
+        def __getattr__(self, name):
+            return getattr(whole, name)
+
+        def encode_batch_fast(self, pieces, **kw):
+            encoded.extend(pieces)
+            return whole.encode_batch_fast(pieces, **kw)
+
+    whole, own.whole = own.whole, Counted()
+    for i in range(40):  # each text has the same piece and two new ones
+        (ids, _), = own.encode_texts([f"the n{i} m{i}"])
+        assert [k for part in ids for k in part] == whole.encode(f"the n{i} m{i}", add_special_tokens=False).ids
+        assert len(own.seen) <= 8 and len(own.older) <= 8
+    assert encoded.count("the") == 1 and len(encoded) == 81
+
+
 def test_leaves_and_joins_keep_their_tasks(make):
     """Adaptive execution must not coalesce the few bytes of the leaves into one task."""
     frame = bt.encode(make(["ab " * 300, "cd" * 400, "e"]), long_chars=200, leaf_chars=60)
@@ -73,5 +93,29 @@ def test_leaves_and_joins_keep_their_tasks(make):
     assert plan.count("REPARTITION_BY_NUM") >= 2 and "ENSURE_REQUIREMENTS" not in plan
 
 
+def test_a_worker_loads_the_tokenizer_once(monkeypatch):
+    """Not twice a task: the second tokenizer is only for parts of long texts, and later tasks find the first."""
+    import tokenizers
+
+    loads = []
+
+    class Counted:
+        @staticmethod
+        def from_str(content):
+            loads.append(content)
+            return real.from_str(content)
+
+    real = tokenizers.Tokenizer
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    bt.worker_encoder.cache_clear()
+    content = bt.tokenizer_json()
+    for _ in range(3):  # three tasks
+        bt.worker_encoder("".join([content]), True).encode_texts(["ab cd"])
+    assert len(loads) == 1
+    for _ in range(2):
+        assert bt.worker_encoder(content, True).tokens("ab cd")
+    assert len(loads) == 2
+
+
 def test_empty_table(make):
     assert bt.encode(make(["a"]).limit(0)).count() == 0

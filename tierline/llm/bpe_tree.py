@@ -1,7 +1,7 @@
 """BPE encoding and decoding, long texts by tree concatenation.
 
 Texts up to ``long_chars`` are encoded word by word: the tokenizer never joins across ASCII
-blanks, so each different blank-free piece is encoded once and remembered, up to a bound.  A longer text is normalised once, cut into
+blanks, so each different blank-free piece is encoded once and remembered by the worker, up to a bound.  A longer text is normalised once, cut into
 halves, halves of halves and so on down to ``leaf_chars``; the leaves are rows of their own,
 spread over all tasks.  Then neighbours are joined pairwise up the tree.  At each join a
 window around the cut is encoded anew and grows until it agrees exactly with both sides:
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -36,7 +37,8 @@ TOKENIZER = "word_bpe_49k.json"
 LONG_CHARS = 1 << 16
 LEAF_CHARS = 1 << 14
 WINDOW = 64
-#: Pieces that a task remembers; the memory starts anew beyond it.
+#: Pieces that a worker remembers in each of two generations.  When the new one is full it becomes the old one, and
+#: what is used of that is taken over: frequent pieces stay.
 CACHE_PIECES = 1 << 19
 #: Text bytes encoded at once.
 BLOCK = 1 << 20
@@ -63,18 +65,27 @@ class Encoder:
         self.whole = Tokenizer.from_str(content)
         self.whole.no_truncation()
         self.whole.no_padding()
-        self.part = Tokenizer.from_str(content)
-        self.part.no_truncation()
-        self.part.no_padding()
-        self.part.normalizer = None
-        self.part.encode_special_tokens = True  # special tokens were split off before
+        self._content = content
         special = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items()}
         self.special = special
         self.digests = digests
         self.seen: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
         names = sorted(special, key=lambda s: (-len(s), s))
         self.split = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
 
+    @cached_property
+    def part(self):
+        """Loaded when the first leaf or window is encoded: most tasks see none."""
+        from tokenizers import Tokenizer
+
+        part = Tokenizer.from_str(self._content)
+        part.no_truncation()
+        part.no_padding()
+        part.normalizer = None
+        part.encode_special_tokens = True  # special tokens were split off before
+        return part
+
     def encode_texts(self, texts: list[str]) -> list[tuple[list, list[str]]]:
         """For each text its pieces' ids (lists, or text when ``digests``) and decoded text;
         pieces without a token are left out."""
@@ -95,9 +106,11 @@ class Encoder:
     def _remember(self, split: list[list[str]]) -> None:
         wanted = set().union(*split) - self.seen.keys()
         if len(self.seen) + len(wanted) > CACHE_PIECES:
-            self.seen.clear()
+            self.older, self.seen = self.seen, {}
             wanted = set().union(*split)
-        new = list(wanted)
+        again = wanted & self.older.keys()
+        self.seen.update((piece, self.older[piece]) for piece in again)
+        new = list(wanted - again)
         for i in range(0, len(new), 4096):
             some = new[i:i + 4096]
             ids = [e.ids for e in self.whole.encode_batch_fast(some, add_special_tokens=False)]
@@ -158,6 +171,12 @@ class Encoder:
         return self.join(text, at, left, self.build(text, cut, end, leaf, leaves, window), cut, end, window)
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(content: str, digests: bool = False) -> Encoder:
+    """The encoder of this Python worker: loaded, and its pieces remembered, over the worker's tasks."""
+    return Encoder(content, digests)
+
+
 def _first(units: list, position: int) -> int:
     """Index of the first unit that starts at the position or behind it."""
     lo, hi = 0, len(units)
@@ -209,7 +228,7 @@ def encode(docs: DataFrame, content: str | None = None, long_chars: int = LONG_C
                 hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest())
 
     def start():
-        enc = Encoder(content, digests)
+        enc = worker_encoder(content, digests)
 
         def handle(data, off):
             raw = data.tobytes()
@@ -223,8 +242,8 @@ def encode(docs: DataFrame, content: str | None = None, long_chars: int = LONG_C
     leaf_arrow = to_arrow_schema(leaf_schema)
 
     def cut(batches):
-        enc = Encoder(content)
         for batch in batches:
+            enc = worker_encoder(content, digests)
             for doc, text, row in zip(*(c.to_pylist() for c in batch.columns)):
                 rows = []
                 for k, (special, part) in enumerate(enc.sections(text)):
@@ -240,9 +259,8 @@ def encode(docs: DataFrame, content: str | None = None, long_chars: int = LONG_C
     unit_arrow = to_arrow_schema(unit_schema)
 
     def encode_leaves(batches):
-        enc = None
         for batch in batches:
-            enc = enc or Encoder(content)
+            enc = worker_encoder(content, digests)
             for i in range(batch.num_rows):  # one leaf at a time bounds the units held
                 r = batch.slice(i, 1).to_pylist()[0]
                 units = enc.tokens(r["text"], r["at"]) if r["special"] is None else []
@@ -252,12 +270,8 @@ def encode(docs: DataFrame, content: str | None = None, long_chars: int = LONG_C
     out_schema = StructType([docs.schema["doc_id"], *StructType.fromDDL(fields).fields])
     out_arrow = to_arrow_schema(out_schema)
 
-    loaded: list[Encoder] = []  # one a task
-
     def join(group):
-        if not loaded:
-            loaded.append(Encoder(content))
-        enc = loaded[0]
+        enc = worker_encoder(content, digests)
         ids: list[int] = []
         rows = group.sort_by([("section", "ascending"), ("at", "ascending")]).to_pylist()
         sections: dict[int, list] = {}
