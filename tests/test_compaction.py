@@ -3,15 +3,20 @@
 import os
 import random
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import ev
 from test_incremental import random_batch
 from test_refresh import _land, _snapshot
 
+from tierline.plans import incremental as inc
+from tierline.plans import order_lines
 from tierline.plans.compaction import compact_raw
 from tierline.plans.refresh import freshness, new_batches, run_refresh
 from tierline.sources import fixtures as fx
+from tierline.sources.buckets import BucketedTable
 from tierline.sources.tables import TierStore
 
 STEPS = ("silver", "gold")
@@ -90,3 +95,59 @@ def test_hidden_folders_are_not_read(spark, tmp_dir):
     compact_raw(spark, store, "2024-02-02")
     plan = store.read(spark, "bronze", "events")._jdf.queryExecution().executedPlan().toString()
     assert "batch_id" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_rows_are_stored_compressed(spark, tmp_dir):
+    """A row is written by every layout it passes through: landed, current, refined, as lines, compacted."""
+    store = landed(spark, tmp_dir, 2)
+    run_refresh(spark, store, fx.FIXTURE_AS_OF, steps=("silver",), incremental=True)
+    compact_raw(spark, store, "2024-02-02")
+    _land(spark, store, 2, [ev("new")], [])
+    run_refresh(spark, store, fx.FIXTURE_AS_OF, steps=("silver",), incremental=True)
+    codecs = {}
+    for d, _, names in os.walk(store.root):
+        for n in (n for n in names if n.endswith(".parquet") and "_statistics" not in d):
+            meta = pq.ParquetFile(os.path.join(d, n)).metadata
+            if meta.num_rows:
+                codecs.setdefault(os.path.relpath(d, store.root).split(os.sep)[1], set()).add(meta.row_group(0).column(0).compression)
+    assert {"events", "orders", "event_winners", "order_winners", "clean_events", "validate_orders", "order_lines"} <= set(codecs)
+    assert set.union(*codecs.values()) == {"ZSTD"}
+
+
+def test_lines_of_a_single_part_need_no_search_for_the_latest(spark, tmp_dir, monkeypatch):
+    """A full refresh has just written each id once, so the orders are not shuffled again; a log of parts is searched."""
+    store, found, real = landed(spark, tmp_dir, 2), [], inc._latest
+
+    def latest(rows, model, *more):
+        found.append(model.raw)
+        return real(rows, model, *more)
+
+    monkeypatch.setattr(inc, "_latest", latest)
+    run_refresh(spark, store, fx.FIXTURE_AS_OF, steps=("silver",))
+    assert found == ["events", "orders"]
+    _land(spark, store, 2, *random_batch(random.Random(8), 15))
+    run_refresh(spark, store, fx.FIXTURE_AS_OF, steps=("silver",), incremental=True)
+    commit = inc.read_commit(spark, store)
+    assert len(store.parts(spark, "silver", "order_winners")) == 2
+
+    def lines():
+        own = order_lines.tables(store, commit.lines)[0].read(spark).filter(F.col("attempt").isin(commit.attempts))
+        return sorted(map(tuple, own.groupBy("order_id", "product_id", "product_name", "revenue")
+                          .agg(F.sum("raw").alias("raw"), F.sum("latest").alias("latest"))
+                          .filter("raw <> 0 or latest <> 0").collect()), key=repr)
+
+    before = lines()
+    found.clear()
+    inc.build_lines(spark, store, commit)
+    assert found == ["orders"] and lines() == before
+
+
+def test_what_all_rows_share_is_not_shuffled(spark, tmp_dir):
+    table = BucketedTable(os.path.join(tmp_dir, "lines"), "k string, v long, attempt string", "k", 4)
+    rows = spark.createDataFrame([(f"k{i % 7}", i) for i in range(50)], "k string, v long")
+    table.append(rows, attempt="a")
+    table.append(rows.withColumn("attempt", F.lit("b")))
+    got = sorted(map(tuple, table.read(spark).collect()))
+    assert got == sorted((k, v, a) for k, v in map(tuple, rows.collect()) for a in "ab")
+    plan = table.read(spark).groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan

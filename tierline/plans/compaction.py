@@ -37,9 +37,9 @@ def compact_raw(spark: SparkSession, store: TierStore, before: date | str) -> in
         done = done | (F.col("run").eqNullSafe(F.lit(run)) & F.col("batch_id").between(0, mark))
     for table, order in TABLES.items():
         rows = store.read(spark, "bronze", table, partitions=True).filter((F.col("ingest_date") <= F.lit(last)) & done)
-        (rows.withColumn("landed_batch", F.col("batch_id")).withColumn("batch_id", F.lit(-number).cast("long"))
-         .hint("rebalance", "ingest_date", "run").sortWithinPartitions("ingest_date", "run", *order)
-         .write.format(store.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LANDED)
+        rows = (rows.withColumn("landed_batch", F.col("batch_id")).withColumn("batch_id", F.lit(-number).cast("long"))
+                .hint("rebalance", "ingest_date", "run").sortWithinPartitions("ingest_date", "run", *order))
+        (store.writer(rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LANDED)
          .save(store.folder("bronze", table)))
     new = RawView(number, last, dict(commit.marks))
     store.write(spark.createDataFrame(new.rows(), "generation long, last_day date, run string, mark long"), "silver", "raw_view")

@@ -212,8 +212,10 @@ def build_lines(spark: SparkSession, store: TierStore, commit: Commit) -> None:
     """Build the bucketed order lines anew, from the raw copies of finished batches."""
     before = commit.lines
     copies = store.read(spark, "bronze", "orders", partitions=True).filter(finished(commit))
-    current = _latest(store.read(spark, "silver", "order_winners", partitions=True)
-                      .filter(F.col("seq") <= commit.seq).drop("seq", "bucket"), MODELS[1])
+    current = (store.read(spark, "silver", "order_winners", partitions=True)
+               .filter(F.col("seq") <= commit.seq).drop("seq", "bucket"))
+    if sum(n <= commit.seq for n in store.parts(spark, "silver", "order_winners")) != 1:
+        current = _latest(current, MODELS[1])  # one part has an id once
     commit.lines = f"v-{uuid.uuid4().hex}"
     commit.attempts = [order_lines.add(store, commit.lines, commit.seq, copies, current, None,
                                        store.read(spark, "silver", "validate_orders"))]

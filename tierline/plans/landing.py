@@ -16,7 +16,7 @@ from tierline.plans.refresh import run_refresh
 from tierline.session import ensure_checkpoint_dir
 from tierline.sources import fixtures as fx
 from tierline.sources import topic_log
-from tierline.sources.tables import TierStore, observed
+from tierline.sources.tables import COMPRESSION, TierStore, observed
 from tierline.streaming import ingest, replay
 
 BATCHES = 3
@@ -49,7 +49,7 @@ def staged_copies(spark: SparkSession, sf_dir: str, store: TierStore) -> list[Da
     Each task writes what it derived, so however few the batches are, no task holds one of them."""
     staged = []
     for name, df in zip(("events", "orders"), raw_copies(spark, sf_dir)):
-        df.write.partitionBy("landed_in").parquet(f"{store.root}/_landing/{name}")
+        df.write.partitionBy("landed_in").parquet(f"{store.root}/_landing/{name}", compression=COMPRESSION["parquet"])
         staged.append(spark.read.schema(df.schema).parquet(f"{store.root}/_landing/{name}"))
     return staged
 

@@ -49,8 +49,8 @@ def add(store: TierStore, folder: str, seq: int, copies: DataFrame, current: Dat
     attempt = uuid.uuid4().hex
     lines, known = tables(store, folder)
     parts = [lines_of(copies, raw=1), lines_of(current, latest=1)] + ([lines_of(replaced, latest=-1)] if replaced is not None else [])
-    lines.append(reduce(DataFrame.unionByName, parts).withColumn("attempt", F.lit(attempt)))
-    known.append(states.select("order_id", "status", F.lit(seq).cast("long").alias("seq"), F.lit(attempt).alias("attempt")))
+    lines.append(reduce(DataFrame.unionByName, parts), attempt=attempt)
+    known.append(states.select("order_id", "status", F.lit(seq).cast("long").alias("seq")), attempt=attempt)
     return attempt
 
 

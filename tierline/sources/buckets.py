@@ -11,6 +11,9 @@ import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tierline.sources.tables import COMPRESSION
 
 
 @dataclass(frozen=True)
@@ -25,14 +28,17 @@ class BucketedTable:
         return "bucketed_" + hashlib.md5(self.path.encode()).hexdigest()
 
     def _known(self, spark: SparkSession) -> None:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({self.columns}) USING parquet CLUSTERED BY ({self.key}) "
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({self.columns}) USING parquet OPTIONS (compression '{COMPRESSION['parquet']}') "
+                  f"CLUSTERED BY ({self.key}) "
                   f"SORTED BY ({self.key}) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
 
-    def append(self, df: DataFrame) -> None:
-        """Add rows: one file a bucket, sorted by the key."""
+    def append(self, df: DataFrame, **same) -> None:
+        """Add rows: one file a bucket, sorted by the key.  Columns that are the ``same`` value in all of them are
+        given by name, as they need no shuffle."""
         self._known(df.sparkSession)
         names = [c.strip().split(" ")[0] for c in self.columns.split(",")]
-        (df.select(*names).repartition(self.buckets, self.key).write.mode("append").format("parquet")
+        rows = df.select(*[n for n in names if n not in same]).repartition(self.buckets, self.key)
+        (rows.select(*[F.lit(same[n]).alias(n) if n in same else n for n in names]).write.mode("append").format("parquet")
          .bucketBy(self.buckets, self.key).sortBy(self.key).saveAsTable(self.name))
 
     def read(self, spark: SparkSession) -> DataFrame:
