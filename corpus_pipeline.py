@@ -21,6 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tierline.llm import bpe_tree, decontaminate, language_id, line_dedup, simhash_bktree
 from tierline.llm.common import table, written
 
+#: Workers keep their pieces while the stages of the next corpus fill the executor's heap: a quarter of what the
+#: operator remembers by itself.
+BPE_PIECES = 1 << 17
+
 
 def _language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language_id.keep_known(docs)
@@ -39,7 +43,7 @@ def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def _bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe_tree.encode(docs)
+    return bpe_tree.encode(docs, pieces=BPE_PIECES)
 
 
 STAGES = [

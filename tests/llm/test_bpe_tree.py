@@ -85,6 +85,30 @@ def test_frequent_pieces_outlive_the_bound(monkeypatch):
     assert encoded.count("the") == 1 and len(encoded) == 81
 
 
+def test_characters_of_the_pieces_are_bounded(monkeypatch):
+    monkeypatch.setattr(bt, "CACHE_PIECES", 8)
+    own = bt.Encoder(bt.tokenizer_json())
+    for i in range(20):  # 82 characters a piece and more, where 8 pieces may have 128 together
+        text = "long" * 20 + f"w{i}"
+        (ids, _), = own.encode_texts([text])
+        assert [k for part in ids for k in part] == own.whole.encode(text, add_special_tokens=False).ids
+        assert len(own.seen) <= 1 and len(own.older) <= 1
+
+
+def test_a_caller_can_have_fewer_pieces_remembered(make):
+    own = bt.Encoder(bt.tokenizer_json(), pieces=4)
+    for i in range(20):
+        text = f"the n{i} m{i} the"
+        (ids, decoded), = own.encode_texts([text])
+        want = own.whole.encode(text, add_special_tokens=False).ids
+        assert [k for part in ids for k in part] == want and " ".join(decoded) == own.whole.decode(want)
+        assert len(own.seen) <= 4 and len(own.older) <= 4
+    texts = [None, "", "one two three four five six", "one 12345 one", "ab " * 300]
+    rows = lambda **kw: sorted((r.doc_id, list(r.ids), r.decoded)
+                               for r in bt.encode(make(texts), long_chars=200, leaf_chars=60, **kw).collect())
+    assert rows(pieces=2) == rows()
+
+
 def test_leaves_and_joins_keep_their_tasks(make):
     """Adaptive execution must not coalesce the few bytes of the leaves into one task."""
     frame = bt.encode(make(["ab " * 300, "cd" * 400, "e"]), long_chars=200, leaf_chars=60)

@@ -19,6 +19,13 @@ def test_stages_and_registration():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
+def test_workers_remember_few_pieces_beside_the_other_stages(spark, make, monkeypatch):
+    asked = []
+    monkeypatch.setattr(bpe_tree, "encode", lambda docs, **kw: asked.append(kw) or docs)
+    cp.STAGES[-1][1](spark, make(["a"]), DATA)
+    assert 0 < asked[0]["pieces"] <= bpe_tree.CACHE_PIECES // 4
+
+
 def test_pipeline_equals_brute_force_stage_by_stage(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]

@@ -38,8 +38,11 @@ LONG_CHARS = 1 << 16
 LEAF_CHARS = 1 << 14
 WINDOW = 64
 #: Pieces that a worker remembers in each of two generations.  When the new one is full it becomes the old one, and
-#: what is used of that is taken over: frequent pieces stay.
+#: what is used of that is taken over: frequent pieces stay.  They lie beside the executor's heap, also between tasks
+#: and while the worker does other work: about 300 bytes a piece.
 CACHE_PIECES = 1 << 19
+#: Characters of the pieces in a generation, for each piece that it may hold.
+PIECE_CHARS = 16
 #: Text bytes encoded at once.
 BLOCK = 1 << 20
 _BLANKS = "\t\n\x0b\x0c\r"
@@ -56,7 +59,7 @@ class Encoder:
     """The library's tokenizer, and the same one without its normalizer for parts of a text
     that is normalised already."""
 
-    def __init__(self, content: str, digests: bool = False):
+    def __init__(self, content: str, digests: bool = False, pieces: int | None = None):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -69,8 +72,11 @@ class Encoder:
         special = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items()}
         self.special = special
         self.digests = digests
+        self.pieces = pieces
         self.seen: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
+        self.chars = 0  # of the pieces in ``seen``
+        self.numbers: dict[int, int] = {}  # one object for each id
         names = sorted(special, key=lambda s: (-len(s), s))
         self.split = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
 
@@ -87,7 +93,7 @@ class Encoder:
         return part
 
     def encode_texts(self, texts: list[str]) -> list[tuple[list, list[str]]]:
-        """For each text its pieces' ids (lists, or text when ``digests``) and decoded text;
+        """For each text its pieces' ids (tuples, or text when ``digests``) and decoded text;
         pieces without a token are left out."""
         split = []
         for text in texts:
@@ -104,10 +110,14 @@ class Encoder:
         return out
 
     def _remember(self, split: list[list[str]]) -> None:
+        most = CACHE_PIECES if self.pieces is None else self.pieces
         wanted = set().union(*split) - self.seen.keys()
-        if len(self.seen) + len(wanted) > CACHE_PIECES:
-            self.older, self.seen = self.seen, {}
+        chars = sum(map(len, wanted))
+        if len(self.seen) + len(wanted) > most or self.chars + chars > most * PIECE_CHARS:
+            self.older, self.seen, self.chars = self.seen, {}, 0
             wanted = set().union(*split)
+            chars = sum(map(len, wanted))
+        self.chars += chars
         again = wanted & self.older.keys()
         self.seen.update((piece, self.older[piece]) for piece in again)
         new = list(wanted - again)
@@ -116,7 +126,10 @@ class Encoder:
             ids = [e.ids for e in self.whole.encode_batch_fast(some, add_special_tokens=False)]
             decoded = self.whole.decode_batch(ids, skip_special_tokens=False)
             for piece, own, text in zip(some, ids, decoded):
-                self.seen[piece] = (" ".join(map(str, own)) if self.digests else own, text) if own else (None, None)
+                self.seen[piece] = (self._held(own), text) if own else (None, None)
+
+    def _held(self, ids: list[int]) -> str | tuple:
+        return " ".join(map(str, ids)) if self.digests else tuple(map(self.numbers.setdefault, ids, ids))
 
     def sections(self, text: str) -> list[tuple[int | None, str]]:
         """(special id, "") or (None, normalised text), in the order of the text."""
@@ -172,9 +185,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def worker_encoder(content: str, digests: bool = False) -> Encoder:
+def worker_encoder(content: str, digests: bool = False, pieces: int | None = None) -> Encoder:
     """The encoder of this Python worker: loaded, and its pieces remembered, over the worker's tasks."""
-    return Encoder(content, digests)
+    return Encoder(content, digests, pieces)
 
 
 def _first(units: list, position: int) -> int:
@@ -209,9 +222,9 @@ def encode_long(encoder: Encoder, text: str, leaf: int = LEAF_CHARS, window: int
 
 
 def encode(docs: DataFrame, content: str | None = None, long_chars: int = LONG_CHARS,
-           leaf_chars: int = LEAF_CHARS, digests: bool = False) -> DataFrame:
+           leaf_chars: int = LEAF_CHARS, digests: bool = False, pieces: int | None = None) -> DataFrame:
     """doc_id, n_tokens, ids (array of int) and decoded (text); with ``digests`` the SHA-256 of
-    the ids, written with one blank between, and of the decoded text in their place."""
+    the ids, written with one blank between, and of the decoded text in their place.  ``pieces`` is what a worker remembers in place of ``CACHE_PIECES``."""
     content = content or tokenizer_json()
     docs = docs.select("doc_id", "text")
     is_long = F.length("text") > long_chars
@@ -228,7 +241,7 @@ def encode(docs: DataFrame, content: str | None = None, long_chars: int = LONG_C
                 hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest())
 
     def start():
-        enc = worker_encoder(content, digests)
+        enc = worker_encoder(content, digests, pieces)
 
         def handle(data, off):
             raw = data.tobytes()
@@ -243,7 +256,7 @@ def encode(docs: DataFrame, content: str | None = None, long_chars: int = LONG_C
 
     def cut(batches):
         for batch in batches:
-            enc = worker_encoder(content, digests)
+            enc = worker_encoder(content, digests, pieces)
             for doc, text, row in zip(*(c.to_pylist() for c in batch.columns)):
                 rows = []
                 for k, (special, part) in enumerate(enc.sections(text)):
@@ -260,7 +273,7 @@ def encode(docs: DataFrame, content: str | None = None, long_chars: int = LONG_C
 
     def encode_leaves(batches):
         for batch in batches:
-            enc = worker_encoder(content, digests)
+            enc = worker_encoder(content, digests, pieces)
             for i in range(batch.num_rows):  # one leaf at a time bounds the units held
                 r = batch.slice(i, 1).to_pylist()[0]
                 units = enc.tokens(r["text"], r["at"]) if r["special"] is None else []
@@ -271,7 +284,7 @@ def encode(docs: DataFrame, content: str | None = None, long_chars: int = LONG_C
     out_arrow = to_arrow_schema(out_schema)
 
     def join(group):
-        enc = worker_encoder(content, digests)
+        enc = worker_encoder(content, digests, pieces)
         ids: list[int] = []
         rows = group.sort_by([("section", "ascending"), ("at", "ascending")]).to_pylist()
         sections: dict[int, list] = {}
