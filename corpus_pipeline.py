@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tierline.llm import bpe_tree, decontaminate, language_id, line_dedup, simhash_bktree
 from tierline.llm.common import table, written
 
-#: Workers keep their pieces while the stages of the next corpus fill the executor's heap: a quarter of what the
+#: Workers keep their pieces while the stages of the next corpus fill the executor's heap: an eighth of what the
 #: operator remembers by itself.
-BPE_PIECES = 1 << 17
+BPE_PIECES = 1 << 16
 
 
 def _language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

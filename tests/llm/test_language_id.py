@@ -52,3 +52,19 @@ def test_clusters_and_long_text(make):
     assert len(li.cluster(v, 3)) == 3 and len(li.cluster(v[:1], 3)) == 1
     docs = make([(i, "the words of a text " * n) for i, n in enumerate((1, 20000))])
     assert {r.lang_pred for r in li.predict(docs, li.fit(docs)).collect()} == {"en"}
+
+
+def test_sample_vectors_hold_counts_of_one_text_at_a_time():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.choice(list(b"abcdefghij klmno"), rng.integers(0, 400)).tolist()) for _ in range(300)] + [b""]
+    data, off = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])
+    idf = (rng.random(li.DIMS) * 8).astype(np.float32)
+    counts = np.stack([li.term_counts(np.frombuffer(t, np.uint8)) for t in texts])
+    tracemalloc.start()
+    v, reach = li.sample_vectors(data, off, idf)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(v, li.unit(counts, idf)) and np.array_equal(reach, li.length_share(counts))
+    assert peak < 1.3 * v.nbytes

@@ -73,6 +73,16 @@ def length_share(counts: np.ndarray) -> np.ndarray:
     return np.sqrt(d / (d + HALF_LENGTH))
 
 
+def sample_vectors(data: np.ndarray, off: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors and length shares of texts.  Counts are held for one text at a time: those of a whole sample
+    take several times the memory of its vectors."""
+    v, reach = np.empty((len(off) - 1, len(idf)), np.float32), np.empty(len(off) - 1)
+    for i in range(len(v)):
+        counts = term_counts(data[off[i]:off[i + 1]], len(idf))
+        v[i], reach[i] = unit(counts, idf), length_share(counts)
+    return v, reach
+
+
 def cluster(vectors: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     """Spherical k-means from a farthest-first start: no random numbers, equal on any run."""
     pick = [0]
@@ -131,9 +141,7 @@ def fit(labelled: DataFrame, dims: int = DIMS, centroids: int = CENTROIDS,
         out = {"lang": [], "centre": [], "least": []}
         if texts:
             data, off = text_buffer(pa.array(texts, pa.string()))
-            counts = np.stack([term_counts(data[off[i]:off[i + 1]], dims) for i in range(len(texts))])
-            v = unit(counts, idf)
-            reach = length_share(counts)
+            v, reach = sample_vectors(data, off, idf)
             centre = cluster(v, centroids)
             near = v @ centre.T
             owner = np.argmax(near, axis=1)
