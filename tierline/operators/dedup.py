@@ -27,6 +27,17 @@ def repeats(keys: Sequence[str], order_col: str, tiebreak: Sequence[str] = ()) -
     return F.row_number().over(_newest_first(keys, order_col, tiebreak)) > 1
 
 
+def comes_before(order_col: str, tiebreak: Sequence[str], other: str) -> Column:
+    """Whether a row comes before the row in its struct column ``other`` in the order of :func:`latest_per_key`;
+    not where the two are equal in all of it."""
+    before = F.lit(False)
+    for name in reversed([order_col, *tiebreak]):
+        mine, its = F.col(name), F.col(other)[name]
+        before = (F.when(mine.eqNullSafe(its), before).when(mine.isNull(), F.lit(False)).when(its.isNull(), F.lit(True))
+                  .otherwise(mine > its if name == order_col else mine < its))
+    return before
+
+
 def _newest_first(keys: Sequence[str], order_col: str, tiebreak: Sequence[str]) -> WindowSpec:
     order = [F.col(order_col).desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tiebreak]
     return Window.partitionBy(*keys).orderBy(*order)

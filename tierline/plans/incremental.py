@@ -32,12 +32,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.operators import bitmaps, gold, quality, silver
-from tierline.operators.dedup import latest_per_key, repeats
+from tierline.operators.dedup import comes_before, latest_per_key, repeats
 from tierline.plans import order_lines
 from tierline.sources.tables import PARTITIONING, TierStore, observed, period_of
 
 #: Parts of the log of current rows before they are rewritten as one.
 MAX_PARTS = 32
+#: Raw rows of new batches that are few: the current rows of their ids are picked before they are shuffled.
+FEW_ROWS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -160,8 +162,8 @@ def current_rows(spark: SparkSession, store: TierStore, model: Model, seq: int,
         (F.col("seq") <= seq) & F.col("bucket").isin(buckets))
 
 
-def _latest(rows: DataFrame, model: Model, more: tuple[str, ...] = ()) -> DataFrame:
-    return latest_per_key(rows, [model.key], model.time, (*model.tiebreak, *more))
+def _latest(rows: DataFrame, model: Model) -> DataFrame:
+    return latest_per_key(rows, [model.key], model.time, model.tiebreak)
 
 
 def _in_buckets(rows: DataFrame, model: Model, store: TierStore) -> DataFrame:
@@ -233,32 +235,38 @@ def refine_new(spark: SparkSession, store: TierStore, as_of, commit: Commit, bat
     seq = commit.seq + 1
     changes, days, logs, attempt = [], {}, [], None
     held: list[DataFrame] = []
+
+    def kept(df: DataFrame) -> DataFrame:
+        """Read by each of the tables that a refinement adds to, derived once."""
+        held.append(df.persist())
+        return held[-1]
+
     landed = store.read(spark, "bronze", "orders", partitions=True).filter(in_batches(counted))
     try:
         for model in MODELS:
-            changed = _changed(spark, store, model, commit, batches)
+            changed = _changed(spark, store, model, commit, batches, kept)
             if changed is None:
                 days[model.refined] = []
                 continue
-            new, old = (df.persist() for df in changed)
-            held += [new, old]
-            added, gone = model.refine(new, as_of), model.refine(old, as_of)
+            new, old = changed
+            added, gone = kept(model.refine(new, as_of)), kept(model.refine(old, as_of))
             periods = {r[0] for r in added.select(period_of("silver", model.refined))
                        .union(gone.select(period_of("silver", model.refined))).distinct().collect()}  # calendar
-            periods |= _intended(spark, store, model, seq)
-            days[model.refined] = sorted(periods, key=str)
-            logs.append((model, new, added))
+            before = _intended(spark, store, model, seq)
+            days[model.refined] = sorted(periods | before, key=str)
+            # The refined rows of ids that were not known are there only if an attempt before this one got so far.
+            logs.append((model, new, added, new if before else old))
             if model.raw == "orders":
                 attempt = order_lines.add(store, commit.lines, seq, landed, new, old, added)
             changes += [model.rows(added).withColumn("sign", F.lit(1)), model.rows(gone).withColumn("sign", F.lit(-1))]
         _intend(spark, store, seq, days)
-        for model, new, added in logs:
+        for model, _, added, ids in logs:
             if days[model.refined]:
                 note(model.refined, days[model.refined])
-                _replace(spark, store, model, days[model.refined], added, new)
+                _replace(spark, store, model, days[model.refined], added, ids)
         if changes:
             store.add_part(reduce(DataFrame.unionByName, changes), "silver", "user_changes", seq)
-        for model, new, _ in logs:
+        for model, new, _, _ in logs:
             store.add_part(_in_buckets(new, model, store), "silver", model.winners, seq)
     finally:
         for df in held:
@@ -270,29 +278,32 @@ def refine_new(spark: SparkSession, store: TierStore, as_of, commit: Commit, bat
     return days
 
 
-def _changed(spark: SparkSession, store: TierStore, model: Model, commit: Commit,
-             batches: list[tuple]) -> tuple[DataFrame, DataFrame] | None:
-    """(current raw rows that the batches bring, the rows they take the place of)."""
+def _changed(spark: SparkSession, store: TierStore, model: Model, commit: Commit, batches: list[tuple],
+             kept: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame] | None:
+    """(current raw rows that the batches bring, the rows they take the place of).
+
+    Both are sides of one frame (``kept`` may persist it) of the latest row of the batches and the latest known row
+    of each id, which stand in the same place after their shuffles and so meet without another."""
     rows = (store.read(spark, "bronze", model.raw, partitions=True).filter(in_batches(batches))
             .filter(F.col(model.key).isNotNull()).select(store.read(spark, "bronze", model.raw).columns))
-    fresh = _latest(rows, model)
-    buckets = sorted(r[0] for r in fresh.select(bucket_of(model.key, store.buckets).alias("b")).distinct().collect())
-    if not buckets:
+    counts = dict(tuple(r) for r in rows.groupBy(bucket_of(model.key, store.buckets)).count().collect())
+    if not counts:
         return None
-    known = current_rows(spark, store, model, commit.seq, buckets).drop("seq", "bucket")
-    known = known.join(fresh.select(model.key), model.key, "left_semi").select(fresh.columns)
+    known = current_rows(spark, store, model, commit.seq, sorted(counts)).select(rows.columns)
+    if sum(counts.values()) <= FEW_ROWS:
+        known = known.join(rows.select(model.key), model.key, "left_semi").select(rows.columns)
+    known = _latest(known, model).select(F.col(model.key).alias("_id"), F.struct(*rows.columns).alias("_known"))
+    both = _latest(rows, model).join(known, F.col(model.key) == F.col("_id"), "left").drop("_id")
     # Of equal rows the known one counts: nothing has changed.
-    both = known.withColumn("_is_new", F.lit(0)).unionByName(fresh.withColumn("_is_new", F.lit(1)))
-    new = _latest(both, model, ("_is_new",)).filter(F.col("_is_new") == 1).drop("_is_new")
-    old = _latest(known, model).join(new.select(model.key), model.key, "left_semi").select(fresh.columns)
-    return new, old
+    pairs = kept(both.filter(F.col("_known").isNull() | comes_before(model.time, model.tiebreak, "_known")))
+    return pairs.drop("_known"), pairs.filter(F.col("_known").isNotNull()).select("_known.*")
 
 
 def _replace(spark: SparkSession, store: TierStore, model: Model, periods: list, added: DataFrame,
-             new: DataFrame) -> None:
-    """Rewrite the periods of the refined table: without the changed ids' old rows, with their new ones."""
+             changed: DataFrame) -> None:
+    """Rewrite the periods of the refined table: without the rows of the ``changed`` ids, with those ``added``."""
     kept = (store.read(spark, "silver", model.refined, partitions=True).filter(on_periods(model.period, periods))
-            .join(new.select(model.key), model.key, "left_anti").select(added.columns))
+            .join(changed.select(model.key), model.key, "left_anti").select(added.columns))
     store.replace_days(kept.unionByName(added), "silver", model.refined, periods)
 
 

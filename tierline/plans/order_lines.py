@@ -34,12 +34,27 @@ def tables(store: TierStore, folder: str) -> tuple[BucketedTable, BucketedTable]
             BucketedTable(f"{base}/states", STATES, "order_id", store.buckets))
 
 
-def lines_of(raw_orders: DataFrame, raw: int = 0, latest: int = 0) -> DataFrame:
-    """The typed lines of raw orders that have an id."""
-    items = raw_orders.filter(F.col("order_id").isNotNull()).select("order_id", F.explode(raw_items("items")).alias("it"))
+def lines_of(raw_orders: DataFrame, raw: int | str = 0, latest: int | str = 0) -> DataFrame:
+    """The typed lines of raw orders that have an id; ``raw`` and ``latest`` are what each counts for, or columns of that."""
+    counts = [(F.col(n) if isinstance(n, str) else F.lit(n)).alias(c) for c, n in (("raw", raw), ("latest", latest))]
+    items = (raw_orders.filter(F.col("order_id").isNotNull()).select("order_id", "items", *counts)
+             .select("order_id", F.explode(raw_items("items")).alias("it"), "raw", "latest"))
     revenue = to_int_lax(F.col("it.quantity")) * F.col("it.unit_price").try_cast("double")
     return items.select("order_id", F.col("it.product_id").alias("product_id"), F.col("it.product_name").alias("product_name"),
-                        revenue.alias("revenue"), F.lit(raw).alias("raw"), F.lit(latest).alias("latest"))
+                        revenue.alias("revenue"), "raw", "latest")
+
+
+def weighed(copies: DataFrame, current: DataFrame, replaced: DataFrame | None) -> DataFrame:
+    """(order_id, items, raw, latest) of raw orders: each text once, however many copies have it, and whether or not
+    it is also the order's current one; texts that count for nothing are left out."""
+    said = [(copies, 1, 0), (current, 0, 1)] + ([(replaced, 0, -1)] if replaced is not None else [])
+    return reduce(DataFrame.unionByName, [df.select("order_id", "items", F.lit(raw).alias("raw"), F.lit(latest).alias("latest"))
+                                          .filter(F.col("order_id").isNotNull()) for df, raw, latest in said])
+
+
+def counted_once(texts: DataFrame) -> DataFrame:
+    return (texts.groupBy("order_id", "items").agg(F.sum("raw").cast("int").alias("raw"), F.sum("latest").cast("int").alias("latest"))
+            .filter("raw <> 0 OR latest <> 0"))
 
 
 def add(store: TierStore, folder: str, seq: int, copies: DataFrame, current: DataFrame,
@@ -48,8 +63,8 @@ def add(store: TierStore, folder: str, seq: int, copies: DataFrame, current: Dat
     refined ``states`` of the former; returns the attempt that a commit has to name."""
     attempt = uuid.uuid4().hex
     lines, known = tables(store, folder)
-    parts = [lines_of(copies, raw=1), lines_of(current, latest=1)] + ([lines_of(replaced, latest=-1)] if replaced is not None else [])
-    lines.append(reduce(DataFrame.unionByName, parts), attempt=attempt)
+    # Grouped where the shuffle by bucket has put them.
+    lines.append_dealt(lines_of(counted_once(lines.dealt(weighed(copies, current, replaced))), "raw", "latest"), attempt=attempt)
     known.append(states.select("order_id", "status", F.lit(seq).cast("long").alias("seq")), attempt=attempt)
     return attempt
 

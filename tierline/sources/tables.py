@@ -227,19 +227,19 @@ class TierStore:
 
     def replace_days(self, df: DataFrame, tier: str, table: str, days: list) -> None:
         """Replace the given days (partitions) of the current version by the rows of ``df``,
-        which has no row of another day; days without rows go."""
+        which has no row of another day; days without rows go: they are those whose files the write left as they were."""
         spark = df.sparkSession
         path = self.path(spark, tier, table)
         df = self.laid_out(df, tier, table)
         column = next(iter(PARTITIONING[tier, table]))
-        # Asked before the write: the rows may come from the very files that it replaces.
-        filled = {r[0] for r in df.select(column).distinct().collect()}  # calendar days
+        folders = {day: f"{path}/{column}={_NULL_PART if day is None else day.isoformat()}" for day in days}
+        before = {day: _files(spark, folder) for day, folder in folders.items()}
         (self.writer(df).mode("overwrite").partitionBy(column)
          .option("partitionOverwriteMode", "dynamic").save(path))
-        for day in set(days) - filled:
-            name = _NULL_PART if day is None else day.isoformat()
-            fs, p = _fs(spark, f"{path}/{column}={name}")
-            fs.delete(p, True)
+        for day, folder in folders.items():
+            if before[day] and _files(spark, folder) == before[day]:
+                fs, p = _fs(spark, folder)
+                fs.delete(p, True)
 
     def add_part(self, df: DataFrame, tier: str, table: str, number: int) -> None:
         """Put the rows of ``df`` into the current version as the part (first partition column)
@@ -304,6 +304,12 @@ def period_of(tier: str, table: str) -> Column:
     return F.to_date(F.date_trunc(unit, F.col(time)))
 
 
+def _files(spark: SparkSession, path: str) -> set[str]:
+    """Names of the files of a folder, which no two writes give twice; none for a folder that is not there."""
+    fs, p = _fs(spark, path)
+    return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
+
+
 def _path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
